@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import packing, token_counts
+from tablewright.llm import language_id, packing, quality, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_language_id": language_id.query,
         "op4_best_fit_packing": packing.query,
+        "op8_quality_rules": quality.query,
         "op10_token_counts": token_counts.query,
     }
 
