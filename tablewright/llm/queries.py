@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import language_id, packing, quality, token_counts
+from tablewright.llm import decontamination, language_id, packing, quality, substring_dedup, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_language_id": language_id.query,
         "op4_best_fit_packing": packing.query,
+        "op5_substring_dedup": substring_dedup.query,
+        "op6_toxicity": toxicity.query,
+        "op7_decontamination": decontamination.query,
         "op8_quality_rules": quality.query,
         "op10_token_counts": token_counts.query,
     }
