@@ -270,3 +270,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The last stage: the place of every piece of every document."""
+    import public_tokenizers
+
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
