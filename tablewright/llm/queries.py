@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontamination, language_id, near_dedup, packing, quality, secrets, substring_dedup, token_counts, toxicity
+from tablewright.llm import decontamination, language_id, near_dedup, packing, quality, secrets, substring_dedup, suffix_dedup, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scans": secrets.query,
         "op2_language_id": language_id.query,
+        "op3_suffix_dedup": suffix_dedup.query,
         "op4_best_fit_packing": packing.query,
         "op5_substring_dedup": substring_dedup.query,
         "op6_toxicity": toxicity.query,
