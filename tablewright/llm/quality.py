@@ -1,7 +1,7 @@
 """Quality rules: base counts of a text and a log-likelihood ratio between trusted and raw text.
 
-Two multinomials over hashed buckets of word unigrams and bigrams: one counted over the trusted documents,
-one over all documents. A document's score is the mean, over its n-grams, of the logarithm of the ratio of
+Two multinomials over hashed buckets of word unigrams and bigrams: one fitted on trusted documents (TRUSTED_ROWS of
+them at most), one counted over all documents. A document's score is the mean, over its n-grams, of the logarithm of the ratio of
 the two smoothed probabilities; the mean makes long and short texts comparable. A document is kept if its base
 rules hold and its score reaches the threshold: the same rows are kept in every run.
 
@@ -23,6 +23,8 @@ from tablewright.llm.common import table
 BUCKETS = 1 << 14
 SMOOTHING = 0.5
 THRESHOLD = -0.05
+#: The target is fitted on so many trusted documents at most, chosen by a hash of their id: their ids are broadcast, so no text is shuffled.
+TRUSTED_ROWS = 20_000
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
@@ -86,7 +88,8 @@ def buckets(words: Column) -> Column:
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """One row: an array with the log ratio of each bucket. `trusted`: doc_id of trusted documents."""
-    marked = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(trusted.select("doc_id").distinct().withColumn("trusted", F.lit(1)), "doc_id", "left")
+    sample = trusted.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS).withColumn("trusted", F.lit(1))
+    marked = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id", "left")
     split = marked.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), words_of(F.coalesce("text", F.lit(""))).alias("words"))
     grams = split.select("trusted", F.explode(buckets(F.col("words"))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
