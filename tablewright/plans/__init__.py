@@ -1 +1,9 @@
+"""Registered queries: each module maps names to (function of session and folder, SQL or None)."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

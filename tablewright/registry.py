@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 FLAGSHIP = "r01_duplicate_candidates"
+MODULES = ("scalars",)
+
+
+def _all() -> dict:
+    found: dict = {}
+    for name in MODULES:
+        found |= importlib.import_module(f"tablewright.plans.{name}").Q
+    return found
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: fn for name, (fn, _) in _all().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in _all().items() if sql}
