@@ -77,27 +77,28 @@ class Templates:
         name = core[0].isupper() and len(core) > 1 and core[1:].islower()
         return WORD, hash64(core.lower()), int(name), int(core.lower() in UNITS), int(ends)
 
-    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """(kind, value hash) of each token."""
+    def __call__(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(kind, value hash) of each token, for each text."""
         if len(self.numbers) > REMEMBERED:
             self.clear()
-        index = np.array(self.numbers.of((text or "").replace("\n", " \n ").split(" ")), np.int64)
+        indices = [np.array(self.numbers.of((t or "").replace("\n", " \n ").split(" ")), np.int64) for t in texts]
         if self.numbers.new:
             new = np.array([self.fact(w or "\n") if w != "" else (BREAK, 0, 0, 0, 0) for w in self.numbers.new], np.uint64)
             self.facts, self.numbers.new = np.concatenate([self.facts, new]), []
-        kind, value, name, unit, ends = self.facts[index].T
-        start = np.r_[True, ends[:-1] > 0]
-        # An empty token between two spaces passes a sentence's end on.
-        keep = kind != BREAK
-        if not keep.all():
-            last = np.maximum.accumulate(np.where(keep | (ends > 0), np.arange(len(kind)), -1))
-            before = np.r_[-1, last[:-1]]
-            start = (before < 0) | (ends[np.maximum(before, 0)] > 0)
-        kind, value, name, unit, start = (x[keep] for x in (kind, value, name, unit, start))
-        kind = kind.astype(np.int64)
-        kind[(name > 0) & ~start] = NAME
-        kind[(unit > 0) & (np.r_[False, kind[:-1] == NUMBER] if len(kind) else np.zeros(0, bool))] = UNIT
-        return kind, value
+        for index in indices:
+            kind, value, name, unit, ends = self.facts[index].T
+            start = np.r_[True, ends[:-1] > 0]
+            # An empty token between two spaces passes a sentence's end on.
+            keep = kind != BREAK
+            if not keep.all():
+                last = np.maximum.accumulate(np.where(keep | (ends > 0), np.arange(len(kind)), -1))
+                before = np.r_[-1, last[:-1]]
+                start = (before < 0) | (ends[np.maximum(before, 0)] > 0)
+            kind, value, name, unit, start = (x[keep] for x in (kind, value, name, unit, start))
+            kind = kind.astype(np.int64)
+            kind[(name > 0) & ~start] = NAME
+            kind[(unit > 0) & (np.r_[False, kind[:-1] == NUMBER] if len(kind) else np.zeros(0, bool))] = UNIT
+            yield kind, value
 
 
 def windows(kind: np.ndarray, value: np.ndarray, size: int = WINDOW) -> np.ndarray:
@@ -105,25 +106,26 @@ def windows(kind: np.ndarray, value: np.ndarray, size: int = WINDOW) -> np.ndarr
     n = len(kind) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    token = np.where(kind == WORD, mixed(value), kind.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    literal = mixed(value + np.uint64(1))
     words = np.convolve(kind == WORD, np.ones(size, int), "valid")
-    both = []
-    for x in (token, literal):
+    few = words < max(1, size * LITERALS // WINDOW)
+
+    def rolled(x: np.ndarray) -> np.ndarray:
         h = np.zeros(n, np.uint64)
         for j in range(size):
             h = h * MULTIPLIER + x[j : j + n]
-        both.append(h)
-    few = max(1, size * LITERALS // WINDOW)
-    return mixed(np.where(words >= few, both[0], both[1] ^ np.uint64(0x5555555555555555)) + np.uint64(size))
+        return h
+
+    h = rolled(np.where(kind == WORD, mixed(value), kind.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    if few.any():
+        h = np.where(few, rolled(mixed(value + np.uint64(1))) ^ np.uint64(0x5555555555555555), h)
+    return mixed(h + np.uint64(size))
 
 
 class Index:
     """The windows of a block of benchmark items, sorted by hash."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
-        templates = Templates()
-        self.items = [(i, *templates(t)) for i, t in items]
+        self.items = [(i, *t) for (i, _), t in zip(items, Templates()([t for _, t in items]), strict=True)]
         self.sizes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         rows = defaultdict(list)
         self.n_windows = []
@@ -196,7 +198,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHAR
             struct = pa.struct([("item_id", pa.int64()), ("n_windows", pa.int32()), ("of_windows", pa.int32()), ("n_slots", pa.int32()), ("exact", pa.bool_())])
             names = [f.name for f in struct]
             for batch in batches:
-                found = [[dict(zip(names, x, strict=True)) for x in index.found(*templates(t))] for t in batch.column(at).to_pylist()]
+                found = [[dict(zip(names, x, strict=True)) for x in index.found(*t)] for t in templates(batch.column(at).to_pylist())]
                 old = batch.column(len(batch.schema) - 1).to_pylist()
                 items = pa.array([(a or []) + b for a, b in zip(old, found, strict=True)], pa.list_(struct))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], items], batch.schema.names)
