@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 FLAGSHIP = "r01_duplicate_candidates"
-MODULES = ("scalars", "linkage")
+MODULES = ("scalars", "linkage", "consolidation")
 
 
 def _all() -> dict:
