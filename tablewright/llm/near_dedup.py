@@ -10,10 +10,10 @@ off. Pairs that the estimate puts five standard deviations below the threshold a
 is confirmed on the full sets.
 
 A bucket may hold a third of all documents, so its pairs are never listed. Star rounds come first: each member of a bucket is
-held against the bucket's smallest member of another component, and each takes the best estimate of its buckets to the exact
-check, so a round confirms at most one pair a document. What is confirmed is contracted. Then the members of one bucket that
-are still in different components are held against each other inside a join whose condition is the estimate, so that only
-likely pairs leave it; these are confirmed too. No pair of different components that shares a bucket is left unseen.
+held against one member that speaks for the bucket (the smallest first, then another one in each round), and each takes its best estimates to the
+exact check, so a round confirms at most STAR_CHECKS pairs a document. What is confirmed is contracted. Then the members of one bucket that
+are still in different components meet in blocks of bounded size, where signatures and full sets are compared and only confirmed links
+leave. No pair of different components that shares a bucket is left unseen.
 
 Components come from large-star and small-star steps on the links; neither links nor components pass through the driver.
 
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import checkpointed, map_batches, table
@@ -37,7 +37,10 @@ from tablewright.llm.common import checkpointed, map_batches, table
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS, BITS = 32, 4, 4
 HASHES = BANDS * ROWS
-STAR_ROUNDS = 2
+#: Rounds of stars, pairs of a node that a round confirms at most, and pairs whose ids may be broadcast.
+STAR_ROUNDS, STAR_CHECKS, BROADCAST_PAIRS = 3, 2, 200_000
+#: Shingles in a block of a bucket.
+BLOCK_SHINGLES = 150_000
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _RNG = np.random.default_rng(20240301)
 FACTOR = (_RNG.integers(0, 1 << 31, HASHES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
@@ -176,28 +179,98 @@ def near_links(rows: DataFrame, texts: DataFrame, star_rounds: int = STAR_ROUNDS
     for round_ in range(star_rounds + 1):
         named = members.withColumn("comp", F.col("node")) if comps is None else members.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         # Buckets whose members are all of one component have nothing left to say.
-        ends = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+        ends = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
         open_ = named.join(ends, "bucket")
         if round_ < star_rounds:
-            # The smallest component speaks for the bucket, by its smallest member there.
-            hubs = open_.where("comp = low").groupBy("bucket").agg(F.min("node").alias("hub"))
-            pairs = open_.where("comp <> low").join(hubs, "bucket").select("node", "comp", "hub").distinct()
+            # One member speaks for the bucket: the smallest one first, then another one in each round.
+            by = F.col("node") if round_ == 0 else F.xxhash64("node", F.lit(round_))
+            hubs = open_.groupBy("bucket").agg(F.min(F.struct(by.alias("by"), "node", "comp")).alias("h")).select("bucket", F.col("h.node").alias("hub"), F.col("h.comp").alias("hub_comp"))
+            pairs = open_.join(hubs, "bucket").where("comp <> hub_comp").select("node", "hub").distinct()
             full = pairs.join(cards.select("node", F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "node").join(cards.select(F.col("node").alias("hub"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "hub")
             full = full.withColumn("apart", lanes_apart("sig_a", "sig_b")).where(likely(F.col("apart"), "n_a", "n_b"))
-            best = full.groupBy("node").agg(F.min_by("hub", F.struct("apart", "hub")).alias("b"))
-            found = best.select(F.col("node").alias("a"), "b")
-        else:
-            full = open_.select("bucket", "node", "comp").join(cards, "node")
-            one, two = (full.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "comp", "n", "sig"))) for s in "ab")
-            apart = lanes_apart("sig_a", "sig_b")
-            found = one.join(two, (one["bucket"] == two["bucket"]) & (F.col("comp_a") < F.col("comp_b")) & likely(apart, "n_a", "n_b")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-        new = checkpointed(confirmed(found, texts))
-        links = new if links is None else links.unionByName(new)
-        if round_ < star_rounds:
+            # A node has no more hubs than bands, so its window is short.
+            place = F.row_number().over(Window.partitionBy("node").orderBy("apart", "hub"))
+            found = full.withColumn("place", place).where(F.col("place") <= STAR_CHECKS).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+            found = checkpointed(found)
+            size = found.count()
+            if not size:
+                continue
+            new = checkpointed(confirmed(found, few_texts(texts, found, size)))
+            links = new if links is None else links.unionByName(new)
             comps = components(links)
+        else:
+            last = checkpointed(links_in_blocks(open_.select("bucket", "node", "comp"), cards, texts))
+            links = last if links is None else links.unionByName(last)
     return links
 
 
+def links_in_blocks(rows: DataFrame, cards: DataFrame, texts: DataFrame) -> DataFrame:
+    """Confirmed links between members (bucket, node, comp) of one bucket that are in different components.
+
+    A semi-join keeps members that the estimate allows a partner; it lists no pair. What is left of a bucket is cut into blocks of about
+    BLOCK_SHINGLES shingles, and each two blocks meet in a group of bounded size, where pairs are held against each other by signature
+    and, if that allows it, by their full sets, until their components have met."""
+    full = rows.join(cards, "node")
+    one, two = (full.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "comp", "n", "sig"))) for s in "ab")
+    cond = (one["bucket"] == two["bucket"]) & (F.col("comp_a") != F.col("comp_b")) & likely(lanes_apart("sig_a", "sig_b"), "n_a", "n_b")
+    live = checkpointed(one.join(two, cond, "left_semi").select("bucket", F.col("node_a").alias("node"), F.col("comp_a").alias("comp"), F.col("n_a").alias("n"), F.col("sig_a").alias("sig")))
+    nodes = live.select("node").distinct()
+    size = nodes.count()
+    ids = nodes.withColumnRenamed("node", "doc_id")
+    held = texts.join(F.broadcast(ids) if size <= BROADCAST_PAIRS else ids, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "raw")
+    blocks = live.groupBy("bucket").agg((F.floor(F.sum("n") / BLOCK_SHINGLES) + 1).cast("int").alias("blocks"))
+    dealt = live.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("node", F.lit(99)), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    met = dealt.select("bucket", "node", "comp", "n", "sig", "own", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).join(held, "node")
+
+    def check(group: pa.Table) -> pa.Table:
+        node, comp, n = (np.array(group.column(c).to_pylist(), np.int64) for c in ("node", "comp", "n"))
+        own, i, j = (np.array(group.column(c).to_pylist(), np.int64) for c in ("own", "i", "j"))
+        sig = np.array(group.column("sig").to_pylist(), np.int64).view(np.uint64).reshape(len(node), -1)
+        raw = group.column("raw").to_pylist()
+        sets: dict[int, np.ndarray] = {}
+        parent: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while (p := parent.get(c, c)) != c:
+                c = p
+            return c
+
+        lane = np.uint64(sum(1 << k for k in range(0, 64, BITS)))
+        out_a, out_b = [], []
+        for r in range(len(node) - 1):
+            x = sig[r + 1 :] ^ sig[r]
+            x |= x >> np.uint64(1)
+            x |= x >> np.uint64(2)
+            apart = np.bitwise_count(x & lane).sum(axis=1)
+            near = (apart <= HASHES - LEAST_LANES) & (100 * np.minimum(n[r], n[r + 1 :]) >= PERCENT * np.maximum(n[r], n[r + 1 :])) & (comp[r + 1 :] != comp[r])
+            if i[0] != j[0]:
+                near &= own[r + 1 :] != own[r]
+            for q in r + 1 + np.flatnonzero(near)[np.argsort(apart[near], kind="stable")]:
+                a, b = root(int(comp[r])), root(int(comp[q]))
+                if a == b:
+                    continue
+                for k in (r, int(q)):
+                    if k not in sets:
+                        sets[k] = shingles(raw[k])
+                common = len(np.intersect1d(sets[r], sets[int(q)], assume_unique=True))
+                if common and 100 * common >= PERCENT * (len(sets[r]) + len(sets[int(q)]) - common):
+                    parent[max(a, b)] = min(a, b)
+                    out_a.append(int(node[r]))
+                    out_b.append(int(node[q]))
+        return pa.table([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+
+    return met.groupBy("bucket", "i", "j").applyInArrow(check, "a long, b long").distinct()
+
+
+def few_texts(texts: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """The texts that the pairs name. Ids are broadcast only if they are few (the size is counted); else the joins that follow shuffle."""
+    if size > BROADCAST_PAIRS:
+        return texts
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    return texts.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of `docs`."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
