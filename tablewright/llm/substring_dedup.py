@@ -69,7 +69,7 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
             row, start, size, digest = [], [], [], []
             for k, raw in enumerate(batch.column("raw").to_pylist()):
                 ends = borders(raw or b"")
-                begins = [0, *ends[:-1]]
+                begins = [0, *ends[:-1]] if ends else []
                 row += [k] * len(ends)
                 start += begins
                 size += [e - b for b, e in zip(begins, ends, strict=True)]
