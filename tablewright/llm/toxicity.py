@@ -76,14 +76,15 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.argsort(word, kind="stable")
     # The scale of a word: the length of its list if no subsequence came twice.
     n = np.maximum(1, np.bincount(word, weights=weight**2, minlength=len(words)))
-    return feature[order].astype(np.int64), (weight / np.sqrt(n[word]))[order], word[order]
+    return feature[order].astype(np.int64), (weight / np.sqrt(n[word]))[order].astype(np.float32), word[order]
 
 
 def against(words: list[str], table_: np.ndarray) -> np.ndarray:
     """words x columns: the sum of table_'s rows over the subsequences of each word."""
     out = np.zeros((len(words), table_.shape[1]))
-    for at in range(0, len(words), 512):
-        feature, weight, word = subsequences(words[at : at + 512])
+    step = 4096 if table_.shape[1] == 1 else 256
+    for at in range(0, len(words), step):
+        feature, weight, word = subsequences(words[at : at + step])
         if len(word):
             first = np.flatnonzero(np.diff(word, prepend=-1))
             out[at + word[first]] = np.add.reduceat(table_[feature] * weight[:, None], first, axis=0)
@@ -144,12 +145,13 @@ def train(texts: list[str], toxic: list[int], shares: tuple[float, float] = (1.0
     good = spread[:TRAINING_WORDS]
     marks = bad[: LANDMARKS * 2 // 3] + good[: LANDMARKS - min(len(bad), LANDMARKS * 2 // 3)]
     # The landmarks' lists as columns, and the inverse root of their kernel matrix.
-    lists = np.zeros((FEATURES, len(marks)))
+    lists = np.zeros((FEATURES, len(marks)), np.float32)
     feature, weight, word = subsequences(marks)
     np.add.at(lists, (feature, word), weight)
-    value, vector = np.linalg.eigh(lists.T @ lists)
+    value, vector = np.linalg.eigh((lists.T @ lists).astype(np.float64))
     root = vector * (np.where(value > 1e-6 * value[-1], 1 / np.sqrt(np.maximum(value, 1e-12)), 0.0))
-    columns = lists @ root
+    columns = lists @ root.astype(np.float32)
+    del lists
     numbers = Numbering()
     index = [np.array(numbers.of(d), int) for d in docs]
     names = list(numbers)
