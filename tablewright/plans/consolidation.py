@@ -24,7 +24,10 @@ def stamp(text: str):
     return F.lit(text).cast("timestamp")
 
 
-NOW = stamp("2024-01-31 00:00:00")
+def now():
+    return stamp("2024-01-31 00:00:00")
+
+
 T_NOW = "TIMESTAMP '2024-01-31'"
 
 
@@ -90,7 +93,7 @@ def p13(spark, d):
     current = o.select("o_orderkey", F.when(k % 3 == 0, " ").otherwise("old").alias("title"), F.when(k % 3 == 1, "unknown").otherwise("onsite").alias("remote_type"))
     incoming = o.where(k % 4 != 3).select("o_orderkey", F.when(k % 2 == 0, 200).otherwise(100).alias("priority"), F.when(k % 5 == 0, None).when(k % 5 == 1, "Unknown position").otherwise("new").alias("title"), F.when(k % 7 == 0, None).otherwise("remote").alias("remote_type"))
     backing = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.when(F.col("l_returnflag") == "N", 300).otherwise(100).alias("priority"))
-    out = M.guarded_update(current, incoming, backing, "o_orderkey", ["title", "remote_type"], NOW, preserve_if_none=("title",))
+    out = M.guarded_update(current, incoming, backing, "o_orderkey", ["title", "remote_type"], now(), preserve_if_none=("title",))
     return out.select("o_orderkey", "title", "remote_type", F.col("last_seen_at").isNotNull().alias("advanced"))
 
 
@@ -149,13 +152,13 @@ DIRECT_EVENTS = ["signup", "view", "click", "purchase"]
 @query("r05_reconcile_absence", f"WITH {INVENTORY}, x AS (SELECT s.scope, s.key, s.is_active, {CHANGE} AS change FROM sources s LEFT JOIN seen n USING (scope, key) LEFT JOIN scopes c ON c.scope = s.scope) SELECT scope, key, change, CASE WHEN change IN ('reactivated', 'observed') THEN true WHEN change = 'deactivated' THEN false ELSE is_active END AS is_active FROM x")
 def r05(spark, d):
     sources, seen, scopes = inventory(spark, d)
-    return C.reconcile_absence(sources, seen, scopes, "scope", "key", DIRECT_EVENTS, NOW).select("scope", "key", "change", "is_active")
+    return C.reconcile_absence(sources, seen, scopes, "scope", "key", DIRECT_EVENTS, now()).select("scope", "key", "change", "is_active")
 
 
 @query("g06_lifecycle_summary", f"WITH {INVENTORY}, x AS (SELECT s.scope, {CHANGE} AS change FROM sources s LEFT JOIN seen n USING (scope, key) LEFT JOIN scopes c ON c.scope = s.scope) SELECT scope, count(*) FILTER (WHERE change IN ('observed', 'reactivated')) AS observed, count(*) FILTER (WHERE change = 'deactivated') AS deactivated, count(*) FILTER (WHERE change = 'reactivated') AS reactivated FROM x GROUP BY ROLLUP (scope)")
 def g06(spark, d):
     sources, seen, scopes = inventory(spark, d)
-    return C.lifecycle_summary(C.reconcile_absence(sources, seen, scopes, "scope", "key", DIRECT_EVENTS, NOW), "scope")
+    return C.lifecycle_summary(C.reconcile_absence(sources, seen, scopes, "scope", "key", DIRECT_EVENTS, now()), "scope")
 
 
 @query("j15_owned_rows", "SELECT page_id FROM pages WHERE split_part(url, '/', 4) IN ('en', 'de') AND page_id % 3 <> 0")
@@ -308,13 +311,13 @@ def g09(spark, d):
 
 @query("g07_family_stats", f"WITH {JS} SELECT source_name, count(*) AS total, count(*) FILTER (WHERE is_active) AS active, count(*) FILTER (WHERE NOT is_active) AS inactive, count(DISTINCT job_id) AS jobs, strftime(max(seen), '%Y-%m-%d %H:%M:%S') AS newest_seen, round(median(CASE WHEN is_active THEN (epoch_us({T_NOW}) - epoch_us(seen)) / 86400e6 END), 3) AS median_age_days FROM js GROUP BY 1")
 def g07(spark, d):
-    return H.family_stats(job_sources(spark, d), "job_id", NOW).select("source_name", "total", "active", "inactive", "jobs", F.date_format("newest_seen", "yyyy-MM-dd HH:mm:ss").alias("newest_seen"), "median_age_days")
+    return H.family_stats(job_sources(spark, d), "job_id", now()).select("source_name", "total", "active", "inactive", "jobs", F.date_format("newest_seen", "yyyy-MM-dd HH:mm:ss").alias("newest_seen"), "median_age_days")
 
 
 @query("g08_age_matrix", f"WITH {JS}, {COMP}, l AS (SELECT c.*, (SELECT max(seen) FROM js WHERE js.job_id = c.job_id AND is_active) AS last FROM c WHERE job_id % 5 <> 0) SELECT composition, count(*) AS active_jobs, " + ", ".join(f"count(*) FILTER (WHERE last IS NULL OR last < {T_NOW} - INTERVAL {h} HOUR) AS not_seen_{h}h" for h in H.WINDOWS) + " FROM l GROUP BY ROLLUP (composition)")
 def g08(spark, d):
     jobs = composed(spark, d).withColumn("status", F.when(F.col("job_id") % 5 == 0, "inactive").otherwise("active"))
-    return H.age_matrix(jobs, job_sources(spark, d), "job_id", NOW)
+    return H.age_matrix(jobs, job_sources(spark, d), "job_id", now())
 
 
 @query("w02_latest_runs", "SELECT source_name, id FROM (SELECT event_type AS source_name, event_id AS id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r <= 3")
@@ -348,7 +351,7 @@ POL = "pol AS (SELECT c_custkey AS scope, TIMESTAMP '2024-01-01' + to_days(CAST(
 @query("j17_valid_review", f"WITH {POL} SELECT event_id, val.scope IS NOT NULL AS reviewed FROM events LEFT JOIN val ON user_id = scope")
 def j17(spark, d):
     e = events(spark, d).withColumnRenamed("user_id", "scope")
-    return H.with_valid_review(e, policies(spark, d), ["scope"], NOW).select("event_id", F.col("review_state").isNotNull().alias("reviewed"))
+    return H.with_valid_review(e, policies(spark, d), ["scope"], now()).select("event_id", F.col("review_state").isNotNull().alias("reviewed"))
 
 
 @query("j18_proof_join", "SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem WHERE l_linestatus = 'O' AND l_returnflag <> 'A' AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority <> '1-URGENT') AND (l_orderkey, l_suppkey % 5) IN (SELECT o_orderkey, o_custkey % 5 FROM orders WHERE o_totalprice > 1000)")
@@ -375,7 +378,7 @@ def classified(spark, d):
     })
     s = s.where("job_id % 9 <> 1 OR (source_name IN ('signup', 'click', 'error') AND NOT is_active)")
     jobs = events(spark, d).select(F.col("user_id").alias("job_id")).distinct().withColumns({"status": F.when(k % 9 == 1, "inactive").otherwise("active"), "expires_at": F.when(k % 8 == 0, stamp("2024-01-15"))})
-    return H.freshness_class(jobs, s, "job_id", NOW)
+    return H.freshness_class(jobs, s, "job_id", now())
 
 
 CLASS = f"""{JS}, s AS (SELECT *, source_name IN ('signup', 'click', 'error') AS d, job_id % 2 = 0 AS pa, job_id % 5 <> 0 AS po, source_name = 'click' AND job_id % 7 = 0 AS su, CASE WHEN job_id % 6 <> 0 THEN seen END AS ver FROM js WHERE job_id % 9 <> 1 OR (source_name IN ('signup', 'click', 'error') AND NOT is_active)),
@@ -403,13 +406,13 @@ UNION ALL SELECT 'age', coalesce(composition, 'total'), name, value FROM (UNPIVO
 UNION ALL SELECT 'family', source_name, name, value FROM (UNPIVOT m ON total, active, inactive, jobs INTO NAME name VALUE value)""")
 def h03(spark, d):
     jobs = composed(spark, d).withColumn("status", F.lit("active"))
-    return H.freshness_report(classified(spark, d), H.age_matrix(jobs, job_sources(spark, d), "job_id", NOW), H.family_stats(job_sources(spark, d), "job_id", NOW))
+    return H.freshness_report(classified(spark, d), H.age_matrix(jobs, job_sources(spark, d), "job_id", now()), H.family_stats(job_sources(spark, d), "job_id", now()))
 
 
 def scope_rows(spark, d):
     e = events(spark, d).where(F.col("ts") >= stamp("2024-01-28"))
     rows = e.groupBy(F.col("user_id").alias("scope")).agg(F.concat(F.lit("s"), F.first(F.col("user_id") % 4)).alias("source_name"), (F.count_if(F.expr("event_type = 'error'")) < 3).alias("ok"), (F.count_if(F.expr("event_type = 'view'")) > 1).alias("complete"), F.count_if(F.expr("value < 1")).alias("unknown_ids"))
-    return H.with_valid_review(rows, policies(spark, d), ["scope"], NOW)
+    return H.with_valid_review(rows, policies(spark, d), ["scope"], now())
 
 
 SCOPE = f"""{POL}, r AS (SELECT user_id AS scope, 's' || (user_id % 4) AS source_name, count(*) FILTER (WHERE event_type = 'error') < 3 AS ok, count(*) FILTER (WHERE event_type = 'view') > 1 AS complete, count(*) FILTER (WHERE value < 1) AS u FROM events WHERE ts >= TIMESTAMP '2024-01-28' GROUP BY 1, 2),
@@ -419,30 +422,30 @@ cs AS (SELECT scope, source_name, CASE WHEN ok AND complete THEN 'healthy' WHEN
 
 @query("h04_classify_scopes", f"WITH {SCOPE} SELECT scope, state, alerts FROM cs")
 def h04(spark, d):
-    return H.classify_scopes(scope_rows(spark, d), NOW).select("scope", "state", "alerts")
+    return H.classify_scopes(scope_rows(spark, d), now()).select("scope", "state", "alerts")
 
 
 @query("h05_evaluate_source", f"WITH {SCOPE}, n AS (SELECT source_name, count(*) AS scopes, count(*) FILTER (WHERE state = 'healthy') AS healthy, count(*) FILTER (WHERE state = 'known_gap') AS gaps, count(*) FILTER (WHERE state = 'failed') AS failed, count(*) FILTER (WHERE alerts <> '') AS alerted FROM cs GROUP BY 1) SELECT *, CASE WHEN healthy = scopes THEN 'SUCCESS' WHEN healthy = 0 THEN 'FAILED' WHEN healthy + gaps = scopes THEN 'SUCCESS_WITH_KNOWN_GAPS' ELSE 'PARTIAL' END AS status FROM n")
 def h05(spark, d):
-    return H.evaluate_source(H.classify_scopes(scope_rows(spark, d), NOW))
+    return H.evaluate_source(H.classify_scopes(scope_rows(spark, d), now()))
 
 
 @query("h06_backlog_review", f"WITH {POL} SELECT f.scope, f.native_total, val.scope IS NOT NULL AS reviewed FROM (SELECT c_custkey AS scope, c_custkey % 14 AS native_total FROM customer) f LEFT JOIN val ON f.scope = val.scope AND f.native_total = val.native_total")
 def h06(spark, d):
     found = table(spark, d, "customer").select(F.col("c_custkey").alias("scope"), (F.col("c_custkey") % 14).alias("native_total"))
-    return H.backlog_review(found, policies(spark, d), NOW)
+    return H.backlog_review(found, policies(spark, d), now())
 
 
 @query("h08_probe_decisions", f"WITH {POL}, l AS (SELECT user_id, max(ts) AS p FROM events WHERE event_type = 'signup' AND user_id % 3 <> 0 GROUP BY 1) SELECT scope, coalesce(p + INTERVAL 96 HOUR <= {T_NOW}, true) AS due, strftime(p + INTERVAL 96 HOUR, '%Y-%m-%d %H:%M:%S') AS next_probe_at, b < {T_NOW} AS review_expired FROM pol LEFT JOIN l ON user_id = scope")
 def h08(spark, d):
     probes = events(spark, d).where("event_type = 'signup' AND user_id % 3 <> 0").select(F.col("user_id").alias("scope"), F.col("ts").alias("probed_at"))
-    return H.probe_decisions(policies(spark, d), probes, "scope", NOW).withColumn("next_probe_at", F.date_format("next_probe_at", "yyyy-MM-dd HH:mm:ss"))
+    return H.probe_decisions(policies(spark, d), probes, "scope", now()).withColumn("next_probe_at", F.date_format("next_probe_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("h09_accepted_gaps", f"WITH {POL} SELECT event_id FROM events WHERE event_type = 'error' AND ts >= {T_NOW} - INTERVAL 72 HOUR AND value > 5 AND user_id IN (SELECT scope FROM val)")
 def h09(spark, d):
     health = events(spark, d).select("event_id", F.col("user_id").alias("scope"), F.col("ts").alias("checked_at"), (F.col("event_type") != "error").alias("ok"), F.when(F.col("value") > 5, 0).otherwise(1).alias("deactivated"), F.lit(0).alias("reactivated"))
-    return H.accepted_gaps(health, policies(spark, d), "scope", NOW).select("event_id")
+    return H.accepted_gaps(health, policies(spark, d), "scope", now()).select("event_id")
 
 
 def day_runs(spark, d):
