@@ -39,6 +39,8 @@ BANDS, ROWS, BITS = 32, 4, 4
 HASHES = BANDS * ROWS
 #: Rounds of stars, pairs of a node that a round confirms at most, and pairs whose ids may be broadcast.
 STAR_ROUNDS, STAR_CHECKS, BROADCAST_PAIRS = 3, 2, 200_000
+#: Links in a partition of the component steps.
+LINKS_IN_PART = 200_000
 #: Shingles in a block of a bucket.
 BLOCK_SHINGLES = 150_000
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -148,17 +150,20 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node, component: the smallest node of each connected component of links (a, b), by large-star and small-star steps."""
     edges = checkpointed(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    # Few links need few tasks; every task of a round writes files of its own.
+    parts = edges.count() // LINKS_IN_PART + 4
+    edges = edges.coalesce(parts)
     before = None
     while True:
         # Large star: every larger neighbour of u is linked to the smallest in u's neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(parts)
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().coalesce(parts)
         # Small star: the smaller neighbours of u, and u, are linked to the smallest of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(parts)
         small = large.join(least, "u")
         edges = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = checkpointed(edges)
+        edges = checkpointed(edges.coalesce(parts))
         # Both steps only lower the ends of links, so equal sums mean equal links.
         state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:
