@@ -1,12 +1,14 @@
 """Quality rules: base counts of a text and a log-likelihood ratio between trusted and raw text.
 
-Two multinomials over hashed buckets of word unigrams and bigrams: one fitted on trusted documents (TRUSTED_ROWS of
-them at most), one counted over all documents. A document's score is the mean, over its n-grams, of the logarithm of the ratio of
+Two multinomials over hashed buckets of word unigrams and bigrams: one fitted on all trusted documents, one counted
+over all documents. A document's score is the mean, over its n-grams, of the logarithm of the ratio of
 the two smoothed probabilities; the mean makes long and short texts comparable. A document is kept if its base
 rules hold and its score reaches the threshold: the same rows are kept in every run.
 
 Only built-in functions are used. Counting aggregates within tasks to at most BUCKETS rows; the ratios come
-back as one array of BUCKETS numbers, whose size does not depend on the data, so scoring needs no shuffle.
+back as one array of BUCKETS numbers, whose size does not depend on the data, so scoring needs no shuffle. Trusted ids are
+broadcast in blocks of a counted size, one after the other: the first pass counts every document and the first block,
+each further pass only the documents of its block, so no text is shuffled and each is cut into words once for each side.
 
 Null text counts as empty: no word, so base_failed. A text without n-grams scores 0. Repeated rows are judged
 each. Without trusted documents the two multinomials are taken as equal, so every score is 0. A document with
@@ -23,8 +25,8 @@ from tablewright.llm.common import table
 BUCKETS = 1 << 14
 SMOOTHING = 0.5
 THRESHOLD = -0.05
-#: The target is fitted on so many trusted documents at most, chosen by a hash of their id: their ids are broadcast, so no text is shuffled.
-TRUSTED_ROWS = 20_000
+#: Trusted ids in one broadcast, in expectation.
+BLOCK_IDS = 1_000_000
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
@@ -86,13 +88,33 @@ def buckets(words: Column) -> Column:
     return F.concat(ones, twos)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """One row: an array with the log ratio of each bucket. `trusted`: doc_id of trusted documents."""
-    sample = trusted.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS).withColumn("trusted", F.lit(1))
-    marked = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id", "left")
+def counted(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """bucket, raw, target: n-grams of the documents that the join with the trusted `ids` gives, and of the trusted ones."""
+    marked = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids.withColumn("trusted", F.lit(1))), "doc_id", how)
     split = marked.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), words_of(F.coalesce("text", F.lit(""))).alias("words"))
     grams = split.select("trusted", F.explode(buckets(F.col("words"))).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
+    return grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
+
+
+def bucket_counts(docs: DataFrame, trusted: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
+    """bucket, raw, target: n-grams of all documents and of all trusted ones. At most BUCKETS rows come to the driver for each block."""
+    ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    n = max(1, -(-ids.count() // block_ids))
+    if n == 1:
+        return counted(docs, ids, "left")
+    totals: dict[int, list[int]] = {}
+    for b in range(n):
+        block = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) == b)
+        for r in counted(docs, block, "inner" if b else "left").collect():
+            total = totals.setdefault(r["bucket"], [0, 0])
+            total[0] += 0 if b else r["raw"]
+            total[1] += r["target"]
+    return docs.sparkSession.createDataFrame([(k, *v) for k, v in totals.items()], "bucket int, raw long, target long")
+
+
+def log_ratios(docs: DataFrame, trusted: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
+    """One row: an array with the log ratio of each bucket. `trusted`: doc_id of trusted documents."""
+    counts = bucket_counts(docs, trusted, block_ids)
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     full = every.join(counts, "bucket", "left").select("bucket", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target"))
     gathered = full.agg(F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("rows"), F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"))

@@ -231,6 +231,23 @@ def test_quality(spark, docs, plain, empty):
     assert {r.score for r in quality.judge(docs, quality.trusted_ids(labels.limit(0))).collect()} == {0.0}
 
 
+def test_every_trusted_document_counts(spark, docs, plain):
+    # More trusted ids than any fixed sample holds; those that the table has are spread over all of them.
+    trusted = spark.range(30_000).select(F.col("id").alias("doc_id"))
+    owned = [(i is not None, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in plain]
+    all_raw, all_target = 2 * sum(len(w) for _, w in owned), 2 * sum(len(w) for known, w in owned if known)
+    whole = {r.bucket: (r.raw, r.target) for r in quality.bucket_counts(docs, trusted).collect()}
+    assert (sum(r for r, _ in whole.values()), sum(t for _, t in whole.values())) == (all_raw, all_target)
+    assert {r.bucket: (r.raw, r.target) for r in quality.bucket_counts(docs, trusted, 7_000).collect()} == whole
+    ratios = [quality.log_ratios(docs, trusted, n).first()["ratios"] for n in (1 << 30, 7_000)]
+    assert ratios[0] == ratios[1]
+    spread = quality.SMOOTHING * quality.BUCKETS
+    for k in (0, *list(whole)[:20]):
+        raw, target = whole.get(k, (0, 0))
+        expected = np.log((target + quality.SMOOTHING) / (all_target + spread)) - np.log((raw + quality.SMOOTHING) / (all_raw + spread))
+        assert abs(ratios[0][k] - expected) < 1e-12
+
+
 def brute_near(rows):
     table = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     sets = collections.defaultdict(list)
