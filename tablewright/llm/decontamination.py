@@ -1,14 +1,17 @@
 """Benchmark decontamination by template windows.
 
-Texts become sequences of template tokens: numbers, names (a capitalised word inside a sentence) and units (behind a
-number) turn into typed placeholders, other words into their lower-case letters and digits. Windows of WINDOW
-template tokens are hashed on both sides and joined. A window with fewer than LITERALS words of its own says too
-little as a template, so it is hashed with its slot values. Items shorter than a window are one window of their own
-size; items shorter than SHORTEST tokens can't be told from chance and match nothing.
-
-A joined window binds each slot of the item to a value of the document. Along one alignment the binding must be a
-one-to-one mapping: the same value always becomes the same value. Windows whose slots contradict the mapping
-are not counted. A document contains an item if the windows counted cover at least COVERAGE of the item's. `exact` says that
+Texts become sequences of template tokens, cut at white space and around each letter of a script that is written without
+spaces: numbers, names (a capitalised word inside a sentence) and units (behind a number) turn into typed placeholders,
+other words into their lower-case letters and digits. A capitalised word that starts a sentence can be a name or not, so a
+window that holds one is hashed in both readings. Windows of WINDOW template tokens are hashed on both sides and joined; those
+with few words of their own are hashed with their slot values as well, those without any only with these. Items shorter
+than a window are one window of their own size; items shorter than SHORTEST tokens match by their values only.
+
+A joined window gives an alignment of item and document, along which every window of the item is compared, token by
+token, and binds each slot of the item to a value of the document. The binding must be a one-to-one mapping: the same value always
+becomes the same value. Windows whose slots contradict the mapping are not counted. Where the windows counted hold fewer
+than LITERALS words between them, the template says too little and only windows with equal values count.
+A document contains an item if the windows counted cover at least COVERAGE of the item's. `exact` says that
 every slot kept its value; otherwise the question was given other parameters.
 
 The benchmark is read in blocks of a checked size (characters), each of which is sent to the tasks and probed by every
@@ -42,6 +45,10 @@ UNITS = frozenset("mm cm m km in ft mi mg g kg lb oz ml l s sec min h hr hour ho
 WORD, NUMBER, NAME, UNIT, BREAK = range(5)
 NUMERIC = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?")
 CORE = re.compile(r"[^\W_]+")
+#: Letters of scripts without spaces between words: each is a token.
+UNSPACED = re.compile("([\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+#: Stands for the end of a line.
+LINE = "\0"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,26 +76,32 @@ class Templates:
         """(kind, value, may be a name, may be a unit, ends a sentence)"""
         core = "".join(CORE.findall(word))
         ends = word[-1] in ".!?:" or word[-2:-1] in (".", "!", "?")
-        if word == "\n" or not core:
-            return BREAK, 0, 0, 0, int(word == "\n" or ends)
+        if word == LINE or not core:
+            return BREAK, 0, 0, 0, int(word == LINE or ends)
         bare = word.strip(".,;:!?\"'()[]")
         if NUMERIC.fullmatch(bare):
             return NUMBER, hash64(bare), 0, 0, int(ends)
         name = core[0].isupper() and len(core) > 1 and core[1:].islower()
         return WORD, hash64(core.lower()), int(name), int(core.lower() in UNITS), int(ends)
 
-    def __call__(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(kind, value hash) of each token, for each text."""
+    @staticmethod
+    def words_of(text: str) -> list[str]:
+        if not text.isascii():
+            text = UNSPACED.sub(r" \1 ", text)
+        return text.replace("\n", f" {LINE} ").split()
+
+    def __call__(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(kind, value hash, is a word that may be a name) of each token, for each text."""
         if len(self.numbers) > REMEMBERED:
             self.clear()
-        indices = [np.array(self.numbers.of((t or "").replace("\n", " \n ").split(" ")), np.int64) for t in texts]
+        indices = [np.array(self.numbers.of(self.words_of(t or "")), np.int64) for t in texts]
         if self.numbers.new:
-            new = np.array([self.fact(w or "\n") if w != "" else (BREAK, 0, 0, 0, 0) for w in self.numbers.new], np.uint64)
+            new = np.array([self.fact(w) for w in self.numbers.new], np.uint64)
             self.facts, self.numbers.new = np.concatenate([self.facts, new]), []
         for index in indices:
             kind, value, name, unit, ends = self.facts[index].T
-            start = np.r_[True, ends[:-1] > 0]
-            # An empty token between two spaces passes a sentence's end on.
+            start = np.r_[True, ends[:-1] > 0][: len(kind)]
+            # A token without letters passes a sentence's end on.
             keep = kind != BREAK
             if not keep.all():
                 last = np.maximum.accumulate(np.where(keep | (ends > 0), np.arange(len(kind)), -1))
@@ -98,16 +111,26 @@ class Templates:
             kind = kind.astype(np.int64)
             kind[(name > 0) & ~start] = NAME
             kind[(unit > 0) & (np.r_[False, kind[:-1] == NUMBER] if len(kind) else np.zeros(0, bool))] = UNIT
-            yield kind, value
+            yield kind, value, (name > 0) & (kind == WORD)
+
+
+def literals(size: int) -> int:
+    """Words that a window of `size` tokens must hold to say enough as a template."""
+    return max(1, size * LITERALS // WINDOW)
 
 
-def windows(kind: np.ndarray, value: np.ndarray, size: int = WINDOW) -> np.ndarray:
-    """Hash of each window of `size` tokens."""
+def held(x: np.ndarray, size: int) -> np.ndarray:
+    """How many of each `size` neighbours are true."""
+    sums = np.r_[0, np.cumsum(x)]
+    return sums[size:] - sums[:-size]
+
+
+def windows(kind: np.ndarray, value: np.ndarray, maybe: np.ndarray, size: int = WINDOW, item: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of each reading of each window of `size` tokens: as it stands, with words that may be names as names,
+    and by value. An item's windows are all hashed by value; a document's where few of its words are surely words."""
     n = len(kind) - size + 1
     if n <= 0:
-        return np.zeros(0, np.uint64)
-    words = np.convolve(kind == WORD, np.ones(size, int), "valid")
-    few = words < max(1, size * LITERALS // WINDOW)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def rolled(x: np.ndarray) -> np.ndarray:
         h = np.zeros(n, np.uint64)
@@ -115,10 +138,27 @@ def windows(kind: np.ndarray, value: np.ndarray, size: int = WINDOW) -> np.ndarr
             h = h * MULTIPLIER + x[j : j + n]
         return h
 
-    h = rolled(np.where(kind == WORD, mixed(value), kind.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
-    if few.any():
-        h = np.where(few, rolled(mixed(value + np.uint64(1))) ^ np.uint64(0x5555555555555555), h)
-    return mixed(h + np.uint64(size))
+    def by_value() -> np.ndarray:
+        return rolled(mixed(value + np.uint64(1))) ^ np.uint64(0x5555555555555555)
+
+    if size < SHORTEST:
+        return mixed(by_value() + np.uint64(size)), np.arange(n)
+    slots = kind.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    plain = np.where(kind == WORD, mixed(value), slots)
+    words = held(kind == WORD, size)
+    at = [np.flatnonzero(words > 0)]
+    parts, sure = [rolled(plain)[at[0]]], words
+    if maybe.any():
+        names, names_as = held(maybe, size), np.array([NAME], np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        sure = words - names
+        at.append(np.flatnonzero((names > 0) & (sure > 0)))
+        parts.append(rolled(np.where(maybe, names_as, plain))[at[1]])
+    # A copy's first word can be surely a word where the item's may be a name, so the document's side allows one more.
+    few = np.arange(n) if item else np.flatnonzero(sure <= literals(size))
+    if len(few):
+        at.append(few)
+        parts.append(by_value()[few])
+    return mixed(np.concatenate(parts) + np.uint64(size)), np.concatenate(at)
 
 
 class Index:
@@ -129,46 +169,76 @@ class Index:
         self.sizes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         rows = defaultdict(list)
         self.n_windows = []
-        for k, (_, kind, value) in enumerate(self.items):
+        for k, (_, kind, value, maybe) in enumerate(self.items):
             size = min(WINDOW, len(kind))
-            h = windows(kind, value, size) if size >= SHORTEST else np.zeros(0, np.uint64)
-            self.n_windows.append(len(h))
-            rows[size].append((h, np.full(len(h), k), np.arange(len(h))))
+            h, j = windows(kind, value, maybe, size, item=True) if size else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            self.n_windows.append(len(kind) - size + 1 if size else 0)
+            rows[size].append((h, np.full(len(h), k), j))
         for size, parts in rows.items():
             h, k, j = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(h, kind="stable")
             if len(h):
                 self.sizes[size] = (h[order], k[order], j[order])
 
-    def found(self, kind: np.ndarray, value: np.ndarray) -> list[tuple[int, int, int, int, bool]]:
+    def compared(self, k: int, shift: int, kind: np.ndarray, value: np.ndarray, maybe: np.ndarray) -> tuple[set[int], dict[tuple[int, int], int]]:
+        """Windows of item k that count where its token 0 stands at token `shift` of the text, and the values that its slots are bound to."""
+        _, item_kind, item_value, item_maybe = self.items[k]
+        size = min(WINDOW, len(item_kind))
+        first, end = max(0, -shift), min(len(item_kind), len(kind) - shift)
+        if end - first < size:
+            return set(), {}
+        mine, theirs = slice(first, end), slice(shift + first, shift + end)
+        c, a, b = item_kind[mine], item_value[mine], value[theirs]
+        same = a == b
+        if size < SHORTEST:
+            return {first + int(j) for j in np.flatnonzero(held(same, size) == size)}, {}
+        literal = same & (c == WORD) & (kind[theirs] == WORD)
+        named = ((c == NAME) | item_maybe[mine]) & ((kind[theirs] == NAME) | maybe[theirs])
+        fits = literal | named | ((c == kind[theirs]) & (c != WORD))
+        c = np.where(named, NAME, c)
+        said = np.zeros(len(c), bool)
+        there, back, counted = {}, {}, []
+        for j in np.flatnonzero(held(fits, size) == size).tolist():
+            to, of, agrees = {}, {}, True
+            for d in range(j, j + size):
+                if not literal[d]:
+                    x, y = (int(c[d]), int(a[d])), (int(c[d]), int(b[d]))
+                    if to.setdefault(x, there.get(x, y)) != y or of.setdefault(y, back.get(y, x)) != x:
+                        agrees = False
+                        break
+            if agrees:
+                there |= to
+                back |= of
+                counted.append(j)
+                said[j : j + size] |= literal[j : j + size]
+        if said.sum() < literals(size):
+            counted = [j for j in counted if same[j : j + size].all()]
+            there = {(int(c[d]), int(a[d])): (int(c[d]), int(b[d])) for j in counted for d in range(j, j + size) if not literal[d]}
+        return {first + j for j in counted}, {x: y for x, (_, y) in there.items()}
+
+    def found(self, kind: np.ndarray, value: np.ndarray, maybe: np.ndarray) -> list[tuple[int, int, int, int, bool]]:
         """(item id, windows counted, windows of the item, slots bound, exact) of each item that the text contains."""
-        hits: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        hits: dict[int, set[int]] = defaultdict(set)
         for size, (h, k, j) in self.sizes.items():
-            own = windows(kind, value, size)
+            own, place = windows(kind, value, maybe, size)
             if not len(own):
                 continue
             at = np.searchsorted(h, own)
-            for p in np.flatnonzero(h[np.minimum(at, len(h) - 1)] == own):
-                for q in range(at[p], len(h)):
-                    if h[q] != own[p]:
+            for i in np.flatnonzero(h[np.minimum(at, len(h) - 1)] == own):
+                for q in range(at[i], len(h)):
+                    if h[q] != own[i]:
                         break
-                    hits[int(k[q])][int(p - j[q])].append((int(p), int(j[q])))
+                    hits[int(k[q])].add(int(place[i] - j[q]))
         out = []
-        for k, lines in sorted(hits.items()):
-            item_id, item_kind, item_value = self.items[k]
-            size, counted, slots, exact = min(WINDOW, len(item_kind)), set(), set(), True
-            for line in lines.values():
-                there, back = {}, {}
-                for p, j in line:
-                    pairs = [(int(item_kind[j + d]), int(item_value[j + d]), int(value[p + d])) for d in range(size) if item_kind[j + d] != WORD]
-                    if all(there.get((c, a), b) == b and back.get((c, b), a) == a for c, a, b in pairs):
-                        for c, a, b in pairs:
-                            there[c, a], back[c, b] = b, a
-                        counted.add(j)
-                slots |= {(c, a, b) for (c, a), b in there.items()}
-                exact &= all(a == b for (_, a), b in there.items())
+        for k, shifts in sorted(hits.items()):
+            counted, slots, exact = set(), set(), True
+            for shift in sorted(shifts):
+                own, bound = self.compared(k, shift, kind, value, maybe)
+                counted |= own
+                slots |= {(c, a, b) for (c, a), b in bound.items()}
+                exact &= all(a == b for (_, a), b in bound.items())
             if counted and len(counted) >= COVERAGE * self.n_windows[k]:
-                out.append((int(item_id), len(counted), self.n_windows[k], len(slots), bool(exact)))
+                out.append((int(self.items[k][0]), len(counted), self.n_windows[k], len(slots), bool(exact)))
         return out
 
 

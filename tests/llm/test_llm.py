@@ -206,6 +206,29 @@ def test_slots_must_be_consistent():
     assert whole[4] is True and (not mixed or mixed[0][1] < whole[1])
 
 
+def test_items_with_names_numbers_few_words_or_other_spaces():
+    items = {
+        1: "Tom has 3 apples. Tom buys 5 more. How many apples does Tom have?",
+        2: "What is 12 + 30?",
+        3: "小明有很多苹果和梨",
+        4: "Compute 12 + 30 * 7 - 4 + 18 and then divide by 6",
+        5: "the grey river runs behind our old garden in the quiet morning",
+        6: "Paris",
+    }
+    index, templates = decontamination.Index(list(items.items())), decontamination.Templates()
+    find = lambda t: {i: exact for i, *_, exact in index.found(*next(templates([t])))}
+    for i, text in items.items():  # verbatim, inside other text
+        assert find("So they say. " + text + " Then they left.") == {i: True}
+    assert find("Anna has 4 apples. Anna buys 9 more. How many apples does Anna have?") == {1: False}
+    assert find("well, tom has 3 apples. Tom buys 5 more. How many apples does Tom have?").keys() == {1}
+    assert find("and what is 12 + 30? He said") == {2: True} and find("what is 12 + 31?") == {}
+    assert find("昨天小明有很多苹果和梨。今天没有") == {3: True}
+    assert find("compute 13 + 31 * 8 - 5 + 19 and then divide by 9") == {4: False}
+    assert find("compute 13 + 31 * 8 - 8 + 19 and then divide by 9 or 13 31 8 5") == {}  # one number for two
+    assert find(items[5].replace(" ", "\t")) == find(items[5].replace(" ", "\u00a0")) == {5: True}
+    assert find("1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16") == find("") == {}
+
+
 def base_counts(text):
     w = WORD.findall(text or "")
     grams = collections.Counter(zip(w, w[1:], w[2:]))
