@@ -6,7 +6,8 @@ a probability for each language. Table and layer are trained by stochastic gradi
 bounded sample of labelled texts, whole ones and short stretches of them, so that short texts score well too.
 
 Once trained, table and layer multiply to one row of class weights for each bucket, so scoring a text is a
-sum of rows. Words repeat, so a task remembers the sum of each word.
+sum of rows. Words repeat, so a task remembers the sum of each word. Long runs of letters, as scripts without spaces have
+them, are cut into pieces that know the bytes before them, so that together they have just the n-grams of the whole run.
 
 Calibration: a part of the sample is kept from training. A temperature is fitted on it, and the rejection
 threshold is the probability that all but a stated share of its texts exceed. `rejected` says that a text has
@@ -34,8 +35,10 @@ from tablewright.llm.common import Numbering, fold_of, held_out, kept_by_worker,
 UNKNOWN = "und"
 BUCKETS, WIDTH = 1 << 16, 16
 GRAMS = (1, 2, 3, 4)
-#: The sample: so many labelled texts in expectation, shared evenly by the languages, and so many languages.
-SAMPLE_ROWS, MOST_LANGUAGES = 2400, 200
+#: The sample: so many labelled texts in expectation, shared evenly by the languages, but so many for each language at least.
+SAMPLE_ROWS, LEAST_EACH = 2400, 12
+#: Letters in one piece of a long run, and the mark of a side where the run goes on.
+PIECE, GOES_ON = 40, "\0"
 EPOCHS, RATE = 3, 0.5
 #: Share of the calibration texts that may fall below the rejection threshold, and the highest threshold.
 REJECTED_SHARE, HIGHEST_THRESHOLD = 0.001, 0.5
@@ -44,7 +47,16 @@ LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    words = LETTERS.findall(text.lower()) if text else []
+    return words if max(map(len, words), default=0) <= PIECE else [p for w in words for p in pieces(w)]
+
+
+def pieces(word: str) -> list[str]:
+    """The word if it is short, or else its pieces, each between the letters before it and the mark that the word goes on."""
+    if len(word) <= PIECE:
+        return [word]
+    before = lambda i: GOES_ON + word[i - max(GRAMS) + 1 : i] + GOES_ON if i else ""
+    return [before(i) + word[i : i + PIECE] + (GOES_ON if i + PIECE < len(word) else "") for i in range(0, len(word), PIECE)]
 
 
 def has_letter(text: str | None) -> bool:
@@ -52,11 +64,16 @@ def has_letter(text: str | None) -> bool:
 
 
 def subwords(word: str) -> list[int]:
-    """Buckets of the word and of its byte n-grams. Bytes beyond the 40th of a word are left to its hash as a whole."""
-    raw = b"<" + word.encode("utf-8", "surrogatepass") + b">"
-    part = raw[:41]
-    found = [zlib.crc32(part[i : i + n], n) % BUCKETS for n in GRAMS for i in range(len(part) - n + 1)]
-    found.append(zlib.crc32(raw) % BUCKETS)
+    """Buckets of the word or piece and of its byte n-grams, less those that the piece before it has."""
+    before, known = b"<", 0
+    if word[:1] == GOES_ON:
+        _, letters, word = word.split(GOES_ON, 2)
+        before = letters.encode("utf-8", "surrogatepass")[1 - max(GRAMS) :]
+        known = len(before)
+    own = word.rstrip(GOES_ON).encode("utf-8", "surrogatepass")
+    raw = before + own + (b"" if word[-1:] == GOES_ON else b">")
+    found = [zlib.crc32(raw[i : i + n], n) % BUCKETS for n in GRAMS for i in range(max(0, known - n + 1), len(raw) - n + 1)]
+    found.append(zlib.crc32(b"<" + own + b">") % BUCKETS)
     return found
 
 
@@ -141,18 +158,18 @@ def calibrate(model: Model, rows: list[tuple[list[str], int]]) -> None:
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learns from text and lang of the folds 1 to 4. The sample has about `sample_rows` whole texts: each
-    language's rows are thinned by a hash of their id to an even share of it."""
+    language's rows are thinned by a hash of their id to an even share of it. Every language is learned."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of(F.col("doc_id")) != 0))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return train([], [])
-    each = sample_rows / len(counts)
+    each = max(LEAST_EACH, sample_rows / len(counts))
     shares = spark.createDataFrame([(r["lang"], min(1.0, each / r["count"])) for r in counts], "lang string, share double")
     wide = 1 << 30
     by = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(wide))
-    sample = rows.join(F.broadcast(shares), "lang").where(by < F.col("share") * wide).withColumn("by", by).orderBy("by", "doc_id").limit(2 * sample_rows).collect()
+    sample = rows.join(F.broadcast(shares), "lang").where(by < F.col("share") * wide).withColumn("by", by).orderBy("by", "doc_id").limit(2 * round(each * len(counts))).collect()
     return train([r["text"] for r in sample], [r["lang"] for r in sample])
 
 

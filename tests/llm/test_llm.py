@@ -76,6 +76,28 @@ def test_language_accuracy_on_held_out_rows(spark, sf_dir):
     assert hits > 0.97
 
 
+def test_all_of_a_long_word_is_scored():
+    rng = random.Random(4)
+    for letters in ("abcdefgh", "天地玄黃宇宙洪荒", "aé天\U00020000"):
+        for size in (1, 12, 40, 41, 80, 123):
+            word = "".join(rng.choices(letters, k=size))
+            raw = b"<" + word.encode() + b">"
+            grams = collections.Counter(zlib.crc32(raw[i : i + n], n) % language_id.BUCKETS for n in language_id.GRAMS for i in range(len(raw) - n + 1))
+            parts = language_id.words_of(word)
+            got = collections.Counter(b for p in parts for b in language_id.subwords(p))
+            got.subtract(grams)
+            assert min(got.values()) >= 0 and sum(got.values()) == len(parts) == -(-size // language_id.PIECE)
+    # Two languages that differ only behind the same 45 letters.
+    texts = ["q" * 45 + "".join(rng.choices("abcd" if i % 2 else "wxyz", k=60)) for i in range(120)]
+    model = language_id.train(texts[:100], [["w", "a"][i % 2] for i in range(100)])
+    assert language_id.Scorer(model)(texts[100:])[0] == ["w", "a"] * 10
+
+
+def test_rare_languages_are_learned(spark):
+    docs = spark.createDataFrame([(i, "some words of a text", f"l{i % 230}", "s", 1) for i in range(1150)], SCHEMA)
+    assert len(language_id.fit(docs, 460).languages) == 230
+
+
 def brute_suffix(rows, length=50):
     seen = {}
     for i, t in rows:
