@@ -6,7 +6,7 @@ Text inserted in front of a passage moves its bytes but not its borders, so equa
 the first border. Each chunk is known by its digest; the document with the smallest doc_id that holds it owns it.
 
 A chunk is repeated in a document if a document with a smaller doc_id owns it. Runs of repeated chunks of at least SPAN bytes
-are removed; shorter ones are chance. Digests are grouped with partial aggregates within tasks, so a chunk that a third of
+are removed, and runs of any length that are a whole document; other short ones are chance. Digests are grouped with partial aggregates within tasks, so a chunk that a third of
 all documents share costs a row per task. Documents meet their repeated chunks by id, never each other.
 
 Null text counts as empty and keeps nothing. Rows with a null id own nothing and lose nothing. Repeated rows of one id are
@@ -91,15 +91,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return again.groupBy("doc_id", "row_key").agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias("chunks"))
 
 
-def spans_of(chunks: list[tuple[int, int]], span: int = SPAN) -> list[tuple[int, int]]:
-    """Joins neighbouring chunks and keeps the runs of at least `span` bytes."""
+def spans_of(chunks: list[tuple[int, int]], span: int = SPAN, whole: int = -1) -> list[tuple[int, int]]:
+    """Joins neighbouring chunks and keeps the runs of at least `span` bytes, or of all `whole` bytes of the text."""
     runs: list[list[int]] = []
     for start, size in chunks:
         if runs and runs[-1][1] == start:
             runs[-1][1] += size
         else:
             runs.append([start, start + size])
-    return [(a, b) for a, b in runs if b - a >= span]
+    return [(a, b) for a, b in runs if b - a >= span or b - a == whole]
 
 
 def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
@@ -111,7 +111,7 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for raw, chunks in zip(batch.column("raw").to_pylist(), batch.column("chunks").to_pylist(), strict=True):
-                spans = spans_of([(c["start"], c["size"]) for c in chunks or []])
+                spans = spans_of([(c["start"], c["size"]) for c in chunks or []], whole=len(raw))
                 kept, at = [], 0
                 for a, b in spans:
                     kept.append(raw[at:a])

@@ -178,6 +178,12 @@ def test_substring_dedup(spark, docs, empty):
     assert kept[1].n_removed == 0 and kept[2].n_removed > 200 and kept[2].kept_text.startswith("another beginning")
 
 
+def test_short_copies_of_whole_texts_go(spark):
+    texts = ["x", "a short line", "one that is longer than a chunk but has fewer bytes than a span", "a short line and its own end"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts[:3] + texts)], SCHEMA)
+    assert {r.doc_id: (r.n_bytes, r.n_removed) for r in substring_dedup.dedup(docs).collect()} == {i: (len(t), len(t) if 3 <= i < 6 else 0) for i, t in enumerate(texts[:3] + texts)}
+
+
 def test_chunks_cover_the_text_and_resist_shifts():
     rng = random.Random(2)
     raw = bytes(rng.choices(b"abcdefghij klmnop", k=20_000))
