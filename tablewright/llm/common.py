@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 from collections.abc import Callable, Iterator
@@ -27,11 +28,19 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder that the session names."""
-    spark = df.sparkSession
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and tables between stages. Only a session without executors of its own may go without one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def fold_of(doc_id: Column) -> Column:
@@ -44,12 +53,6 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold_of(doc_id) == 0, F.lit(False))
 
 
-def hashed_sample(df: DataFrame, rows: int, by: Column | None = None) -> DataFrame:
-    """At most `rows` rows, chosen by a hash of doc_id: the same rows however the table is partitioned."""
-    by = F.xxhash64(F.col("doc_id")) if by is None else by
-    return df.orderBy(by, F.col("doc_id")).limit(rows)
-
-
 class Numbering(dict):
     """Numbers words in the order in which they are first asked for; `new` lists those not yet worked on."""
 

@@ -9,17 +9,19 @@ lanes of two signatures, counted by bit operations, give the similarity after th
 off. Pairs that the estimate puts five standard deviations below the threshold are dropped; every other pair
 is confirmed on the full sets.
 
-A bucket may hold a third of all documents, so its pairs are never listed. Star rounds come first: each member of a bucket is
-held against one member that speaks for the bucket (the smallest first, then another one in each round), and each takes its best estimates to the
-exact check, so a round confirms at most STAR_CHECKS pairs a document. What is confirmed is contracted. Then the members of one bucket that
-are still in different components meet in blocks of bounded size, where signatures and full sets are compared and only confirmed links
-leave. No pair of different components that shares a bucket is left unseen.
-
-Components come from large-star and small-star steps on the links; neither links nor components pass through the driver.
-
-Null and empty texts, and texts without a word, have no shingle and stand alone. Repeated rows of one id are one document
-with as many rows; if their texts differ, the id's links are those of all its texts. A row with a null id stands alone:
-n_shingles is counted, component_id is null and it is kept.
+A bucket may hold a third of all documents, so its pairs are never listed. Each member of a bucket is first held against the few members
+that speak for the bucket (HUBS of them), and each takes its STAR_CHECKS best estimates to the exact check. What is confirmed is
+contracted. Then members of one bucket that are still in different components meet in blocks of bounded size: first by signature alone, which leaves
+the members that have a likely partner, then these with their full sets, and only confirmed links leave. No pair of different components that
+shares a bucket is left unseen. The blocks of a bucket grow with the square of the components that are left in it.
+
+Components come from large-star and small-star steps on the links between classes, after each partition has contracted its own links; neither
+links nor components pass through the driver. Copies never stand in a link: they take the component of their class.
+
+Null and empty texts, and texts without a word, have no shingle and stand alone. Very long texts are read whole, one at a time. Repeated
+rows of one id are one document with as many rows; if their texts differ, the id's links are those of all its texts. A row with a null id
+stands alone: n_shingles is counted, component_id is null and it is kept. Ties (equal estimates) go to the smaller id. An empty table gives
+no row. Other columns of the caller are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,12 +39,14 @@ from tablewright.llm.common import checkpointed, map_batches, table
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS, BITS = 32, 4, 4
 HASHES = BANDS * ROWS
-#: Rounds of stars, pairs of a node that a round confirms at most, and pairs whose ids may be broadcast.
-STAR_ROUNDS, STAR_CHECKS, BROADCAST_PAIRS = 3, 2, 200_000
+#: Members that speak for a bucket: the smallest, the largest, and the smallest after these bits are flipped.
+FLIPS = (0x5A5A5A5A5A5A5A5A, 0x3C96A5F00F5A693C)
+#: Pairs of a node that the star round confirms at most, and pairs whose ids may be broadcast.
+STAR_CHECKS, BROADCAST_PAIRS = 4, 200_000
 #: Links in a partition of the component steps.
 LINKS_IN_PART = 200_000
-#: Shingles in a block of a bucket.
-BLOCK_SHINGLES = 150_000
+#: Shingles in a block of a bucket that is compared by full sets, and members in one that is compared by signature.
+BLOCK_SHINGLES, BLOCK_MEMBERS = 150_000, 1_500
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _RNG = np.random.default_rng(20240301)
 FACTOR = (_RNG.integers(0, 1 << 31, HASHES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
@@ -50,6 +54,9 @@ OFFSET = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 #: Lanes that two sets of the threshold similarity agree on, less five standard deviations.
 AGREE = PERCENT / 100 + (1 - PERCENT / 100) / 2**BITS
 LEAST_LANES = int(HASHES * AGREE - 5 * (HASHES * AGREE * (1 - AGREE)) ** 0.5)
+CHANCE = 2.0**-BITS
+#: The similarity that so many lanes stand for; the small term keeps rounding harmless.
+LEAST_ESTIMATE = (LEAST_LANES / HASHES - CHANCE) / (1 - CHANCE) - 1e-9
 
 
 def shingles(raw: bytes | None) -> np.ndarray:
@@ -115,14 +122,12 @@ def lanes_apart(a: str, b: str) -> Column:
 
 def similarity_estimate(apart: Column) -> Column:
     """The similarity that so many differing lanes stand for, corrected for chance agreement."""
-    agree = 1 - apart / F.lit(float(HASHES))
-    chance = 2.0**-BITS
-    return F.greatest(F.lit(0.0), (agree - chance) / (1 - chance))
+    return F.greatest(F.lit(0.0), (1 - apart / F.lit(float(HASHES)) - CHANCE) / (1 - CHANCE))
 
 
-def likely(apart: Column, n_a: str, n_b: str) -> Column:
+def likely(estimate: Column, n_a: str, n_b: str) -> Column:
     """The sizes allow the similarity, and the estimate does not rule it out."""
-    return (F.lit(100) * F.least(n_a, n_b) >= F.lit(PERCENT) * F.greatest(n_a, n_b)) & (apart <= HASHES - LEAST_LANES)
+    return (F.lit(100) * F.least(n_a, n_b) >= F.lit(PERCENT) * F.greatest(n_a, n_b)) & (estimate >= LEAST_ESTIMATE)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -147,13 +152,36 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_batches(both, check, "a long, b long").distinct()
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """Links (u, v) with the same components: within each partition, every node is linked to the smallest one that its links reach."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (p := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[p]
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x, y = root(u), root(v)
+                parent[max(x, y)] = min(x, y)
+        ends = [(x, root(x)) for x in parent]
+        u, v = [x for x, y in ends if x != y], [y for x, y in ends if x != y]
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    return map_batches(links.select("u", "v"), run, "u long, v long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component: the smallest node of each connected component of links (a, b), by large-star and small-star steps."""
-    edges = checkpointed(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    # Few links need few tasks; every task of a round writes files of its own.
-    parts = edges.count() // LINKS_IN_PART + 4
-    edges = edges.coalesce(parts)
-    before = None
+    links = checkpointed(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"))
+    # Few links need few tasks; a task keeps the ends of its own links in memory.
+    parts = links.count() // LINKS_IN_PART + 1
+    edges = checkpointed(contracted(links.coalesce(parts)))
+    state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    before = state(edges)
     while True:
         # Large star: every larger neighbour of u is linked to the smallest in u's neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -165,74 +193,85 @@ def components(links: DataFrame) -> DataFrame:
         edges = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         edges = checkpointed(edges.coalesce(parts))
         # Both steps only lower the ends of links, so equal sums mean equal links.
-        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == before:
+        after = state(edges)
+        if after == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = state
+        before = after
 
 
-def near_links(rows: DataFrame, texts: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def near_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """Confirmed links between classes. `rows`: doc_id, n_shingles, bands, signature of one document of each class."""
     cards = rows.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.col("signature").alias("sig"))
     spread = rows.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("bucket")
-    members = checkpointed(spread.join(shared, "bucket"))
+    flipped = [F.min(F.col("node").bitwiseXOR(F.lit(bits))).bitwiseXOR(F.lit(bits)).alias(f"flip{k}") for k, bits in enumerate(FLIPS)]
+    shared = spread.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), *flipped).where("low < high")
+    hubs = F.array("low", "high", *[f"flip{k}" for k in range(len(FLIPS))])
+    members = checkpointed(spread.join(shared.select("bucket", F.array_distinct(hubs).alias("hubs")), "bucket"))
     company = members.select(F.col("node").alias("doc_id")).distinct()
     cards = checkpointed(cards.join(company.withColumnRenamed("doc_id", "node"), "node"))
-    texts = checkpointed(texts.join(company, "doc_id"))
-    links, comps = None, None
-    for round_ in range(star_rounds + 1):
-        named = members.withColumn("comp", F.col("node")) if comps is None else members.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        # Buckets whose members are all of one component have nothing left to say.
-        ends = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
-        open_ = named.join(ends, "bucket")
-        if round_ < star_rounds:
-            # One member speaks for the bucket: the smallest one first, then another one in each round.
-            by = F.col("node") if round_ == 0 else F.xxhash64("node", F.lit(round_))
-            hubs = open_.groupBy("bucket").agg(F.min(F.struct(by.alias("by"), "node", "comp")).alias("h")).select("bucket", F.col("h.node").alias("hub"), F.col("h.comp").alias("hub_comp"))
-            pairs = open_.join(hubs, "bucket").where("comp <> hub_comp").select("node", "hub").distinct()
-            full = pairs.join(cards.select("node", F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "node").join(cards.select(F.col("node").alias("hub"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "hub")
-            full = full.withColumn("apart", lanes_apart("sig_a", "sig_b")).where(likely(F.col("apart"), "n_a", "n_b"))
-            # A node has no more hubs than bands, so its window is short.
-            place = F.row_number().over(Window.partitionBy("node").orderBy("apart", "hub"))
-            found = full.withColumn("place", place).where(F.col("place") <= STAR_CHECKS).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-            found = checkpointed(found)
-            size = found.count()
-            if not size:
-                continue
-            new = checkpointed(confirmed(found, few_texts(texts, found, size)))
-            links = new if links is None else links.unionByName(new)
-            comps = components(links)
-        else:
-            last = checkpointed(links_in_blocks(open_.select("bucket", "node", "comp"), cards, texts))
-            links = last if links is None else links.unionByName(last)
-    return links
+    pairs = members.select("node", F.explode("hubs").alias("hub")).where("node <> hub").distinct()
+    full = pairs.join(cards.select("node", F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "node").join(cards.select(F.col("node").alias("hub"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "hub")
+    full = full.withColumn("estimate", similarity_estimate(lanes_apart("sig_a", "sig_b"))).where(likely(F.col("estimate"), "n_a", "n_b")).select("node", "hub", "estimate")
+    # A node has no more hubs than four for each band, so its window is short.
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("estimate"), "hub"))
+    found = checkpointed(full.withColumn("place", place).where(F.col("place") <= STAR_CHECKS).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    links = checkpointed(confirmed(found, few_texts(texts, found, found.count())))
+    named = members.select("bucket", "node").join(components(links), "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("comp"))
+    # Buckets whose members are all of one component have nothing left to say.
+    ends = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high").select("bucket", "size")
+    return links.unionByName(links_in_blocks(named.join(ends, "bucket"), cards, texts))
+
+
+def met_in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+    """Deals each bucket's rows to its `blocks`, and gives each row to every pair (i, j) of blocks that its own is in."""
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit(99)), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+
+
+def sketched(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """comp, n, own and signatures of a group."""
+    comp, n, own = (group.column(c).to_numpy() for c in ("comp", "n", "own"))
+    sig = group.column("sig").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(comp), -1)
+    return comp, n, own, sig
+
+
+def partners(r: int, comp: np.ndarray, n: np.ndarray, own: np.ndarray, sig: np.ndarray, cross: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows behind r that are likely partners of r in another component, and in how many lanes each row behind r differs."""
+    x = sig[r + 1 :] ^ sig[r]
+    x |= x >> np.uint64(1)
+    x |= x >> np.uint64(2)
+    apart = np.bitwise_count(x & np.uint64(sum(1 << k for k in range(0, 64, BITS)))).sum(axis=1)
+    near = (apart <= HASHES - LEAST_LANES) & (100 * np.minimum(n[r], n[r + 1 :]) >= PERCENT * np.maximum(n[r], n[r + 1 :])) & (comp[r + 1 :] != comp[r])
+    return (near & (own[r + 1 :] != own[r]) if cross else near), apart
 
 
 def links_in_blocks(rows: DataFrame, cards: DataFrame, texts: DataFrame) -> DataFrame:
-    """Confirmed links between members (bucket, node, comp) of one bucket that are in different components.
-
-    A semi-join keeps members that the estimate allows a partner; it lists no pair. What is left of a bucket is cut into blocks of about
-    BLOCK_SHINGLES shingles, and each two blocks meet in a group of bounded size, where pairs are held against each other by signature
-    and, if that allows it, by their full sets, until their components have met."""
-    full = rows.join(cards, "node")
-    one, two = (full.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "comp", "n", "sig"))) for s in "ab")
-    cond = (one["bucket"] == two["bucket"]) & (F.col("comp_a") != F.col("comp_b")) & likely(lanes_apart("sig_a", "sig_b"), "n_a", "n_b")
-    live = checkpointed(one.join(two, cond, "left_semi").select("bucket", F.col("node_a").alias("node"), F.col("comp_a").alias("comp"), F.col("n_a").alias("n"), F.col("sig_a").alias("sig")))
+    """Confirmed links between members (bucket, node, comp, size) of one bucket that are in different components."""
+
+    def look(group: pa.Table) -> pa.Table:
+        comp, n, own, sig = sketched(group)
+        cross = group.column("i")[0].as_py() != group.column("j")[0].as_py()
+        live = np.zeros(len(comp), bool)
+        for r in range(len(comp) - 1):
+            near, _ = partners(r, comp, n, own, sig, cross)
+            live[r] |= near.any()
+            live[r + 1 :] |= near
+        return group.select(["bucket", "node", "comp", "n", "sig"]).filter(pa.array(live))
+
+    full = met_in_blocks(rows.join(cards, "node"), (F.col("size") / BLOCK_MEMBERS).cast("int") + 1)
+    kind = "bucket long, node long, comp long, n long, sig array<long>"
+    live = checkpointed(full.select("bucket", "node", "comp", "n", "sig", "own", "i", "j").groupBy("bucket", "i", "j").applyInArrow(look, kind).dropDuplicates(["bucket", "node"]))
     nodes = live.select("node").distinct()
     size = nodes.count()
     ids = nodes.withColumnRenamed("node", "doc_id")
     held = texts.join(F.broadcast(ids) if size <= BROADCAST_PAIRS else ids, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "raw")
     blocks = live.groupBy("bucket").agg((F.floor(F.sum("n") / BLOCK_SHINGLES) + 1).cast("int").alias("blocks"))
-    dealt = live.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("node", F.lit(99)), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    met = dealt.select("bucket", "node", "comp", "n", "sig", "own", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).join(held, "node")
+    met = met_in_blocks(live.join(blocks, "bucket"), F.col("blocks")).join(held, "node").select("bucket", "node", "comp", "n", "sig", "own", "i", "j", "raw")
 
     def check(group: pa.Table) -> pa.Table:
-        node, comp, n = (np.array(group.column(c).to_pylist(), np.int64) for c in ("node", "comp", "n"))
-        own, i, j = (np.array(group.column(c).to_pylist(), np.int64) for c in ("own", "i", "j"))
-        sig = np.array(group.column("sig").to_pylist(), np.int64).view(np.uint64).reshape(len(node), -1)
-        raw = group.column("raw").to_pylist()
+        node, raw = group.column("node").to_pylist(), group.column("raw").to_pylist()
+        comp, n, own, sig = sketched(group)
+        cross = group.column("i")[0].as_py() != group.column("j")[0].as_py()
         sets: dict[int, np.ndarray] = {}
         parent: dict[int, int] = {}
 
@@ -241,16 +280,9 @@ def links_in_blocks(rows: DataFrame, cards: DataFrame, texts: DataFrame) -> Data
                 c = p
             return c
 
-        lane = np.uint64(sum(1 << k for k in range(0, 64, BITS)))
         out_a, out_b = [], []
         for r in range(len(node) - 1):
-            x = sig[r + 1 :] ^ sig[r]
-            x |= x >> np.uint64(1)
-            x |= x >> np.uint64(2)
-            apart = np.bitwise_count(x & lane).sum(axis=1)
-            near = (apart <= HASHES - LEAST_LANES) & (100 * np.minimum(n[r], n[r + 1 :]) >= PERCENT * np.maximum(n[r], n[r + 1 :])) & (comp[r + 1 :] != comp[r])
-            if i[0] != j[0]:
-                near &= own[r + 1 :] != own[r]
+            near, apart = partners(r, comp, n, own, sig, cross)
             for q in r + 1 + np.flatnonzero(near)[np.argsort(apart[near], kind="stable")]:
                 a, b = root(int(comp[r])), root(int(comp[q]))
                 if a == b:
@@ -261,8 +293,8 @@ def links_in_blocks(rows: DataFrame, cards: DataFrame, texts: DataFrame) -> Data
                 common = len(np.intersect1d(sets[r], sets[int(q)], assume_unique=True))
                 if common and 100 * common >= PERCENT * (len(sets[r]) + len(sets[int(q)]) - common):
                     parent[max(a, b)] = min(a, b)
-                    out_a.append(int(node[r]))
-                    out_b.append(int(node[q]))
+                    out_a.append(node[r])
+                    out_b.append(node[q])
         return pa.table([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
     return met.groupBy("bucket", "i", "j").applyInArrow(check, "a long, b long").distinct()
@@ -281,14 +313,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = checkpointed(sketches(docs))
     known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = known.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    copies = known.select("doc_id", "digest").join(classes, "digest")
-    firsts = known.join(classes.withColumnRenamed("first", "doc_id"), ["digest", "doc_id"]).dropDuplicates(["digest", "doc_id"])
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("raw"))
-    links = near_links(firsts, texts)
-    same = copies.where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    found = components(links.unionByName(same)).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
-    out = rows.select("doc_id", "n_shingles").join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    classes = checkpointed(known.groupBy("digest").agg(F.min("doc_id").alias("first")))
+    firsts = checkpointed(known.join(classes.withColumnRenamed("first", "doc_id"), ["digest", "doc_id"]).dropDuplicates(["digest"]).drop("digest"))
+    links = near_links(firsts, docs.select("doc_id", F.col("text").cast("binary").alias("raw")))
+    # An id whose rows have different texts ties their classes together.
+    several = known.groupBy("doc_id").agg(F.min("digest").alias("one"), F.max("digest").alias("other")).where("one <> other").select("doc_id")
+    tied = known.join(several, "doc_id").join(classes, "digest").select("doc_id", "first")
+    tied = tied.join(tied.groupBy("doc_id").agg(F.min("first").alias("least")), "doc_id").select(F.col("first").alias("a"), F.col("least").alias("b"))
+    found = classes.join(components(links.unionByName(tied)), F.col("first") == F.col("node"), "left").select("digest", F.coalesce("component", "first").alias("of_class"))
+    out = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(found, "digest", "left")
+    # Where no class is found, the text has no shingle; another row of the id may have some.
+    bare = known.select("doc_id", "digest").join(rows.where("doc_id IS NOT NULL AND n_shingles = 0").select("doc_id").distinct(), "doc_id").join(found, "digest").groupBy("doc_id").agg(F.min("of_class").alias("of_id"))
+    out = out.join(bare, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("of_class", "of_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -297,6 +333,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group; of repeated rows of that id, one."""
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps the document of the smallest id of each group; of repeated rows of that id, the one of the smallest text. Rows with a null id stay."""
+    verdict = checkpointed(near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("rows")))
+    once = docs.join(verdict.where("NOT kept OR rows > 1"), "doc_id", "left_anti")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    again = docs.join(verdict.where("kept AND rows > 1").select(F.col("doc_id")), "doc_id", "left_semi").withColumn("_place", place).where("_place = 1")
+    return once.select(*docs.columns).unionByName(again.select(*docs.columns))
