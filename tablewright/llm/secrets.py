@@ -1,47 +1,52 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least SHORTEST letters, digits and the marks that keys are written with, that has a digit or mixed
-case. The forest looks at its length, the transitions between kinds of characters, how evenly characters are spread, how much of
-it dictionary words cover, how much it looks like a path or an address, and at the words next to it. It is trained in numpy
-on labelled findings (left context, candidate, right context, is_secret): any table of findings can be given; without one,
-findings are made from public key formats and from usual false positives (addresses, paths, identifiers, checksums, numbers,
-versions), set between words of a bounded sample of the documents. The dictionary comes from the same sample.
+A candidate is a run of at least SHORTEST letters, digits and the marks that keys are written with, unless it is a plain word; or a value of
+any characters behind a key word and `=` or `:`; or the password of an address (`user:value@host`). The forest looks at its length, the
+transitions between kinds of characters, how evenly characters are spread, how much of it dictionary words cover, how much it looks like a path or
+an address, and at the words next to it, which count by how often they stand before secrets among the findings.
+
+It is trained in numpy on labelled findings (text before, candidate, text after, is_secret): those of findings.tsv, which states the source of each,
+or any others that are given. Fold 0 (crc32 of the candidate, modulo 5) is kept from training, and `held_out_quality` gives precision and recall on it.
+The dictionary is counted over all documents; the DICTIONARY words that most documents hold are kept.
 
 `scan` finds the spans, `redact` replaces them. Spans are in characters, from 0, end excluded.
 
-Null and empty texts have no candidate. Repeated rows are scanned each; a null id is scanned like any other.
+Null and empty texts have no candidate, an empty table gives no row and an empty dictionary. Very long texts and candidates are read whole. Repeated rows
+are scanned each; a null id is scanned like any other. Where candidates overlap, the value behind a key word counts (ties: the earlier, then the longer). The
+caller's own columns named n_candidates or secrets are replaced, all others stay.
 """
 
 from __future__ import annotations
 
-import base64
-import hashlib
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import kept_by_worker, map_batches, table
+from tablewright.llm.common import map_batches, table
 
 SHORTEST = 16
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.\-])[A-Za-z0-9+/_.\-]{16,}={0,2}")
+RUN = re.compile(r"(?<![A-Za-z0-9+/_.\-])[A-Za-z0-9+/_.\-]{16,}={0,2}")
+#: Values behind a key word, and passwords in addresses. Group 1, 2 or 3 is the value.
+ASSIGNED = re.compile(
+    r"(?i)(?:password|passwd|passphrase|pwd|secret|token|credentials?|auth|key)[\"']?\s*(?:=>|:=|[:=])\s*(?:\"([^\"\n]{6,})\"|'([^'\n]{6,})'|([^\s\"',;]{6,}))"
+)
+ADDRESS = re.compile(r"://[^\s/:@]+:([^\s/@]{3,})@")
 #: Characters of context on either side.
 CONTEXT = 32
-#: The dictionary and the contexts come from so many documents at most.
-SAMPLE_ROWS = 400
+#: Words of the dictionary, and documents that must hold one at least.
+DICTIONARY, LEAST_DOCUMENTS = 20_000, 2
 TREES, DEPTH, LEAF = 40, 9, 3
 MARK = "<SECRET>"
-#: Words that stand in front of secrets.
-KEY_WORDS = "token secret password passwd pwd apikey api_key key auth bearer credential credentials private access".split()
-#: Words that stand in front of harmless digests and ids.
-HARMLESS_WORDS = "commit sha sha1 sha256 md5 checksum digest revision uuid guid etag isbn order invoice phone tel version build".split()
-LETTER_RUN = re.compile(r"[^\W\d_]{3,}")
+FINDINGS = Path(__file__).with_name("findings.tsv")
+Finding = tuple[str, str, str, bool]
 
 
 def kinds(s: str) -> np.ndarray:
@@ -59,13 +64,16 @@ def covered(s: str, words: frozenset[str]) -> float:
     return float(mask.mean()) if n else 0.0
 
 
-def features(left: str, s: str, right: str, words: frozenset[str]) -> list[float]:
+def neighbours(left: str) -> list[str]:
+    """The last three words before a candidate, cut at case changes and underscores."""
+    return [w.lower() for w in re.findall(r"[^\W\d_]+", left)][-3:]
+
+
+def features(left: str, s: str, right: str, words: frozenset[str], odds: dict[str, float]) -> list[float]:
     k = kinds(s)
     share = np.array(list(Counter(s).values())) / len(s)
-    near = [w.lower() for w in re.findall(r"\w+", left)][-3:]
-    close = left.rstrip(" \"'`")
+    near = [odds.get(w, 0.0) for w in neighbours(left)] or [0.0]
     runs = np.diff(np.flatnonzero(np.r_[True, k[1:] != k[:-1], True]))
-    bare = s.rstrip("=")
     return [
         len(s),
         float((k[1:] != k[:-1]).mean()) if len(s) > 1 else 0.0,
@@ -79,12 +87,12 @@ def features(left: str, s: str, right: str, words: frozenset[str]) -> list[float
         float(s.count(".")),
         float(s.count("-") + s.count("_")),
         float("@" in left[-1:] or "@" in right[:1] or "://" in left[-8:] or left[-1:] == "/"),
-        float(bool(re.fullmatch(r"[0-9a-fA-F]+", bare))),
-        float(any(w in KEY_WORDS or any(w.endswith(x) for x in ("token", "key", "secret", "password")) for w in near)),
-        float(any(w in HARMLESS_WORDS for w in near)),
-        float(close[-1:] in ("=", ":")),
+        float(bool(re.fullmatch(r"[0-9a-fA-F]+=*", s))),
+        max(near),
+        min(near),
+        float(left.rstrip(" \"'`")[-1:] in ("=", ":")),
         float(left[-1:] in "\"'`" and left[-1:] != ""),
-        float(bool(re.match(r"(AKIA|ASIA|ghp_|gho_|xox[abp]-|sk_live_|sk-|eyJ|AIza|glpat-)", s))),
+        float(s[:1] in "<[{$*%" or " " in s),
     ]
 
 
@@ -128,36 +136,65 @@ class Tree:
         return self.at[i]
 
 
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Spans of the candidates, in order and apart."""
+    spans = [next((m.span(g), 0) for g in (1, 2, 3) if m.group(g) is not None) for m in ASSIGNED.finditer(text)] + [(m.span(1), 0) for m in ADDRESS.finditer(text)]
+    for m in RUN.finditer(text):
+        a, b = m.span()
+        s = m.group().rstrip(".-")
+        if len(s) >= SHORTEST and not (s.isalpha() and (s.islower() or s.isupper() or s.istitle())):
+            spans.append(((a, a + len(s)), 1))
+    spans.sort(key=lambda x: (x[1], x[0][0], -x[0][1]))
+    if len(spans) < 2:
+        return [s for s, _ in spans]
+    taken = np.zeros(len(text), bool)
+    out = []
+    for (a, b), _ in spans:
+        if not taken[a:b].any():
+            taken[a:b] = True
+            out.append((a, b))
+    return sorted(out)
+
+
 @dataclass
 class Model:
     trees: list[Tree]
     words: frozenset[str]
+    odds: dict[str, float]
 
     def probability(self, left: str, s: str, right: str) -> float:
-        row = features(left, s, right, self.words)
+        row = features(left, s, right, self.words, self.odds)
         return float(np.mean([t(row) for t in self.trees])) if self.trees else 0.0
 
     def spans(self, text: str | None, threshold: float = 0.5) -> tuple[int, list[tuple[int, int, float]]]:
         """(candidates, (start, end, probability) of the secrets)."""
-        n, found = 0, []
-        for m in CANDIDATE.finditer(text or ""):
-            a, b = m.span()
-            s = text[a:b].rstrip(".-")
-            if len(s) < SHORTEST or (s.isalpha() and (s.islower() or s.isupper() or s.istitle())):
-                continue
-            n += 1
-            b = a + len(s)
-            p = self.probability(text[max(0, a - CONTEXT) : a], s, text[b : b + CONTEXT])
+        found, every = [], candidates(text or "")
+        for a, b in every:
+            p = self.probability(text[max(0, a - CONTEXT) : a], text[a:b], text[b : b + CONTEXT])
             if p >= threshold:
                 found.append((a, b, p))
-        return n, found
+        return len(every), found
+
+
+def read_findings(path: Path = FINDINGS) -> list[Finding]:
+    rows = [line.rstrip("\n").split("\t") for line in path.open(encoding="utf-8") if not line.startswith("#")]
+    return [(left, s, right, label == "1") for _, left, s, right, label in rows]
+
 
+def learned_from(finding: Finding) -> bool:
+    return zlib.crc32(finding[1].encode("utf-8", "surrogatepass")) % 5 != 0
 
-def train(findings: list[tuple[str, str, str, bool]], words: frozenset[str], seed: int = 11) -> Model:
-    """Trees on bootstrap samples of the findings."""
+
+def train(findings: list[Finding], words: frozenset[str], seed: int = 11) -> Model:
+    """Trees on bootstrap samples of the findings that are not held out."""
+    findings = [f for f in findings if learned_from(f)]
     if not findings:
-        return Model([], words)
-    x = np.array([features(a, s, b, words) for a, s, b, _ in findings])
+        return Model([], words, {})
+    seen = [Counter(w for left, *_, y in findings if y == label for w in set(neighbours(left))) for label in (False, True)]
+    total = [sum(1 for f in findings if f[3] == label) for label in (False, True)]
+    # Words that two findings or more have beside them.
+    odds = {w: float(np.log((seen[1][w] + 0.5) / (total[1] + 1)) - np.log((seen[0][w] + 0.5) / (total[0] + 1))) for w in seen[0] | seen[1] if seen[0][w] + seen[1][w] > 1}
+    x = np.array([features(a, s, b, words, odds) for a, s, b, _ in findings])
     y = np.array([float(k) for *_, k in findings])
     rng, trees = np.random.default_rng(seed), []
     for _ in range(TREES):
@@ -165,64 +202,25 @@ def train(findings: list[tuple[str, str, str, bool]], words: frozenset[str], see
         tree = Tree()
         tree.grow(x[rows], y[rows], rng)
         trees.append(tree)
-    return Model(trees, words)
-
-
-def default_findings(texts: list[str], each: int = 60, seed: int = 5) -> list[tuple[str, str, str, bool]]:
-    """Labelled findings made from public formats, set between words of the texts."""
-    rng = np.random.default_rng(seed)
-    pool = [w for t in texts[:200] for w in t.split()[:200]] or ["the", "value", "is", "of", "and"]
-    letters = [w.lower() for t in texts for w in LETTER_RUN.findall(t)[:50]] or ["alpha", "beta", "gamma", "delta", "server", "index"]
-    pick = lambda values, n=1: [values[i] for i in rng.integers(0, len(values), n)]
-    chars = lambda alphabet, n: "".join(pick(alphabet, n))
-    hexes, big, mixed = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    blob = lambda n: base64.b64encode(rng.bytes(n)).decode()
-    case = lambda s: s.upper() if rng.random() < 0.15 else s
-    assign = lambda: pick(['{} = "', "{}=", "{}: ", "{}: '", '"{}": "', "{} "])[0].format(pick(KEY_WORDS)[0])
-    made: list[tuple[str, str, bool]] = []
-    for _ in range(each):
-        n = int(rng.choice([16, 18, 20, 24, 32, 40, 48, 64]))
-        made += [
-            ("", "AKIA" + chars(big + "0189", 16), True),
-            (assign(), chars(hexes, n), True),
-            (assign(), chars(hexes, 40), True),
-            (assign(), chars(hexes, 18), True),
-            (assign(), chars(mixed, int(rng.integers(20, 48))), True),
-            (assign(), blob(int(rng.integers(18, 48))), True),
-            (pick(["", assign()])[0], "ghp_" + chars(mixed, 36), True),
-            (pick(["", assign()])[0], "sk_live_" + chars(mixed, 24), True),
-            (pick(["", "Bearer "])[0], "eyJ" + chars(mixed + "_-", 40) + "." + chars(mixed + "_-", 30), True),
-            (pick(HARMLESS_WORDS)[0] + pick([" ", ": ", "="])[0], chars(hexes, int(rng.choice([32, 40, 64]))), False),
-            ("", hashlib.sha1(rng.bytes(8)).hexdigest(), False),
-            (pick(HARMLESS_WORDS)[0] + " ", "-".join(chars(hexes, k) for k in (8, 4, 4, 4, 12)), False),
-            (pick(letters)[0] + "." + chars("0123456789", 2) + "@", f"mail{rng.integers(0, 9)}.example.com", False),
-            ("", ".".join(pick(letters, 2)) + f".{rng.integers(0, 99)}", False),
-            ("/", "/".join(pick(letters, 4)) + f"/v{rng.integers(0, 9)}.html", False),
-            ("https://", "www." + pick(letters)[0] + ".example.org/" + "/".join(pick(letters, 2)), False),
-            ("", "_".join(pick(letters, 4)) + str(rng.integers(0, 99)), False),
-            ("", "".join(w.title() for w in pick(letters, 4)), False),
-            ("", "-".join(pick(letters, 4)), False),
-            ("", chars("0123456789", int(rng.integers(16, 24))), False),
-            (pick(["", "version "])[0], ".".join(str(v) for v in rng.integers(0, 1000, 5)) + "-rc1", False),
-            ("", f"{rng.integers(2000, 2030)}-0{rng.integers(1, 9)}-{rng.integers(10, 28)}T{rng.integers(10, 23)}.00.00.000Z", False),
-            (assign(), "".join(pick(letters, 4)), False),
-            (assign(), "_".join(pick(letters, 3)) + "_HERE", False),
-        ]
-    out = []
-    for before, s, secret in made:
-        left, right = " ".join(pick(pool, 6)) + " ", pick(['" ', "' ", " ", " "])[0] + " ".join(pick(pool, 6))
-        out.append((case(left + before)[-CONTEXT:], s if before else s, right[:CONTEXT], secret))
-        if secret and s.strip(hexes) == "" and rng.random() < 0.3:
-            out.append(((left + before).upper()[-CONTEXT:], s.upper(), right[:CONTEXT], True))
-    return out
-
-
-def fit(docs: DataFrame, findings: list[tuple[str, str, str, bool]] | None = None, sample_rows: int = SAMPLE_ROWS) -> Model:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    texts = [r["text"] for r in rows.orderBy(F.xxhash64("doc_id", F.lit("secrets")), "doc_id", "text").limit(sample_rows).collect()]
-    seen = Counter(w for t in texts for w in {x.lower() for x in LETTER_RUN.findall(t)} if len(w) > 3)
-    words = frozenset(w for w, n in seen.items() if n > 1)
-    return train(default_findings(texts) if findings is None else findings, words)
+    return Model(trees, words, odds)
+
+
+def held_out_quality(model: Model, findings: list[Finding], threshold: float = 0.5) -> tuple[float, float]:
+    """Precision and recall on the findings that training does not see."""
+    rows = [(model.probability(a, s, b) >= threshold, y) for a, s, b, y in findings if not learned_from((a, s, b, y))]
+    hits = sum(p and y for p, y in rows)
+    return hits / max(1, sum(p for p, _ in rows)), hits / max(1, sum(y for _, y in rows))
+
+
+def dictionary(docs: DataFrame, most: int = DICTIONARY) -> frozenset[str]:
+    """The words of 4 to 12 letters that most documents hold, counted over all documents; at most `most` come to the driver."""
+    word = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"(?<!\p{L})\p{L}{4,12}(?!\p{L})"), F.lit(0)))
+    counts = docs.select(F.explode(word).alias("word")).groupBy("word").count().where(F.col("count") >= LEAST_DOCUMENTS)
+    return frozenset(r["word"] for r in counts.orderBy(F.desc("count"), "word").limit(most).collect())
+
+
+def fit(docs: DataFrame, findings: list[Finding] | None = None) -> Model:
+    return train(read_findings() if findings is None else findings, dictionary(docs))
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:

@@ -391,11 +391,36 @@ def test_secrets(spark, docs, empty):
     assert secrets.scan(docs, model).count() == docs.count() and secrets.scan(empty, secrets.fit(empty)).count() == 0
 
 
-def test_forest_learns_given_findings():
-    found = secrets.default_findings(["the quiet river and the yellow garden"] * 3)
-    model = secrets.train(found, frozenset({"quiet", "river", "yellow", "garden"}))
-    right = sum((model.probability(a, s, b) >= 0.5) == y for a, s, b, y in found)
-    assert right > 0.97 * len(found)
+def test_other_forms_of_secrets():
+    model = secrets.train(secrets.read_findings(), frozenset({"quiet", "river", "house", "config"}))
+    show = lambda t: [t[a:b] for a, b, _ in model.spans(t)[1]]
+    assert show('the password = "h8nter2!x" of the river') == ["h8nter2!x"] and show("postgres://app:Xk2#mQ9$vL@db.example.com/x") == ["Xk2#mQ9$vL"]
+    assert show('the password = "<password>" of') == show("see the monkey: house") == show("a quiet river by the house") == []
+    spans = secrets.candidates("token=abcdefghijklmnopqrstuvwxyz0123456789 key: " + "z9" * 40_000)
+    assert [b - a for a, b in spans] == [36, 80_000]
+
+
+def test_forest_on_findings_it_has_not_seen():
+    findings = secrets.read_findings()
+    precision, recall = secrets.held_out_quality(secrets.train(findings, frozenset()), findings)
+    assert precision > 0.9 and recall > 0.9
+    assert secrets.train([], frozenset()).spans("token = 0123456789abcdef0123456789abcdef")[1] == []
+
+
+def test_dictionary_counts_all_documents(spark, docs, plain, empty):
+    seen = collections.Counter(w for _, t in plain for w in {x for x in re.findall(r"[^\W\d_]+", (t or "").lower()) if 4 <= len(x) <= 12})
+    assert secrets.dictionary(docs) == {w for w, n in seen.items() if n > 1} and secrets.dictionary(empty) == frozenset()
+    assert secrets.dictionary(docs, 3) == set(sorted((w for w, n in seen.items() if n > 1), key=lambda w: (-seen[w], w))[:3])
+
+
+def test_tokens_of_the_test_table_are_found(spark, sf_dir):
+    """Against a plain version: the documents' secrets are 40 hex digits behind `token = `."""
+    path = sf_dir.replace("0.001", "0.01")
+    got = {r.doc_id: sorted((x.start, x.end) for x in r.secrets) for r in secrets.query(spark, path).collect()}
+    rows = spark.read.parquet(path + "/documents.parquet").select("doc_id", "text").collect()
+    want = {r.doc_id: sorted(m.span(1) for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r.text or "")) for r in rows}
+    hits = sum(len(set(got[i]) & set(want[i])) for i in want)
+    assert got.keys() == want.keys() and hits == sum(map(len, want.values())) > 5 and sum(map(len, got.values())) <= hits + 1
 
 
 def test_pipeline_stages(spark, docs, sf_dir):
