@@ -6,18 +6,21 @@ marks at both ends, and is scaled by its length. Because spans are bounded, a wo
 hashed and weighted; the kernel of two words is the product of their lists.
 
 Landmarks are words of the labelled sample. The kernel against them, multiplied by the inverse root of their own
-kernel matrix, is the Nyström map, in which a linear machine with squared hinge loss is trained. Only documents
-are labelled, so the machine is trained in rounds (each sentence inherits its document's label): first on words
-that stand mostly in toxic documents, then on the word of each toxic document that scores highest, always against
-the words of the clean ones. Landmarks, map and machine multiply to one weight for each hashed subsequence, so
-a word's score is a sum of weights. Letters written apart (`i d i o t`) are read as a word.
-
-A document is described by its highest word score and the number of words that score above zero; a logistic fit
+kernel matrix, is the Nyström map, in which a linear machine with squared hinge loss is trained. Its rows are labelled
+sentences: each sentence inherits its document's label and stands for the word in it that tells most. Not every sentence of a
+toxic document is toxic, so in each round its witnesses are the sentence that tells most and those whose word has clear odds; all
+sentences of clean documents count as clean. What tells most is read from the odds of words in the first round and
+from the machine of the round before in the others. Landmarks, map and machine multiply to one weight for each hashed
+subsequence, so a word's score is a sum of weights, and a sentence's score that of its best word. Letters
+written apart (`i d i o t`) are read as a word.
+
+A document is described by its highest sentence score and the number of its words that score above zero; a logistic fit
 on them, weighted to the shares of the labels in the table, gives the probability.
 
 Null and empty texts have no word; they get the score of a text whose words all score lowest. Null labels, null ids
 and fold 0 are never learned from; of repeated labels of one id the toxic one counts. With one class only, all
-scores are that of a constant. Repeated rows are scored each.
+scores are that of a constant. Repeated rows are scored each; an empty table gives no row. Texts and words of any length are
+read whole. Ties between words go to the first in order. No other column of the caller is read or returned.
 """
 
 from __future__ import annotations
@@ -39,11 +42,14 @@ FEATURES = 1 << 16
 LAMBDA, SPAN = 0.6, 5
 #: Offsets of the second and third letter.
 GAPS = [(1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4)]
-LANDMARKS, TRAINING_WORDS = 240, 8_000
+#: Landmarks, and sentences of clean documents that are trained on (the hardest among them are chosen each round).
+LANDMARKS, CLEAN_SENTENCES, HARD_SENTENCES = 240, 8_000, 2_000
 #: The sample: so many toxic and so many other labelled documents at most.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1200, 2400
 REMEMBERED = 600_000
-ROUNDS = 2
+ROUNDS = 3
+#: Sentences end at these marks before white space, and at line ends.
+SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
 APART = re.compile(r"(?<!\S)(?:[^\W\d_]\s){2,}[^\W\d_](?!\S)")
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 FLOOR = -2.0
@@ -58,6 +64,11 @@ def words_of(text: str | None) -> list[str]:
     return words
 
 
+def sentences_of(text: str | None) -> list[list[str]]:
+    """The distinct words of each sentence, sorted."""
+    return [sorted(set(words)) for part in SENTENCE_END.split(text or "") if (words := words_of(part))]
+
+
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(feature, weight, word) of all subsequences of all words, words in ascending order."""
     marked = ["^" + w.strip(EDGES) + "$" for w in words]
@@ -127,23 +138,36 @@ def logistic(x: np.ndarray, y: np.ndarray, care: np.ndarray, keep: float = 1e-4)
 
 def train(texts: list[str], toxic: list[int], shares: tuple[float, float] = (1.0, 1.0)) -> Model:
     """shares: documents of the table for each sampled one, of label 0 and of label 1."""
-    docs = [sorted(set(words_of(t))) for t in texts]
     y = np.array(toxic, int)
     care = np.array(shares)[y] if len(y) else np.zeros(0)
     if len(set(toxic)) < 2:
         z = -30.0 if not toxic or toxic[0] == 0 else 30.0
         return Model(np.zeros(FEATURES), 0.0, np.array([z, 0.0, 0.0]))
-    inside = [Counter(w for d, k in zip(docs, toxic, strict=True) if k == label for w in d) for label in (0, 1)]
+    numbers = Numbering()
+    sentences: list[np.ndarray] = []  # the numbers of each sentence's words
+    owner = []
+    for k, text in enumerate(texts):
+        own = sentences_of(text)
+        sentences += [np.array(numbers.of(words), int) for words in own]
+        owner += [k] * len(own)
+    names, owner = list(numbers), np.array(owner, int)
+    if not names:
+        return Model(np.zeros(FEATURES), 0.0, logistic(np.column_stack([np.ones(len(y)), np.full(len(y), FLOOR), np.zeros(len(y))]), y, care))
+    edge = np.r_[np.flatnonzero(np.diff(owner, prepend=-1)), len(owner)]
+    docs: list[np.ndarray] = [np.zeros(0, int)] * len(texts)
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        docs[owner[a]] = np.unique(np.concatenate(sentences[a:b]))
+    # Documents of each label that hold a word, and how much oftener toxic ones do, with half a document added on either side.
+    inside = [np.bincount(np.concatenate([d for d, k in zip(docs, toxic, strict=True) if k == label]), minlength=len(names)) for label in (0, 1)]
     total = [int((y == 0).sum()), int((y == 1).sum())]
-
-    def odds(w: str) -> float:  # how much oftener in toxic documents, with half a document added on either side
-        return np.log(((inside[1][w] + 0.5) / (total[1] + 1)) / ((inside[0][w] + 0.5) / (total[0] + 1)))
-
-    telling = sorted((w for w, n in inside[1].items() if n >= 2 and odds(w) > 1.5), key=lambda w: (-odds(w) * np.log1p(inside[1][w]), w))
-    spread = sorted(inside[0], key=lambda w: zlib.crc32(w.encode("utf-8", "surrogatepass")))
-    bad = telling[: LANDMARKS * 2]
-    good = spread[:TRAINING_WORDS]
-    marks = bad[: LANDMARKS * 2 // 3] + good[: LANDMARKS - min(len(bad), LANDMARKS * 2 // 3)]
+    odds = np.log((inside[1] + 0.5) / (total[1] + 1)) - np.log((inside[0] + 0.5) / (total[0] + 1))
+    chance = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in names])
+    sure = (inside[1] >= 2) & (odds > 1.5)
+    strong = np.flatnonzero(sure)
+    strong = strong[np.lexsort((chance[strong], -odds[strong] * np.log1p(inside[1][strong])))]
+    others = np.argsort(np.where(inside[0] > 0, chance, np.iinfo(np.int64).max), kind="stable")[: int((inside[0] > 0).sum())]
+    first = strong[: LANDMARKS * 2 // 3]
+    marks = [names[i] for i in np.r_[first, others[: LANDMARKS - len(first)]]]
     # The landmarks' lists as columns, and the inverse root of their kernel matrix.
     lists = np.zeros((FEATURES, len(marks)), np.float32)
     feature, weight, word = subsequences(marks)
@@ -152,30 +176,36 @@ def train(texts: list[str], toxic: list[int], shares: tuple[float, float] = (1.0
     root = vector * (np.where(value > 1e-6 * value[-1], 1 / np.sqrt(np.maximum(value, 1e-12)), 0.0))
     columns = lists @ root.astype(np.float32)
     del lists
-    numbers = Numbering()
-    index = [np.array(numbers.of(d), int) for d in docs]
-    names = list(numbers)
-    seen = np.array([inside[0][w] > 0 for w in names])
-    weights, bias = np.zeros(FEATURES), 0.0
-    x_good = against(good, columns)
+    bad_side = y[owner] == 1
+    clean = np.flatnonzero(~bad_side)
+    spread = clean[np.argsort([zlib.crc32(int(i).to_bytes(8, "little")) for i in clean], kind="stable")]
+    telling, weights, bias = odds, np.zeros(FEATURES), 0.0
     for _ in range(ROUNDS):
-        if not bad:
+        best = np.array([s[telling[s].argmax()] for s in sentences])
+        says = telling[best]
+        # Witnesses: the sentence that tells most of each toxic document, and its others whose word has clear odds.
+        order = np.lexsort((-says, owner))
+        witness = order[np.diff(owner[order], prepend=-1) != 0]
+        witness = witness[bad_side[witness]]
+        witness = np.union1d(witness, np.flatnonzero(bad_side & sure[best]))
+        witness = witness[odds[best[witness]] > 0]
+        if not len(witness) or not len(clean):
             break
-        x = np.concatenate([against(bad, columns), x_good])
-        label = np.r_[np.ones(len(bad)), -np.ones(len(good))]
-        often = np.array([inside[1][w] for w in bad], float)
-        w = support_vectors(x, label, np.r_[often / often.sum(), np.full(len(good), 2 / len(good))])
+        hard = clean[np.argsort(-says[clean], kind="stable")[:HARD_SENTENCES]]
+        calm = spread[: CLEAN_SENTENCES - len(hard)]
+        # A clean sentence stands for its best word, and for one more so that all its words are covered by and by.
+        more = np.array([sentences[i][i % len(sentences[i])] for i in calm], int)
+        positive, often = np.unique(best[witness], return_counts=True)
+        negative = np.unique(np.r_[best[hard], best[calm], more])
+        negative = negative[odds[negative] < 0.5]
+        rows = np.concatenate([against([names[i] for i in part], columns) for part in (positive, negative)])
+        label = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
+        w = support_vectors(rows, label, np.r_[often / often.sum(), np.full(len(negative), 2 / max(1, len(negative)))])
         weights, bias = columns @ w[:-1], float(w[-1])
-        scores = against(names, weights[:, None])[:, 0] + bias
-        # Next round: the words telling by themselves, and each toxic document's best; clean words that score high come in.
-        best = {names[i[scores[i].argmax()]] for i, k in zip(index, toxic, strict=True) if k == 1 and len(i)}
-        bad = sorted({*telling[: LANDMARKS * 2], *(w for w in best if odds(w) > 0)})
-        hard = [names[i] for i in np.argsort(-np.where(seen, scores, -np.inf))[:2000] if seen[i] and odds(names[i]) < 0.5]
-        good = spread[: TRAINING_WORDS - 2000] + hard
-        x_good = against(good, columns)
+        telling = against(names, weights[:, None])[:, 0] + bias
     scores = against(names, weights[:, None])[:, 0] + bias
-    top = np.array([scores[i].max() if len(i) else FLOOR for i in index])
-    above = np.array([(scores[i] > 0).sum() for i in index])
+    top = np.array([scores[i].max() if len(i) else FLOOR for i in docs])
+    above = np.array([(scores[i] > 0).sum() for i in docs])
     x = np.column_stack([np.ones(len(docs)), np.maximum(top, FLOOR), np.log1p(above)])
     return Model(weights, bias, logistic(x, y, care))
 
