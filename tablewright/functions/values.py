@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tablewright.functions.text import fold, similarity
+from tablewright.functions.text import ascii_fold, fold, similarity
 
 
 def mapped(c: Column, values: dict[str, str], otherwise: str | None = None) -> Column:
@@ -42,20 +42,38 @@ def first_match(c: Column, rules: list[tuple[str, str]]) -> Column:
     return out
 
 
+#: Words of employment labels.
+SCHEDULES = [(r"\bfull[ -]?time\b|plny uvazek", "full_time"), (r"\bpart[ -]?time\b|castecny uvazek|zkraceny uvazek", "part_time"), (r"\bshift work\b|smenny provoz", "shift")]
+RELATIONSHIPS = [(r"\bintern(ship)?\b|\btrainee\b|\bstaz\b", "intern"), (r"\bcontractor\b|\bfreelance\b|self.employed|\bico\b", "contractor"), (r"\btemporary\b|docasn", "temporary"), (r"\bemployee\b|\bzamestnanec\b", "employee")]
+DURATIONS = [(r"\bfixed[ -]?term\b|doba urcita", "fixed_term"), (r"\bpermanent\b|indefinite|doba neurcita", "permanent")]
+
+
 def employment_values(c: Column) -> Column:
     """Schedule, relationship and duration that a label states."""
     f = F.replace(fold(c), F.lit("_"), F.lit(" "))
-    return F.struct(
-        first_match(f, [(r"\bfull[ -]?time\b|plny uvazek", "full_time"), (r"\bpart[ -]?time\b|castecny uvazek|zkraceny uvazek", "part_time"), (r"\bshift work\b|smenny provoz", "shift")]).alias("schedule"),
-        first_match(f, [(r"\bintern(ship)?\b|\btrainee\b|\bstaz\b", "intern"), (r"\bcontractor\b|\bfreelance\b|self.employed|\bico\b", "contractor"), (r"\btemporary\b|docasn", "temporary"), (r"\bemployee\b|\bzamestnanec\b", "employee")]).alias("relationship"),
-        first_match(f, [(r"\bfixed[ -]?term\b|doba urcita", "fixed_term"), (r"\bpermanent\b|indefinite|doba neurcita", "permanent")]).alias("duration"),
-    )
+    return F.struct(first_match(f, SCHEDULES).alias("schedule"), first_match(f, RELATIONSHIPS).alias("relationship"), first_match(f, DURATIONS).alias("duration"))
+
+
+#: How each feed says that work is remote (P06). Rules are tried in order; a rule is a pattern and what it means.
+ANYWHERE = [("hybrid", "hybrid"), ("remote", "remote")]
+MODE_RULES: dict[str, list[tuple[str, str]]] = {
+    "smartrecruiters_direct": [("^true$", "remote")],
+    "greenhouse_direct": ANYWHERE,
+    "workable_direct": [*ANYWHERE, ("on.?site|office", "onsite")],
+    "ashby_direct": [("^remote$", "remote"), ("^hybrid$", "hybrid"), ("^on ?site$", "onsite"), ("^true$", "remote")],
+    "lever_direct": [("^on-?site$", "onsite"), ("^remote$", "remote"), ("^hybrid$", "hybrid")],
+    "workday_direct": [("hybrid|partially remote", "hybrid"), ("remote", "remote"), ("^(?:on site|onsite|fully onsite|fully on site|in person)$", "onsite")],
+    "fantastic_jobs_apify": [("^telecommute$", "remote"), *ANYWHERE, ("on-?site", "onsite")],
+}
+#: Feeds whose marks are read as they are written; in other feeds everything but letters and digits is a space.
+AS_WRITTEN = ("lever_direct", "fantastic_jobs_apify")
+GENERAL_MODES = [("hybrid", "hybrid"), (r"remote|home.?office|work from home", "remote"), (r"on.?site|office", "onsite")]
 
 
-def remote_type(c: Column) -> Column:
-    """Hybrid before remote before onsite; anything else is unknown."""
-    f = fold(c)
-    return F.coalesce(first_match(f, [(r"hybrid", "hybrid"), (r"remote|home.?office|work from home", "remote"), (r"on.?site|office", "onsite")]), F.lit("unknown"))
+def remote_type(c: Column, feed: str | None = None) -> Column:
+    """How a feed's own field states the mode of work; without a feed, hybrid before remote before onsite in any text. Else unknown."""
+    f = F.lower(F.trim(c)) if feed in AS_WRITTEN else fold(c) if feed is None else ascii_fold(c, words_only=True)
+    return F.coalesce(first_match(f, MODE_RULES.get(feed, GENERAL_MODES)), F.lit("unknown"))
 
 
 def amount(c: Column) -> Column:
@@ -142,11 +160,14 @@ def native_id(scope: list[Column], own: Column, shape: str) -> Column:
     return F.when(good, F.concat_ws(":", *scope, own))
 
 
-def url_identity(url: Column, hosts: str, path: str, *names: str) -> Column:
-    """A struct of host and the groups of `path`, or null: the scheme must be http(s), without user or port, and the whole
-    path must have the shape. Percent escapes that hide a separator or a step upwards are refused."""
-    host = F.lower(F.regexp_extract(url, r"^https?://([^/?#@:]+)(?=[/?#]|$)", 1))
-    where = F.regexp_extract(url, r"^https?://[^/?#]+([^?#]*)", 1)
+def url_identity(url: Column, hosts: str, path: str, *names: str, schemes: str = "https", ports: tuple[int, ...] = (443,)) -> Column:
+    """A struct of host and the groups of `path`, or null. The scheme must be one of `schemes` (a pattern), the port absent or one of
+    `ports`, there must be no user, and the whole path must have the shape. Percent escapes that hide a separator or a step upwards are refused."""
+    start = rf"^(?:{schemes})://"
+    port = f"(?::(?:{'|'.join(map(str, ports))}))?" if ports else ""
+    url = F.trim(url)
+    host = F.lower(F.regexp_extract(url, rf"{start}([^/?#@:]+){port}(?=[/?#]|$)", 1))
+    where = F.regexp_extract(url, rf"{start}[^/?#]+([^?#]*)", 1)
     good = host.rlike(hosts) & where.rlike(path) & ~where.rlike(r"(?i)%2f|%5c|%2e|\.\.|//")
     groups = [F.regexp_extract(where, path, k + 1).alias(n) for k, n in enumerate(names)]
     return F.when(good, F.struct(host.alias("host"), *groups))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.text import normalize_company, normalize_url, similarity_of, trigrams
+from tablewright.functions.values import location_similarity
+from tablewright.functions.word_similarity import word_similarity
 
 
 def keeper(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -29,17 +31,28 @@ def unique_match(candidates: DataFrame, probe: str, target: str) -> DataFrame:
     return candidates.groupBy(probe).agg(F.when(low == high, low).alias(target), F.coalesce(low != high, F.lit(False)).alias("ambiguous"))
 
 
+def targets_of(held: DataFrame, on: list[str], target: str) -> DataFrame:
+    """The smallest and largest target of each key. Joined in place of the targets themselves, a key that very many targets share costs one row."""
+    return held.groupBy(*on).agg(F.min(target).alias("low"), F.max(target).alias("high"))
+
+
+def evidence_by(batch: DataFrame, probe: str, held: DataFrame, target: str, on: list[str]) -> DataFrame:
+    """Evidence (probe, low, high): what the targets with the probe's key range over."""
+    return batch.select(probe, *on).join(targets_of(held, on, target), on).select(probe, "low", "high")
+
+
 def attach(batch: DataFrame, evidence: list[DataFrame], probe: str, target: str) -> DataFrame:
-    """All evidence (probe, target) is put together before the test for one target."""
-    matched = unique_match(reduce(DataFrame.unionByName, [e.select(probe, target) for e in evidence]), probe, target)
+    """All evidence (probe, low, high) is put together before the test for one target."""
+    every = reduce(DataFrame.unionByName, evidence).groupBy(probe).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    matched = every.select(probe, F.when(F.col("low") == F.col("high"), F.col("low")).alias(target), (F.col("low") != F.col("high")).alias("ambiguous"))
     return batch.join(matched, probe, "left").withColumn("ambiguous", F.coalesce("ambiguous", F.lit(False)))
 
 
 def attach_by_url(batch: DataFrame, probe: str, url: str, sources: DataFrame, target: str, urls: list[str]) -> DataFrame:
     """Equal normalised urls, against any of the target's url columns: a union of equal joins, not an OR."""
     left = batch.select(probe, normalize_url(F.col(url)).alias("_key")).where("_key <> ''")
-    sides = [sources.select(target, normalize_url(F.col(u)).alias("_key")) for u in urls]
-    return attach(batch, [left.join(reduce(DataFrame.unionByName, sides).distinct(), "_key")], probe, target)
+    held = reduce(DataFrame.unionByName, [sources.select(target, normalize_url(F.col(u)).alias("_key")) for u in urls])
+    return attach(batch, [evidence_by(left, probe, held, target, ["_key"])], probe, target)
 
 
 UUID = r"([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"
@@ -48,7 +61,7 @@ UUID = r"([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"
 def attach_by_uuid(batch: DataFrame, probe: str, uuid: str, sources: DataFrame, target: str, url: str) -> DataFrame:
     """The uuid inside the target's url."""
     held = sources.select(target, F.regexp_extract(F.lower(url), UUID, 1).alias("_key")).where("_key <> ''")
-    return attach(batch, [batch.select(probe, F.lower(uuid).alias("_key")).join(held, "_key")], probe, target)
+    return attach(batch, [evidence_by(batch.select(probe, F.lower(uuid).alias("_key")), probe, held, target, ["_key"])], probe, target)
 
 
 def agreed_identity(identities: Column) -> Column:
@@ -60,14 +73,14 @@ def agreed_identity(identities: Column) -> Column:
 def attach_by_identity(batch: DataFrame, probe: str, identity: str, sources: DataFrame, target: str, identities: Column) -> DataFrame:
     """Rows whose urls state one identity; rows whose urls contradict each other take no part."""
     held = sources.select(target, agreed_identity(identities).alias(identity)).where(F.col(identity).isNotNull())
-    return attach(batch, [batch.select(probe, identity).join(held, identity)], probe, target)
+    return attach(batch, [evidence_by(batch, probe, held, target, [identity])], probe, target)
 
 
 def attach_by_host_set(batch: DataFrame, probe: str, own: str, sources: DataFrame, target: str, pairs: str, hosts: list[str]) -> DataFrame:
     """All (host, id) pairs of a row lie in the verified hosts and have one id. `hosts` is a reviewed list."""
     good = (F.size(pairs) > 0) & F.forall(pairs, lambda p: p["host"].isin(*hosts) & (p["id"] == F.col(pairs)[0]["id"]))
     held = sources.where(good).select(target, F.col(pairs)[0]["id"].alias(own))
-    return attach(batch, [batch.select(probe, own).join(held, own)], probe, target)
+    return attach(batch, [evidence_by(batch, probe, held, target, [own])], probe, target)
 
 
 def attach_by_exact_title(batch: DataFrame, jobs: DataFrame, key: list[str], probe: str, target: str, taken: str) -> DataFrame:
@@ -111,9 +124,11 @@ def similar_pairs(df: DataFrame, block: str, id_col: str, text: str, threshold:
     spread = sets.select("block", "text_id", F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(F.broadcast(ranks), "gram")
     order = Window.partitionBy("text_id").orderBy("rank")
     keep = F.col("n") - F.ceil(F.col("n") * threshold) + 1
-    prefix = spread.withColumn("at", F.row_number().over(order)).where(F.col("at") <= keep).select("block", "text_id", "n", "gram")
-    one, two = (prefix.select("block", "gram", F.col("text_id").alias(f"t{s}"), F.col("n").alias(f"n{s}")) for s in "12")
-    close = (F.col("t1") < F.col("t2")) & (F.least("n1", "n2") >= F.greatest("n1", "n2") * threshold)
+    prefix = spread.withColumn("at", F.row_number().over(order)).where(F.col("at") <= keep).select("block", "text_id", "n", "gram", "at")
+    one, two = (prefix.select("block", "gram", F.col("text_id").alias(f"t{s}"), F.col("n").alias(f"n{s}"), F.col("at").alias(f"at{s}")) for s in "12")
+    # From their first shared trigram on, two sets must still have room for the trigrams that the similarity asks for.
+    room = F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2")) + 1
+    close = (F.col("t1") < F.col("t2")) & (F.least("n1", "n2") >= F.greatest("n1", "n2") * threshold) & (room >= (F.col("n1") + F.col("n2")) * (threshold / (1 + threshold)) - 1e-6)
     near = one.join(two, ["block", "gram"]).where(close).select("t1", "t2").distinct()
     held = sets.select("text_id", "grams")
     scored = near.join(held.select(F.col("text_id").alias("t1"), F.col("grams").alias("g1")), "t1").join(held.select(F.col("text_id").alias("t2"), F.col("grams").alias("g2")), "t2")
@@ -131,15 +146,26 @@ def exclude_reviewed(pairs: DataFrame, reviewed: DataFrame) -> DataFrame:
     return keyed.join(done, ["lo", "hi"], "left_anti").drop("lo", "hi")
 
 
-def score_text_pairs(pairs: DataFrame, texts: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Similarity of two texts, worked out once for each distinct pair of texts. Empty gives 0, equal gives 1."""
+def score_text_pairs(pairs: DataFrame, texts: DataFrame, id_col: str, text: str, words: bool = False) -> DataFrame:
+    """Similarity of two texts, worked out once for each distinct pair of texts. Empty gives 0, equal gives 1; with `words` the better one of
+    the texts' similarity and that of the shorter one with any run of words of the longer one (the first of two of one length is the shorter)."""
     keyed = texts.select(F.col(id_col).alias("id"), F.sha2(F.col(text), 256).alias("h"))
     named = pairs.join(keyed.select(F.col("id").alias("a"), F.col("h").alias("ha")), "a").join(keyed.select(F.col("id").alias("b"), F.col("h").alias("hb")), "b")
-    grams = texts.select(F.sha2(F.col(text), 256).alias("h"), F.col(text).alias("t")).dropDuplicates(["h"]).select("h", (F.length("t") == 0).alias("blank"), trigrams(F.col("t")).alias("g"))
+    grams = texts.select(F.sha2(F.col(text), 256).alias("h"), F.col(text).alias("t")).dropDuplicates(["h"]).select("h", "t", trigrams(F.col("t")).alias("g"))
     need = named.select("ha", "hb").distinct()
-    side = lambda s: grams.select(F.col("h").alias(f"h{s}"), F.col("blank").alias(f"blank{s}"), F.col("g").alias(f"g{s}"))
+    kept = ["g", "t"] if words else ["g"]
+    blank = (F.length("t") == 0).alias("blank")
+    side = lambda s: grams.select("h", blank, *kept).select(*[F.col(c).alias(c + s) for c in ("h", "blank", *kept)])
     scored = need.join(side("a"), "ha").join(side("b"), "hb")
-    score = F.when(F.col("blanka") | F.col("blankb"), F.lit(0.0)).when(F.col("ha") == F.col("hb"), F.lit(1.0)).otherwise(similarity_of(F.col("ga"), F.col("gb")))
+    plain = (F.col("blanka") | F.col("blankb"), F.col("ha") == F.col("hb"))
+    score = similarity_of(F.col("ga"), F.col("gb"))
+    if words:
+        first = F.length("ta") <= F.length("tb")
+        asked = ~plain[0] & ~plain[1]
+        short = F.when(asked, F.when(first, F.col("ta")).otherwise(F.col("tb")))
+        scored = scored.withColumn("run", word_similarity(short, F.when(asked, F.when(first, F.col("tb")).otherwise(F.col("ta")))))
+        score = F.greatest(score, F.col("run"))
+    score = F.when(plain[0], F.lit(0.0)).when(plain[1], F.lit(1.0)).otherwise(score)
     return named.join(scored.select("ha", "hb", score.alias("text_similarity")), ["ha", "hb"]).drop("ha", "hb")
 
 
@@ -147,19 +173,24 @@ def contained_in(small: DataFrame, small_id: str, big: DataFrame, big_id: str, t
     """(small id, big id) where the small text, of `min_len` characters or more, stands within the big one.
 
     The words inside the small text (all but its first and last) are whole words of the big one too, so `words` of them from its middle
-    must be a window of the big text's words. Windows are joined by hash, then the whole text is looked for; no pair is made without
-    a shared window. A small text of fewer than `words` + 2 words is not looked for."""
-    s = small.select(F.col(small_id), F.col(text).alias("s")).where(F.length("s") >= min_len)
-    s = s.withColumn("parts", F.split("s", r"\s+")).where(F.size("parts") >= words + 2)
-    middle = F.slice("parts", (F.size("parts") / 2).cast("int") - words // 2 + 1, words)
-    keyed = s.withColumn("w", F.xxhash64(middle)).drop("parts")
-    keys = keyed.select("w").distinct()
-    held = big.select(F.col(big_id), F.col(text).alias("t")).where(F.length("t") >= min_len)
-    split = held.select(big_id, F.split("t", r"\s+").alias("parts")).where(F.size("parts") >= words)
-    windows = F.transform(F.sequence(F.lit(1), F.size("parts") - words + 1), lambda i: F.xxhash64(F.slice("parts", i, F.lit(words))))
-    spread = split.select(big_id, F.explode(F.array_distinct(windows)).alias("w"))
-    near = spread.join(keys, "w", "left_semi").join(keyed, "w")
-    return near.join(held, big_id).where(F.contains("t", "s")).select(small_id, big_id).distinct()
+    must be a window of the big text's words. A small text of fewer than `words` + 2 words has a run, of letters or of white space, of
+    `min_len` / (2 * words + 3) characters or more; that many from the run's start must be a window within a run of the big text. Windows are joined by
+    hash, then the whole text is looked for: no pair is made without a shared window."""
+    s = small.select(F.col(small_id), F.col(text).alias("_s")).where((F.length("_s") >= min_len) & (F.length("_s") > 0)).withColumn("_parts", F.split("_s", r"\s+"))
+    held = big.select(F.col(big_id), F.col(text).alias("_t")).where((F.length("_t") >= min_len) & (F.length("_t") > 0))
+    middle = F.slice("_parts", (F.size("_parts") / 2).cast("int") - words // 2 + 1, words)
+    by_words = s.where(F.size("_parts") >= words + 2).select(small_id, "_s", F.xxhash64(middle).alias("_w"))
+    split = held.select(big_id, F.split("_t", r"\s+").alias("_parts")).where(F.size("_parts") >= words)
+    windows = F.transform(F.sequence(F.lit(1), F.size("_parts") - words + 1), lambda i: F.xxhash64(F.slice("_parts", i, F.lit(words))))
+    word_windows = split.select(big_id, F.explode(F.array_distinct(windows)).alias("_w"))
+    size = max(1, min_len // (2 * words + 3))
+    runs = lambda c: F.regexp_extract_all(c, F.lit(rf"\S{{{size},}}|\s{{{size},}}"), F.lit(0))
+    longest = F.array_max(F.transform(runs("_s"), lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))))["r"]
+    by_run = s.where(F.size("_parts") < words + 2).select(small_id, "_s", F.xxhash64(F.left(longest, F.lit(size))).alias("_w"))
+    inside = F.flatten(F.transform(runs("_t"), lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - size + 1), lambda i: F.xxhash64(F.substring(r, i, F.lit(size))))))
+    run_windows = held.select(big_id, F.explode(F.array_distinct(inside)).alias("_w"))
+    near = [spread.join(keyed.select("_w").distinct(), "_w", "left_semi").join(keyed, "_w").select(small_id, "_s", big_id) for keyed, spread in ((by_words, word_windows), (by_run, run_windows))]
+    return near[0].unionByName(near[1]).join(held, big_id).where(F.contains("_t", "_s")).select(small_id, big_id).distinct()
 
 
 def source_sets(sources: DataFrame, job: str, source: str, supported: list[str]) -> DataFrame:
@@ -199,22 +230,59 @@ def preferred_union(cached: DataFrame, seed: DataFrame, keys: list[str]) -> Data
     return cached.unionByName(seed.join(cached.select(*keys).distinct(), keys, "left_anti"))
 
 
-def duplicate_candidates(jobs: DataFrame, reviewed: DataFrame | None = None, title_min: float = 0.45, location_min: float = 0.20, confidence_min: float = 0.50) -> DataFrame:
-    """Jobs (id, block, title, location, remote, description) to scored candidate pairs.
-
-    Cheap tests go first: block and title, reviewed pairs, location, then the description of what is left."""
-    from tablewright.functions.values import location_similarity
-
-    pairs = similar_pairs(jobs, "block", "id", "title", title_min).withColumnRenamed("similarity", "title_similarity")
+def job_classes(jobs: DataFrame) -> DataFrame:
+    """(id, first): jobs that are equal in all that scoring looks at are one class, known by its smallest id."""
+    looks = ["block", "title", "location", "remote", "description"]
+    keyed = jobs.where("trim(block) <> ''").select("id", F.sha2(F.to_json(F.struct(*looks), {"ignoreNullFields": "false"}), 256).alias("class"))
+    return keyed.join(keyed.groupBy("class").agg(F.min("id").alias("first")), "class").select("id", "first")
+
+
+def duplicate_candidates(
+    jobs: DataFrame,
+    reviewed: DataFrame | None = None,
+    sources: DataFrame | None = None,
+    supported: list[str] | None = None,
+    words: bool = True,
+    title_min: float = 0.45,
+    location_min: float = 0.20,
+    confidence_min: float = 0.50,
+) -> DataFrame:
+    """Jobs (id, block, title, location, remote, description) to scored candidate pairs (a, b), a < b, with `contained` and, if `sources`
+    (job_id, source_name) are given, the source sets of both; then only jobs with a supported source take part.
+
+    Cheap tests go first: block and title, reviewed pairs, location, then the description of what is left. Jobs that are equal in every
+    field are one class: pairs are those of the classes' first jobs, and (first, copy) for each copy; a class is never expanded into all its pairs."""
+    if sources is not None:
+        sets = source_sets(sources, "job_id", "source_name", supported or [])
+        jobs = jobs.join(sets.select(F.col("job_id").alias("id")), "id", "left_semi")
+    classes = job_classes(jobs)
+    firsts = jobs.join(classes.where("id = first").select("id"), "id", "left_semi")
+    pairs = similar_pairs(firsts, "block", "id", "title", title_min).withColumnRenamed("similarity", "title_similarity")
+    pairs = pairs.unionByName(classes.where("id <> first").join(jobs.select("id", "title"), "id").select(F.col("first").alias("a"), F.col("id").alias("b"), F.when(F.size(trigrams(F.col("title"))) > 0, 1.0).otherwise(0.0).alias("title_similarity")).where(F.col("title_similarity") >= title_min))
     if reviewed is not None:
         pairs = exclude_reviewed(pairs, reviewed)
     side = lambda s: jobs.select(F.col("id").alias(s), F.col("location").alias(f"location_{s}"), F.col("remote").alias(f"remote_{s}"))
     placed = pairs.join(side("a"), "a").join(side("b"), "b")
     placed = placed.withColumn("location_similarity", location_similarity(F.col("location_a"), F.col("location_b")))
     placed = placed.where((F.col("location_similarity") >= location_min) | F.coalesce(F.col("remote_a") | F.col("remote_b"), F.lit(False)))
-    scored = score_text_pairs(placed.select("a", "b", "title_similarity", "location_similarity"), jobs.select("id", "description"), "id", "description").withColumnRenamed("text_similarity", "description_similarity")
+    placed = placed.select("a", "b", "title_similarity", "location_similarity")
+    scored = score_text_pairs(placed, jobs.select("id", F.coalesce("description", F.lit("")).alias("description")), "id", "description", words).withColumnRenamed("text_similarity", "description_similarity")
     confidence = F.col("title_similarity") * 0.62 + F.col("location_similarity") * 0.18 + F.col("description_similarity") * 0.20
-    return scored.withColumn("confidence", confidence).where(F.col("confidence") >= confidence_min)
+    good = scored.withColumn("confidence", confidence).where(F.col("confidence") >= confidence_min)
+    text = lambda s: jobs.select(F.col("id").alias(s), F.coalesce("description", F.lit("")).alias(f"d{s}"))
+    within = ((F.length("da") >= 120) & F.contains("db", "da")) | ((F.length("db") >= 120) & F.contains("da", "db"))
+    good = good.join(text("a"), "a").join(text("b"), "b").withColumn("contained", within).drop("da", "db")
+    if sources is not None:
+        names = lambda s: sets.select(F.col("job_id").alias(s), F.col("source_names").alias(f"sources_{s}"))
+        good = good.join(names("a"), "a").join(names("b"), "b")
+    return good
+
+
+def rebuilt_candidates(previous: DataFrame, found: DataFrame) -> DataFrame:
+    """R01's sink: pending rows are made anew, reviewed rows stay as they are; a pair is stored once."""
+    kept = previous.where("status <> 'pending'")
+    new = exclude_reviewed(found, kept).withColumn("status", F.lit("pending"))
+    return kept.unionByName(new, allowMissingColumns=True)
 
 
 def safe_auto_merge(candidates: DataFrame) -> DataFrame:

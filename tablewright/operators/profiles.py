@@ -14,8 +14,8 @@ def build_evidence(matches: DataFrame, key: list[str]) -> DataFrame:
 
 def select_fact(candidates: DataFrame, by: list[str]) -> DataFrame:
     """Candidates (by, value, score, active, evidence_id) to one fact. Disagreement among the best makes a conflict: value null,
-    evidence of all candidates kept in rank order."""
-    rank = F.struct("score", F.col("active").cast("int").alias("active"))
+    evidence of all candidates kept in rank order. Only a source known to be inactive ranks lower; unknown activity counts as active."""
+    rank = F.struct("score", F.coalesce("active", F.lit(True)).cast("int").alias("active"))
     given = candidates.where("value IS NOT NULL").withColumn("rank", rank)
     best = given.groupBy(*by).agg(F.max("rank").alias("best"))
     top = given.join(best, by).where("rank = best").groupBy(*by).agg(F.min("value").alias("low"), F.max("value").alias("high"))
@@ -30,9 +30,9 @@ QUALITY_RANK = {"complete": 4, "short": 2, "snippet": 1, "template": 0, "empty":
 
 def select_description(candidates: DataFrame, by: str) -> DataFrame:
     """Candidates (by, quality, active, native, length, source, id) with their place and whether they are chosen. Templates and empty
-    texts are never chosen."""
+    texts are never chosen. Unknown activity counts as active."""
     quality = F.element_at(F.create_map(*[F.lit(x) for kv in QUALITY_RANK.items() for x in kv]), F.col("quality"))
-    order = [F.desc(quality), F.desc(F.col("active").cast("int")), F.desc("native"), F.desc("length"), F.desc("source"), F.desc("id")]
+    order = [F.desc(quality), F.desc(F.coalesce("active", F.lit(True)).cast("int")), F.desc("native"), F.desc("length"), F.desc("source"), F.desc("id")]
     placed = candidates.withColumn("place", F.row_number().over(Window.partitionBy(by).orderBy(*order)))
     return placed.withColumn("selected", (F.col("place") == 1) & ~F.col("quality").isin("empty", "template"))
 

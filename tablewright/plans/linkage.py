@@ -46,7 +46,7 @@ def j03(spark, d):
 )
 def j04(spark, d):
     o = table(spark, d, "orders")
-    by = lambda *on: o.select(F.col("o_orderkey").alias("probe"), *on).join(o.select(F.col("o_orderkey").alias("target"), *on), list(on))
+    by = lambda *on: L.evidence_by(o.select(F.col("o_orderkey").alias("probe"), *on), "probe", o.select(F.col("o_orderkey").alias("target"), *on), "target", list(on))
     return L.attach(o.select(F.col("o_orderkey").alias("probe")), [by("o_custkey", "o_orderdate"), by("o_totalprice")], "probe", "target").select("probe", "target", "ambiguous")
 
 
@@ -61,22 +61,19 @@ def j05(spark, d):
     return L.attach_by_uuid(p.select(F.col("page_id").alias("probe"), "uuid"), "probe", "uuid", sources, "target", "url").select("probe", "target")
 
 
-@query("j06_attach_by_identity", "SELECT o_orderkey AS probe, CASE WHEN n = 1 THEN t END AS target FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, min(rid) AS t FROM (SELECT l_orderkey, l_partkey AS rid FROM lineitem WHERE l_linenumber = 1 AND l_suppkey % 3 <> 0) GROUP BY 1) k ON o_orderkey = l_orderkey")
+@query("j06_attach_by_identity", "SELECT o_orderkey AS probe, CASE WHEN lo = hi THEN lo END AS target FROM orders LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS lo, max(l_partkey) AS hi FROM lineitem WHERE l_suppkey % 3 <> 0 GROUP BY 1) k ON o_orderkey = l_orderkey")
 def j06(spark, d):
-    li = table(spark, d, "lineitem").where("l_linenumber = 1").select("l_orderkey", "l_suppkey", F.monotonically_increasing_id().alias("rid"), "l_partkey")
     own = F.col("l_orderkey").cast("string")
     second = F.when(F.col("l_suppkey") % 3 == 0, F.lit("other")).when(F.col("l_suppkey") % 3 == 1, own)
-    sources = li.withColumn("target", F.struct("rid", "l_partkey"))
     batch = table(spark, d, "orders").select(F.col("o_orderkey").alias("probe"), F.col("o_orderkey").cast("string").alias("identity"))
-    out = L.attach_by_identity(batch, "probe", "identity", sources, "target", F.array(own, second))
-    return out.select("probe", F.col("target.l_partkey").alias("target"))
+    return L.attach_by_identity(batch, "probe", "identity", table(spark, d, "lineitem").withColumnRenamed("l_partkey", "target"), "target", F.array(own, second)).select("probe", "target")
 
 
-@query("j07_attach_by_host_set", "SELECT o_orderkey AS probe, CASE WHEN n = 1 THEN t END AS target FROM orders LEFT JOIN (SELECT l_orderkey, count(DISTINCT l_suppkey) AS n, min(l_suppkey) AS t FROM lineitem WHERE l_linenumber <= 2 AND l_suppkey % 4 <> 0 GROUP BY 1) k ON o_orderkey = l_orderkey")
+@query("j07_attach_by_host_set", "SELECT o_orderkey AS probe, CASE WHEN lo = hi THEN lo END AS target FROM orders LEFT JOIN (SELECT l_orderkey, min(l_suppkey) AS lo, max(l_suppkey) AS hi FROM lineitem WHERE l_suppkey % 4 <> 0 GROUP BY 1) k ON o_orderkey = l_orderkey")
 def j07(spark, d):
     host = F.when(F.col("l_suppkey") % 4 == 0, F.lit("evil.example")).otherwise(F.lit("b.example"))
     pair = lambda h: F.struct(h.alias("host"), F.col("l_orderkey").alias("id"))
-    sources = table(spark, d, "lineitem").where("l_linenumber <= 2").select(F.col("l_suppkey").alias("target"), F.array(pair(F.lit("a.example")), pair(host)).alias("pairs"))
+    sources = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("target"), F.array(pair(F.lit("a.example")), pair(host)).alias("pairs"))
     batch = table(spark, d, "orders").select(F.col("o_orderkey").alias("probe"), F.col("o_orderkey").alias("own"))
     return L.attach_by_host_set(batch, "probe", "own", sources, "target", "pairs", ["a.example", "b.example"]).select("probe", "target")
 
@@ -88,13 +85,14 @@ def j08(spark, d):
     return L.attach_by_exact_title(batch, jobs, ["p_brand", "title"], "probe", "target", "taken").select("probe", "target")
 
 
-COMPANY = "trim(regexp_replace(trim(regexp_replace(lower(p_name || CASE WHEN p_partkey % 2 = 0 THEN ' GmbH' ELSE '' END), '[^a-z0-9]+', ' ', 'g')), '\\s+(gmbh)$', ''))"
+COMPANY = "trim(regexp_replace(trim(regexp_replace(lower(p_name || ' ' || p_brand || ' ' || p_size || CASE WHEN p_partkey % 2 = 0 THEN ' GmbH' ELSE '' END), '[^a-z0-9]+', ' ', 'g')), '\\s+(gmbh)$', ''))"
 
 
-@query("j09_resolve_company", f"WITH k AS (SELECT p_partkey, p_size, {COMPANY} AS company_key FROM part), c AS (SELECT company_key, CAST(p_partkey AS VARCHAR) AS id FROM (SELECT *, row_number() OVER (PARTITION BY company_key ORDER BY p_size, p_partkey) AS r FROM k WHERE p_partkey < 30) WHERE r = 1) SELECT k.p_partkey, coalesce(c.id, sha256(k.company_key)) AS company_id FROM k LEFT JOIN c USING (company_key)")
+@query("j09_resolve_company", f"WITH k AS (SELECT p_partkey, p_type, p_retailprice, {COMPANY} AS company_key FROM part), c AS (SELECT company_key, CAST(p_partkey AS VARCHAR) AS id FROM (SELECT *, row_number() OVER (PARTITION BY company_key ORDER BY p_retailprice, p_partkey) AS r FROM k WHERE p_type IN ('LARGE', 'ECONOMY', 'SMALL')) WHERE r = 1) SELECT k.p_partkey, coalesce(c.id, sha256(k.company_key)) AS company_id FROM k LEFT JOIN c USING (company_key)")
 def j09(spark, d):
-    p = table(spark, d, "part").withColumn("name", F.concat("p_name", F.when(F.col("p_partkey") % 2 == 0, " GmbH").otherwise("")))
-    companies = p.where("p_partkey < 30").select(F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("id"), "name", F.col("p_size").alias("created_at"))
+    """Half of the part types are the companies that are known already; both sides grow with the table."""
+    p = table(spark, d, "part").withColumn("name", F.concat_ws(" ", "p_name", "p_brand", "p_size", F.when(F.col("p_partkey") % 2 == 0, "GmbH")))
+    companies = p.where(F.col("p_type").isin("LARGE", "ECONOMY", "SMALL")).select(F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("id"), "name", F.col("p_retailprice").alias("created_at"))
     resolved, _ = L.resolve_company(p.select("p_partkey", "name"), "name", companies)
     return resolved.select("p_partkey", F.regexp_replace("company_id", "^0{1,8}(?=[0-9]{1,8}$)", "").alias("company_id"))
 
@@ -141,10 +139,9 @@ def w01(spark, d):
     return L.keeper(table(spark, d, "part"), ["p_name"], [F.col("p_size"), F.col("p_partkey")]).select("p_name", "p_partkey")
 
 
-@query("w07_unique_endpoints", "WITH p AS (SELECT DISTINCT l_partkey AS a, l_suppkey + 100000 AS b FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1), e AS (SELECT id FROM (SELECT a AS id FROM p UNION ALL SELECT b FROM p) GROUP BY id HAVING count(*) = 1) SELECT a, b FROM p WHERE a IN (SELECT id FROM e) AND b IN (SELECT id FROM e)")
+@query("w07_unique_endpoints", "WITH p AS (SELECT o_custkey AS a, o_orderkey + 1000000000 AS b FROM orders), e AS (SELECT id FROM (SELECT a AS id FROM p UNION ALL SELECT b FROM p) GROUP BY id HAVING count(*) = 1) SELECT a, b FROM p WHERE a IN (SELECT id FROM e) AND b IN (SELECT id FROM e)")
 def w07(spark, d):
-    pairs = table(spark, d, "lineitem").where("l_quantity = 50 AND l_discount = 0.1").select(F.col("l_partkey").alias("a"), (F.col("l_suppkey") + 100000).alias("b")).distinct()
-    return L.unique_endpoints(pairs)
+    return L.unique_endpoints(table(spark, d, "orders").select(F.col("o_custkey").alias("a"), (F.col("o_orderkey") + 1_000_000_000).alias("b")))
 
 
 @query("w08_first_in_batch", "SELECT l_orderkey, l_partkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) > 1 AS is_duplicate FROM lineitem")
@@ -187,30 +184,44 @@ def u05(spark, d):
 
 
 def candidate_jobs(spark, d):
-    docs = table(spark, d, "documents")
-    return docs.select(F.col("doc_id").alias("id"), F.col("source").alias("block"), T.normalize_text(F.substring("text", 1, 80)).alias("title"), F.col("lang").alias("location"), F.lit(False).alias("remote"), T.normalize_text(F.col("text")).alias("description"))
+    """Pages as jobs: the host is the company, the title element the title, the language the place, the text without tags the description."""
+    p = table(spark, d, "pages")
+    title, lang = F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.regexp_extract("html", '<html[^>]*lang="([^"]*)"', 1)
+    text = F.regexp_replace("html", "<[^>]*>", " ")
+    return p.select(F.col("page_id").alias("id"), F.lower(F.regexp_extract("url", "^https?://([^/?#]+)", 1)).alias("block"), T.normalize_text(title).alias("title"), lang.alias("location"), F.lit(False).alias("remote"), T.normalize_text(text).alias("description"))
 
 
-CANDIDATES = f"""WITH j AS (SELECT doc_id AS id, source AS block, {NORM.format('substr(text, 1, 80)')} AS title, lang, {NORM.format('text')} AS description FROM documents),
-g AS (SELECT *, {TRI.format('title')} AS tg FROM j),
-p AS (SELECT x.id AS a, y.id AS b, {SIM('x.tg', 'y.tg')} AS t, CASE WHEN x.lang = y.lang THEN 1.0 ELSE {SIM(TRI.format('x.lang'), TRI.format('y.lang'))} END AS l FROM g x JOIN g y ON x.block = y.block AND x.id < y.id),
+CANDIDATES = f"""WITH j AS (SELECT page_id AS id, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS block, {NORM.format("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS title, regexp_extract(html, '<html[^>]*lang="([^"]*)"', 1) AS lang, {NORM.format("regexp_replace(html, '<[^>]*>', ' ', 'g')")} AS description FROM pages),
+c AS (SELECT *, min(id) OVER (PARTITION BY block, title, lang, description) AS head FROM j WHERE block <> ''),
+g AS (SELECT *, {TRI.format('title')} AS tg FROM c WHERE id = head),
+p AS (SELECT x.id AS a, y.id AS b, {SIM('x.tg', 'y.tg')} AS t, CASE WHEN x.lang = '' OR y.lang = '' THEN 0.5 WHEN x.lang = y.lang THEN 1.0 ELSE {SIM(TRI.format('x.lang'), TRI.format('y.lang'))} END AS l FROM g x JOIN g y ON x.block = y.block AND x.id < y.id
+UNION ALL SELECT head, id, CASE WHEN title = '' THEN 0.0 ELSE 1.0 END, CASE WHEN lang = '' THEN 0.5 ELSE 1.0 END FROM c WHERE id <> head),
 k AS (SELECT * FROM p WHERE t >= 0.45 AND l >= 0.20),
 m AS (SELECT id, description, {TRI.format('description')} AS dg FROM j WHERE id IN (SELECT a FROM k UNION SELECT b FROM k)),
 s AS (SELECT k.*, x.description AS da, y.description AS db, CASE WHEN x.description = '' OR y.description = '' THEN 0.0 WHEN x.description = y.description THEN 1.0 ELSE {SIM('x.dg', 'y.dg')} END AS s FROM k JOIN m x ON a = x.id JOIN m y ON b = y.id)
-SELECT a, b, t AS title_similarity, l AS location_similarity, s AS description_similarity, t * 0.62 + l * 0.18 + s * 0.20 AS confidence, da, db FROM s WHERE t * 0.62 + l * 0.18 + s * 0.20 >= 0.50"""
+SELECT a, b, t AS title_similarity, l AS location_similarity, s AS description_similarity, t * 0.62 + l * 0.18 + s * 0.20 AS confidence, (length(da) >= 120 AND contains(db, da)) OR (length(db) >= 120 AND contains(da, db)) AS contained FROM s WHERE t * 0.62 + l * 0.18 + s * 0.20 >= 0.50"""
+SCORES = ("title_similarity", "location_similarity", "description_similarity", "confidence")
 
 
-@query("r01_duplicate_candidates", f"SELECT a, b, round(title_similarity, 6) AS title_similarity, round(location_similarity, 6) AS location_similarity, round(description_similarity, 6) AS description_similarity, round(confidence, 6) AS confidence FROM ({CANDIDATES})")
+@query("r01_duplicate_candidates", f"SELECT a, b, {', '.join(f'round({x}, 6) AS {x}' for x in SCORES)}, contained FROM ({CANDIDATES})")
 def r01(spark, d):
-    c = L.duplicate_candidates(candidate_jobs(spark, d))
-    return c.select("a", "b", *[F.round(x, 6).alias(x) for x in ("title_similarity", "location_similarity", "description_similarity", "confidence")])
+    """With the description score that SQL can state; r01_with_word_similarity has the whole one."""
+    c = L.duplicate_candidates(candidate_jobs(spark, d), words=False)
+    return c.select("a", "b", *[F.round(x, 6).alias(x) for x in SCORES], "contained")
 
 
-@query("r02_safe_auto_merge", f"WITH s AS (SELECT a, b, confidence FROM ({CANDIDATES}) WHERE title_similarity >= 0.98 AND location_similarity >= 0.9 AND confidence >= 0.95 AND ((length(da) >= 120 AND contains(db, da)) OR (length(db) >= 120 AND contains(da, db)))), e AS (SELECT id FROM (SELECT a AS id FROM s UNION ALL SELECT b FROM s) GROUP BY id HAVING count(*) = 1) SELECT a, b, round(confidence, 6) AS confidence FROM s WHERE a IN (SELECT id FROM e) AND b IN (SELECT id FROM e)")
-def r02(spark, d):
+@query("r01_with_word_similarity", None)
+def r01_words(spark, d):
+    """The whole of R01: supported sources only, runs of words in the description score, pending rows made anew beside reviewed ones."""
     jobs = candidate_jobs(spark, d)
-    c = L.duplicate_candidates(jobs).where("confidence >= 0.95")
-    side = lambda s: jobs.select(F.col("id").alias(s), F.col("description").alias(f"d{s}"))
-    within = ((F.length("da") >= 120) & F.contains("db", "da")) | ((F.length("db") >= 120) & F.contains("da", "db"))
-    c = c.join(side("a"), "a").join(side("b"), "b").withColumns({"contained": within, "status": F.lit("pending")})
+    sources = jobs.select(F.col("id").alias("job_id"), F.when(F.col("location") == "fr", "jooble_direct").otherwise("lever_direct").alias("source_name"))
+    pair = F.struct((F.col("id")).alias("a"), (F.col("id") + 1).alias("b"), F.lit("rejected").alias("status"))
+    reviewed = jobs.select(pair.alias("p")).select("p.*")
+    found = L.duplicate_candidates(jobs, reviewed, sources, ["lever_direct"])
+    return L.rebuilt_candidates(reviewed, found.select("a", "b", "contained", *SCORES)).where("status = 'pending'").select("a", "b", *[F.round(x, 6).alias(x) for x in SCORES], "contained")
+
+
+@query("r02_safe_auto_merge", f"WITH s AS (SELECT a, b, confidence FROM ({CANDIDATES}) WHERE title_similarity >= 0.98 AND location_similarity >= 0.9 AND confidence >= 0.95 AND contained), e AS (SELECT id FROM (SELECT a AS id FROM s UNION ALL SELECT b FROM s) GROUP BY id HAVING count(*) = 1) SELECT a, b, round(confidence, 6) AS confidence FROM s WHERE a IN (SELECT id FROM e) AND b IN (SELECT id FROM e)")
+def r02(spark, d):
+    c = L.duplicate_candidates(candidate_jobs(spark, d), words=False).withColumn("status", F.lit("pending"))
     return L.safe_auto_merge(c).select("a", "b", F.round("confidence", 6).alias("confidence"))

@@ -8,10 +8,11 @@ from tablewright.functions.text import fold
 from tablewright.operators import evaluation as E
 from tablewright.operators import extraction as X
 from tablewright.operators import html_text as HT
+from tablewright.operators import places as PL
 from tablewright.operators import profiles as P
 from tablewright.plans import table
 from tablewright.sources import landing as S
-from tablewright.sources.dimensions import COUNTRY_ALIASES
+from tablewright.sources.dimensions import CITY_ALIASES, COUNTRY_ALIASES, REGION_ALIASES
 
 Q: dict = {}
 
@@ -37,11 +38,13 @@ def x02(spark, d):
     return table(spark, d, "documents").select("doc_id", X.description_quality(F.col("text"), F.col("source"), ("src3",)).alias("quality"))
 
 
-@query("x03_title_facts", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'senior' ELSE '' END AS levels, CASE WHEN p_partkey % 5 = 0 THEN 'lead' WHEN p_partkey % 5 = 1 THEN 'manager' ELSE '' END AS leaders, p_name || CASE WHEN p_partkey % 5 = 0 THEN ' Lead' WHEN p_partkey % 5 = 1 THEN ' Manager' WHEN p_partkey % 5 = 2 THEN ' lead generation' ELSE '' END AS role FROM part")
+@query("x03_title_facts", """SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'senior' WHEN p_size % 3 = 1 THEN 'junior,staff' ELSE '' END AS levels,
+CASE p_partkey % 8 WHEN 0 THEN 'lead' WHEN 1 THEN 'manager' WHEN 3 THEN 'director' WHEN 4 THEN 'manager' WHEN 5 THEN 'director,manager' WHEN 6 THEN 'head,vedouci' ELSE '' END AS leaders,
+CASE WHEN p_size % 3 = 1 THEN 'Staff ' ELSE '' END || p_name || CASE p_partkey % 8 WHEN 0 THEN ' Lead' WHEN 1 THEN ' Manager' WHEN 2 THEN ' lead generation' WHEN 3 THEN ' ředitelka' WHEN 4 THEN ' manazer' WHEN 5 THEN ' reditel manažerů' WHEN 6 THEN ' head vedoucí' ELSE '' END AS role FROM part""")
 def x03(spark, d):
-    k = F.col("p_partkey") % 5
-    title = F.concat(F.when(F.col("p_partkey") % 3 == 0, "Senior ").otherwise(""), "p_name", F.when(k == 0, " Lead").when(k == 1, " Manager (m/f/d)").when(k == 2, " lead generation").otherwise(""))
-    f = X.title_facts(title)
+    tail = F.element_at(F.array(*map(F.lit, (" Lead", " Manager (m/f/d)", " lead generation", " ředitelka (W/M/D)", " manazer", " reditel manažerů", " head vedoucí", ""))), (F.col("p_partkey") % 8 + 1).cast("int"))
+    front = F.element_at(F.array(*map(F.lit, ("Senior ", "Jr. Staff ", ""))), (F.col("p_size") % 3 + 1).cast("int"))
+    f = X.title_facts(F.concat(front, "p_name", tail))
     return table(spark, d, "part").select("p_partkey", F.array_join(f["levels"], ",").alias("levels"), F.array_join(f["leaders"], ",").alias("leaders"), f["role"].alias("role"))
 
 
@@ -53,21 +56,35 @@ def x04(spark, d):
     return m.groupBy("doc_id", "value").agg(F.count("*").alias("n"), F.sum(right.cast("long")).alias("exact_spans"))
 
 
-@query("x05_language_requirements", None)
+@query("x05_language_requirements", """WITH c AS (SELECT conv_id, turn, role FROM conversations)
+SELECT conv_id, turn, 'en' AS language, CASE WHEN role = 'user' THEN 'required' ELSE 'preferred' END AS requirement, 'B2' AS cefr, CASE WHEN turn % 2 = 0 THEN 'at_least' ELSE 'unknown' END AS comparator, 0 AS "start" FROM c
+UNION ALL SELECT conv_id, turn, 'de', 'unknown', 'C1', 'exact', 25 FROM c
+UNION ALL SELECT conv_id, turn, 'fr', 'required', NULL, NULL, 50 FROM c UNION ALL SELECT conv_id, turn, 'es', 'required', NULL, NULL, 50 FROM c""")
 def x05(spark, d):
-    return HT.language_requirements(table(spark, d, "conversations").withColumn("id", F.col("conv_id") * 1000 + F.col("turn")).withColumn("text", F.concat(F.lit("English B2 required, German advantage; "), "text")), "id", "text")
+    """Three clauses before each turn: a qualifier behind the language, a level before it, and one shared by two languages."""
+    line = F.concat(F.lit("English B2"), F.when(F.col("turn") % 2 == 0, "+").otherwise(" "), F.lit(" "), F.when(F.col("role") == "user", "required").otherwise("advantage"))
+    text = F.concat(F.rpad(line, 24, " "), F.lit(";"), F.rpad(F.lit("level exactly C1 German"), 24, " "), F.lit(","), F.lit("French and Spanish required\n"), F.lit("Czech Republic native; "), "role")
+    c = table(spark, d, "conversations").select(F.struct("conv_id", "turn").alias("id"), text.alias("text"))
+    return X.language_requirements(c, "id", "text").select("id.conv_id", "id.turn", "language", "requirement", "cefr", "comparator", "start")
 
 
-@query("x06_experience_ranges", "SELECT doc_id, CAST(doc_id % 12 + 1 AS INT) AS min_years, CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id % 12 + 3 AS INT) END AS max_years FROM documents WHERE doc_id % 5 <> 0")
+@query("x06_experience_ranges", """WITH k AS (SELECT doc_id, CAST(n_chars % 12 + 1 AS INT) AS a, doc_id % 6 AS form FROM documents)
+SELECT doc_id, CASE WHEN form = 3 THEN 7 ELSE a END AS min_years, CASE WHEN form IN (0, 2) THEN a + 2 END AS max_years FROM k WHERE form NOT IN (4, 5)""")
 def x06(spark, d):
-    k = F.col("doc_id")
-    line = F.concat(F.lit("Ask: "), (k % 12 + 1).cast("string"), F.when(k % 2 == 0, F.concat(F.lit("-"), (k % 12 + 3).cast("string"))).otherwise(F.lit("+")), F.lit(" years "), F.when(k % 5 == 0, F.lit("since our company was founded")).otherwise(F.lit("experience")))
-    docs = table(spark, d, "documents").select("doc_id", F.concat(F.regexp_replace("text", "[0-9]+ *(years|let)", ""), F.lit("\n"), line).alias("text"))
+    a, form = F.col("n_chars") % 12 + 1, F.col("doc_id") % 6
+    n, m = a.cast("string"), (a + 2).cast("string")
+    line = (
+        F.when(form == 0, F.concat(F.lit("Ask: "), n, F.lit("-"), m, F.lit(" years of experience")))
+        .when(form == 1, F.concat(F.lit("Minimalne "), n, F.lit(" roky, zkusenost")))
+        .when(form == 2, F.concat(n, F.lit(" az "), m, F.lit(" let praxe")))
+        .when(form == 3, F.lit("at least Seven years"))
+        .when(form == 4, F.concat(n, F.lit("+ years of experience since our company was founded")))
+        .otherwise(F.concat(m, F.lit(" to "), F.lit("1 years of experience")))
+    )
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.regexp_replace("text", "[0-9]+", ""), F.lit("\n"), line).alias("text"))
     return X.experience_ranges(docs, "doc_id", "text").select("doc_id", "min_years", "max_years")
 
 
-
-
 @query("x07_sections", "SELECT conv_id, turn, 'requirements' AS kind, 0 AS start, length(text) + 17 AS \"end\", trim(text, ' ' || chr(10) || chr(9) || chr(13)) AS content FROM conversations WHERE trim(text, ' ' || chr(10) || chr(9) || chr(13)) <> '' UNION ALL SELECT conv_id, turn, 'benefits', length(text) + 17, length(text) + 17 + 14 + length(role), role FROM conversations")
 def x07(spark, d):
     c = table(spark, d, "conversations").select(F.struct("conv_id", "turn").alias("id"), F.concat(F.lit("## Requirements\n"), "text", F.lit("\nWhat we offer\n"), "role").alias("text"))
@@ -91,16 +108,19 @@ def w10(spark, d):
     return X.neighbour_context(m, ["doc_id"], docs, "doc_id", "text").select("doc_id", "start", F.length("before").alias("n_before"), F.length("after").alias("n_after"))
 
 
-@query("x08_pay_offers", None)
+@query("x08_pay_offers", """SELECT p_partkey, CAST(p_size * 1000 AS DECIMAL(18,4)) AS low, CAST((p_size + 5) * 1000 AS DECIMAL(18,4)) AS high, 'CZK' AS currency, 'month' AS period, 'gross' AS basis, 'base' AS component, CASE WHEN p_size % 2 = 0 THEN 'Brno' END AS places, 7 AS "start" FROM part
+UNION ALL SELECT p_partkey, CAST(p_size * 1000 AS DECIMAL(18,4)), NULL, 'EUR', 'year', 'unknown', 'unknown', NULL, CAST(73 + length(CAST(p_size AS VARCHAR)) + length(CAST(p_size + 5 AS VARCHAR)) AS INT) FROM part""")
 def x08(spark, d):
-    line = F.concat(F.lit("Salary 30 000 - 45 000 CZK / month gross\nbonus 500 EUR per year\n€ 60k annually "), "p_name")
-    return HT.pay_offers(table(spark, d, "part").select("p_partkey", line.alias("text")), "p_partkey", "text")
+    size, more = F.col("p_size").cast("string"), (F.col("p_size") + 5).cast("string")
+    place = F.when(F.col("p_size") % 2 == 0, " in Brno").otherwise(" at home")
+    line = F.concat(F.lit("Salary "), size, F.lit(" 000 - "), more, F.lit(",000 Kč / month gross"), place, F.lit("\nbonus   500 EUR per year   .\n€ "), size, F.lit("k annually\n"), more, F.lit("-"), F.lit("1 EUR per day"))
+    return X.pay_offers(table(spark, d, "part").select("p_partkey", line.alias("text")), "p_partkey", "text", CITY_ALIASES).select("p_partkey", "low", "high", "currency", "period", "basis", "component", "places", "start")
 
 
-@query("x09_monetary_benefits", None)
+@query("x09_monetary_benefits", """SELECT p_partkey, 'meal allowance ' || p_size || ' CZK per day' AS text, length(p_name) + 1 AS "start" FROM part""")
 def x09(spark, d):
-    line = F.concat("p_name", F.lit("\nmeal allowance 110 CZK per day\nSalary 900 EUR per month"))
-    return HT.monetary_benefits(table(spark, d, "part").select("p_partkey", line.alias("text")), "p_partkey", "text")
+    line = F.concat("p_name", F.lit("\nmeal allowance "), "p_size", F.lit(" CZK per day\nSalary 900 EUR per month\npension plan"))
+    return X.monetary_benefits(table(spark, d, "part").select("p_partkey", line.alias("text")), "p_partkey", "text").select("p_partkey", "text", "start")
 
 
 @query("x10_arrangement_clauses", "SELECT doc_id, value, count(*) AS n FROM (SELECT doc_id, CASE WHEN regexp_matches(line, '\\bthat\\b') THEN 'a' WHEN regexp_matches(line, '\\bwith\\b') THEN 'b' END AS value FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)) WHERE value IS NOT NULL GROUP BY 1, 2")
@@ -116,30 +136,32 @@ def x11(spark, d):
     return table(spark, d, "documents").select("doc_id", X.opportunity_type(title, F.concat("text", extra)).alias("kind"))
 
 
-@query("x12_place_labels", "SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'Plzeň' WHEN 1 THEN 'Prague' WHEN 4 THEN 'Brno' END AS city, CASE s_suppkey % 5 WHEN 0 THEN 'CZ' WHEN 1 THEN 'CZ' WHEN 2 THEN 'DE' WHEN 4 THEN 'AT' END AS country, CASE s_suppkey % 5 WHEN 3 THEN 'not_a_place' END AS reason FROM supplier")
-def x12(spark, d):
-    from tablewright.sources.dimensions import CITY_ALIASES
+PLACES = """SELECT s_suppkey, CASE s_suppkey % 9 WHEN 0 THEN 'Plzeň' WHEN 1 THEN 'Prague' WHEN 5 THEN 'Brno' WHEN 6 THEN 'Brno' END AS city, CASE s_suppkey % 9 WHEN 8 THEN 'Jihomoravský kraj' END AS region,
+CASE WHEN s_suppkey % 9 IN (0, 1, 5, 6, 8) THEN 'CZ' WHEN s_suppkey % 9 = 2 THEN 'DE' WHEN s_suppkey % 9 = 4 THEN 'AT' END AS country, CASE s_suppkey % 9 WHEN 3 THEN 'workplace_or_broad_scope' WHEN 7 THEN 'url_or_domain' END AS reason FROM supplier"""
+
 
-    k = F.col("s_suppkey") % 5
-    label = F.when(k == 0, "Pilsen").when(k == 1, "Praha, Česká republika").when(k == 2, "Germany - Hof").when(k == 3, "Remote").otherwise("Brno / Austria")
-    return table(spark, d, "supplier").withColumn("p", X.parse_place_label(label, COUNTRY_ALIASES, CITY_ALIASES)).select("s_suppkey", "p.*")
+def place_labels():
+    texts = ("Pilsen", "Praha, Česká republika", "Germany - Hof", "Remote", "Brno / Austria", "Hybrid in Brno 12", "CZ-Brno", "www.jobs.example.com", "South Moravian Region")
+    return F.element_at(F.array(*map(F.lit, texts)), (F.col("s_suppkey") % 9 + 1).cast("int"))
+
+
+@query("x12_place_labels", PLACES)
+def x12(spark, d):
+    return table(spark, d, "supplier").withColumn("p", PL.parse_place_label(place_labels(), COUNTRY_ALIASES, CITY_ALIASES, REGION_ALIASES)).select("s_suppkey", "p.city", "p.region", "p.country", "p.reason")
 
 
-@query("x13_typed_places", "SELECT n_nationkey, upper(replace(n_name, '_', ' ')) AS city, r_name AS country FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("x13_typed_places", "SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'Brno' WHEN 1 THEN 'Customer Town' WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 4 THEN 'Ostrava' ELSE NULL END AS city, CASE WHEN c_custkey % 2 = 0 THEN 'Jihomoravský kraj' END AS region FROM customer")
 def x13(spark, d):
-    n, r = table(spark, d, "nation"), table(spark, d, "region")
-    dims = n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")).select(fold(F.replace("n_name", F.lit("_"), F.lit(" "))).alias("alias"), F.upper(F.replace("n_name", F.lit("_"), F.lit(" "))).alias("city"), F.col("r_name").alias("country"))
-    typed = n.select("n_nationkey", fold(F.replace("n_name", F.lit("_"), F.lit(" "))).alias("alias"))
-    return typed.join(F.broadcast(dims), "alias", "left").select("n_nationkey", "city", "country")
+    k = F.col("c_custkey")
+    city = F.element_at(F.array(*map(F.lit, ("Brno 3", "Customer Town", "Germany", "Olomoucký kraj", "OSTRAVA", "office campus 12"))), (k % 6 + 1).cast("int"))
+    region, country = F.when(k % 2 == 0, "South Moravian Region").otherwise("somewhere"), F.when(k % 3 == 0, "CZ")
+    return table(spark, d, "customer").select("c_custkey", PL.typed_city(city, CITY_ALIASES, COUNTRY_ALIASES, REGION_ALIASES, country).alias("city"), PL.typed_region(region, REGION_ALIASES, country).alias("region"))
 
 
-@query("x14_project_locations", "SELECT s_suppkey, place, CASE WHEN place = 'remote' THEN 'not_a_place' END AS reason FROM (SELECT s_suppkey, unnest([lower(n_name), CASE WHEN s_suppkey % 2 = 0 THEN 'remote' ELSE lower(r_name) END]) AS place FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)")
+@query("x14_project_locations", f"SELECT s_suppkey, 0 AS position, city, region, country, CASE WHEN country IS NOT NULL THEN CASE WHEN s_suppkey % 9 IN (1, 2, 4, 6) THEN 'explicit' ELSE 'inferred' END END AS country_evidence, reason FROM ({PLACES}) UNION ALL SELECT s_suppkey, 1, 'Prague', NULL, 'CZ', 'inferred', NULL FROM supplier")
 def x14(spark, d):
-    n, r = table(spark, d, "nation"), table(spark, d, "region")
-    s = table(spark, d, "supplier").join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
-    label = F.concat_ws(" | ", "n_name", F.when(F.col("s_suppkey") % 2 == 0, "Remote").otherwise(F.col("r_name")))
-    each = s.select("s_suppkey", F.explode(F.split(label, r"\s*\|\s*")).alias("raw"))
-    return each.select("s_suppkey", fold(F.col("raw")).alias("place"), F.when(fold(F.col("raw")) == "remote", "not_a_place").alias("reason"))
+    s = table(spark, d, "supplier").select("s_suppkey", F.concat(place_labels(), F.lit(" | Praha")).alias("label"))
+    return PL.project_locations(s, "s_suppkey", "label", COUNTRY_ALIASES, CITY_ALIASES, REGION_ALIASES).select("s_suppkey", "position", "city", "region", "country", "country_evidence", "reason")
 
 
 @query("x15_native_facts", "SELECT event_id, 'k' AS field, json_extract_string(props, '$.k') AS value, '$.k' AS path, 'native' AS method FROM events")
@@ -157,17 +179,17 @@ def x16(spark, d):
 
 
 def candidates(spark, d):
-    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("job"), F.col("l_returnflag").alias("value"), F.col("l_quantity").cast("int").alias("score"), (F.col("l_linestatus") == "F").alias("active"), F.concat_ws(":", "l_partkey", "l_suppkey", "l_linenumber").alias("evidence_id"))
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("job"), F.col("l_returnflag").alias("value"), F.col("l_quantity").cast("int").alias("score"), F.when(F.col("l_linenumber") != 2, F.col("l_linestatus") == "F").alias("active"), F.concat_ws(":", "l_partkey", "l_suppkey", "l_linenumber").alias("evidence_id"))
 
 
-@query("w04_select_fact", "WITH c AS (SELECT l_orderkey AS job, l_returnflag AS v, (CAST(l_quantity AS INT), CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS r FROM lineitem), b AS (SELECT job, max(r) AS r FROM c GROUP BY 1), t AS (SELECT c.job, min(v) AS lo, max(v) AS hi FROM c JOIN b ON c.job = b.job AND c.r = b.r GROUP BY 1) SELECT job, CASE WHEN lo = hi THEN 'known' ELSE 'conflict' END AS state, CASE WHEN lo = hi THEN lo END AS value, (SELECT count(DISTINCT (l_partkey, l_suppkey, l_linenumber)) FROM lineitem WHERE l_orderkey = job) AS n_evidence FROM t")
+@query("w04_select_fact", "WITH c AS (SELECT l_orderkey AS job, l_returnflag AS v, (CAST(l_quantity AS INT), CASE WHEN l_linestatus = 'F' OR l_linenumber = 2 THEN 1 ELSE 0 END) AS r FROM lineitem), b AS (SELECT job, max(r) AS r FROM c GROUP BY 1), t AS (SELECT c.job, min(v) AS lo, max(v) AS hi FROM c JOIN b ON c.job = b.job AND c.r = b.r GROUP BY 1) SELECT job, CASE WHEN lo = hi THEN 'known' ELSE 'conflict' END AS state, CASE WHEN lo = hi THEN lo END AS value, (SELECT count(DISTINCT (l_partkey, l_suppkey, l_linenumber)) FROM lineitem WHERE l_orderkey = job) AS n_evidence FROM t")
 def w04(spark, d):
     return P.select_fact(candidates(spark, d), ["job"]).select("job", "state", "value", F.size("evidence_ids").cast("long").alias("n_evidence"))
 
 
-@query("w05_select_description", f"WITH q AS (SELECT doc_id, source, {QUALITY} AS quality, length(text) AS n FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY CASE quality WHEN 'complete' THEN 4 WHEN 'short' THEN 2 WHEN 'snippet' THEN 1 ELSE 0 END DESC, CASE WHEN doc_id % 5 <> 0 THEN 1 ELSE 0 END DESC, n DESC, doc_id DESC) AS place FROM q) SELECT doc_id, place, place = 1 AND quality NOT IN ('empty', 'template') AS selected FROM r")
+@query("w05_select_description", f"WITH q AS (SELECT doc_id, lang, {QUALITY} AS quality, length(text) AS n FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY lang, n % 1000 ORDER BY CASE quality WHEN 'complete' THEN 4 WHEN 'short' THEN 2 WHEN 'snippet' THEN 1 ELSE 0 END DESC, CASE WHEN doc_id % 5 <> 0 OR doc_id % 2 = 0 THEN 1 ELSE 0 END DESC, n DESC, doc_id DESC) AS place FROM q) SELECT doc_id, place, place = 1 AND quality NOT IN ('empty', 'template') AS selected FROM r")
 def w05(spark, d):
-    c = table(spark, d, "documents").select("doc_id", F.col("source").alias("job"), X.description_quality(F.col("text"), F.col("source"), ("src3",)).alias("quality"), (F.col("doc_id") % 5 != 0).alias("active"), F.lit(0).alias("native"), F.length("text").alias("length"), F.lit("s").alias("source"), F.col("doc_id").alias("id"))
+    c = table(spark, d, "documents").select("doc_id", F.struct("lang", F.length("text") % 1000).alias("job"), X.description_quality(F.col("text"), F.col("source"), ("src3",)).alias("quality"), F.when(F.col("doc_id") % 5 != 0, True).when(F.col("doc_id") % 2 != 0, False).alias("active"), F.lit(0).alias("native"), F.length("text").alias("length"), F.lit("s").alias("source"), F.col("doc_id").alias("id"))
     return P.select_description(c, "job").select("doc_id", "place", "selected")
 
 
@@ -359,7 +381,7 @@ def landed(spark, d, feed: str):
     paths: dict = {}
     for field, value in values.items():
         for p in S.FEEDS[feed][field][:1]:
-            paths.setdefault(p, value)
+            paths.setdefault(p, F.col("o_orderkey") % 2 == 0 if p == "$.location.remote" else value)
     return o.select(F.lit("scope").alias("scope"), F.to_json(nested(paths)).alias("body"))
 
 
@@ -374,6 +396,8 @@ def feed_query(feed: str, number: int):
     sql = FEED_SQL
     if feed == "greenhouse_direct":  # its place label also states the mode
         sql = FEED_SQL.replace("CASE WHEN o_orderkey % 2 = 0 THEN 'remote' ELSE 'onsite' END AS remote_type", "'unknown' AS remote_type")
+    if feed in ("smartrecruiters_direct", "fantastic_jobs_apify"):  # the first says remote or nothing; so does the second's first field
+        sql = FEED_SQL.replace("'onsite'", "'unknown'") if feed == "smartrecruiters_direct" else FEED_SQL
     Q[f"s{number:02d}_p01_{feed}"] = (run, sql)
 
 

@@ -182,7 +182,7 @@ PATH = r"^/([a-z]{2})/([0-9]+)(?:\.html)?/?$"
 
 @query("p03_url_identity", r"SELECT page_id, CASE WHEN ok THEN host END AS host, CASE WHEN ok THEN regexp_extract(path, '^/([a-z]{2})/([0-9]+)', 1) END AS scope, CASE WHEN ok THEN regexp_extract(path, '^/([a-z]{2})/([0-9]+)', 2) END AS posting FROM (SELECT *, regexp_matches(host, '^([a-z0-9-]+\.)*example\.(com|org)$') AND regexp_matches(path, '^/([a-z]{2})/([0-9]+)(?:\.html)?/?$') AS ok FROM (SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#@:]+)', 1)) AS host, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS path FROM pages))")
 def p03(spark, d):
-    found = V.url_identity(F.col("url"), r"^([a-z0-9-]+\.)*example\.(com|org)$", PATH, "scope", "posting")
+    found = V.url_identity(F.col("url"), r"^([a-z0-9-]+\.)*example\.(com|org)$", PATH, "scope", "posting", schemes="https?", ports=())
     return table(spark, d, "pages").withColumn("f", found).select("page_id", "f.host", "f.scope", "f.posting")
 
 
@@ -200,10 +200,14 @@ def p05(spark, d):
     return n.select("r_name", V.clearly_foreign(F.col("places"), "NATION_3").alias("foreign_only"), V.ineligible_reason(F.col("places"), "NATION_3").alias("reason"))
 
 
-@query("p06_remote_type", "SELECT event_id, CASE event_type WHEN 'signup' THEN 'hybrid' WHEN 'view' THEN 'remote' WHEN 'click' THEN 'onsite' ELSE 'unknown' END AS remote_type FROM events")
+@query("p06_remote_type", "SELECT event_id, CASE event_type WHEN 'signup' THEN 'hybrid' WHEN 'view' THEN 'remote' WHEN 'click' THEN 'onsite' ELSE 'unknown' END AS remote_type, CASE WHEN event_type = 'view' THEN 'remote' ELSE 'unknown' END AS smart, CASE event_type WHEN 'view' THEN 'remote' WHEN 'click' THEN 'onsite' WHEN 'error' THEN 'hybrid' ELSE 'unknown' END AS workday, CASE event_type WHEN 'purchase' THEN 'remote' WHEN 'error' THEN 'hybrid' ELSE 'unknown' END AS apify FROM events")
 def p06(spark, d):
-    label = V.mapped(F.col("event_type"), {"signup": "Hybrid / remote", "view": "Home office", "click": "On-Site only", "error": "n/a"})
-    return table(spark, d, "events").select("event_id", V.remote_type(label).alias("remote_type"))
+    e, kind = table(spark, d, "events"), F.col("event_type")
+    label = V.mapped(kind, {"signup": "Hybrid / remote", "view": "Home office", "click": "On-Site only", "error": "n/a"})
+    flag = V.mapped(kind, {"view": "true", "click": "false", "signup": "remote"})
+    workday = V.mapped(kind, {"view": "Fully Remote", "click": "In Person", "error": "Partially remote", "signup": "On site only"})
+    apify = V.mapped(kind, {"purchase": "TELECOMMUTE", "error": "Hybrid Remote", "view": "in person"})
+    return e.select("event_id", V.remote_type(label).alias("remote_type"), V.remote_type(flag, "smartrecruiters_direct").alias("smart"), V.remote_type(workday, "workday_direct").alias("workday"), V.remote_type(apify, "fantastic_jobs_apify").alias("apify"))
 
 
 @query("p07_location_text", "SELECT n_nationkey, n_name || ', ' || r_name || CASE WHEN n_nationkey % 2 = 0 THEN '' ELSE ' | ' || r_name END AS location_text FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -213,7 +217,7 @@ def p07(spark, d):
     return n.select("n_nationkey", V.location_text(F.array("n_name", F.lit(None).cast("string"), "r_name"), second).alias("location_text"))
 
 
-@query("p08_description", "SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS description FROM conversations WHERE turn < 2 AND trim(text) <> '' GROUP BY conv_id")
+@query("p08_description", "SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS description FROM conversations WHERE trim(text) <> '' GROUP BY conv_id")
 def p08(spark, d):
     c = table(spark, d, "conversations").where("turn < 2").groupBy("conv_id").agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("a"), F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("b"))
     return c.select("conv_id", V.description_text(F.col("a"), F.lit("  "), F.col("b")).alias("description")).where("description <> ''")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.functions.text import LEGAL_SUFFIXES
+from tablewright.functions.text import LEGAL_SUFFIXES, fold_spaces
 
 #: Country names and codes that feeds use.
 COUNTRY_ALIASES = {
@@ -24,10 +24,33 @@ CITY_ALIASES = {
 }
 
 
+#: Region spellings of the country whose cities are known.
+REGION_ALIASES = {
+    "jihomoravsky kraj": "Jihomoravský kraj", "south moravian region": "Jihomoravský kraj", "stredocesky kraj": "Středočeský kraj", "central bohemian region": "Středočeský kraj",
+    "jihocesky kraj": "Jihočeský kraj", "south bohemian region": "Jihočeský kraj", "moravskoslezsky kraj": "Moravskoslezský kraj", "moravian-silesian region": "Moravskoslezský kraj",
+    "plzensky kraj": "Plzeňský kraj", "pilsen region": "Plzeňský kraj", "olomoucky kraj": "Olomoucký kraj", "olomouc region": "Olomoucký kraj",
+    "liberecky kraj": "Liberecký kraj", "liberec region": "Liberecký kraj", "pardubicky kraj": "Pardubický kraj", "pardubice region": "Pardubický kraj",
+}
+
+
+def iso_countries(spark: SparkSession) -> DataFrame:
+    """(alias, country): codes of two and three letters and English names of all ISO 3166 countries, as the session's Java knows them."""
+    locale = spark.sparkContext._jvm.java.util.Locale
+    rows = set()
+    for code in locale.getISOCountries():
+        one = locale("", code)
+        rows |= {(code.lower(), code), (one.getISO3Country().lower(), code), (one.getDisplayCountry(locale.ENGLISH), code)}
+    known = spark.createDataFrame(sorted(rows), "alias string, country string").select(fold_spaces(F.col("alias")).alias("alias"), "country")
+    own = spark.createDataFrame(list(COUNTRY_ALIASES.items()), "alias string, country string")
+    return own.unionByName(known.join(own.select("alias"), "alias", "left_anti"))
+
+
 def load_dimension(spark: SparkSession, name: str) -> DataFrame:
-    """A built-in dimension by name: countries, cities or legal_suffixes."""
+    """A built-in dimension by name: countries, regions, cities or legal_suffixes."""
     if name == "countries":
-        return spark.createDataFrame(list(COUNTRY_ALIASES.items()), "alias string, country string")
+        return iso_countries(spark)
+    if name == "regions":
+        return spark.createDataFrame(list(REGION_ALIASES.items()), "alias string, region string")
     if name == "cities":
         return spark.createDataFrame([(k, *v) for k, v in CITY_ALIASES.items()], "alias string, city string, country string")
     if name == "legal_suffixes":

@@ -15,12 +15,12 @@ ENVELOPE = "source_name string, scope string, run_id string, page_no int, fetche
 FEEDS: dict[str, dict[str, list[str]]] = {
     "smartrecruiters_direct": {"id": ["$.id"], "title": ["$.name"], "company": ["$.company.name"], "description": ["$.jobAd.sections.jobDescription.text"], "city": ["$.location.city"], "country": ["$.location.country"], "mode": ["$.location.remote"], "employment": ["$.typeOfEmployment.label"], "url": ["$.postingUrl", "$.ref"], "published": ["$.releasedDate"]},
     "greenhouse_direct": {"id": ["$.id"], "title": ["$.title"], "company": ["$.company_name"], "description": ["$.content"], "city": ["$.location.name"], "country": ["$.offices[0].location"], "mode": ["$.location.name"], "employment": ["$.metadata[0].value"], "url": ["$.absolute_url"], "published": ["$.first_published", "$.updated_at"]},
-    "workable_direct": {"id": ["$.shortcode", "$.id"], "title": ["$.title"], "company": ["$.company"], "description": ["$.description"], "city": ["$.city", "$.location.city"], "country": ["$.country", "$.location.country"], "mode": ["$.workplace", "$.telecommuting"], "employment": ["$.employment_type"], "url": ["$.url", "$.shortlink"], "published": ["$.published_on", "$.created_at"]},
-    "ashby_direct": {"id": ["$.id"], "title": ["$.title"], "company": ["$.organization"], "description": ["$.descriptionPlain", "$.descriptionHtml"], "city": ["$.address.postalAddress.addressLocality", "$.location"], "country": ["$.address.postalAddress.addressCountry"], "mode": ["$.workplaceType"], "employment": ["$.employmentType"], "url": ["$.jobUrl"], "published": ["$.publishedAt"]},
+    "workable_direct": {"id": ["$.shortcode", "$.id"], "title": ["$.title"], "company": ["$.company"], "description": ["$.description"], "city": ["$.city", "$.location.city"], "country": ["$.country", "$.location.country"], "mode": ["$.workplace_type", "$.workplace"], "employment": ["$.employment_type"], "url": ["$.url", "$.shortlink"], "published": ["$.published_on", "$.created_at"]},
+    "ashby_direct": {"id": ["$.id"], "title": ["$.title"], "company": ["$.organization"], "description": ["$.descriptionPlain", "$.descriptionHtml"], "city": ["$.address.postalAddress.addressLocality", "$.location"], "country": ["$.address.postalAddress.addressCountry"], "mode": ["$.workplaceType", "$.isRemote"], "employment": ["$.employmentType"], "url": ["$.jobUrl"], "published": ["$.publishedAt"]},
     "lever_direct": {"id": ["$.id"], "title": ["$.text"], "company": ["$.company"], "description": ["$.descriptionPlain", "$.description"], "city": ["$.categories.location"], "country": ["$.country"], "mode": ["$.workplaceType"], "employment": ["$.categories.commitment"], "url": ["$.hostedUrl", "$.applyUrl"], "published": ["$.createdAt"]},
     "workday_direct": {"id": ["$.jobPostingInfo.jobReqId", "$.bulletFields[0]"], "title": ["$.jobPostingInfo.title", "$.title"], "company": ["$.hiringOrganization.name"], "description": ["$.jobPostingInfo.jobDescription"], "city": ["$.jobPostingInfo.location", "$.locationsText"], "country": ["$.jobPostingInfo.country.descriptor"], "mode": ["$.jobPostingInfo.remoteType"], "employment": ["$.jobPostingInfo.timeType"], "url": ["$.jobPostingInfo.externalUrl"], "published": ["$.jobPostingInfo.startDate"]},
     "successfactors_direct": {"id": ["$.id"], "title": ["$.title"], "company": ["$.brand"], "description": ["$.description"], "city": ["$.city"], "country": ["$.country"], "mode": ["$.workplace"], "employment": ["$.employmentType"], "url": ["$.url"], "published": ["$.datePosted"]},
-    "fantastic_jobs_apify": {"id": ["$.id"], "title": ["$.title"], "company": ["$.organization"], "description": ["$.description_text"], "city": ["$.cities_derived[0]"], "country": ["$.countries_derived[0]"], "mode": ["$.ai_work_arrangement"], "employment": ["$.employment_type[0]"], "url": ["$.url"], "published": ["$.date_posted"]},
+    "fantastic_jobs_apify": {"id": ["$.id"], "title": ["$.title"], "company": ["$.organization"], "description": ["$.description_text"], "city": ["$.cities_derived[0]"], "country": ["$.countries_derived[0]"], "mode": ["$.location_type", "$.ai_work_arrangement"], "employment": ["$.employment_type[0]"], "url": ["$.url"], "published": ["$.date_posted"]},
     "jooble_direct": {"id": ["$.id"], "title": ["$.title"], "company": ["$.company"], "description": ["$.snippet"], "city": ["$.location"], "country": ["$.country"], "mode": ["$.type"], "employment": ["$.type"], "url": ["$.link"], "published": ["$.updated"]},
 }
 
@@ -35,12 +35,18 @@ def first_of(body: Column, paths: list[str]) -> Column:
     return F.coalesce(*[F.nullif(F.trim(F.get_json_object(body, p)), F.lit("")) for p in paths])
 
 
+def stated_mode(body: Column, feed: str) -> Column:
+    """The first path of a feed that states a mode its rules know."""
+    stated = [F.nullif(remote_type(F.get_json_object(body, p), feed), F.lit("unknown")) for p in FEEDS[feed]["mode"]]
+    return F.coalesce(*stated, F.lit("unknown"))
+
+
 def project_canonical(rows: DataFrame, feed: str, body: str = "body") -> DataFrame:
     """A feed's payload as canonical columns; the payload itself stays as text."""
     at = {k: first_of(F.col(body), p) for k, p in FEEDS[feed].items()}
     return rows.select(
         F.lit(feed).alias("source_name"), "scope", at["id"].alias("native_id"), at["company"].alias("company"), F.coalesce(at["title"], F.lit("Unknown position")).alias("title"),
-        strip_tags(at["description"]).alias("description"), location_text(F.array(at["city"], at["country"])).alias("location_text"), at["country"].alias("country"), remote_type(at["mode"]).alias("remote_type"),
+        strip_tags(at["description"]).alias("description"), location_text(F.array(at["city"], at["country"])).alias("location_text"), at["country"].alias("country"), stated_mode(F.col(body), feed).alias("remote_type"),
         at["employment"].alias("employment_type"), at["url"].alias("url"), parse_timestamp(at["published"]).alias("published_at"), F.col(body).alias("raw_payload"),
     )
 

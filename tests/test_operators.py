@@ -15,9 +15,10 @@ from tablewright.operators import html_text as HT
 from tablewright.operators import lifecycle as C
 from tablewright.operators import linkage as L
 from tablewright.operators import merging as M
+from tablewright.operators import places as PL
 from tablewright.operators import profiles as P
 from tablewright.sources import landing as S
-from tablewright.sources.dimensions import CITY_ALIASES, COUNTRY_ALIASES, check_policies
+from tablewright.sources.dimensions import CITY_ALIASES, COUNTRY_ALIASES, check_policies, load_dimension
 from tablewright.streaming import jobs as streams
 
 
@@ -64,6 +65,8 @@ def test_url_identity_refuses_tricks(spark):
     urls = ["https://jobs.acme.com/x/12", "https://jobs.acme.com/x/..%2f12", "https://user@jobs.acme.com/x/12", "https://jobs.acme.com:8443/x/12", "ftp://jobs.acme.com/x/12", "https://evil.com/x/12", None]
     got = one(spark, lambda c: V.url_identity(c, r"^jobs\.acme\.com$", r"^/([a-z]+)/(\d+)$", "site", "posting"), *urls)
     assert got[0].posting == "12" and got[1:] == [None] * 6
+    same = one(spark, lambda c: V.url_identity(c, r"^jobs\.acme\.com$", r"^/([a-z]+)/(\d+)$", "site", "posting"), "https://jobs.acme.com:443/x/12", "http://jobs.acme.com/x/12", " https://JOBS.acme.com/x/12?a#b ")
+    assert [r and r.posting for r in same] == ["12", None, "12"]
 
 
 def test_unique_match_needs_one_target(spark):
@@ -145,25 +148,121 @@ def test_spans_address_the_text(spark):
 
 
 def test_clean_html():
-    raw = "<nav>menu</nav><h1>Job</h1><ul><li>one<li>two</ul><p aria-hidden='true'>no</p><div class='cookie-banner'>no</div>a&amp;amp;b<script>x</script>"
-    assert HT.visible_text(raw) == "Job\n- one\n- two\na&b"
-    assert HT.visible_text(None) == "" and HT.visible_text("plain  text\r\n\r\nline") == "plain text\nline"
+    raw = "<nav>menu</nav><h1>Job</h1><ul><li>one<li>two</ul><p aria-hidden='true'>no</p><div class='cookie-banner'>no<div>no</div></div>a&amp;amp;b<script>if (a < b) '<p>'</script>"
+    assert HT.shown(raw) == "Job\n- one\n- two\na&b"
+    assert HT.shown(None) == "" and HT.shown("plain  text\r\n\r\nline") == "plain text\nline" and HT.shown("a < b<br/>c<p hidden>d</p><input hidden>e") == "a < b\nce"
 
 
-def test_language_requirements():
-    got = HT.language_clauses("Fluent English required; German B2 or higher is an advantage\nWe sell Spanish wine", HT.LANGUAGES)
-    assert [(g["language"], g["requirement"], g["cefr"], g["comparator"]) for g in got] == [("en", "required", None, None), ("de", "preferred", "B2", "at_least")]
+def test_page_records(spark):
+    html = '<span class="paginationLabel">Results <b>1 - 25</b> of <b>1,130</b></span><span data-careersite-propertyid="city"> Brno <i>2</i></span><div itemprop="datePosted">2026-01-02</div>'
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "")], "id int, h string")
+    assert [tuple(r) for r in HT.page_range(pages, "id", "h").orderBy("id").collect()] == [(1, 1, 25, 1130), (2, None, None, None), (3, None, None, None)]
+    assert [tuple(r) for r in HT.page_properties(pages, "id", "h").collect()] == [(1, 0, "city", "Brno 2")]
+    assert HT.parse_detail(pages, "id", "h").orderBy("id").first().posted == "2026-01-02"
 
 
-def test_pay():
-    got = HT.pay_offers_of("Salary 30 000 - 45 000 CZK / month gross\nBonus 500 EUR per year\n€60k annually\n90-80 EUR per day")
-    assert [(g["low"], g["high"], g["currency"], g["period"], g["basis"]) for g in got] == [(30000, 45000, "CZK", "month", "gross"), (60000, None, "EUR", "year", "unknown")]
-    assert [b["text"] for b in HT.benefit_lines_of("meal allowance 110 CZK per day\nsalary 5 EUR per day")] == ["meal allowance 110 CZK per day"]
+def texts(spark, *values):
+    return spark.createDataFrame(list(enumerate(values)), "id int, t string")
+
+
+def test_language_requirements(spark):
+    text = "Fluent English required; German B2 or higher is an advantage\nWe sell Spanish wine\nčeština a polština podmínkou"
+    got = X.language_requirements(texts(spark, text, None, ""), "id", "t").collect()
+    assert [(g.language, g.requirement, g.cefr, g.comparator) for g in got] == [("en", "required", None, None), ("de", "preferred", "B2", "at_least"), ("cs", "required", None, None), ("pl", "required", None, None)]
+    assert {text[g.start : g.end] for g in got} == {"Fluent English required", " German B2 or higher is an advantage", "čeština a polština podmínkou"}
+
+
+def test_pay(spark):
+    text = "Salary 30 000 - 45 000 CZK / month gross in Brno\nBonus 500 EUR per year\n€60k annually\n90-80 EUR per day\n7 per hour"
+    got = X.pay_offers(texts(spark, text, None), "id", "t", CITY_ALIASES).collect()
+    assert [(int(g.low), g.high and int(g.high), g.currency, g.period, g.basis, g.component, g.places) for g in got] == [(30000, 45000, "CZK", "month", "gross", "base", "Brno"), (60000, None, "EUR", "year", "unknown", "unknown", None)]
+    assert [text[g.start : g.end] for g in got] == ["30 000 - 45 000 CZK / month", "€60k annually"]
+    long = "meal allowance 110 CZK per day\nsalary 5 EUR per day\n" + "word " * 90 + "pension 900 CZK monthly " + "more " * 90
+    got = X.monetary_benefits(texts(spark, long), "id", "t").orderBy("start").collect()
+    assert got[0].text == "meal allowance 110 CZK per day" and len(got) == 2
+    assert got[1].text.startswith("word word") and "pension 900 CZK monthly" in got[1].text and len(got[1].text) < 260 and long[got[1].start : got[1].end].strip() == got[1].text
+
+
+def test_titles_and_years_without_accents(spark):
+    f = texts(spark, "Senior breditel reditel", "Manazerka", "lead generation (m/f/d)").select(X.title_facts(F.col("t")).alias("f")).select("f.*").collect()
+    assert [(r.levels, r.leaders, r.role) for r in f] == [(["senior"], ["director"], "breditel reditel"), ([], ["manager"], "Manazerka"), ([], [], "lead generation")]
+    got = X.experience_ranges(texts(spark, "2 az 5 let praxe\nMinimalne 3 roky, zkusenost"), "id", "t").collect()
+    assert [(r.min_years, r.max_years, r.start) for r in got] == [(2, 5, 0), (3, None, 17)]
+
+
+def test_verbs_need_a_qualifier(spark):
+    m = X.dictionary_mentions(texts(spark, "you excel at work. skills: excel; React fast, and then some of us did react"), "id", "t", {"Excel": "excel", "React": "react"}, ("Excel", "React")).collect()
+    assert sorted((r.value, r.start) for r in m) == [("Excel", 27), ("React", 34)]
 
 
 def test_places(spark):
-    got = one(spark, lambda c: X.parse_place_label(c, COUNTRY_ALIASES, CITY_ALIASES), "Praha, Czechia", "Brno - Germany", "Remote", "", "Prague / Brno")
-    assert [(g.city, g.country, g.reason) for g in got] == [("Prague", "CZ", None), ("Brno", "DE", None), (None, None, "not_a_place"), (None, None, "empty"), (None, None, "unknown_label")]
+    got = one(spark, lambda c: PL.parse_place_label(c, COUNTRY_ALIASES, CITY_ALIASES), "Praha, Czechia", "Brno - Germany", "Remote", "", "Prague / Brno", "Hybrid in Brno 12", "all jobs", "a walk from Brno to Praha")
+    assert [(g.city, g.country, g.reason) for g in got] == [("Prague", "CZ", None), (None, "DE", None), (None, None, "workplace_or_broad_scope"), (None, None, "empty"), (None, None, "unknown_label"), ("Brno", "CZ", None), (None, None, "navigation_or_marketplace"), (None, None, "unknown_label")]
+
+
+def test_countries_of_the_iso_list(spark):
+    rows = {r.alias: r.country for r in load_dimension(spark, "countries").collect()}
+    assert rows["nzl"] == rows["new zealand"] == "NZ" and rows["cesko"] == "CZ" and len(set(rows.values())) > 240
+
+
+def test_unknown_activity_counts_as_active(spark):
+    c = spark.createDataFrame([("a", "x", 5, None, "1"), ("a", "y", 5, False, "2"), ("b", "x", 5, None, "3"), ("b", "y", 5, True, "4")], "k string, value string, score int, active boolean, evidence_id string")
+    assert {r.k: (r.state, r.value) for r in P.select_fact(c, ["k"]).collect()} == {"a": ("known", "x"), "b": ("conflict", None)}
+    d = spark.createDataFrame([("j", "complete", None, 1, 10, "s", 1), ("j", "complete", False, 2, 90, "s", 2)], "job string, quality string, active boolean, native int, length int, source string, id int")
+    assert [r.id for r in P.select_description(d, "job").where("selected").collect()] == [1]
+
+
+def test_modes_of_feeds(spark):
+    rule = lambda feed: lambda c: V.remote_type(c, feed)
+    assert one(spark, rule("smartrecruiters_direct"), "true", "false", None) == ["remote", "unknown", "unknown"]
+    assert one(spark, rule("ashby_direct"), "OnSite", "true", "temporary") == ["onsite", "remote", "unknown"]
+    assert one(spark, rule("workday_direct"), "Partially Remote", "In person", "on site only") == ["hybrid", "onsite", "unknown"]
+    body = lambda **k: json.dumps(k)
+    rows = lambda *b: spark.createDataFrame([("s", x) for x in b], "scope string, body string")
+    mode = lambda feed, *b: [r.remote_type for r in S.project_canonical(rows(*b), feed).collect()]
+    assert mode("smartrecruiters_direct", body(location={"remote": True}), body(location={"remote": False})) == ["remote", "unknown"]
+    assert mode("ashby_direct", body(workplaceType="x", isRemote=True), body(workplaceType="Hybrid", isRemote=True)) == ["remote", "hybrid"]
+    assert mode("fantastic_jobs_apify", body(location_type="TELECOMMUTE", ai_work_arrangement="On-site"), body(ai_work_arrangement="On-site")) == ["remote", "onsite"]
+
+
+def test_contained_texts_of_few_words(spark):
+    word, five = "x1" * 65, " ".join(c * 300 for c in "abcde")
+    small = spark.createDataFrame([(1, word), (2, five), (3, "a" + " " * 130 + "b"), (4, "z" * 130)], "s int, text string")
+    big = spark.createDataFrame([(1, f"see y{word}y here"), (2, f"start a{five}e end"), (3, "ba" + " " * 130 + "bb"), (4, "nothing of it " * 20)], "b int, text string")
+    assert {(r.s, r.b) for r in L.contained_in(small, "s", big, "b").collect()} == {(1, 1), (2, 2), (3, 3)}
+
+
+def test_duplicates_with_word_similarity(spark):
+    desc = "the quick brown fox jumps over the lazy dog near the river bank"
+    rows = [(1, "acme", "data analyst", "brno", False, desc), (2, "acme", "data analyst", "brno", False, desc), (3, "acme", "data analyst", "brno", False, desc), (4, "acme", "data analyst ii", "brno", False, "jumps over the lazy dog"), (5, "other", "data analyst", "brno", False, desc), (6, "", "data analyst", "brno", False, desc)]
+    jobs = spark.createDataFrame(rows, "id int, block string, title string, location string, remote boolean, description string")
+    sources = spark.createDataFrame([(i, "lever_direct" if i != 5 else "odd") for i in range(1, 7)], "job_id int, source_name string")
+    got = {(r.a, r.b): r for r in L.duplicate_candidates(jobs, None, sources, ["lever_direct"]).collect()}
+    assert got.keys() == {(1, 2), (1, 3), (1, 4)} and got[1, 2].confidence == 1.0 and got[1, 4].description_similarity == pytest.approx(best_extent("jumps over the lazy dog", desc))
+    old = spark.createDataFrame([(1, 2, "rejected"), (1, 4, "pending")], "a int, b int, status string")
+    again = L.rebuilt_candidates(old, L.duplicate_candidates(jobs, old, words=False).select("a", "b", "confidence"))
+    assert {(r.a, r.b): r.status for r in again.collect()} == {(1, 2): "rejected", (1, 3): "pending", (1, 4): "pending"}
+
+
+def test_word_similarity_equals_all_extents():
+    import random
+
+    def plain(short, long):
+        from tablewright.functions.word_similarity import ordered_trigrams
+
+        want, row = set(ordered_trigrams(short)), ordered_trigrams(long)
+        return max((len(want & set(row[i:j])) / len(want | set(row[i:j])) for i in range(len(row)) for j in range(i + 1, len(row) + 1)), default=0.0) if want else 0.0
+
+    rng = random.Random(3)
+    for _ in range(60):
+        a, b = (" ".join(rng.choices(["data", "analyst", "date", "ana", "baker", "x"], k=rng.randrange(0, n))) for n in (4, 7))
+        assert best_extent(a, b) == pytest.approx(plain(a, b))
+
+
+def test_neighbour_context(spark):
+    docs = texts(spark, "a one b one c", "one")
+    got = X.neighbour_context(X.find_all(docs, "id", "t", "one"), ["id"], docs, "id", "t").collect()
+    assert sorted((r.id, r.start, r.before, r.after) for r in got) == [(0, 2, "a ", " b "), (0, 8, " b ", " c"), (1, 0, "", "")]
 
 
 def test_policies_are_checked(spark):
