@@ -1,23 +1,27 @@
 """Suffix-array dedup by prefix-free parsing: bytes of 50-byte strings that an earlier document also has are removed.
 
-A hash rolls over the TRIGGER bytes from each position. Every 50-byte string is named by the smallest hash in it, and a phrase is a
-run of neighbouring strings of one name, with its last 49 bytes shared with the next phrase. So phrases depend on content only: equal
-texts are parsed equally, and two equal 50-byte strings always lie in phrases of one name. The corpus becomes a dictionary of
-distinct phrases and, for each document, a parse of them.
+The order of all suffixes of the corpus brings equal 50-byte strings together; in each run of neighbours that share their first 50 bytes, every
+string of another than the smallest document goes. The order is worked out in parts that can be sorted apart from each other, and each part by
+prefix-free parsing (`corpus_order`): a hash rolls over the text, its triggers cut phrases that overlap by the trigger, the
+distinct phrases are the dictionary and their sequence is the parse. The suffix array of the dictionary orders suffixes within a
+phrase, which are prefix-free, and the suffix array of the parse breaks the ties by what follows the phrase; both combine into the
+order of the part. Where text repeats much, the dictionary is small and most of the order comes from the parse.
 
-The order of all corpus suffixes, as far as 50 bytes tell them apart, is that of the dictionary's suffixes; the parse adds in which
-documents a phrase stands, of which only the smallest id matters. Suffixes of the dictionary are sorted within the bucket of their name,
-which loses nothing because equal strings share a name. Equal neighbours in that order give the smallest document of each string.
+Parts: another rolling hash, over TRIGGER bytes, names every 50-byte string by the smallest hash in it. Equal strings have equal names, so
+strings are dealt by name, as runs of neighbouring strings of one name (with their last 49 bytes shared with the next run). Equal texts
+are cut equally.
 
 Work is cut down before anything is sorted. Documents are dealt by a hash of their id to blocks of about BLOCK_BYTES, and blocks talk to
 buckets of names in three rounds, each a compact list from block to bucket and an answer of bits back:
 
 1. names: which of them occur in more than one document;
-2. phrases of those: which have a smaller document elsewhere (all their strings go), and which share a name with other phrases;
-3. the latter's bytes, once for each distinct phrase: its suffixes are sorted, and the strings with a smaller document are marked.
+2. runs of those names: which have a smaller document elsewhere (all their strings go), and which share a name with other phrases;
+3. the latter's bytes, once for each distinct run: its suffixes are put in order, and the strings with a smaller document are marked.
 
 Matches never cross documents. A repeat within one document stays. Null text counts as empty. Rows with a null id lose nothing and take
-nothing from others. Repeated rows of one id are handled each and take nothing from one another.
+nothing from others. Repeated rows of one id are handled each and take nothing from one another. Of a tie between documents the smallest
+id keeps the string. A very long text is parsed whole, alone in its chunk; its block holds it in memory. Empty texts and an empty table
+give rows of zeros and no row. Other columns of the caller are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +39,10 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import table
 
 LENGTH, TRIGGER = 50, 24
-BLOCK_BYTES = 4_000_000
+#: Bytes of text in a block of documents, and bytes of text whose names meet in one bucket.
+BLOCK_BYTES, BUCKET_BYTES = 4_000_000, 16_000_000
+#: The parse within a bucket: bytes of a trigger, and one of so many places is one.
+PHRASE_TRIGGER, PHRASE_EVERY = 6, 24
 #: Bytes of text that are parsed at once within a block.
 CHUNK_BYTES = 400_000
 NAME_BITS = 44
@@ -132,6 +139,79 @@ def runs(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
 
 
+def ranked(keys: np.ndarray) -> np.ndarray:
+    """The rank of each key among the distinct keys, from 1."""
+    order = np.argsort(keys)
+    new = np.r_[True, np.diff(keys[order]) != 0] if len(keys) else np.zeros(0, bool)
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.cumsum(new)
+    return rank
+
+
+def suffix_ranks(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Ranks (equal for equal ones) of the suffixes of all strings that stand one after the other in `symbols`; `left` counts the symbols from
+    each place to its string's end. Prefix doubling: suffixes ranked by their first k symbols are ranked by 2k with the rank k places on."""
+    n, k = len(symbols), 1
+    if not n:
+        return symbols
+    longest, most = int(left.max()), int(symbols.max()) + 1
+
+    def on(values: np.ndarray, k: int) -> np.ndarray:
+        """The value k places on, 0 behind the string's end."""
+        out = np.zeros(n, np.int64)
+        far = np.flatnonzero(left > k)
+        out[far] = values[far + k]
+        return out
+
+    # As many symbols as fit into one number are ranked at once.
+    key = symbols
+    while k < longest and most * most < 1 << 62:
+        key, most, k = key * most + on(key, k), most * most, k * 2
+    rank = ranked(key)
+    while k < longest and rank.max() < n:
+        new = ranked(rank * (n + 1) + on(rank, k))
+        if new.max() == rank.max():  # what k more symbols don't tell apart, none do
+            break
+        rank, k = new, k * 2
+    return rank
+
+
+def corpus_order(raw: np.ndarray, ends: np.ndarray, width: int = PHRASE_TRIGGER, every: int = PHRASE_EVERY) -> np.ndarray:
+    """All places of the texts that stand one after the other in `raw` (the end of each in `ends`), in the order of their suffixes."""
+    sizes = np.diff(np.r_[0, ends])
+    text = np.repeat(np.arange(len(ends)), sizes)
+    n = len(raw)
+    # Triggers: places where the hash of `width` bytes of one text is zero modulo `every`. A phrase runs from a trigger (or the
+    # text's start) to the end of the next trigger (or of the text).
+    h = np.zeros(max(0, n - width + 1), np.uint64)
+    for j in range(width):
+        h = h * np.uint64(BASE) + BYTE[raw[j : n - width + 1 + j]]
+    hit = np.flatnonzero(mix(h, 0xBF58476D1CE4E5B9) % np.uint64(every) == 0)
+    hit = hit[(hit + width <= ends[text[hit]])] if len(hit) else hit
+    start = np.union1d(hit, (ends - sizes)[sizes > 0]).astype(np.int64)
+    follows = np.r_[start[1:], n]
+    last = np.r_[text[start[1:]] != text[start[:-1]], True] if len(start) else np.zeros(0, bool)
+    stop = np.where(last, ends[text[start]], follows + width) if len(start) else start
+    # The dictionary, and the parse as numbers of its phrases.
+    data = raw.tobytes()
+    known: dict[tuple[bytes, bool], int] = {}
+    parse_ = np.fromiter((known.setdefault((data[a:b], z), len(known)) for a, b, z in zip(start.tolist(), stop.tolist(), last.tolist(), strict=True)), np.int64, len(start))
+    # A text's last phrase has an end mark that sorts before all bytes, so that no phrase suffix is a prefix of another.
+    size = np.fromiter((len(p) + z for p, z in known), np.int64, len(known))
+    symbols = np.frombuffer(b"".join(p + b"\0" * z for p, z in known), np.uint8).astype(np.int64) + 2
+    begin = np.cumsum(size) - size
+    symbols[(begin + size - 1)[np.fromiter((z for _, z in known), bool, len(known))]] = 1
+    left = np.repeat(begin + size, size) - np.arange(len(symbols))
+    in_phrase = suffix_ranks(symbols, left)
+    # The suffix array of the parse: phrases by their rank, texts apart.
+    after = suffix_ranks(in_phrase[begin[parse_]], np.repeat(np.flatnonzero(last) + 1, np.diff(np.r_[0, np.flatnonzero(last) + 1])) - np.arange(len(parse_)))
+    # Each place belongs to the phrase in which more than a trigger follows it.
+    phrase = np.repeat(np.arange(len(start)), follows - start)
+    place = np.arange(n) - start[phrase]
+    tail = np.where(last, 0, np.r_[after[1:], 0])
+    return np.lexsort((tail[phrase], in_phrase[begin[parse_[phrase]] + place]))
+
+
 class Parser:
     """What one block knows: its texts, its names and its phrases. All lists are made anew in each round, in the same order."""
 
@@ -285,27 +365,31 @@ class Rounds:
         return mail(out)
 
     def share_bytes(self, letters: pa.Table) -> pa.Table:
-        """Sorts the suffixes of the bucket's phrases to the depth of one string and marks those that a smaller document has."""
-        strings, owner, counts = [], [], []
+        """Puts the suffixes of the bucket's runs in order and marks the strings that a smaller document has."""
+        parts, sizes, owners, of_letter = [], [], [], []
         for blob in letters.column("blob").to_pylist():
             n = int(np.frombuffer(blob[:4], np.int32)[0])
-            size = np.frombuffer(blob[4 : 4 + 4 * n], np.int32).astype(np.int64)
-            own = np.frombuffer(blob[4 + 4 * n : 4 + 12 * n], np.int64)
-            raw = np.frombuffer(blob[4 + 12 * n :], np.uint8)
-            count = size - self.length + 1
-            first = np.cumsum(size) - size
-            start = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
-            windows = np.lib.stride_tricks.sliding_window_view(raw, self.length)[start]
-            strings.append(np.ascontiguousarray(windows).view(f"S{self.length}").ravel())
-            owner.append(np.repeat(own, count))
-            counts.append(int(count.sum()))
-        text, own = np.concatenate(strings), np.concatenate(owner)
-        order = np.argsort(text, kind="stable")
-        edge = runs(text[order])
-        least = np.repeat(np.minimum.reduceat(own[order], edge), np.diff(np.r_[edge, len(order)]))
-        gone = np.zeros(len(order), bool)
-        gone[order] = least < own[order]
-        out = np.split(gone, np.cumsum(counts)[:-1])
+            sizes.append(np.frombuffer(blob[4 : 4 + 4 * n], np.int32).astype(np.int64))
+            owners.append(np.frombuffer(blob[4 + 4 * n : 4 + 12 * n], np.int64))
+            parts.append(np.frombuffer(blob[4 + 12 * n :], np.uint8))
+            of_letter.append(int((sizes[-1] - self.length + 1).sum()))
+        raw, size = np.concatenate(parts), np.concatenate(sizes)
+        ends = np.cumsum(size)
+        own = np.repeat(np.concatenate(owners), size)
+        whole = np.arange(len(raw)) + self.length <= np.repeat(ends, size)  # places where a string starts
+        order = corpus_order(raw, ends)
+        order = order[whole[order]]
+        windows = np.lib.stride_tricks.sliding_window_view(raw, self.length) if len(order) else np.zeros((0, self.length), np.uint8)
+        same = np.zeros(len(order), bool)
+        for at in range(1, len(order), 100_000):
+            here = order[at : at + 100_000]
+            same[at : at + 100_000] = (windows[here] == windows[order[at - 1 : at - 1 + len(here)]]).all(axis=1)
+        edge = np.flatnonzero(~same)
+        gone = np.zeros(len(raw), bool)
+        if len(edge):
+            least = np.repeat(np.minimum.reduceat(own[order], edge), np.diff(np.r_[edge, len(order)]))
+            gone[order] = least < own[order]
+        out = np.split(gone[whole], np.cumsum(of_letter)[:-1])
         bucket = letters.column("bucket")[0].as_py()
         return mail([(bucket, block, 3, np.packbits(x).tobytes()) for block, x in zip(letters.column("block").to_pylist(), out, strict=True)])
 
@@ -360,7 +444,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER)
     total = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
     n = max(12, -(-total // BLOCK_BYTES))
     blocks = rows.where("doc_id IS NOT NULL").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
-    r = Rounds(n, length, trigger)
+    r = Rounds(max(12, -(-total // BUCKET_BYTES)), length, trigger)
     by_block = lambda letters: blocks.groupBy("block").cogroup(letters.groupBy("block"))
     names = blocks.groupBy("block").applyInArrow(lambda t: r.send_names(t), MAIL).groupBy("bucket").applyInArrow(lambda t: r.share_names(t), MAIL)
     phrases = by_block(names).applyInArrow(lambda d, t: r.send_phrases(d, t), MAIL).groupBy("bucket").applyInArrow(lambda t: r.share_phrases(t), MAIL)

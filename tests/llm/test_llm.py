@@ -130,6 +130,17 @@ def test_suffix_dedup_equals_brute_force(docs, plain, empty):
     assert suffix_dedup.suffix_dedup(empty).count() == 0
 
 
+def test_combined_order_equals_sorted_suffixes():
+    rng = random.Random(1)
+    for trial in range(80):
+        letters = rng.choice([b"ab", b"abcdefgh", b"\0\1\2", bytes(range(256))])
+        texts = [bytes(rng.choices(letters, k=rng.randrange(0, 60))) for _ in range(rng.randrange(1, 12))]
+        texts += [texts[0] * 3, texts[0], b"a" * 90] if trial % 3 == 0 else []
+        order = suffix_dedup.corpus_order(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts]), 3, 4)
+        suffixes = [t[i:] for t in texts for i in range(len(t))]
+        assert [suffixes[i] for i in order] == sorted(suffixes) and sorted(order.tolist()) == list(range(len(suffixes)))
+
+
 def test_suffix_dedup_other_lengths(docs, plain):
     got = [tuple(r) for r in suffix_dedup.suffix_dedup(docs, length=20, trigger=9).collect()]
     assert sorted(got, key=key) == sorted(brute_suffix(plain, 20), key=key)
