@@ -13,8 +13,9 @@ Calibration: a part of the sample is kept from training. A temperature is fitted
 threshold is the probability that all but a stated share of its texts exceed. `rejected` says that a text has
 no language (null, or no letter) or scores below the threshold.
 
-Null ids, null labels and empty texts are never learned from. With nothing to learn from, every text is `und`.
-Repeated rows are scored each; no row is dropped.
+Null ids, null labels and empty texts are never learned from. With nothing to learn from, every text is `und`. Repeated rows are scored each; no
+row is dropped, and an empty table gives none. Very long texts and words are read whole. Of equal probabilities the language that sorts first is
+given. The caller's own columns named lang_pred, score or rejected are replaced, all others stay.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ numbered within their length without gathering a length in one task (a salted ra
 salts), and the number decides the slot.
 
 Null text counts as empty: one piece that holds the end token alone. Repeated rows are packed each; rows with
-a null id as well. Ties between equal lengths are broken by id and piece, which changes no sequence's size.
+a null id as well. Ties between equal lengths are broken by id and piece, which changes no sequence's size. A very long text is tokenized whole
+and gives as many pieces as it needs. An empty table gives no piece. Other columns of the caller are not read.
 """
 
 from __future__ import annotations

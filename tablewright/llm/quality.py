@@ -12,7 +12,8 @@ each further pass only the documents of its block, so no text is shuffled and ea
 
 Null text counts as empty: no word, so base_failed. A text without n-grams scores 0. Repeated rows are judged
 each. Without trusted documents the two multinomials are taken as equal, so every score is 0. A document with
-a null id is judged but never trusted. Labels that repeat an id count once; one bad label is enough to distrust.
+a null id is judged but never trusted. Labels that repeat an id count once; one bad label is enough to distrust. A score that equals the threshold
+is kept. Very long texts are judged whole; an empty table gives no row. Other columns of the caller are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ one token for each of its UTF-8 bytes (byte fallback), or one token for each run
 Spaces become U+2581 and one is put before the text, as the public model files expect. Where no piece of the
 vocabulary reaches over a border of a word, words can be solved one at a time and remembered.
 
-Null and empty texts have 0 tokens. Repeated rows are counted each; no row is dropped.
+Null and empty texts have 0 tokens. Repeated rows are counted each; no row is dropped, and an empty table gives none. Very long texts are counted
+whole, word by word where the vocabulary allows it. Other columns of the caller are not read.
 """
 
 from __future__ import annotations
