@@ -120,9 +120,14 @@ def location_text(*places: Column) -> Column:
     return F.nullif(F.array_join(ordered_distinct(labels), " | "), F.lit(""))
 
 
+def joined_description(parts: Column) -> Column:
+    """P08 for an array: the parts that are not blank, a blank line between them."""
+    return F.array_join(F.filter(parts, lambda x: x.isNotNull() & (F.trim(x) != "")), "\n\n")
+
+
 def description_text(*parts: Column) -> Column:
     """The parts that are not blank, a blank line between them."""
-    return F.array_join(F.filter(F.array(*parts), lambda x: x.isNotNull() & (F.trim(x) != "")), "\n\n")
+    return joined_description(F.array(*parts))
 
 
 def salary_text(label: Column, low: Column, high: Column, currency: Column) -> Column:

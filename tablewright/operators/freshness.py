@@ -23,14 +23,31 @@ def composition(sources: DataFrame, job: str, direct: list[str], a: str, b: str)
     return flags.select(job, name.alias("composition"))
 
 
+def exact_median(df: DataFrame, by: str, value: Column, width: int) -> DataFrame:
+    """(by, median) of a whole number, exact, without all values of a group in one task: values are counted in bins of `width`, and only those of the
+    bins that hold the middle are looked at, once for each distinct value."""
+    rows = df.select(by, value.cast("long").alias("_v")).where("_v IS NOT NULL").withColumn("_bin", F.floor(F.col("_v") / width))
+    w = Window.partitionBy(by)
+    bins = rows.groupBy(by, "_bin").agg(F.count("*").alias("_k")).withColumns({"_n": F.sum("_k").over(w), "_upto": F.sum("_k").over(w.orderBy("_bin"))})
+    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)  # ranks of the middle, from 0
+    middle = bins.where((F.col("_upto") > low) & (F.col("_upto") - F.col("_k") <= high)).select(by, "_bin", "_n", (F.col("_upto") - F.col("_k")).alias("_ahead"))
+    inside = rows.join(middle, [by, "_bin"]).groupBy(by, "_v").agg(F.count("*").alias("_k"), F.min("_ahead").alias("_ahead"), F.min("_n").alias("_n"))
+    upto = F.min("_ahead").over(w) + F.sum("_k").over(w.orderBy("_v"))
+    placed = inside.withColumn("_upto", upto)
+    at = lambda rank: F.max(F.when((F.col("_upto") > rank) & (F.col("_upto") - F.col("_k") <= rank), F.col("_v")))
+    return placed.groupBy(by).agg(((at(low) + at(high)) / 2).alias("median"))
+
+
 def family_stats(sources: DataFrame, job: str, now: Column) -> DataFrame:
     """One row for each source: totals, distinct jobs, newest and oldest evidence, exact median age of active rows in days."""
     active = F.coalesce("is_active", F.lit(False))
-    age = F.when(active, (F.unix_micros(now) - F.unix_micros("last_seen_at")) / 86400e6)
-    return sources.groupBy("source_name").agg(
+    stats = sources.groupBy("source_name").agg(
         F.count("*").alias("total"), F.count_if(active).alias("active"), F.count_if(~active).alias("inactive"), F.count_distinct(job).alias("jobs"),
-        F.max("last_seen_at").alias("newest_seen"), F.min(F.when(active, F.col("last_seen_at"))).alias("oldest_active"), F.round(F.median(age), 3).alias("median_age_days"),
+        F.max("last_seen_at").alias("newest_seen"), F.min(F.when(active, F.col("last_seen_at"))).alias("oldest_active"),
     )
+    age = F.unix_micros(now) - F.unix_micros("last_seen_at")
+    median = exact_median(sources.where(active), "source_name", age, 60_000_000)
+    return stats.join(median, "source_name", "left").withColumn("median_age_days", F.round(F.col("median") / 86400e6, 3)).drop("median")
 
 
 def age_matrix(jobs: DataFrame, sources: DataFrame, job: str, now: Column, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
@@ -54,10 +71,19 @@ def failure_streak(runs: DataFrame, scope: str) -> DataFrame:
     return runs.join(last_ok, scope).groupBy(scope).agg(F.count_if(~F.col("ok") & since).alias("streak"), F.max("last_ok.started_at").alias("last_success"), F.max("last_error").alias("last_error"))
 
 
+def scope_history(runs: DataFrame, scope: str, event: str, last: int = 5) -> DataFrame:
+    """W03 of each scope, with what its last runs were, newest first."""
+    recent = latest_runs(runs.withColumn("source_name", F.col(scope)), last).groupBy(scope).agg(F.sort_array(F.collect_list(F.struct("started_at", "id", event)), asc=False).alias("_r"))
+    return failure_streak(runs, scope).join(recent.select(scope, F.transform("_r", lambda x: x[event]).alias("recent")), scope)
+
+
+def in_force(now: Column) -> Column:
+    return (F.col("reviewed_at") <= now) & (now < F.col("review_expires_at"))
+
+
 def with_valid_review(df: DataFrame, policies: DataFrame, on: list[str], now: Column) -> DataFrame:
-    """The policy of a row's scope if its review is in force; policies are reviewed files, short enough to be broadcast."""
-    valid = policies.where((F.col("reviewed_at") <= now) & (now < F.col("review_expires_at")))
-    return df.join(F.broadcast(valid), on, "left")
+    """The policy of a row's scope if its review is in force. One row for each scope, so the join is left to the optimiser."""
+    return df.join(policies.where(in_force(now)), on, "left")
 
 
 def proven(sources: DataFrame, runs: DataFrame, scopes: DataFrame, state: str) -> DataFrame:
@@ -124,30 +150,77 @@ def reason_counts(df: DataFrame) -> DataFrame:
     return df.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-def classify_scopes(rows: DataFrame, now: Column) -> DataFrame:
-    """Rows (scope, ok, complete, unknown_ids, failures, with the joined review's state and expiry) to state, coverage and alerts."""
-    reviewed = F.col("review_state").isNotNull()
-    state = (
-        F.when(F.col("ok") & F.col("complete"), "healthy").when(F.col("ok") & (F.col("unknown_ids") > 0), "identity_incomplete").when(F.col("ok"), "partial").when(reviewed, "known_gap").otherwise("failed")
+#: Review states that keep a scope from acting, and counters of a record-quality ledger that call for an alert.
+QUARANTINE = ("KNOWN_UNAVAILABLE", "NEEDS_REVIEW")
+ALERT_COUNTERS = ("identity_unknown", "unclassified", "required_failures", "fetch_failures")
+
+
+def classify_scopes(rows: DataFrame, policies: DataFrame, now: Column) -> DataFrame:
+    """State, coverage, eligibility and alerts of each scope.
+
+    Rows: scope, source_name, ok (acquisition), successful and complete (of the inventory; null where there is no evidence), transient, error, signature
+    (of the coverage), the counters of ALERT_COUNTERS, systemic, and manifest_complete (null without a manifest). Policies: scope,
+    review_state, reviewed_at, review_expires_at, expected_error, expected_signature. A review never grants eligibility: it only explains a gap that
+    looks exactly as it was reviewed, or withholds eligibility, even after it has run out."""
+    j = rows.join(policies.withColumn("_valid", in_force(now)), "scope", "left")
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    reviewed, valid = F.col("review_state").isNotNull(), yes(F.col("_valid"))
+    ok, complete = F.col("ok"), F.col("ok") & yes(F.col("successful")) & yes(F.col("complete"))
+    matched = valid & F.when(F.col("expected_error").isNotNull(), yes(F.col("error") == F.col("expected_error"))).otherwise(yes(F.col("signature") == F.col("expected_signature")))
+    counters = [F.coalesce(c, F.lit(0)) > 0 for c in ALERT_COUNTERS]
+    quality = yes(F.col("systemic")) | counters[0] | counters[1] | counters[2] | counters[3]
+    blocked = F.when(F.col("manifest_complete").isNotNull(), ~F.col("manifest_complete") | yes(F.col("systemic"))).otherwise(quality)
+    quarantined = yes(F.col("review_state").isin(*QUARANTINE))
+    contradicted = complete & reviewed & (F.col("review_state") != "HEALTHY")
+    unproved = ok & (F.col("successful").isNull() | F.col("complete").isNull())
+    coverage = (
+        F.when(complete & quality & blocked, "INCOMPLETE")
+        .when(unproved, "UNKNOWN")
+        .when(ok & ~yes(F.col("successful")), "INCOMPLETE")
+        .when(contradicted, "INCOMPLETE")
+        .when(complete, "AUTHORITATIVE_COMPLETE")
+        .when(matched, F.when(ok, "NON_AUTHORITATIVE_EXPECTED").otherwise("UNAVAILABLE"))
+        .otherwise(F.when(ok, "INCOMPLETE").otherwise("UNAVAILABLE"))
     )
+    state = F.when(quarantined | matched, F.col("review_state")).when(ok, "HEALTHY").when(yes(F.col("transient")), "TRANSIENT_FAILURE").otherwise("NEEDS_REVIEW")
+    say = lambda cond, text: F.when(cond, F.lit(text))
     alerts = F.array_compact(F.array(
-        F.when(~F.col("ok") & ~reviewed, F.lit("unreviewed_failure")), F.when(F.col("ok") & reviewed, F.lit("reviewed_scope_recovered")),
-        F.when(F.col("unknown_ids") > 0, F.lit("identity_unknown")), F.when(reviewed & (F.col("review_expires_at") < now + hours(72)), F.lit("review_expires_soon")),
+        say(reviewed & ~valid, "review_expired_or_not_yet_effective"),
+        say(valid & F.col("expected_error").isNotNull() & ok, "reviewed_exception_changed_behavior_requires_review"),
+        say(contradicted, "reviewed_non_authoritative_scope_claimed_complete"),
+        say(~complete & ~matched & ok, "unexpected_coverage_gap"),
+        say(~complete & ~matched & ~ok, "unexpected_acquisition_failure"),
+        say(unproved, "missing_lifecycle_scope_evidence"),
+        say(ok & ~unproved & ~F.col("successful"), "acquisition_inventory_status_mismatch"),
+        say(quality, "record_quality_requires_review"),
+        say(complete & (counters[0] | counters[1]), "identity_coverage_requires_downgrade"),
+        say(yes(F.col("systemic")), "systemic_record_failure"),
     ))
-    return rows.select("scope", "source_name", state.alias("state"), (state == "healthy").alias("eligible"), F.array_join(alerts, ",").alias("alerts"), (state == "known_gap").alias("known_gap"))
-
-
-def evaluate_source(classified: DataFrame) -> DataFrame:
-    """The source's outcome from its scopes."""
-    out = classified.groupBy("source_name").agg(F.count("*").alias("scopes"), F.count_if(F.col("state") == "healthy").alias("healthy"), F.count_if("known_gap").alias("gaps"), F.count_if(F.col("state") == "failed").alias("failed"), F.count_if(F.col("alerts") != "").alias("alerted"))
-    status = F.when(F.col("healthy") == F.col("scopes"), "SUCCESS").when(F.col("healthy") == 0, "FAILED").when(F.col("healthy") + F.col("gaps") == F.col("scopes"), "SUCCESS_WITH_KNOWN_GAPS").otherwise("PARTIAL")
-    return out.withColumn("status", status)
+    out = j.select("scope", "source_name", state.alias("state"), coverage.alias("coverage"), (complete & ~blocked & ~quarantined).alias("eligible"), complete.alias("inventory_complete"), alerts.alias("alerts"), (matched & ~complete).alias("_gap"))
+    return out.withColumn("known_gap", F.col("_gap") & F.col("coverage").isin("NON_AUTHORITATIVE_EXPECTED", "UNAVAILABLE")).drop("_gap")
+
+
+def evaluate_source(classified: DataFrame, runs: DataFrame) -> DataFrame:
+    """The outcome of each source's run (source_name, status, requested) from its scopes, with totals. A source is not judged a success if scope rows
+    are missing or repeated, any scope has an alert, or a complete inventory is not eligible."""
+    odd = (F.size("alerts") > 0) | (F.col("inventory_complete") & ~F.col("eligible"))
+    seen = classified.groupBy("source_name").agg(F.count("*").alias("scopes"), F.count_distinct("scope").alias("distinct"), F.count_if("eligible").alias("eligible"), F.count_if("known_gap").alias("gaps"), F.count_if(F.col("state") == "NEEDS_REVIEW").alias("to_review"), F.count_if(odd).alias("alerted"))
+    j = runs.select("source_name", "status", "requested").join(seen, "source_name", "left").fillna(0, ["scopes", "distinct", "eligible", "gaps", "to_review", "alerted"])
+    accounted = (F.col("scopes") == F.col("requested")) & (F.col("distinct") == F.col("scopes"))
+    unexpected = ~accounted | (F.col("alerted") > 0)
+    outcome = (
+        F.when((F.col("scopes") == 0) | ((F.col("status") == "failed") & ~((F.col("gaps") == F.col("scopes")) & ~unexpected)), "FAILED")
+        .when(unexpected, "PARTIAL")
+        .when(F.col("gaps") > 0, "SUCCESS_WITH_KNOWN_GAPS")
+        .otherwise("SUCCESS")
+    )
+    return j.select("source_name", "scopes", "eligible", "gaps", "to_review", "alerted", accounted.alias("accounted"), outcome.alias("outcome"))
 
 
 def backlog_review(found: DataFrame, policies: DataFrame, now: Column) -> DataFrame:
     """Telemetry that equals a valid review in every field."""
-    valid = policies.where((F.col("reviewed_at") <= now) & (now < F.col("review_expires_at"))).select("scope", "native_total", F.lit(True).alias("reviewed")).distinct()
-    return found.join(F.broadcast(valid), ["scope", "native_total"], "left").withColumn("reviewed", F.coalesce("reviewed", F.lit(False)))
+    valid = policies.where(in_force(now)).select("scope", "native_total", F.lit(True).alias("reviewed")).distinct()
+    return found.join(valid, ["scope", "native_total"], "left").withColumn("reviewed", F.coalesce("reviewed", F.lit(False)))
 
 
 def probe_decisions(policies: DataFrame, probes: DataFrame, scope: str, now: Column) -> DataFrame:
@@ -160,33 +233,71 @@ def probe_decisions(policies: DataFrame, probes: DataFrame, scope: str, now: Col
 
 def accepted_gaps(health: DataFrame, policies: DataFrame, scope: str, now: Column, within: int = 72) -> DataFrame:
     """Scopes that failed but are reviewed, currently so, checked within the window and without effects."""
-    valid = policies.where((F.col("reviewed_at") <= now) & (now < F.col("review_expires_at"))).select(scope).distinct()
+    valid = policies.where(in_force(now)).select(scope).distinct()
     quiet = (F.col("checked_at") >= now - hours(within)) & (F.col("deactivated") == 0) & (F.col("reactivated") == 0) & ~F.col("ok")
     return health.where(quiet).join(valid, scope, "left_semi")
 
 
-def normalize_outcome(results: DataFrame, baseline: DataFrame, on: list[str], collapse_ratio: float = 0.2) -> DataFrame:
-    """A run's status after comparison with its baseline: a healthy run that finds nothing, or far less, is an anomaly."""
-    j = results.join(baseline.select(*on, F.col("observed").alias("base")), on, "left")
-    anomaly = F.when(F.col("ok") & (F.col("base") > 0) & (F.col("observed") == 0), "zero_inventory").when(F.col("ok") & (F.col("observed") < F.col("base") * collapse_ratio), "inventory_collapse")
-    status = F.when(~F.col("ok"), "FAILED").when(anomaly.isNotNull(), "PARTIAL").otherwise("SUCCESS")
-    return j.select(*on, "observed", anomaly.alias("anomaly"), status.alias("status"))
+def check_outcomes(results: DataFrame, scopes: DataFrame, on: list[str]) -> DataFrame:
+    """H10, first half: (on, problem) of results that contradict themselves or their scopes (on, scope, successful, complete, deactivated)."""
+    seen = scopes.groupBy(*on).agg(
+        F.count("*").alias("_rows"), F.count_distinct("scope").alias("_distinct"), F.sum("deactivated").alias("_deactivated"),
+        F.bool_or(F.col("successful").isNull() | F.col("complete").isNull()).alias("_void"), F.bool_or((F.col("complete") & ~F.col("successful")) | ((F.col("deactivated") > 0) & ~F.col("complete"))).alias("_unsafe"),
+    )
+    j = results.join(seen, on, "left").fillna(0, ["_rows", "_distinct", "_deactivated"]).fillna(False, ["_void", "_unsafe"])
+    problem = (
+        F.when(~F.coalesce(F.col("status").isin("success", "failed"), F.lit(False)) | F.col("run_id").isNull(), "malformed_outcome")
+        .when(F.least("requested", "fetched", "failed_records", "deactivated") < 0, "invalid_counter")
+        .when((F.col("_rows") > F.col("requested")) | F.col("_void"), "invalid_scope_diagnostics")
+        .when(F.col("_unsafe"), "unsafe_lifecycle_outcome")
+        .when(F.col("_distinct") < F.col("_rows"), "duplicate_scope_diagnostics")
+        .when(F.col("deactivated") != F.col("_deactivated"), "aggregate_does_not_match_scopes")
+    )
+    return j.select(*on, problem.alias("problem")).where("problem IS NOT NULL")
+
+
+def normalize_outcome(results: DataFrame, scopes: DataFrame, baseline: DataFrame, on: list[str], collapse_ratio: float = 0.2) -> DataFrame:
+    """(on, observed, gaps, volume, anomalies, status) of results (on, run_id, status, requested, fetched, failed_records, deactivated, gaps). Results with a
+    problem are left out. A baseline (on, observed, gaps) is comparable if it was taken with the same reviewed gaps."""
+    good = results.join(check_outcomes(results, scopes, on), on, "left_anti")
+    seen = scopes.groupBy(*on).agg(F.count_if("successful").alias("successful"), F.count_if("complete").alias("complete"))
+    j = good.join(seen, on, "left").fillna(0, ["successful", "complete"]).join(baseline.select(*on, F.col("observed").alias("_base"), F.col("gaps").alias("_gaps")), on, "left")
+    n, gaps = F.col("requested"), F.col("gaps")
+    same = F.coalesce(F.col("_gaps") == gaps, F.lit(False))
+    comparable = same & (F.col("_base") > 0)
+    say = lambda cond, text: F.when(cond, F.lit(text))
+    anomalies = F.array_compact(F.array(
+        say(n == 0, "no_scopes_requested"),
+        say((F.col("complete") == 0) & (n != gaps), "no_authoritative_complete_scopes"),
+        say(comparable & (F.col("fetched") == 0), "previously_nonempty_source_now_zero"),
+        say(comparable & (F.col("fetched") > 0) & (F.col("fetched") < F.col("_base") * collapse_ratio), "unexpected_result_collapse"),
+    ))
+    volume = F.when(F.col("_base").isNull(), "unavailable").when(~same, "not_comparable_coverage_changed").when(comparable, "comparable").otherwise("unavailable")
+    status = (
+        F.when((F.col("status") == "failed") | ((n > 0) & (F.col("successful") == 0) & (n != gaps)), "FAILED")
+        .when((F.col("complete") + gaps != n) | (F.col("failed_records") > 0) | (F.size("anomalies") > 0), "PARTIAL")
+        .when(gaps > 0, "SUCCESS_WITH_KNOWN_GAPS")
+        .otherwise("SUCCESS")
+    )
+    return j.withColumns({"anomalies": anomalies, "volume": volume}).select(*on, F.col("fetched").alias("observed"), "gaps", "volume", "anomalies", status.alias("status"))
 
 
 def baseline_from_runs(runs: DataFrame, on: list[str]) -> DataFrame:
     """The latest healthy run with the same request."""
-    return runs.where("ok AND observed > 0").groupBy(*on).agg(F.max_by("observed", F.struct("started_at", "id")).alias("observed"))
+    best = runs.where("ok AND observed > 0").groupBy(*on).agg(F.max_by(F.struct("observed", "gaps"), F.struct("started_at", "id")).alias("_b"))
+    return best.select(*on, "_b.observed", "_b.gaps")
 
 
 def next_baseline(previous: DataFrame, results: DataFrame, on: list[str]) -> DataFrame:
     """Healthy results replace their baseline; a failure keeps the old one."""
-    healthy = results.where("status = 'SUCCESS'").select(*on, "observed")
-    return healthy.unionByName(previous.select(*on, "observed").join(healthy.select(*on), on, "left_anti"))
+    healthy = results.where("status IN ('SUCCESS', 'SUCCESS_WITH_KNOWN_GAPS')").select(*on, "observed", "gaps")
+    return healthy.unionByName(previous.select(*on, "observed", "gaps").join(healthy.select(*on), on, "left_anti"))
 
 
 def group_status(outcomes: DataFrame, group: str) -> DataFrame:
     """H12."""
-    status = F.when(F.every(F.col("status") == "SUCCESS"), "SUCCESS").when(F.every(F.col("status") == "FAILED"), "FAILED").otherwise("PARTIAL")
+    good = F.col("status").isin("SUCCESS", "SUCCESS_WITH_KNOWN_GAPS")
+    status = F.when(F.every(F.col("status") == "SUCCESS"), "SUCCESS").when(F.every(good), "SUCCESS_WITH_KNOWN_GAPS").when(F.every(F.col("status") == "FAILED"), "FAILED").otherwise("PARTIAL")
     return outcomes.groupBy(group).agg(status.alias("group_status"))
 
 

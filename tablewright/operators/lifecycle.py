@@ -93,15 +93,34 @@ def ownership_report(resolved: DataFrame) -> DataFrame:
     return resolved.groupBy("state").agg(F.count("*").alias("n"), F.bool_or(F.col("state").isin("EXACT", "LEGACY_DETERMINISTIC")).alias("authoritative"))
 
 
-def completion(records: DataFrame, scopes: DataFrame, scope: str) -> DataFrame:
-    """A scope is complete if no record failed, every id is proved, nothing was filtered or pruned and no veto stands."""
+def completion(records: DataFrame, scopes: DataFrame, scope: str, rules: dict[str, Column] | None = None) -> DataFrame:
+    """A scope is complete if no record failed, every id is proved, nothing was filtered or pruned, no veto stands, and none of the feed's own
+    `rules` (name to condition on the scope row, in order) holds."""
     counted = records.groupBy(scope).agg(F.every(~F.col("failed")).alias("clean"), F.every(F.col("native_id").isNotNull()).alias("proved"))
     joined = scopes.join(counted, scope, "left")
     ok = lambda c: F.coalesce(c, F.lit(True))
-    reason = F.when(~ok("clean"), "record_failures").when(~ok("proved"), "unproved_identity").when(F.col("filtered"), "filtered_inventory").when(F.col("pruned"), "pruned_inventory").when(F.col("veto"), "policy_veto").otherwise("complete")
+    tests = {"record_failures": ~ok("clean"), "unproved_identity": ~ok("proved"), "filtered_inventory": F.col("filtered"), "pruned_inventory": F.col("pruned"), "policy_veto": F.col("veto"), **(rules or {})}
+    reason = F.coalesce(*[F.when(cond, F.lit(name)) for name, cond in tests.items()], F.lit("complete"))
     return joined.select(scope, (reason == "complete").alias("complete"), reason.alias("reason"))
 
 
+def gate_rules() -> dict[str, Column]:
+    """G22 for pages behind a reviewed gate: the gate's rule is reviewed, nothing is quarantined, all advertised locales are covered, and one brand owns the
+    site. Scope rows: reviewed, quarantined, locales, advertised_locales, brands."""
+    return {
+        "gate_not_reviewed": ~F.col("reviewed"),
+        "quarantined": F.col("quarantined"),
+        "locales_not_covered": F.size(F.array_except("advertised_locales", "locales")) > 0,
+        "several_brands": F.size(F.array_distinct("brands")) != 1,
+    }
+
+
+def capped_examples(df: DataFrame, by: str, value: str, n: int = 10) -> DataFrame:
+    """(by, total, examples): how many rows a group has, and its first n values. Ranks are cut within a task before they are shuffled."""
+    first = df.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy(value))).where(F.col("_r") <= n)
+    return df.groupBy(by).agg(F.count("*").alias("total")).join(first.groupBy(by).agg(F.sort_array(F.collect_list(value)).alias("examples")), by)
+
+
 def reconcile_absence(sources: DataFrame, seen: DataFrame, scopes: DataFrame, scope: str, key: str, direct: list[str], now: Column) -> DataFrame:
     """Sources (key, scope, source_name, is_active, last_seen_at) after complete inventories. Seen rows become active; unseen active rows of
     complete scopes of direct sources become inactive; all else stays. `change` says which."""

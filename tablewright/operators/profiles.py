@@ -48,12 +48,19 @@ def order_locations(locations: DataFrame, by: str) -> DataFrame:
     )
 
 
-def fingerprint(inputs: DataFrame, by: str, metadata: list[str], description: str, versions: dict[str, str]) -> DataFrame:
-    """Digests of metadata, description and rule versions, and one of all. Times and run ids are left out by not being named."""
+def fingerprint(inputs: DataFrame, by: str, metadata: list[str], description: str, versions: dict[str, str], sources: DataFrame | None = None, source_fields: list[str] | None = None) -> DataFrame:
+    """Digests of metadata, description, source inputs and rule versions, and one of all. Times and run ids are left out by not being named.
+    The digest of the sources (by, source_fields) does not depend on their order."""
     digest = lambda cols: F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)
     rules = F.sha2(F.lit("|".join(f"{k}={v}" for k, v in sorted(versions.items()))), 256)
     out = inputs.select(by, digest([F.col(c) for c in sorted(metadata)]).alias("metadata_hash"), F.sha2(F.coalesce(description, F.lit("")), 256).alias("text_hash"), rules.alias("version_hash"))
-    return out.withColumn("input_hash", F.sha2(F.concat_ws("|", "metadata_hash", "text_hash", "version_hash"), 256))
+    parts = ["metadata_hash", "text_hash", "version_hash"]
+    if sources is not None:
+        each = sources.select(by, digest([F.col(c) for c in sorted(source_fields or [])]).alias("_d"))
+        out = out.join(each.groupBy(by).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("_d")), "|"), 256).alias("sources_hash")), by, "left")
+        out = out.withColumn("sources_hash", F.coalesce("sources_hash", F.sha2(F.lit(""), 256)))
+        parts.insert(2, "sources_hash")
+    return out.withColumn("input_hash", F.sha2(F.concat_ws("|", *parts), 256))
 
 
 def layers_to_run(current: DataFrame, previous: DataFrame, by: str) -> DataFrame:
@@ -67,31 +74,62 @@ def layers_to_run(current: DataFrame, previous: DataFrame, by: str) -> DataFrame
     return j.select(by, layers.alias("layers"))
 
 
-def assemble_profiles(facts: DataFrame, jobs: DataFrame, by: str, fields: list[str]) -> DataFrame:
-    """One struct of facts for each job. A field without a fact is `not_mentioned` if the description is complete, else `insufficient_content`."""
-    absent = F.when(F.col("quality") == "complete", "not_mentioned").otherwise("insufficient_content")
-    one = lambda f, c: F.max(F.when(F.col("field") == f, F.col(c)))
-    flat = facts.groupBy(by).agg(*[one(f, c).alias(f"{f}_{c}") for f in fields for c in ("state", "value")])
-    j = jobs.join(flat, by, "left")
-    return j.select(by, F.struct(*[F.struct(F.coalesce(f"{f}_state", absent).alias("state"), F.col(f"{f}_value").alias("value")).alias(f) for f in fields]).alias("profile"))
+def choose_offers(offers: DataFrame, by: str, fields: list[str]) -> DataFrame:
+    """R08, offers: (by, offers): the whole set of the best source of each job (highest score, then first name); sets of two sources are never mixed."""
+    best = offers.groupBy(by).agg(F.max_by("source_name", F.struct("score", F.expr("-hash(source_name)"), "source_name")).alias("source_name"))
+    return offers.join(best, [by, "source_name"]).groupBy(by).agg(F.array_distinct(F.sort_array(F.collect_list(F.struct(*fields)))).alias("offers"))
 
 
-def publish_versions(versions: DataFrame, new: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
-    """(all versions, newest of each job). A version that is there already is not added again."""
+def assemble_profiles(facts: DataFrame, jobs: DataFrame, by: str, fields: list[str], offers: DataFrame | None = None, locations: DataFrame | None = None) -> DataFrame:
+    """One struct for each job: a fact (state, value, evidence_ids) for each field, the chosen offers (by, offers) and the ordered places (by, places,
+    country_conflict). A field without a fact is `not_mentioned` if the description is complete, else `insufficient_content`."""
+    absent = F.when(F.col("quality") == "complete", "not_mentioned").otherwise("insufficient_content")
+    if "evidence_ids" not in facts.columns:
+        facts = facts.withColumn("evidence_ids", F.array().cast("array<string>"))
+    one = lambda f: F.max_by(F.struct("state", "value", "evidence_ids"), F.when(F.col("field") == f, F.lit(1))).alias(f"_f_{f}")
+    flat = facts.where(F.col("field").isin(*fields)).groupBy(by).agg(*[one(f) for f in fields])
+    j = jobs.join(flat, by, "left")
+    made = lambda f: F.struct(F.coalesce(F.col(f"_f_{f}.state"), absent).alias("state"), F.col(f"_f_{f}.value").alias("value"), F.coalesce(F.col(f"_f_{f}.evidence_ids"), F.array().cast("array<string>")).alias("evidence_ids")).alias(f)
+    parts = [made(f) for f in fields]
+    if offers is not None:
+        j = j.join(offers.select(by, "offers"), by, "left")
+        parts.append(F.col("offers"))
+    if locations is not None:
+        j = j.join(locations.select(by, "places", "country_conflict"), by, "left")
+        parts += [F.col("places"), F.col("country_conflict")]
+    return j.select(by, F.struct(*parts).alias("profile"))
+
+
+def publish_versions(versions: DataFrame, new: DataFrame, by: str, deleted: DataFrame | None = None, merged: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(all versions, current pointers). A version that is there already is not added again. Jobs in `deleted` (by) lose their pointer and keep
+    their history; keepers in `merged` (by) point to their newest version, marked stale until they are worked out again."""
     fresh = new.dropDuplicates([by, "input_hash"]).join(versions.select(by, "input_hash"), [by, "input_hash"], "left_anti")
     allv = versions.unionByName(fresh)
     newest = allv.groupBy(by).agg(F.max_by("input_hash", F.struct("created_at", "input_hash")).alias("input_hash"))
+    if deleted is not None:
+        newest = newest.join(deleted.select(by).distinct(), by, "left_anti")
+    if merged is not None:
+        newest = newest.join(merged.select(by).distinct().withColumn("_m", F.lit(True)), by, "left").withColumn("stale", F.coalesce("_m", F.lit(False))).drop("_m")
     return allv, newest
 
 
-def check_profiles(facts: DataFrame, evidence: DataFrame, by: str) -> DataFrame:
-    """Violations: a known fact without value or evidence, evidence that does not exist, spans out of order."""
+def check_profiles(facts: DataFrame, evidence: DataFrame, by: str, countries: DataFrame | None = None, ranges: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Violations: a known fact without value or evidence, another (but a conflict) with a value, evidence that does not exist or has one id for two
+    contents, spans out of order, countries that are no ISO code (`countries`: country), and ranges (name to two columns of facts) upside down."""
     held = evidence.select("evidence_id").distinct().withColumn("_there", F.lit(True))
-    known = F.col("state") == "known"
-    plain = facts.select(by, "field", F.when(known & F.col("value").isNull(), "known_without_value").when(known & (F.size("evidence_ids") == 0), "known_without_evidence").when(~known & F.col("value").isNotNull(), "value_without_knowledge").alias("problem")).where("problem IS NOT NULL")
+    known, conflict = F.col("state") == "known", F.col("state") == "conflict"
+    blank = F.col("value").isNull() | (F.trim("value") == "")
+    plain = facts.select(by, "field", F.when(known & blank, "known_without_value").when(known & (F.size("evidence_ids") == 0), "known_without_evidence").when(~known & ~conflict & F.col("value").isNotNull(), "value_without_knowledge").alias("problem")).where("problem IS NOT NULL")
     used = facts.select(by, "field", F.explode("evidence_ids").alias("evidence_id")).join(held, "evidence_id", "left").where("_there IS NULL").select(by, "field", F.lit("dangling_evidence").alias("problem")).distinct()
-    spans = evidence.where("end <= start").select(by, "field", F.lit("span_out_of_order").alias("problem")).distinct()
-    return plain.unionByName(used).unionByName(spans)
+    spans = evidence.where("end < start").select(by, "field", F.lit("span_out_of_order").alias("problem")).distinct()
+    twice = evidence.groupBy("evidence_id").agg(F.count("*").alias("_n"), F.min(by).alias(by), F.min("field").alias("field")).where("_n > 1").select(by, "field", F.lit("duplicate_evidence").alias("problem"))
+    out = plain.unionByName(used).unionByName(spans).unionByName(twice)
+    if countries is not None:
+        odd = facts.where((F.col("field") == "country") & F.col("value").isNotNull()).join(countries.select(F.col("country").alias("value")).distinct(), "value", "left_anti")
+        out = out.unionByName(odd.select(by, "field", F.lit("no_iso_country").alias("problem")))
+    for name, (low, high) in (ranges or {}).items():
+        out = out.unionByName(facts.where(F.col(high) < F.col(low)).select(by, "field", F.lit(f"{name}_out_of_order").alias("problem")))
+    return out
 
 
 def coverage_matrix(winners: DataFrame) -> DataFrame:

@@ -209,27 +209,41 @@ def prints(docs, version="1"):
     return P.fingerprint(docs, "doc_id", ["lang", "source"], "text", {"rules": version})
 
 
-@query("r07_fingerprint", """SELECT doc_id, sha256('{"lang":"' || lang || '","source":"' || source || '"}') AS metadata_hash, sha256(text) AS text_hash, sha256('rules=1') AS version_hash FROM documents""")
+@query("r07_fingerprint", """WITH s AS (SELECT l_orderkey AS doc_id, sha256('{"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey || '}') AS d FROM lineitem)
+SELECT doc_id, sha256('{"lang":"' || lang || '","source":"' || source || '"}') AS metadata_hash, sha256(text) AS text_hash, coalesce((SELECT sha256(string_agg(d, '|' ORDER BY d)) FROM s WHERE s.doc_id = documents.doc_id), sha256('')) AS sources_hash, sha256('rules=1') AS version_hash FROM documents""")
 def r07(spark, d):
-    return prints(table(spark, d, "documents")).select("doc_id", "metadata_hash", "text_hash", "version_hash")
+    sources = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), "l_linenumber", "l_partkey")
+    out = P.fingerprint(table(spark, d, "documents"), "doc_id", ["lang", "source"], "text", {"rules": "1"}, sources, ["l_partkey", "l_linenumber"])
+    return out.select("doc_id", "metadata_hash", "text_hash", "sources_hash", "version_hash")
 
 
 def fact_rows(spark, d):
+    """Languages chosen from two candidates of each document, the better one of them true; sources that contradict each other."""
     docs = table(spark, d, "documents")
     quality = X.description_quality(F.col("text"), F.col("source"), ("src3",))
     jobs = docs.select("doc_id", quality.alias("quality"))
-    facts = docs.where("doc_id % 3 <> 0").select("doc_id", F.lit("lang").alias("field"), F.lit("known").alias("state"), F.col("lang").alias("value"))
-    return jobs, facts.unionByName(docs.where("doc_id % 4 = 1").select("doc_id", F.lit("source").alias("field"), F.lit("conflict").alias("state"), F.lit(None).cast("string").alias("value")))
+    own = docs.select("doc_id", F.lit("lang").alias("field"), F.col("lang").alias("value"), F.lit(50).alias("score"), F.lit(None).cast("boolean").alias("active"), F.concat(F.lit("e"), "doc_id").alias("evidence_id")).where("doc_id % 3 <> 0")
+    other = own.withColumns({"value": F.lit("xx"), "active": F.lit(False), "evidence_id": F.concat(F.lit("f"), "doc_id")})
+    torn = docs.where("doc_id % 4 = 1").select("doc_id", F.lit("source").alias("field"), F.explode(F.array(F.col("source"), F.lit("else"))).alias("value"), F.lit(40).alias("score"), F.lit(True).alias("active"), F.concat(F.lit("g"), "doc_id").alias("evidence_id"))
+    return jobs, P.select_fact(own.unionByName(other).unionByName(torn), ["doc_id", "field"])
 
 
 PROFILE = f"p AS (SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN 'known' WHEN q = 'complete' THEN 'not_mentioned' ELSE 'insufficient_content' END AS lang_state, CASE WHEN doc_id % 3 <> 0 THEN lang END AS lang_value, CASE WHEN doc_id % 4 = 1 THEN 'conflict' WHEN q = 'complete' THEN 'not_mentioned' ELSE 'insufficient_content' END AS source_state FROM (SELECT *, {QUALITY} AS q FROM documents))"
 
 
-@query("r08_assemble_profiles", f"WITH {PROFILE} SELECT * FROM p")
+PARTS = """o AS (SELECT l_orderkey AS doc_id, string_agg(DISTINCT CAST(l_partkey AS VARCHAR), ',' ORDER BY CAST(l_partkey AS VARCHAR)) AS offers FROM (SELECT *, rank() OVER (PARTITION BY l_orderkey ORDER BY CASE l_returnflag WHEN 'N' THEN 2 ELSE 1 END DESC) AS r FROM lineitem WHERE l_returnflag <> 'A') WHERE r = 1 GROUP BY 1),
+b AS (SELECT l_orderkey AS doc_id, l_suppkey AS place, max(l_linenumber) AS s FROM lineitem GROUP BY 1, 2), l AS (SELECT doc_id, string_agg(place, ',' ORDER BY s DESC, place) AS places FROM b GROUP BY 1)"""
+
+
+@query("r08_assemble_profiles", f"WITH {PROFILE}, {PARTS} SELECT p.*, CASE WHEN doc_id % 3 <> 0 THEN 'e' || doc_id END AS lang_evidence, offers, places FROM p LEFT JOIN o USING (doc_id) LEFT JOIN l USING (doc_id)")
 def r08(spark, d):
+    """Facts as selected (W04), whole offer sets of the best source, places in order of their evidence."""
     jobs, facts = fact_rows(spark, d)
-    p = P.assemble_profiles(facts, jobs, "doc_id", ["lang", "source"])
-    return p.select("doc_id", F.col("profile.lang.state").alias("lang_state"), F.col("profile.lang.value").alias("lang_value"), F.col("profile.source.state").alias("source_state"))
+    li = table(spark, d, "lineitem").withColumnRenamed("l_orderkey", "doc_id")
+    offers = P.choose_offers(li.where("l_returnflag <> 'A'").select("doc_id", F.col("l_returnflag").alias("source_name"), F.when(F.col("l_returnflag") == "N", 2).otherwise(1).alias("score"), F.col("l_partkey").cast("string").alias("part")), "doc_id", ["part"])
+    places = P.order_locations(li.select("doc_id", F.col("l_suppkey").alias("place"), F.lit("CZ").alias("country"), F.col("l_linenumber").alias("score")), "doc_id")
+    p = P.assemble_profiles(facts, jobs, "doc_id", ["lang", "source"], offers, places)
+    return p.select("doc_id", F.col("profile.lang.state").alias("lang_state"), F.col("profile.lang.value").alias("lang_value"), F.col("profile.source.state").alias("source_state"), F.get("profile.lang.evidence_ids", F.lit(0)).alias("lang_evidence"), F.array_join(F.transform("profile.offers", lambda x: x["part"]), ",").alias("offers"), F.array_join("profile.places", ",").alias("places"))
 
 
 @query("e03_prediction_view", f"WITH {PROFILE} SELECT doc_id, 'lang' AS field, lang_state AS state, lang_value AS value FROM p UNION ALL SELECT doc_id, 'source', source_state, NULL FROM p")
@@ -238,15 +252,18 @@ def e03(spark, d):
     return E.prediction_view(P.assemble_profiles(facts, jobs, "doc_id", ["lang", "source"]), "doc_id", ["lang", "source"])
 
 
-@query("e01_coverage_baseline", f"WITH {PROFILE}, v AS (SELECT 'lang' AS field, lang_state AS s FROM p UNION ALL SELECT 'source', source_state FROM p) SELECT field, count(*) FILTER (WHERE s = 'known') AS native, 0 AS parsed, 0 AS provider, 0 AS suggestion, count(*) FILTER (WHERE s NOT IN ('known', 'conflict')) AS unknown, count(*) FILTER (WHERE s = 'conflict') AS conflict FROM v GROUP BY 1")
+@query("e01_coverage_baseline", f"WITH {PROFILE}, v AS (SELECT 'lang' AS field, lang_state AS s, CASE doc_id % 4 WHEN 0 THEN 'parsed' WHEN 1 THEN 'provider' WHEN 2 THEN 'suggestion' ELSE 'native' END AS m FROM p UNION ALL SELECT 'source', source_state, NULL FROM p) SELECT field, count(*) FILTER (WHERE s = 'known' AND m = 'native') AS native, count(*) FILTER (WHERE s = 'known' AND m = 'parsed') AS parsed, count(*) FILTER (WHERE s = 'known' AND m = 'provider') AS provider, count(*) FILTER (WHERE s = 'known' AND m = 'suggestion') AS suggestion, count(*) FILTER (WHERE s NOT IN ('known', 'conflict')) AS unknown, count(*) FILTER (WHERE s = 'conflict') AS conflict FROM v GROUP BY 1")
 def e01(spark, d):
-    return g17(spark, d)
+    jobs, facts = fact_rows(spark, d)
+    method = F.element_at(F.array(*map(F.lit, ("parsed", "provider", "suggestion", "native"))), (F.col("doc_id") % 4 + 1).cast("int"))
+    evidence = table(spark, d, "documents").select(F.concat(F.lit("e"), "doc_id").alias("evidence_id"), method.alias("method"))
+    return E.coverage_baseline(P.assemble_profiles(facts, jobs, "doc_id", ["lang", "source"]), "doc_id", ["lang", "source"], evidence)
 
 
-@query("g17_coverage_matrix", f"WITH {PROFILE}, v AS (SELECT 'lang' AS field, lang_state AS s FROM p UNION ALL SELECT 'source', source_state FROM p) SELECT field, count(*) FILTER (WHERE s = 'known') AS native, 0 AS parsed, 0 AS provider, 0 AS suggestion, count(*) FILTER (WHERE s NOT IN ('known', 'conflict')) AS unknown, count(*) FILTER (WHERE s = 'conflict') AS conflict FROM v GROUP BY 1")
+@query("g17_coverage_matrix", "SELECT source AS field, count(*) FILTER (WHERE k = 0) AS native, count(*) FILTER (WHERE k = 1) AS parsed, count(*) FILTER (WHERE k = 2) AS provider, count(*) FILTER (WHERE k = 3) AS suggestion, count(*) FILTER (WHERE k = 4) AS unknown, count(*) FILTER (WHERE k = 5) AS conflict FROM (SELECT source, n_chars % 6 AS k FROM documents) GROUP BY 1")
 def g17(spark, d):
-    kind = F.when(F.col("state") == "known", "native").when(F.col("state") == "conflict", "conflict").otherwise("unknown")
-    return P.coverage_matrix(e03(spark, d).withColumn("kind", kind))
+    kind = F.element_at(F.array(*map(F.lit, ("native", "parsed", "provider", "suggestion", "unknown", "conflict"))), (F.col("n_chars") % 6 + 1).cast("int"))
+    return P.coverage_matrix(table(spark, d, "documents").select(F.col("source").alias("field"), kind.alias("kind")))
 
 
 @query("r09_layers_to_run", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'text,selection,profile' WHEN 2 THEN 'native,selection,profile' ELSE 'native,text,selection,profile' END AS layers FROM documents")
@@ -257,19 +274,27 @@ def r09(spark, d):
     return P.layers_to_run(prints(docs), prints(old), "doc_id").select("doc_id", F.array_join("layers", ",").alias("layers"))
 
 
-@query("r10_publish_versions", "WITH v AS (SELECT source AS job, lang AS input_hash, min(doc_id) AS created_at FROM documents GROUP BY 1, 2) SELECT job, arg_max(input_hash, (created_at, input_hash)) AS input_hash FROM v GROUP BY 1")
+@query("r10_publish_versions", "WITH v AS (SELECT n_chars % 997 AS job, lang AS input_hash, min(doc_id) AS created_at FROM documents GROUP BY 1, 2) SELECT job, arg_max(input_hash, (created_at, input_hash)) AS input_hash, job % 10 = 1 AS stale FROM v WHERE job % 10 <> 0 GROUP BY 1")
 def r10(spark, d):
-    v = table(spark, d, "documents").groupBy(F.col("source").alias("job"), F.col("lang").alias("input_hash")).agg(F.min("doc_id").alias("created_at"))
-    return P.publish_versions(v.where("created_at < 50"), v, "job")[1]
+    """Versions of the English and German documents are there; those of all languages come in. A tenth of the jobs is deleted, a tenth merged."""
+    v = table(spark, d, "documents").groupBy((F.col("n_chars") % 997).alias("job"), F.col("lang").alias("input_hash")).agg(F.min("doc_id").alias("created_at"))
+    jobs = v.select("job").distinct()
+    return P.publish_versions(v.where("input_hash IN ('en', 'de')"), v, "job", jobs.where("job % 10 = 0"), jobs.where("job % 10 = 1"))[1]
 
 
-@query("r11_check_profiles", "SELECT doc_id, 'lang' AS field, CASE doc_id % 5 WHEN 0 THEN 'known_without_value' WHEN 1 THEN 'known_without_evidence' WHEN 2 THEN 'value_without_knowledge' ELSE 'dangling_evidence' END AS problem FROM documents WHERE doc_id % 5 < 4")
+@query("r11_check_profiles", """SELECT doc_id, CASE WHEN doc_id % 9 = 5 THEN 'country' ELSE 'lang' END AS field, CASE doc_id % 9 WHEN 0 THEN 'known_without_value' WHEN 1 THEN 'known_without_evidence' WHEN 2 THEN 'value_without_knowledge' WHEN 3 THEN 'dangling_evidence' WHEN 4 THEN 'span_out_of_order' WHEN 5 THEN 'no_iso_country' WHEN 6 THEN 'years_out_of_order' ELSE 'duplicate_evidence' END AS problem FROM documents WHERE doc_id % 9 < 8""")
 def r11(spark, d):
-    k = F.col("doc_id") % 5
+    from tablewright.sources.dimensions import load_dimension
+
+    docs, k = table(spark, d, "documents"), F.col("doc_id") % 9
     own, other = F.concat(F.lit("e"), "doc_id"), F.lit("nowhere")
-    facts = table(spark, d, "documents").select("doc_id", F.lit("lang").alias("field"), F.when(k == 2, "unknown").otherwise("known").alias("state"), F.when(k != 0, F.col("lang")).alias("value"), F.when(k == 1, F.array().cast("array<string>")).when(k == 3, F.array(other)).otherwise(F.array(own)).alias("evidence_ids"))
-    evidence = table(spark, d, "documents").select("doc_id", F.lit("lang").alias("field"), own.alias("evidence_id"), F.lit(0).alias("start"), F.lit(2).alias("end"))
-    return P.check_profiles(facts, evidence, "doc_id")
+    state = F.when(k == 2, "unknown").when(k == 8, "conflict").otherwise("known")
+    value = F.when(k == 0, F.lit(" ")).when(k == 5, "Czechia").when(k != 8, "CZ")
+    ids = F.when(k == 1, F.array().cast("array<string>")).when(k == 3, F.array(other)).otherwise(F.array(own))
+    facts = docs.select("doc_id", F.when(k == 5, "country").otherwise("lang").alias("field"), state.alias("state"), value.alias("value"), ids.alias("evidence_ids"), F.lit(3).alias("low"), F.when(k == 6, 2).otherwise(4).alias("high"))
+    evidence = docs.select("doc_id", F.lit("lang").alias("field"), own.alias("evidence_id"), F.lit(2).alias("start"), F.when(k == 4, 1).otherwise(2).alias("end"))
+    evidence = evidence.unionByName(evidence.where(k == 7))
+    return P.check_profiles(facts, evidence, "doc_id", load_dimension(spark, "countries"), {"years": ("low", "high")})
 
 
 # --- evaluation --------------------------------------------------------------------------------------------------------------------
@@ -313,11 +338,11 @@ def s18(spark, d):
     return E.unpivot_labels(wide, "doc_id", ["quality", "toxic", "added"])
 
 
-@query("e05_check_labels", "SELECT doc_id, 'f' AS field, CASE doc_id % 4 WHEN 0 THEN 'unknown_state' WHEN 1 THEN 'known_without_value' ELSE 'value_without_knowledge' END AS problem FROM labels WHERE doc_id % 4 < 3")
+@query("e05_check_labels", """SELECT doc_id, CASE WHEN doc_id % 8 = 3 THEN 'period' WHEN doc_id % 8 = 4 THEN 'years' ELSE 'f' END AS field, CASE doc_id % 8 WHEN 0 THEN 'unknown_state' WHEN 1 THEN 'known_without_value' WHEN 2 THEN 'value_without_knowledge' WHEN 3 THEN 'unknown_period' WHEN 4 THEN 'years_out_of_range' WHEN 5 THEN 'reviewer_missing' ELSE 'duplicate_label' END AS problem FROM labels WHERE doc_id % 8 < 7""")
 def e05(spark, d):
-    k = F.col("doc_id") % 4
-    lab = table(spark, d, "labels").select("doc_id", F.lit("f").alias("field"), F.when(k == 0, "maybe").when(k == 2, "unknown").otherwise("known").alias("state"), F.when(k != 1, F.lit("v")).alias("value"))
-    return E.check_labels(lab, "doc_id")
+    k = F.col("doc_id") % 8
+    lab = table(spark, d, "labels").select("doc_id", F.when(k == 3, "period").when(k == 4, "years").otherwise("f").alias("field"), F.when(k == 0, "maybe").when(k == 2, "unknown").otherwise("known").alias("state"), F.when(k == 3, "fortnight").when(k == 0, F.lit(None)).when(k != 1, F.lit("v")).alias("value"), F.lit(3).alias("low"), F.when(k == 4, 70).otherwise(5).alias("high"), F.when(k != 5, "r").alias("reviewer_id"))
+    return E.check_labels(lab.unionByName(lab.where(k == 6)), "doc_id", words=E.LABEL_WORDS, ranges={"years": ("low", "high", 60)}, reviewers=True)
 
 
 @query("j20_labels_with_predictions", "SELECT doc_id, toxic, contains(text, 'idiot') AS prediction, doc_id % 5 = 0 AS stale FROM labels JOIN documents USING (doc_id)")
@@ -328,14 +353,21 @@ def j20(spark, d):
     return E.labels_with_predictions(lab, pred, "doc_id").select("doc_id", "toxic", "prediction", "stale")
 
 
-@query("e06_metrics", f"WITH {METRIC} SELECT labeled, tp, fp, fn FROM n")
+@query("e06_metrics", f"""WITH {METRIC}, k AS (SELECT lang AS g, CASE WHEN doc_id % 4 = 0 THEN 'en' ELSE lang END AS p FROM documents), q AS (SELECT count(*) AS labeled, count(*) FILTER (WHERE g = p) AS tp, count(*) FILTER (WHERE g <> p) AS fp, count(*) FILTER (WHERE g <> p) AS fn FROM k)
+SELECT 'flags' AS field, labeled, tp, fp, fn FROM n UNION ALL SELECT 'languages_' || unnest(['presence', 'requirement']), labeled, tp, fp, fn FROM q UNION ALL SELECT 'languages_cefr', labeled, 0, 0, 0 FROM q""")
 def e06(spark, d):
-    return g18(spark, d).select("labeled", "tp", "fp", "fn")
+    gold, predicted = gold_and_predicted(spark, d)
+    docs = table(spark, d, "documents")
+    side = lambda c: docs.select("doc_id", F.lit("languages").alias("field"), F.lit("known").alias("state"), F.array(F.concat(c, F.lit(":required:"))).alias("values"))
+    gold, predicted = gold.unionByName(side(F.col("lang"))), predicted.unionByName(side(F.when(F.col("doc_id") % 4 == 0, "en").otherwise(F.col("lang"))))
+    return E.evaluation_report(gold, predicted, "doc_id").select("field", "labeled", "tp", "fp", "fn")
 
 
-@query("g20_cohort_manifest", "SELECT 'lang' AS stratum, lang AS value, count(*) AS n FROM documents GROUP BY 2 UNION ALL SELECT 'source', source, count(*) FROM documents GROUP BY 2")
+@query("g20_cohort_manifest", "SELECT 'lang' AS stratum, lang AS value, count(*) AS n FROM documents GROUP BY 2 UNION ALL SELECT 'source', source, count(*) FROM documents GROUP BY 2 UNION ALL SELECT 'population', (SELECT sha256(string_agg(p, '' ORDER BY part)) FROM (SELECT CAST('0x' || substr(h, 1, 8) AS BIGINT) % 1024 AS part, sha256(string_agg(h, '' ORDER BY h)) AS p FROM (SELECT DISTINCT sha256(CAST(doc_id AS VARCHAR)) AS h FROM documents) GROUP BY 1)), count(DISTINCT doc_id) FROM documents")
 def g20(spark, d):
-    return E.cohort_manifest(table(spark, d, "documents"), ["lang", "source"])
+    docs = table(spark, d, "documents")
+    whole = E.population_hash(docs, "doc_id").select(F.lit("population").alias("stratum"), F.col("population_hash").alias("value"), "n")
+    return E.cohort_manifest(docs, ["lang", "source"]).unionByName(whole)
 
 
 SAMPLE = "w AS (SELECT doc_id, source, round(1.0 / count(*) OVER (PARTITION BY lang) + 1.0 / count(*) OVER (PARTITION BY source), 9) AS w, sha256('seed' || doc_id) AS h FROM documents), f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY w DESC, h) AS r FROM w) WHERE r <= 3), z AS (SELECT doc_id, w, h, 0 AS k FROM f UNION ALL SELECT doc_id, w, h, 1 FROM w WHERE doc_id NOT IN (SELECT doc_id FROM f))"
@@ -346,11 +378,11 @@ def t03(spark, d):
     return E.review_sample(table(spark, d, "documents"), "doc_id", "source", ["lang", "source"], 100, 3, "seed")
 
 
-@query("e02_frozen_cohort", f"WITH {SAMPLE}, c AS (SELECT doc_id FROM z ORDER BY k, w DESC, h LIMIT 100) SELECT source AS value, count(*) AS n FROM documents WHERE doc_id IN (SELECT doc_id FROM c) GROUP BY 1")
+@query("e02_frozen_cohort", f"""WITH r AS (SELECT doc_id FROM documents WHERE n_chars > 5000 ORDER BY sha256('seed' || doc_id) LIMIT 10), {SAMPLE.replace('FROM documents)', 'FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM r))', 1)}, c AS (SELECT doc_id FROM z ORDER BY k, w DESC, h LIMIT 90)
+SELECT doc_id, md5(text) AS input_hash, doc_id IN (SELECT doc_id FROM r) AS reserved FROM documents WHERE doc_id IN (SELECT doc_id FROM c UNION ALL SELECT doc_id FROM r)""")
 def e02(spark, d):
-    docs = table(spark, d, "documents")
-    frozen = docs.join(t03(spark, d), "doc_id", "left_semi")
-    return E.cohort_manifest(frozen, ["source"]).select("value", "n")
+    docs = table(spark, d, "documents").withColumn("input_hash", F.md5("text"))
+    return E.freeze_cohort(docs, "doc_id", "source", ["lang", "source"], "input_hash", F.col("n_chars") > 5000, 10, 100, 3, "seed").select("doc_id", "input_hash", "reserved")
 
 
 @query("t04_reserve_special", "SELECT doc_id FROM labels WHERE toxic = 1 ORDER BY sha256('s' || doc_id) LIMIT 10")

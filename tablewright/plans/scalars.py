@@ -144,9 +144,9 @@ def n16(spark, d):
 
 @query("n17_array_sets", "SELECT o_custkey, len(list_distinct(list(o_orderstatus))) AS n_distinct, list_has_any(list(o_orderstatus), ['P']) AS overlaps, list_has_all(['F','O','P'], list(o_orderstatus)) AS is_subset FROM orders GROUP BY o_custkey")
 def n17(spark, d):
-    s = F.collect_list("o_orderstatus")
+    s = F.collect_set("o_orderstatus")
     return table(spark, d, "orders").groupBy("o_custkey").agg(
-        F.size(F.array_distinct(s)).cast("long").alias("n_distinct"), F.arrays_overlap(s, F.array(F.lit("P"))).alias("overlaps"), (F.size(F.array_except(s, F.array(*map(F.lit, "FOP")))) == 0).alias("is_subset")
+        F.size(s).cast("long").alias("n_distinct"), F.arrays_overlap(s, F.array(F.lit("P"))).alias("overlaps"), (F.size(F.array_except(s, F.array(*map(F.lit, "FOP")))) == 0).alias("is_subset")
     )
 
 
@@ -219,8 +219,8 @@ def p07(spark, d):
 
 @query("p08_description", "SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS description FROM conversations WHERE trim(text) <> '' GROUP BY conv_id")
 def p08(spark, d):
-    c = table(spark, d, "conversations").where("turn < 2").groupBy("conv_id").agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("a"), F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("b"))
-    return c.select("conv_id", V.description_text(F.col("a"), F.lit("  "), F.col("b")).alias("description")).where("description <> ''")
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    return c.select("conv_id", V.joined_description(F.transform("t", lambda x: x["text"])).alias("description")).where("description <> ''")
 
 
 @query("p09_salary_text", """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'from ' || o_custkey || ' ' ELSE '' END || '{"min":' || o_custkey || ',"max":' || o_orderkey || ',"currency":"EUR"}' AS salary_text FROM orders""")
