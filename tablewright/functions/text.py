@@ -27,15 +27,16 @@ LEGAL_SUFFIXES = ("s r o", "sro", "a s", "as", "spol s r o", "se", "ltd", "limit
 
 
 def strip_marks(c: Column) -> Column:
-    return F.regexp_replace(F.translate(c, _FROM, _TO), r"\p{M}", "")
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(c, _FROM, _TO), r"\p{M}", "")).otherwise(c)
 
 
 def normalize_text(c: Column) -> Column:
     """No accents, lower case, everything else than letters and digits one space. Null gives the empty text."""
     c = strip_marks(F.lower(F.coalesce(c, F.lit(""))))
+    spelt = c
     for letter, plain in PLAIN.items():
-        c = F.replace(c, F.lit(letter), F.lit(plain))
-    return F.trim(F.regexp_replace(c, "[^a-z0-9]+", " "))
+        spelt = F.replace(spelt, F.lit(letter), F.lit(plain))
+    return F.trim(F.regexp_replace(F.when(c.rlike(f"[{''.join(PLAIN)}]"), spelt).otherwise(c), "[^a-z0-9]+", " "))
 
 
 def normalize_company(c: Column) -> Column:
@@ -76,10 +77,10 @@ def has_phrase(text: Column, phrase: Column) -> Column:
 
 
 def trigrams(c: Column) -> Column:
-    """Distinct trigrams of each word, with two spaces before and one behind it."""
-    words = F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != "")
-    each = F.transform(words, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3))))
-    return F.array_distinct(F.flatten(each))
+    """Distinct trigrams of each word, with two spaces before and one behind it. Words stand on lines of their own; a pattern that looks
+    ahead finds the overlapping trigrams of all lines in one pass."""
+    padded = F.regexp_replace(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "\n"), "([a-z0-9]+)", "  $1 ")
+    return F.array_distinct(F.regexp_extract_all(padded, F.lit(r"(?=([^\n]{3}))"), F.lit(1)))
 
 
 def similarity_of(a: Column, b: Column) -> Column:

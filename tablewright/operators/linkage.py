@@ -151,11 +151,13 @@ def score_text_pairs(pairs: DataFrame, texts: DataFrame, id_col: str, text: str,
     the texts' similarity and that of the shorter one with any run of words of the longer one (the first of two of one length is the shorter)."""
     keyed = texts.select(F.col(id_col).alias("id"), F.sha2(F.col(text), 256).alias("h"))
     named = pairs.join(keyed.select(F.col("id").alias("a"), F.col("h").alias("ha")), "a").join(keyed.select(F.col("id").alias("b"), F.col("h").alias("hb")), "b")
-    grams = texts.select(F.sha2(F.col(text), 256).alias("h"), F.col(text).alias("t")).dropDuplicates(["h"]).select("h", "t", trigrams(F.col("t")).alias("g"))
     need = named.select("ha", "hb").distinct()
+    asked = need.select(F.explode(F.array("ha", "hb")).alias("h")).distinct()
     kept = ["g", "t"] if words else ["g"]
-    blank = (F.length("t") == 0).alias("blank")
-    side = lambda s: grams.select("h", blank, *kept).select(*[F.col(c).alias(c + s) for c in ("h", "blank", *kept)])
+    # Only texts that stand in a pair get trigrams; dealt by their digest once, for both sides.
+    grams = texts.select(F.sha2(F.col(text), 256).alias("h"), F.col(text).alias("t")).join(asked, "h", "left_semi").dropDuplicates(["h"])
+    grams = grams.select("h", (F.length("t") == 0).alias("blank"), "t", trigrams(F.col("t")).alias("g")).select("h", "blank", *kept).repartition("h")
+    side = lambda s: grams.select(*[F.col(c).alias(c + s) for c in ("h", "blank", *kept)])
     scored = need.join(side("a"), "ha").join(side("b"), "hb")
     plain = (F.col("blanka") | F.col("blankb"), F.col("ha") == F.col("hb"))
     score = similarity_of(F.col("ga"), F.col("gb"))
@@ -255,6 +257,7 @@ def duplicate_candidates(
     if sources is not None:
         sets = source_sets(sources, "job_id", "source_name", supported or [])
         jobs = jobs.join(sets.select(F.col("job_id").alias("id")), "id", "left_semi")
+    jobs = jobs.persist()  # every step below reads it, and its texts are costly to normalise
     classes = job_classes(jobs)
     firsts = jobs.join(classes.where("id = first").select("id"), "id", "left_semi")
     pairs = similar_pairs(firsts, "block", "id", "title", title_min).withColumnRenamed("similarity", "title_similarity")

@@ -411,6 +411,7 @@ def landed(spark, d, feed: str):
         return build(tree)
 
     paths: dict = {}
+    values["url"] = F.concat(F.lit("https://jobs.example.com/"), "o_orderkey")
     for field, value in values.items():
         for p in S.FEEDS[feed][field][:1]:
             paths.setdefault(p, F.col("o_orderkey") % 2 == 0 if p == "$.location.remote" else value)
@@ -460,22 +461,151 @@ def p12(spark, d):
     return S.only_listed(table(spark, d, "documents").select("doc_id").join(lab, "doc_id", "left"), F.col("listed")).select("doc_id")
 
 
-@query("r04_feed_ingest", "SELECT CASE WHEN o_orderkey % 9 = 0 THEN 'rejected' WHEN o_orderkey % 4 = 0 THEN 'updated' ELSE 'created' END AS change, count(*) AS n FROM orders GROUP BY 1 UNION ALL SELECT 'kept', count(*) FROM orders WHERE o_orderkey % 4 = 0 AND o_orderkey % 9 = 0")
+@query("r04_feed_ingest", """WITH c AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'rejected: missing_title' WHEN o_orderstatus = 'F' THEN 'updated' WHEN o_orderstatus = 'P' THEN 'attached' ELSE 'created' END AS change FROM orders)
+SELECT 'change' AS what, change AS key, count(*) AS n FROM c GROUP BY 2
+UNION ALL SELECT 'jobs', CASE WHEN o_orderkey % 9 = 0 THEN CASE WHEN o_orderstatus = 'O' THEN 'none' ELSE 'old' END ELSE 'new' END, count(*) FROM orders WHERE NOT (o_orderkey % 9 = 0 AND o_orderstatus = 'O') GROUP BY 2
+UNION ALL SELECT 'sources', 'lever_direct', count(*) FROM orders WHERE o_orderstatus = 'F' OR o_orderkey % 9 <> 0 UNION ALL SELECT 'sources', 'jooble_direct', count(*) FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'companies', 'all', count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 9 <> 0 UNION ALL SELECT 'run', 'failed', count(*) FROM orders WHERE o_orderkey % 9 = 0""")
 def r04(spark, d):
-    """One feed from payload to snapshot: project, route, upsert by native id."""
-    from tablewright.operators.merging import upsert_snapshot
+    """All orders come in as one feed. Finished ones are known by the feed already, pending ones by another feed at the same address."""
+    from tablewright.operators.ingest import FIELDS, State, ingest_feed
 
-    rows = S.project_canonical(landed(spark, d, "lever_direct"), "lever_direct").select("native_id", "title")
-    good, bad = S.route_invalid(rows, [(F.col("title") == "Unknown position", "missing_title")])
-    snapshot = rows.where(F.col("native_id").cast("long") % 4 == 0)
-    out = upsert_snapshot(snapshot, good, ["native_id"]).select("change")
-    return out.unionByName(bad.select(F.lit("rejected").alias("change"))).groupBy("change").agg(F.count("*").alias("n"))
-
-
-@query("m02_changed_jobs", "SELECT l_orderkey AS job_id FROM lineitem WHERE l_linenumber = 1 AND l_suppkey % 10 = 0 GROUP BY 1")
+    o = table(spark, d, "orders")
+    batch = landed(spark, d, "lever_direct")
+    old, none = o.where("o_orderstatus IN ('F', 'P')"), F.lit(None).cast("string")
+    before = F.lit("2024-01-01").cast("timestamp")
+    key = F.col("o_orderkey").cast("string")
+    jobs = old.select(F.concat(F.lit("j"), key).alias("id"), *[(F.lit("old") if f == "title" else none).alias(f) for f in FIELDS], F.lit("active").alias("status"), before.alias("last_seen_at"))
+    sources = old.select(
+        F.when(F.col("o_orderstatus") == "F", "lever_direct").otherwise("jooble_direct").alias("source_name"), F.concat(F.lit("scope:"), key).alias("source_job_id"), F.concat(F.lit("j"), key).alias("job_id"),
+        F.concat(F.lit("https://jobs.example.com/"), key, F.lit("?from=else")).alias("source_url"), none.alias("raw_payload"), F.lit(True).alias("is_active"), before.alias("last_seen_at"),
+    )
+    companies = spark.createDataFrame([], "id string, name string, created_at timestamp")
+    out = ingest_feed(batch, State(companies, jobs, sources), "lever_direct", F.lit("2024-01-31").cast("timestamp"), "digits", "run")
+    counted = lambda df, what, by: df.groupBy(by.alias("key")).agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "key", "n")
+    parts = [
+        counted(out.rows, "change", F.col("change")),
+        counted(out.state.jobs, "jobs", F.when(F.col("title") == "old", "old").otherwise("new")),
+        counted(out.state.sources, "sources", F.col("source_name")),
+        counted(out.state.companies, "companies", F.lit("all")),
+        out.run.select(F.lit("run").alias("what"), F.lit("failed").alias("key"), F.col("records_failed").alias("n")),
+    ]
+    all_parts = parts[0]
+    for part in parts[1:]:
+        all_parts = all_parts.unionByName(part)
+    return all_parts
+
+
+@query("m02_changed_jobs", "SELECT DISTINCT l_orderkey AS job_id FROM lineitem WHERE l_suppkey % 10 = 0")
 def m02(spark, d):
     from tablewright.streaming.jobs import changed_jobs
 
-    li = table(spark, d, "lineitem").where("l_linenumber = 1").select(F.lit("s").alias("source_name"), F.concat_ws(":", "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias("source_job_id"), F.col("l_orderkey").alias("job_id"), F.lit("u").alias("source_url"), F.lit(True).alias("is_active"), F.col("l_suppkey").cast("string").alias("payload_hash"))
+    line = F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    li = table(spark, d, "lineitem").select(F.lit("s").alias("source_name"), line.alias("source_job_id"), F.col("l_orderkey").alias("job_id"), F.lit("u").alias("source_url"), F.lit(True).alias("is_active"), F.col("l_suppkey").cast("string").alias("payload_hash")).distinct()
     after = li.withColumn("payload_hash", F.when(F.col("payload_hash").cast("int") % 10 == 0, F.lit("changed")).otherwise(F.col("payload_hash")))
     return changed_jobs(li, after)
+
+# --- files ----------------------------------------------------------------------------------------------------------------------------
+
+
+def landing_files(spark, d, feed="lever_direct"):
+    """The orders as landed files: one json object for each record, and for every hundredth a line that is none."""
+    from tablewright.storage import scratch
+
+    path = scratch(spark, "landing")
+    o = landed(spark, d, feed)
+    line = F.to_json(F.struct(F.lit(feed).alias("source_name"), "scope", F.lit("run").alias("run_id"), F.lit(1).alias("page_no"), F.lit("2024-01-01T00:00:00").alias("fetched_at"), "body"))
+    key = F.get_json_object("body", "$.id").cast("long")
+    o.select(F.when(key % 100 == 0, F.concat(F.lit("{broken "), key)).otherwise(line).alias("value")).write.text(path)
+    return path
+
+
+@query("s01_read_landing", "SELECT CASE WHEN o_orderkey % 100 = 0 THEN 'corrupt' ELSE 'record' END AS kind, count(*) AS n, sum(CASE WHEN o_orderkey % 100 <> 0 THEN o_orderkey ELSE 0 END) AS keys FROM orders GROUP BY 1")
+def s01(spark, d):
+    rows = S.read_landing(spark, landing_files(spark, d))
+    key = F.coalesce(F.get_json_object("body", "$.id").cast("long"), F.lit(0))
+    return rows.groupBy(F.when(F.col("body").isNull(), "corrupt").otherwise("record").alias("kind")).agg(F.count("*").alias("n"), F.sum(key).alias("keys"))
+
+
+@query("s02_listing_details", "SELECT CAST(o_orderkey AS VARCHAR) AS native_id, CASE WHEN o_orderkey % 3 = 0 THEN 'Detail ' ELSE 'Listed ' END || o_orderkey AS title, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 THEN 'remote' ELSE 'unknown' END AS remote_type, (SELECT count(*) FROM orders i WHERE i.o_custkey = orders.o_custkey) AS stated_total FROM orders")
+def s02_details(spark, d):
+    """A customer's orders as one listing page; every third has a detail page."""
+    o = table(spark, d, "orders")
+    record = F.struct(F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("Listed "), "o_orderkey").alias("name"))
+    pages = o.groupBy(F.col("o_custkey").cast("string").alias("scope")).agg(F.to_json(F.struct(F.count("*").alias("totalFound"), F.collect_list(record).alias("content"))).alias("body"))
+    detail = F.struct(F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("Detail "), "o_orderkey").alias("name"), F.struct((F.col("o_orderkey") % 2 == 0).alias("remote")).alias("location"))
+    details = o.where("o_orderkey % 3 = 0").select(F.col("o_custkey").cast("string").alias("scope"), F.to_json(detail).alias("body"))
+    listed = S.listed_records(pages, "smartrecruiters_direct")
+    good, _ = S.check_records(listed, "smartrecruiters_direct")
+    out = S.project_with_details(good, details, "smartrecruiters_direct")
+    return out.join(good.select("scope", "stated_total").distinct(), "scope").select("native_id", "title", "remote_type", "stated_total")
+
+
+@query("s09_posted_after", "SELECT CAST(o_orderkey AS VARCHAR) AS native_id FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'")
+def s09_recent(spark, d):
+    rows = S.project_canonical(landed(spark, d, "fantastic_jobs_apify"), "fantastic_jobs_apify")
+    return S.posted_after(rows, F.lit("2000-01-01").cast("timestamp")).select("native_id")
+
+
+@query("s14_run_ledger", "SELECT event_type AS source_name, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, count(*) AS runs, CAST(sum(n) AS BIGINT) AS records FROM (SELECT event_type, user_id, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1, 2")
+def s14(spark, d):
+    """The ledger in two appends, read back."""
+    from tablewright.storage import scratch
+
+    path = scratch(spark, "runs")
+    e = table(spark, d, "events").groupBy(F.col("event_type").alias("source_name"), "user_id").agg(F.count("*").alias("records_fetched"))
+    runs = e.withColumn("status", F.when(F.col("source_name") == "error", "failed").otherwise("success"))
+    for part in (runs.where("user_id % 2 = 0"), runs.where("user_id % 2 = 1")):
+        S.append_run(path, part)
+    return spark.read.parquet(path).groupBy("source_name", "status").agg(F.count("*").alias("runs"), F.sum("records_fetched").alias("records"))
+
+
+@query("s16_report", "SELECT source, lang, count(*) AS n FROM documents GROUP BY 1, 2")
+def s16(spark, d):
+    """A report written as json and as csv, read back from both."""
+    from tablewright.storage import scratch
+
+    path = scratch(spark, "report")
+    S.write_report({"coverage": table(spark, d, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"))}, path)
+    kind = "source string, lang string, n long"
+    as_json = spark.read.schema(kind).json(f"{path}/coverage.json")
+    return as_json.intersect(spark.read.schema(kind).option("header", True).csv(f"{path}/coverage.csv"))
+
+
+@query("s18_read_labels", "SELECT CAST(doc_id AS VARCHAR) AS job_id, 'quality' AS field, 'known' AS state, CAST(quality AS VARCHAR) AS value FROM labels UNION ALL SELECT CAST(doc_id AS VARCHAR), 'toxic', 'unlabeled', NULL FROM labels")
+def s18_files(spark, d):
+    """Labels written as json lines of an older version that lacks a field."""
+    from tablewright.storage import scratch
+
+    path = scratch(spark, "labels") + ".jsonl"
+    label = F.struct(F.lit("known").alias("state"), F.col("quality").cast("string").alias("value"), F.lit(None).cast("string").alias("notes"))
+    table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("job_id"), F.create_map(F.lit("quality"), label).alias("labels")).write.json(path)
+    return E.read_labels(spark, path, ["quality", "toxic"]).select("job_id", "field", "state", "value")
+
+
+@query("m01_ingest_stream", "SELECT count(*) AS n, count(DISTINCT o_orderkey) AS ids FROM orders WHERE o_orderkey % 100 <> 0")
+def m01(spark, d):
+    """The stream over the landed files, run to their end twice: the second run finds nothing new."""
+    from tablewright.storage import scratch
+    from tablewright.streaming.jobs import start_ingest_stream
+
+    landing, store, checkpoint = landing_files(spark, d), scratch(spark, "store"), scratch(spark, "progress")
+    for _ in range(2):
+        start_ingest_stream(spark, landing, store, checkpoint).awaitTermination()
+    return spark.read.parquet(store).agg(F.count("*").alias("n"), F.count_distinct("source_job_id").alias("ids"))
+
+
+@query("m02_invalidation_stream", "SELECT DISTINCT o_orderkey AS job_id FROM orders WHERE o_orderstatus = 'P'")
+def m02_stream(spark, d):
+    """Source rows arrive again; those of pending orders with another payload."""
+    from tablewright.storage import scratch
+    from tablewright.streaming.jobs import start_invalidation_stream
+
+    key = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(F.lit("s").alias("source_name"), key.cast("string").alias("source_job_id"), key.alias("job_id"), F.lit("u").alias("source_url"), F.lit(True).alias("is_active"), F.lit("h").alias("payload_hash"), "o_orderstatus")
+    snapshot, changes, out, checkpoint = (scratch(spark, n) for n in ("snapshot", "changes", "stale", "progress"))
+    rows.drop("o_orderstatus").write.parquet(snapshot)
+    later = rows.withColumn("payload_hash", F.when(F.col("o_orderstatus") == "P", "other").otherwise(F.col("payload_hash"))).drop("o_orderstatus")
+    later.write.parquet(changes)
+    start_invalidation_stream(spark, changes, later.schema, snapshot, out, checkpoint).awaitTermination()
+    return spark.read.parquet(out).select("job_id").distinct()
