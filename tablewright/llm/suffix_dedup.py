@@ -139,40 +139,43 @@ def runs(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
 
 
-def ranked(keys: np.ndarray) -> np.ndarray:
-    """The rank of each key among the distinct keys, from 1."""
-    order = np.argsort(keys)
-    new = np.r_[True, np.diff(keys[order]) != 0] if len(keys) else np.zeros(0, bool)
-    rank = np.empty(len(keys), np.int64)
-    rank[order] = np.cumsum(new)
-    return rank
-
-
 def suffix_ranks(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Ranks (equal for equal ones) of the suffixes of all strings that stand one after the other in `symbols`; `left` counts the symbols from
-    each place to its string's end. Prefix doubling: suffixes ranked by their first k symbols are ranked by 2k with the rank k places on."""
-    n, k = len(symbols), 1
+    """Ranks (from 1, equal for equal ones) of the suffixes of all strings that stand one after the other in `symbols`; `left` counts the
+    symbols from each place to its string's end. Prefix doubling: suffixes ranked by their first k symbols are ranked by 2k with the
+    rank k places on. Only suffixes that still share their rank, and have not ended, are looked at again."""
+    n = len(symbols)
     if not n:
-        return symbols
-    longest, most = int(left.max()), int(symbols.max()) + 1
-
-    def on(values: np.ndarray, k: int) -> np.ndarray:
-        """The value k places on, 0 behind the string's end."""
-        out = np.zeros(n, np.int64)
-        far = np.flatnonzero(left > k)
-        out[far] = values[far + k]
-        return out
-
+        return np.zeros(0, np.int64)
     # As many symbols as fit into one number are ranked at once.
-    key = symbols
-    while k < longest and most * most < 1 << 62:
-        key, most, k = key * most + on(key, k), most * most, k * 2
-    rank = ranked(key)
-    while k < longest and rank.max() < n:
-        new = ranked(rank * (n + 1) + on(rank, k))
-        if new.max() == rank.max():  # what k more symbols don't tell apart, none do
-            break
-        rank, k = new, k * 2
+    key, k, most, longest = symbols.astype(np.int64), 1, int(symbols.max()) + 1, int(left.max())
+    while k < longest and most ** (k + 1) < 1 << 62:
+        further = np.zeros(n, np.int64)
+        far = np.flatnonzero(left > k)
+        further[far] = symbols[far + k]
+        key = key * most + further
+        k += 1
+    rank = np.empty(n, np.int64)
+    order = np.argsort(key)
+    first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
+    sizes = np.diff(np.r_[first, n])
+    rank[order] = np.repeat(first, sizes) + 1
+    open_ = order[np.repeat(sizes > 1, sizes)]
+    open_ = open_[left[open_] >= k]
+    while len(open_):
+        ended = left[open_] == k
+        on = np.where(ended, 0, rank[np.where(ended, open_, open_ + k)])
+        old = rank[open_]
+        by = np.argsort(old * (n + 1) + on)
+        at, old, on = open_[by], old[by], on[by]
+        new_old = np.r_[True, old[1:] != old[:-1]]
+        new = np.flatnonzero(new_old | np.r_[True, on[1:] != on[:-1]])
+        # Members of the rank that have ended before stand in front, all alike, and are none of those looked at.
+        base = np.maximum.accumulate(np.where(new_old, np.arange(len(at)), 0))
+        sizes = np.diff(np.r_[new, len(at)])
+        rank[at] = old + np.repeat(new, sizes) - base
+        k *= 2
+        open_ = at[np.repeat(sizes > 1, sizes)]
+        open_ = open_[left[open_] >= k]
     return rank
 
 
@@ -203,8 +206,9 @@ def corpus_order(raw: np.ndarray, ends: np.ndarray, width: int = PHRASE_TRIGGER,
     symbols[(begin + size - 1)[np.fromiter((z for _, z in known), bool, len(known))]] = 1
     left = np.repeat(begin + size, size) - np.arange(len(symbols))
     in_phrase = suffix_ranks(symbols, left)
-    # The suffix array of the parse: phrases by their rank, texts apart.
-    after = suffix_ranks(in_phrase[begin[parse_]], np.repeat(np.flatnonzero(last) + 1, np.diff(np.r_[0, np.flatnonzero(last) + 1])) - np.arange(len(parse_)))
+    # The suffix array of the parse: phrases by their rank (as numbers without gaps), texts apart.
+    _, numbers = np.unique(in_phrase[begin], return_inverse=True)
+    after = suffix_ranks(numbers[parse_] + 1, np.repeat(np.flatnonzero(last) + 1, np.diff(np.r_[0, np.flatnonzero(last) + 1])) - np.arange(len(parse_)))
     # Each place belongs to the phrase in which more than a trigger follows it.
     phrase = np.repeat(np.arange(len(start)), follows - start)
     place = np.arange(n) - start[phrase]
