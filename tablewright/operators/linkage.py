@@ -288,7 +288,12 @@ def rebuilt_candidates(previous: DataFrame, found: DataFrame) -> DataFrame:
     return kept.unionByName(new, allowMissingColumns=True)
 
 
+def safe_order(pairs: DataFrame, score: str, *ties: str) -> DataFrame:
+    """Best first, ties in the order of the given columns."""
+    return pairs.orderBy(F.desc(score), *ties)
+
+
 def safe_auto_merge(candidates: DataFrame) -> DataFrame:
     """Pending pairs beyond doubt, whose ends stand in no other such pair; best first, ties by id."""
     strong = candidates.where("status = 'pending' AND title_similarity >= 0.98 AND location_similarity >= 0.90 AND confidence >= 0.95 AND coalesce(contained, false)")
-    return unique_endpoints(strong).orderBy(F.desc("confidence"), "a", "b")
+    return safe_order(unique_endpoints(strong), "confidence", "a", "b")

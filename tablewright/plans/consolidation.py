@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import freshness as H
 from tablewright.operators import lifecycle as C
+from tablewright.operators import linkage as L
 from tablewright.operators import merging as M
 from tablewright.plans import table
 from tablewright.sources import snapshots as SN
@@ -530,8 +531,9 @@ def h12(spark, d):
 def t01(spark, d):
     from pyspark.sql import Window
 
-    top = table(spark, d, "lineitem").orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_partkey", "l_suppkey").limit(50)
-    return top.select("l_orderkey", "l_partkey", F.row_number().over(Window.orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_partkey", "l_suppkey")).alias("place"))
+    ties = ("l_orderkey", "l_partkey", "l_suppkey")
+    top = L.safe_order(table(spark, d, "lineitem"), "l_extendedprice", *ties).limit(50)
+    return top.select("l_orderkey", "l_partkey", F.row_number().over(Window.orderBy(F.desc("l_extendedprice"), *ties)).alias("place"))
 
 
 @query("t02_select_scopes", "SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0 AND s_nationkey IN (1, 2, 4, 5, 7) ORDER BY s_nationkey, s_suppkey LIMIT 20")

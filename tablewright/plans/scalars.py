@@ -167,7 +167,7 @@ def n19(spark, d):
 @query("n20_age_days", "SELECT event_id, round(epoch_us(TIMESTAMP '2024-01-31' - 0 * INTERVAL 1 DAY) / 86400e6 - epoch_us(ts) / 86400e6, 6) AS age, ts < TIMESTAMP '2024-01-31' - INTERVAL 72 HOUR AS stale FROM events")
 def n20(spark, d):
     now = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
-    age = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))) / 86400e6
+    age = V.age_days(now.cast("timestamp"), F.col("ts").cast("timestamp"))
     return table(spark, d, "events").select("event_id", F.round(age, 6).alias("age"), (F.col("ts") < now - F.expr("INTERVAL 72 HOURS")).alias("stale"))
 
 

@@ -58,11 +58,6 @@ def load_dimension(spark: SparkSession, name: str) -> DataFrame:
     raise KeyError(name)
 
 
-def check_dimension(dim: DataFrame, by: list[str], key: str) -> DataFrame:
-    """Rows by group and whether the key is unique in it."""
-    return dim.groupBy(*by).agg(F.count("*").alias("n"), (F.count_distinct(key) == F.count("*")).alias("unique_names"))
-
-
 def check_policies(policies: DataFrame, states: tuple[str, ...], key: list[str], most_days: int = 31) -> DataFrame:
     """Violations: repeated keys, states that are not listed, dates out of order or too far apart."""
     repeated = policies.groupBy(*key).count().where("count > 1").select(*key, F.lit("duplicate_key").alias("problem"))
