@@ -43,6 +43,28 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: A key is hot if more than one of so many rows has it; so there are fewer hot keys than that.
+HOT_KEYS = 1000
+
+
+def join_hot(left: DataFrame, right: DataFrame, on: list[str], rows: str) -> DataFrame:
+    """Left join with a table that has each key once, and in `rows` how many rows of `left` have it (so it is read three times: give a table or
+    a checkpoint). Fewer than HOT_KEYS keys are hot: these are broadcast, and for the shuffle of the others their rows get keys of their own.
+    So no task gets more than a thousandth of the rows for one key."""
+    share = (right.agg(F.sum(rows)).first()[0] or 0) // HOT_KEYS
+    kinds = dict(right.dtypes)
+    values = [c for c in right.columns if c not in (*on, rows)]
+    held = right.select(*on, F.struct(*values).alias("_held"), F.col(rows).alias("_rows"))
+    hot = held.where(F.col("_rows") > share).select(*on, F.col("_held").alias("_hot"))
+    apart = F.xxhash64(*left.columns)  # eight bytes, so never equal to a digest
+    key = lambda c: F.when(F.col("_hot").isNull(), F.col(c)).otherwise(apart if kinds[c] == "bigint" else apart.cast("string").cast(kinds[c]))
+    marked = left.join(F.broadcast(hot), on, "left").select(*left.columns, "_hot", *[key(c).alias(f"_{c}") for c in on])
+    cold = held.where(F.col("_rows") <= share).select(*[F.col(c).alias(f"_{c}") for c in on], "_held")
+    joined = marked.join(cold, [f"_{c}" for c in on], "left")
+    found = F.when(F.col("_hot").isNotNull(), F.col("_hot")).otherwise(F.col("_held"))
+    return joined.withColumn("_found", found).select(*left.columns, *[F.col(f"_found.{c}").alias(c) for c in values])
+
+
 def fold_of(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; null ids give null."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5))

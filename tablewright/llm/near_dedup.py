@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import checkpointed, map_batches, table
+from tablewright.llm.common import checkpointed, join_hot, map_batches, table
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS, BITS = 32, 4, 4
@@ -204,9 +204,10 @@ def near_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
     cards = rows.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.col("signature").alias("sig"))
     spread = rows.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
     flipped = [F.min(F.col("node").bitwiseXOR(F.lit(bits))).bitwiseXOR(F.lit(bits)).alias(f"flip{k}") for k, bits in enumerate(FLIPS)]
-    shared = spread.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), *flipped).where("low < high")
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high"), *flipped).where("low < high")
     hubs = F.array("low", "high", *[f"flip{k}" for k in range(len(FLIPS))])
-    members = checkpointed(spread.join(shared.select("bucket", F.array_distinct(hubs).alias("hubs")), "bucket"))
+    shared = checkpointed(shared.select("bucket", "size", F.array_distinct(hubs).alias("hubs")))
+    members = checkpointed(join_hot(spread, shared, ["bucket"], "size").where("hubs IS NOT NULL"))
     company = members.select(F.col("node").alias("doc_id")).distinct()
     cards = checkpointed(cards.join(company.withColumnRenamed("doc_id", "node"), "node"))
     pairs = members.select("node", F.explode("hubs").alias("hub")).where("node <> hub").distinct()
@@ -218,8 +219,9 @@ def near_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
     links = checkpointed(confirmed(found, few_texts(texts, found, found.count())))
     named = members.select("bucket", "node").join(components(links), "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("comp"))
     # Buckets whose members are all of one component have nothing left to say.
-    ends = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high").select("bucket", "size")
-    return links.unionByName(links_in_blocks(named.join(ends, "bucket"), cards, texts))
+    ends = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).where("low < high").select("bucket", "n", F.col("n").alias("size"))
+    open_ = join_hot(named, checkpointed(ends), ["bucket"], "n").where("size IS NOT NULL")
+    return links.unionByName(links_in_blocks(open_, cards, texts))
 
 
 def met_in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
@@ -265,8 +267,8 @@ def links_in_blocks(rows: DataFrame, cards: DataFrame, texts: DataFrame) -> Data
     size = nodes.count()
     ids = nodes.withColumnRenamed("node", "doc_id")
     held = texts.join(F.broadcast(ids) if size <= BROADCAST_PAIRS else ids, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "raw")
-    blocks = live.groupBy("bucket").agg((F.floor(F.sum("n") / BLOCK_SHINGLES) + 1).cast("int").alias("blocks"))
-    met = met_in_blocks(live.join(blocks, "bucket"), F.col("blocks")).join(held, "node").select("bucket", "node", "comp", "n", "sig", "own", "i", "j", "raw")
+    blocks = checkpointed(live.groupBy("bucket").agg(F.count("*").alias("rows"), (F.floor(F.sum("n") / BLOCK_SHINGLES) + 1).cast("int").alias("blocks")))
+    met = met_in_blocks(join_hot(live, blocks, ["bucket"], "rows"), F.col("blocks")).join(held, "node").select("bucket", "node", "comp", "n", "sig", "own", "i", "j", "raw")
 
     def check(group: pa.Table) -> pa.Table:
         node, raw = group.column("node").to_pylist(), group.column("raw").to_pylist()
@@ -313,15 +315,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = checkpointed(sketches(docs))
     known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = checkpointed(known.groupBy("digest").agg(F.min("doc_id").alias("first")))
-    firsts = checkpointed(known.join(classes.withColumnRenamed("first", "doc_id"), ["digest", "doc_id"]).dropDuplicates(["digest"]).drop("digest"))
+    classes = checkpointed(known.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
+    firsts = checkpointed(known.join(classes.select("digest", F.col("first").alias("doc_id")), ["digest", "doc_id"]).dropDuplicates(["digest"]).drop("digest"))
     links = near_links(firsts, docs.select("doc_id", F.col("text").cast("binary").alias("raw")))
     # An id whose rows have different texts ties their classes together.
     several = known.groupBy("doc_id").agg(F.min("digest").alias("one"), F.max("digest").alias("other")).where("one <> other").select("doc_id")
     tied = known.join(several, "doc_id").join(classes, "digest").select("doc_id", "first")
     tied = tied.join(tied.groupBy("doc_id").agg(F.min("first").alias("least")), "doc_id").select(F.col("first").alias("a"), F.col("least").alias("b"))
-    found = classes.join(components(links.unionByName(tied)), F.col("first") == F.col("node"), "left").select("digest", F.coalesce("component", "first").alias("of_class"))
-    out = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(found, "digest", "left")
+    found = checkpointed(classes.join(components(links.unionByName(tied)), F.col("first") == F.col("node"), "left").select("digest", "n", F.coalesce("component", "first").alias("of_class")))
+    # Rows without a class get keys of their own, as null keys would meet in one task.
+    own = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("digest")).otherwise(F.uuid().cast("binary"))
+    out = join_hot(rows.select("doc_id", "n_shingles", own.alias("digest")), found, ["digest"], "n")
     # Where no class is found, the text has no shingle; another row of the id may have some.
     bare = known.select("doc_id", "digest").join(rows.where("doc_id IS NOT NULL AND n_shingles = 0").select("doc_id").distinct(), "doc_id").join(found, "digest").groupBy("doc_id").agg(F.min("of_class").alias("of_id"))
     out = out.join(bare, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("of_class", "of_id", "doc_id").alias("component_id"))
@@ -335,7 +339,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each group; of repeated rows of that id, the one of the smallest text. Rows with a null id stay."""
     verdict = checkpointed(near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("rows")))
-    once = docs.join(verdict.where("NOT kept OR rows > 1"), "doc_id", "left_anti")
+    out = verdict.where("NOT kept OR rows > 1").select("doc_id")
+    # Ids are broadcast only if they are few (counted); else the texts are shuffled to them.
+    once = docs.join(F.broadcast(out) if out.count() <= BROADCAST_PAIRS else out, "doc_id", "left_anti")
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
     again = docs.join(verdict.where("kept AND rows > 1").select(F.col("doc_id")), "doc_id", "left_semi").withColumn("_place", place).where("_place = 1")
     return once.select(*docs.columns).unionByName(again.select(*docs.columns))

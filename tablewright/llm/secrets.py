@@ -7,7 +7,7 @@ an address, and at the words next to it, which count by how often they stand bef
 
 It is trained in numpy on labelled findings (text before, candidate, text after, is_secret): those of findings.tsv, which states the source of each,
 or any others that are given. Fold 0 (crc32 of the candidate, modulo 5) is kept from training, and `held_out_quality` gives precision and recall on it.
-The dictionary is counted over all documents; the DICTIONARY words that most documents hold are kept.
+The dictionary is counted over all documents; at most DICTIONARY words, those that most documents hold, are kept.
 
 `scan` finds the spans, `redact` replaces them. Spans are in characters, from 0, end excluded.
 
@@ -30,14 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import map_batches, table
+from tablewright.llm.common import checkpointed, map_batches, table
 
 SHORTEST = 16
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.\-])[A-Za-z0-9+/_.\-]{16,}={0,2}")
-#: Values behind a key word, and passwords in addresses. Group 1, 2 or 3 is the value.
-ASSIGNED = re.compile(
-    r"(?i)(?:password|passwd|passphrase|pwd|secret|token|credentials?|auth|key)[\"']?\s*(?:=>|:=|[:=])\s*(?:\"([^\"\n]{6,})\"|'([^'\n]{6,})'|([^\s\"',;]{6,}))"
-)
+#: Values behind `=` or `:` (group 1, 2 or 3), the key words that must stand before it, and passwords in addresses.
+ASSIGNED = re.compile(r"(?:=>|:=|[:=])\s*(?:\"([^\"\n]{6,})\"|'([^'\n]{6,})'|([^\s\"',;]{6,}))")
+KEYED = re.compile(r"(?:password|passwd|passphrase|pwd|secret|token|credentials?|auth|key)[\"']?\s*$", re.I)
 ADDRESS = re.compile(r"://[^\s/:@]+:([^\s/@]{3,})@")
 #: Characters of context on either side.
 CONTEXT = 32
@@ -138,7 +137,8 @@ class Tree:
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """Spans of the candidates, in order and apart."""
-    spans = [next((m.span(g), 0) for g in (1, 2, 3) if m.group(g) is not None) for m in ASSIGNED.finditer(text)] + [(m.span(1), 0) for m in ADDRESS.finditer(text)]
+    keyed = (m for m in ASSIGNED.finditer(text) if KEYED.search(text[max(0, m.start() - CONTEXT) : m.start()]))
+    spans = [next((m.span(g), 0) for g in (1, 2, 3) if m.group(g) is not None) for m in keyed] + [(m.span(1), 0) for m in ADDRESS.finditer(text)]
     for m in RUN.finditer(text):
         a, b = m.span()
         s = m.group().rstrip(".-")
@@ -213,10 +213,18 @@ def held_out_quality(model: Model, findings: list[Finding], threshold: float = 0
 
 
 def dictionary(docs: DataFrame, most: int = DICTIONARY) -> frozenset[str]:
-    """The words of 4 to 12 letters that most documents hold, counted over all documents; at most `most` come to the driver."""
-    word = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"(?<!\p{L})\p{L}{4,12}(?!\p{L})"), F.lit(0)))
-    counts = docs.select(F.explode(word).alias("word")).groupBy("word").count().where(F.col("count") >= LEAST_DOCUMENTS)
-    return frozenset(r["word"] for r in counts.orderBy(F.desc("count"), "word").limit(most).collect())
+    """The words of 4 to 12 letters that most documents hold, counted over all documents: those above the lowest eighth of an octave at
+    which no more than `most` qualify. Only the histogram of the eighths and those words come to the driver."""
+    words = F.filter(F.array_distinct(F.split(F.lower(F.col("text").cast("string")), r"[^\p{L}]+")), lambda w: F.length(w).between(4, 12))
+    counts = docs.select(F.explode(words).alias("word")).groupBy("word").count().where(F.col("count") >= LEAST_DOCUMENTS)
+    counts = checkpointed(counts.select("word", F.floor(F.log2("count") * 8).cast("int").alias("eighth")))
+    qualified, lowest = 0, None
+    for eighth, n in sorted(((r["eighth"], r["count"]) for r in counts.groupBy("eighth").count().collect()), reverse=True):
+        qualified += n
+        if qualified > most:
+            break
+        lowest = eighth
+    return frozenset(r["word"] for r in counts.where(F.col("eighth") >= lowest).collect()) if lowest is not None else frozenset()
 
 
 def fit(docs: DataFrame, findings: list[Finding] | None = None) -> Model:

@@ -7,10 +7,12 @@ the first border. Each chunk is known by its digest; the document with the small
 
 A chunk is repeated in a document if a document with a smaller doc_id owns it. Runs of repeated chunks of at least SPAN bytes
 are removed, and runs of any length that are a whole document; other short ones are chance. Digests are grouped with partial aggregates within tasks, so a chunk that a third of
-all documents share costs a row per task. Documents meet their repeated chunks by id, never each other.
+all documents share costs a row per task; the owners of the commonest chunks are broadcast (fewer than a thousand), so their rows meet in no task.
+Documents meet their repeated chunks by id, never each other.
 
 Null text counts as empty and keeps nothing. Rows with a null id own nothing and lose nothing. Repeated rows of one id are
-handled each and never repeat one another. Repeats within one document stay.
+handled each and never repeat one another. Repeats within one document stay. Empty texts have no chunk; an empty table gives no row. A very long
+text is cut whole, one at a time. Of a tie the smallest id owns the chunk. Other columns of the caller are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import map_batches, table
+from tablewright.llm.common import checkpointed, join_hot, map_batches, table
 
 LEAST, MOST, SPAN = 24, 192, 96
 #: A border is where these bits of the gear hash are zero: one in 32 places.
@@ -85,9 +87,9 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, row_key, chunks: the (start, size) of each row's chunks that a smaller doc_id owns."""
-    chunks = chunk_rows(docs)
-    owners = chunks.groupBy("hi", "lo").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("hi", "lo", "owner")
-    again = chunks.join(owners, ["hi", "lo"]).where("owner < doc_id")
+    chunks = chunk_rows(docs)  # cut once for each pass: that costs less than writing the chunks down
+    owners = chunks.groupBy("hi", "lo").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("owner < last").select("hi", "lo", "n", "owner")
+    again = join_hot(chunks, checkpointed(owners), ["hi", "lo"], "n").where("owner < doc_id")
     return again.groupBy("doc_id", "row_key").agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias("chunks"))
 
 

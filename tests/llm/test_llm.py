@@ -392,6 +392,18 @@ def test_token_counts_table(docs, empty):
     assert token_counts.token_counts(docs, pieces).count() == docs.count() and token_counts.token_counts(empty, pieces).count() == 0
 
 
+def test_join_with_hot_keys(spark, monkeypatch):
+    from tablewright.llm import common
+
+    monkeypatch.setattr(common, "HOT_KEYS", 4)
+    left = spark.createDataFrame([(i, 7 if i % 2 else i, b"x" * (i % 3)) for i in range(60)], "i long, k long, d binary")
+    for on in (["k"], ["d"], ["k", "d"]):
+        right = left.where("i > 3").groupBy(*on).agg(F.min("i").alias("least"))
+        right = right.join(left.groupBy(*on).agg(F.count("*").alias("n")), on).select(*on, "n", "least")
+        got = sorted((r.i, r.least) for r in common.join_hot(left, right, on, "n").collect())
+        assert got == sorted((r.i, r.least) for r in left.join(right, on, "left").collect()) and len(got) == 60
+
+
 def test_secrets(spark, docs, empty):
     key = "9f2c4e1ab77d03c5e8a1f6b2d4c7908133aa55ee"
     rows = [(1, f'the house token = "{key}" of the river', "en", "s", 0), (2, "write to anna.lee42@mail7.example.com about the morning", "en", "s", 0), (3, f"checksum sha1 {key} of the garden", "en", "s", 0), (4, None, None, None, None)]
@@ -421,7 +433,8 @@ def test_forest_on_findings_it_has_not_seen():
 def test_dictionary_counts_all_documents(spark, docs, plain, empty):
     seen = collections.Counter(w for _, t in plain for w in {x for x in re.findall(r"[^\W\d_]+", (t or "").lower()) if 4 <= len(x) <= 12})
     assert secrets.dictionary(docs) == {w for w, n in seen.items() if n > 1} and secrets.dictionary(empty) == frozenset()
-    assert secrets.dictionary(docs, 3) == set(sorted((w for w, n in seen.items() if n > 1), key=lambda w: (-seen[w], w))[:3])
+    some = secrets.dictionary(docs, 12)
+    assert 0 < len(some) <= 12 and min(seen[w] for w in some) > max(seen[w] for w in seen if w not in some)
 
 
 def test_tokens_of_the_test_table_are_found(spark, sf_dir):
