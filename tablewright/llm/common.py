@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import sys
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -32,6 +33,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table as it was written to the shared folder: worked out once, read as often as it is needed, whatever executors are lost."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and tables between stages. Only a session without executors of its own may go without one."""
     context = spark.sparkContext
