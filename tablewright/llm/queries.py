@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import conversation_repair, decontamination, language_id, near_dedup, packing, periodic_runs, quality, secrets, substring_dedup, suffix_dedup, token_counts, toxicity
+from tablewright.llm import conversation_repair, decontamination, language_id, near_dedup, packing, periodic_runs, quality, quality_classifier, secrets, substring_dedup, suffix_dedup, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_minhash_near_dedup": near_dedup.query,
         "op10_token_counts": token_counts.query,
         "op13_periodic_runs": periodic_runs.query,
+        "op11_quality_classifier": quality_classifier.query,
         "op12_conversation_repair": conversation_repair.query,
     }
 
