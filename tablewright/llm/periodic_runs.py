@@ -245,7 +245,8 @@ def planted(docs: DataFrame) -> DataFrame:
     period = lambda n: 1 + F.floor((n - at(n)) / (3 + g % 8))
     place = lambda i, n: F.when(i < at(n), i).otherwise(at(n) + (i - at(n)) % period(n))
     again = lambda w: F.array_join(F.transform(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.get(w, place(i, F.size(w)).cast("int"))), " ")
-    changed = F.when((h % 10 == 0) & (text != ""), again(words)).otherwise(F.col("text").cast("string"))
+    # As the variable of an outer transform the words are split once, not once for each word.
+    changed = F.when((h % 10 == 0) & (text != ""), F.transform(F.array(words), again)[0]).otherwise(F.col("text").cast("string"))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), changed.alias("text"))
 
 
