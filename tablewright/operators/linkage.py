@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.text import normalize_company, normalize_url, similarity_of, trigrams
 from tablewright.functions.values import location_similarity
 from tablewright.functions.word_similarity import word_similarity
+from tablewright.storage import staged
 
 
 def keeper(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -111,31 +112,44 @@ def block_pairs(df: DataFrame, block: str, id_col: str) -> DataFrame:
     return a.join(b, "block").where("a < b")
 
 
+#: Texts of a block that are paired one by one; a larger block's pairs come from shared trigrams.
+SMALL_BLOCK = 32
+
+
 def similar_pairs(df: DataFrame, block: str, id_col: str, text: str, threshold: float) -> DataFrame:
     """J10 with a trigram threshold: (a, b, similarity) within a block, similarity >= threshold, a < b.
 
-    Texts are scored once for each distinct text of a block. Two trigram sets of that similarity must share one of their rarest
+    Texts are scored once for each distinct text of a block. A block of SMALL_BLOCK texts or less is paired text by text, so each text meets
+    SMALL_BLOCK others at most. In larger ones, two trigram sets of that similarity must share one of their rarest
     trigrams (prefix filter), so candidates come from an equal join on block and trigram, never from the whole block.
-    Trigrams of letters, digits and spaces are at most 37 to the third power, so their ranks are broadcast."""
-    rows = df.select(F.col(block).alias("block"), F.col(id_col).alias("id"), F.col(text).alias("text")).where("block IS NOT NULL AND text IS NOT NULL")
-    texts = rows.select("block", "text").distinct().withColumn("text_id", F.sha2(F.concat_ws("\x00", F.col("block").cast("string"), "text"), 256))
-    sets = texts.withColumn("grams", trigrams(F.col("text"))).where(F.size("grams") > 0)
-    ranks = sets.select(F.explode("grams").alias("gram")).groupBy("gram").count().select("gram", F.struct("count", "gram").alias("rank"))
-    spread = sets.select("block", "text_id", F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(F.broadcast(ranks), "gram")
+    Trigrams of letters, digits and spaces are at most 37 to the third power, so their ranks are broadcast. Texts and pairs of texts are written down between the steps."""
+    digest = F.xxhash64("block", "text").alias("text_id")
+    rows = df.select(F.col(block).cast("string").alias("block"), F.col(id_col).alias("id"), F.col(text).alias("text")).where("block IS NOT NULL AND text IS NOT NULL")
+    texts = rows.select("block", "text").distinct().withColumn("grams", trigrams(F.col("text"))).where(F.size("grams") > 0)
+    sizes = texts.groupBy("block").agg(F.count("*").alias("texts"))
+    sets = staged(texts.join(sizes, "block").select(digest, "block", "text", "grams", F.size("grams").alias("n"), "texts"), "texts")
+    alike = F.least("n1", "n2") >= F.greatest("n1", "n2") * threshold - 1e-9
+    score = similarity_of(F.col("g1"), F.col("g2"))
+    few = sets.where(F.col("texts") <= SMALL_BLOCK)
+    side = lambda s: few.select("block", F.col("text_id").alias(f"t{s}"), F.col("n").alias(f"n{s}"), F.col("grams").alias(f"g{s}"))
+    small = side("1").join(side("2"), "block").where((F.col("t1") < F.col("t2")) & alike)
+    many = sets.where(F.col("texts") > SMALL_BLOCK)
+    ranks = many.select(F.explode("grams").alias("gram")).groupBy("gram").count().select("gram", F.struct("count", "gram").alias("rank"))
+    spread = many.select("block", "text_id", "n", F.explode("grams").alias("gram")).join(F.broadcast(ranks), "gram")
     order = Window.partitionBy("text_id").orderBy("rank")
     keep = F.col("n") - F.ceil(F.col("n") * threshold) + 1
-    prefix = spread.withColumn("at", F.row_number().over(order)).where(F.col("at") <= keep).select("block", "text_id", "n", "gram", "at")
+    prefix = staged(spread.withColumn("at", F.row_number().over(order)).where(F.col("at") <= keep).select("block", "text_id", "n", "gram", "at"), "prefixes")
     one, two = (prefix.select("block", "gram", F.col("text_id").alias(f"t{s}"), F.col("n").alias(f"n{s}"), F.col("at").alias(f"at{s}")) for s in "12")
     # From their first shared trigram on, two sets must still have room for the trigrams that the similarity asks for.
     room = F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2")) + 1
-    close = (F.col("t1") < F.col("t2")) & (F.least("n1", "n2") >= F.greatest("n1", "n2") * threshold) & (room >= (F.col("n1") + F.col("n2")) * (threshold / (1 + threshold)) - 1e-6)
+    close = (F.col("t1") < F.col("t2")) & alike & (room >= (F.col("n1") + F.col("n2")) * (threshold / (1 + threshold)) - 1e-6)
     near = one.join(two, ["block", "gram"]).where(close).select("t1", "t2").distinct()
-    held = sets.select("text_id", "grams")
-    scored = near.join(held.select(F.col("text_id").alias("t1"), F.col("grams").alias("g1")), "t1").join(held.select(F.col("text_id").alias("t2"), F.col("grams").alias("g2")), "t2")
-    scored = scored.withColumn("similarity", similarity_of(F.col("g1"), F.col("g2"))).where(F.col("similarity") >= threshold).select("t1", "t2", "similarity")
+    held = lambda s: many.select(F.col("text_id").alias(f"t{s}"), F.col("grams").alias(f"g{s}"))
+    large = near.join(held("1"), "t1").join(held("2"), "t2")
+    scored = small.select("t1", "t2", score.alias("similarity")).unionByName(large.select("t1", "t2", score.alias("similarity"))).where(F.col("similarity") >= threshold)
     same = sets.select(F.col("text_id").alias("t1"), F.col("text_id").alias("t2"), F.lit(1.0).alias("similarity"))
-    owners = rows.join(texts, ["block", "text"]).select("text_id", "id")
-    both = scored.unionByName(same).join(owners.select(F.col("text_id").alias("t1"), F.col("id").alias("x")), "t1").join(owners.select(F.col("text_id").alias("t2"), F.col("id").alias("y")), "t2")
+    owners = rows.select(digest, "id")
+    both = staged(scored.unionByName(same), "text-pairs").join(owners.select(F.col("text_id").alias("t1"), F.col("id").alias("x")), "t1").join(owners.select(F.col("text_id").alias("t2"), F.col("id").alias("y")), "t2")
     return both.where("t1 <> t2 OR x < y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
 
 
@@ -146,18 +160,24 @@ def exclude_reviewed(pairs: DataFrame, reviewed: DataFrame) -> DataFrame:
     return keyed.join(done, ["lo", "hi"], "left_anti").drop("lo", "hi")
 
 
-def score_text_pairs(pairs: DataFrame, texts: DataFrame, id_col: str, text: str, words: bool = False) -> DataFrame:
+def score_text_pairs(pairs: DataFrame, texts: DataFrame, id_col: str, text: str, words: bool = False, within: int | None = None) -> DataFrame:
     """Similarity of two texts, worked out once for each distinct pair of texts. Empty gives 0, equal gives 1; with `words` the better one of
-    the texts' similarity and that of the shorter one with any run of words of the longer one (the first of two of one length is the shorter)."""
+    the texts' similarity and that of the shorter one with any run of words of the longer one (the first of two of one length is the shorter).
+    With `within`, also `contained`: whether either text, of so many characters at least, stands within the other."""
     keyed = texts.select(F.col(id_col).alias("id"), F.sha2(F.col(text), 256).alias("h"))
     named = pairs.join(keyed.select(F.col("id").alias("a"), F.col("h").alias("ha")), "a").join(keyed.select(F.col("id").alias("b"), F.col("h").alias("hb")), "b")
+    return named.join(text_scores(named, texts.select(F.sha2(F.col(text), 256).alias("h"), F.col(text).alias("t")), words, within), ["ha", "hb"]).drop("ha", "hb")
+
+
+def text_scores(named: DataFrame, texts: DataFrame, words: bool = False, within: int | None = None) -> DataFrame:
+    """J12 by digests: (ha, hb, text_similarity and, if asked for, contained) of the distinct pairs (ha, hb), with the texts (h, t)."""
     need = named.select("ha", "hb").distinct()
     asked = need.select(F.explode(F.array("ha", "hb")).alias("h")).distinct()
-    kept = ["g", "t"] if words else ["g"]
-    # Only texts that stand in a pair get trigrams; dealt by their digest once, for both sides.
-    grams = texts.select(F.sha2(F.col(text), 256).alias("h"), F.col(text).alias("t")).join(asked, "h", "left_semi").dropDuplicates(["h"])
-    grams = grams.select("h", (F.length("t") == 0).alias("blank"), "t", trigrams(F.col("t")).alias("g")).select("h", "blank", *kept).repartition("h")
-    side = lambda s: grams.select(*[F.col(c).alias(c + s) for c in ("h", "blank", *kept)])
+    # Only texts that stand in a pair get trigrams.
+    grams = texts.join(asked, "h", "left_semi").dropDuplicates(["h"]).select("h", (F.length("t") == 0).alias("blank"), "t", trigrams(F.col("t")).alias("g"))
+    kept = ["h", "blank", "g", *(["t"] if words or within is not None else [])]
+    grams = staged(grams.select(*kept), "grams")
+    side = lambda s: grams.select(*[F.col(c).alias(c + s) for c in kept])
     scored = need.join(side("a"), "ha").join(side("b"), "hb")
     plain = (F.col("blanka") | F.col("blankb"), F.col("ha") == F.col("hb"))
     score = similarity_of(F.col("ga"), F.col("gb"))
@@ -167,8 +187,11 @@ def score_text_pairs(pairs: DataFrame, texts: DataFrame, id_col: str, text: str,
         short = F.when(asked, F.when(first, F.col("ta")).otherwise(F.col("tb")))
         scored = scored.withColumn("run", word_similarity(short, F.when(asked, F.when(first, F.col("tb")).otherwise(F.col("ta")))))
         score = F.greatest(score, F.col("run"))
-    score = F.when(plain[0], F.lit(0.0)).when(plain[1], F.lit(1.0)).otherwise(score)
-    return named.join(scored.select("ha", "hb", score.alias("text_similarity")), ["ha", "hb"]).drop("ha", "hb")
+    score = F.when(plain[0], F.lit(0.0)).when(plain[1], F.lit(1.0)).otherwise(score).alias("text_similarity")
+    if within is None:
+        return scored.select("ha", "hb", score)
+    stands = ((F.length("ta") >= within) & F.contains("tb", "ta")) | ((F.length("tb") >= within) & F.contains("ta", "tb"))
+    return scored.select("ha", "hb", score, stands.alias("contained"))
 
 
 def contained_in(small: DataFrame, small_id: str, big: DataFrame, big_id: str, text: str = "text", min_len: int = 120, words: int = 4) -> DataFrame:
@@ -201,10 +224,10 @@ def source_sets(sources: DataFrame, job: str, source: str, supported: list[str])
 
 
 def unique_endpoints(pairs: DataFrame) -> DataFrame:
-    """Pairs whose ends stand in no other pair."""
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    lone = ends.groupBy("id").count().where("count = 1").select("id")
-    return pairs.join(lone.withColumnRenamed("id", "a"), "a", "left_semi").join(lone.withColumnRenamed("id", "b"), "b", "left_semi")
+    """Pairs whose ends stand in no other pair. Each end carries its pair, so the pairs are read once and joined with nothing."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end"), F.struct(*pairs.columns).alias("pair"))
+    lone = ends.groupBy("end").agg(F.count("*").alias("n"), F.any_value("pair").alias("pair")).where("n = 1")
+    return lone.groupBy("pair").count().where("count = 2").select("pair.*")
 
 
 def first_in_batch(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -253,28 +276,31 @@ def duplicate_candidates(
     (job_id, source_name) are given, the source sets of both; then only jobs with a supported source take part.
 
     Cheap tests go first: block and title, reviewed pairs, location, then the description of what is left. Jobs that are equal in every
-    field are one class: pairs are those of the classes' first jobs, and (first, copy) for each copy; a class is never expanded into all its pairs."""
+    field are one class: pairs are those of the classes' first jobs, and (first, copy) for each copy; a class is never expanded into all its pairs.
+    Each step's result is written down (`staged`): the jobs with what they are compared by, the pairs of titles, the pairs that are left, the scores of their texts."""
     if sources is not None:
-        sets = source_sets(sources, "job_id", "source_name", supported or [])
+        sets = staged(source_sets(sources, "job_id", "source_name", supported or []), "source-sets")
         jobs = jobs.join(sets.select(F.col("job_id").alias("id")), "id", "left_semi")
-    jobs = jobs.persist()  # every step below reads it, and its texts are costly to normalise
+    description = F.coalesce("description", F.lit(""))
+    jobs = staged(jobs.select("id", "block", "title", "location", "remote", "description", F.sha2(description, 256).alias("h")), "jobs")
     classes = job_classes(jobs)
-    firsts = jobs.join(classes.where("id = first").select("id"), "id", "left_semi")
-    pairs = similar_pairs(firsts, "block", "id", "title", title_min).withColumnRenamed("similarity", "title_similarity")
-    pairs = pairs.unionByName(classes.where("id <> first").join(jobs.select("id", "title"), "id").select(F.col("first").alias("a"), F.col("id").alias("b"), F.when(F.size(trigrams(F.col("title"))) > 0, 1.0).otherwise(0.0).alias("title_similarity")).where(F.col("title_similarity") >= title_min))
+    rows = staged(jobs.join(classes, "id").select("id", "first", "block", "title", "location", "remote", "h"), "classes")
+    pairs = similar_pairs(rows.where("id = first"), "block", "id", "title", title_min).withColumnRenamed("similarity", "title_similarity")
+    known = F.when(F.size(trigrams(F.col("title"))) > 0, 1.0).otherwise(0.0)
+    pairs = pairs.unionByName(rows.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"), known.alias("title_similarity")).where(F.col("title_similarity") >= title_min))
     if reviewed is not None:
         pairs = exclude_reviewed(pairs, reviewed)
-    side = lambda s: jobs.select(F.col("id").alias(s), F.col("location").alias(f"location_{s}"), F.col("remote").alias(f"remote_{s}"))
+    side = lambda s: rows.select(F.col("id").alias(s), F.col("location").alias(f"location_{s}"), F.col("remote").alias(f"remote_{s}"), F.col("h").alias(f"h{s}"))
     placed = pairs.join(side("a"), "a").join(side("b"), "b")
     placed = placed.withColumn("location_similarity", location_similarity(F.col("location_a"), F.col("location_b")))
     placed = placed.where((F.col("location_similarity") >= location_min) | F.coalesce(F.col("remote_a") | F.col("remote_b"), F.lit(False)))
-    placed = placed.select("a", "b", "title_similarity", "location_similarity")
-    scored = score_text_pairs(placed, jobs.select("id", F.coalesce("description", F.lit("")).alias("description")), "id", "description", words).withColumnRenamed("text_similarity", "description_similarity")
+    # Pairs that no description can lift over the threshold are left out before any description is read.
+    most = F.col("title_similarity") * 0.62 + F.col("location_similarity") * 0.18 + 0.20 + 1e-9
+    placed = staged(placed.where(most >= confidence_min).select("a", "b", "ha", "hb", "title_similarity", "location_similarity"), "placed")
+    scores = text_scores(placed, jobs.select("h", description.alias("t")), words, within=120).withColumnRenamed("text_similarity", "description_similarity")
     confidence = F.col("title_similarity") * 0.62 + F.col("location_similarity") * 0.18 + F.col("description_similarity") * 0.20
-    good = scored.withColumn("confidence", confidence).where(F.col("confidence") >= confidence_min)
-    text = lambda s: jobs.select(F.col("id").alias(s), F.coalesce("description", F.lit("")).alias(f"d{s}"))
-    within = ((F.length("da") >= 120) & F.contains("db", "da")) | ((F.length("db") >= 120) & F.contains("da", "db"))
-    good = good.join(text("a"), "a").join(text("b"), "b").withColumn("contained", within).drop("da", "db")
+    good = placed.join(staged(scores, "scores"), ["ha", "hb"]).withColumn("confidence", confidence).where(F.col("confidence") >= confidence_min)
+    good = good.select("a", "b", "title_similarity", "location_similarity", "description_similarity", "confidence", "contained")
     if sources is not None:
         names = lambda s: sets.select(F.col("job_id").alias(s), F.col("source_names").alias(f"sources_{s}"))
         good = good.join(names("a"), "a").join(names("b"), "b")

@@ -183,7 +183,7 @@ def u05(spark, d):
     return L.preferred_union(cached, seed, ["k"])
 
 
-def candidate_jobs(spark, d):
+def page_jobs(spark, d):
     """Pages as jobs: the host is the company, the title element the title, the language the place, the text without tags the description."""
     p = table(spark, d, "pages")
     title, lang = F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.regexp_extract("html", '<html[^>]*lang="([^"]*)"', 1)
@@ -191,37 +191,79 @@ def candidate_jobs(spark, d):
     return p.select(F.col("page_id").alias("id"), F.lower(F.regexp_extract("url", "^https?://([^/?#]+)", 1)).alias("block"), T.normalize_text(title).alias("title"), lang.alias("location"), F.lit(False).alias("remote"), T.normalize_text(text).alias("description"))
 
 
-CANDIDATES = f"""WITH j AS (SELECT page_id AS id, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS block, {NORM.format("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS title, regexp_extract(html, '<html[^>]*lang="([^"]*)"', 1) AS lang, {NORM.format("regexp_replace(html, '<[^>]*>', ' ', 'g')")} AS description FROM pages),
-c AS (SELECT *, min(id) OVER (PARTITION BY block, title, lang, description) AS head FROM j WHERE block <> ''),
+PAGE_JOBS = f"""j AS (SELECT page_id AS id, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS block, {NORM.format("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS title, regexp_extract(html, '<html[^>]*lang="([^"]*)"', 1) AS lang, FALSE AS remote, {NORM.format("regexp_replace(html, '<[^>]*>', ' ', 'g')")} AS description FROM pages)"""
+
+
+def order_jobs(spark, d):
+    """Orders as jobs: the customer is the company, the first line's part the title, the first line's supplier's nation the place (unknown in one
+    region), all lines the description; some are remote. Urgent orders come again with two more words in the title, high ones as they are, and medium ones in
+    other letters with a longer description, so candidates of every kind grow with the orders."""
+    part, nation = table(spark, d, "part"), table(spark, d, "nation")
+    place = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.when(F.col("n_regionkey") > 0, F.lower("n_name")).otherwise("").alias("place"))
+    words = F.lower(F.concat_ws(" ", "p_name", "p_type", F.replace("p_brand", F.lit("#"), F.lit(" "))))
+    lines = table(spark, d, "lineitem").join(part.select(F.col("p_partkey").alias("l_partkey"), words.alias("words")), "l_partkey").join(place, "l_suppkey")
+    said = F.concat_ws(" ", "words", F.col("l_quantity").cast("int").cast("string"), F.lit("pieces"))
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "words", "place", said.alias("said"))
+    posts = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    orders = table(spark, d, "orders").join(posts, "o_orderkey")
+    first = F.col("lines")[0]
+    job = orders.select(F.col("o_orderkey").alias("key"), F.col("o_custkey").cast("string").alias("block"), first["words"].alias("title"), first["place"].alias("location"), (F.col("o_orderstatus") == "P").alias("remote"), F.array_join("lines.said", " ").alias("description"), F.substring("o_orderpriority", 1, 1).alias("kind"))
+    title = F.when(F.col("kind") == "1", F.concat("title", F.lit(" m/w/d"))).when(F.col("kind") == "3", F.concat(F.lit("- "), F.upper("title"))).otherwise(F.col("title"))
+    text = F.when(F.col("kind") == "3", F.concat(F.lit("We look for: "), "description", F.lit(". Apply now!"))).otherwise(F.col("description"))
+    copies = job.where("kind IN ('1', '2', '3')").select((2 * F.col("key") + 1).alias("id"), "block", title.alias("title"), "location", "remote", text.alias("description"))
+    every = job.select((2 * F.col("key")).alias("id"), "block", "title", "location", "remote", "description").unionByName(copies)
+    return every.withColumns({"title": T.normalize_text(F.col("title")), "description": T.normalize_text(F.col("description"))})
+
+
+ORDER_JOBS = f"""lines AS (SELECT *, lower(p_name || ' ' || p_type || ' ' || replace(p_brand, '#', ' ')) AS words, CASE WHEN n_regionkey > 0 THEN lower(n_name) ELSE '' END AS place, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS r FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
+posts AS (SELECT l_orderkey, string_agg(words || ' ' || CAST(l_quantity AS INTEGER) || ' pieces', ' ' ORDER BY r) AS description, min(words) FILTER (r = 1) AS title, min(place) FILTER (r = 1) AS place FROM lines GROUP BY 1),
+o AS (SELECT o_orderkey AS key, CAST(o_custkey AS VARCHAR) AS block, title, place, o_orderstatus = 'P' AS remote, description, substr(o_orderpriority, 1, 1) AS kind FROM orders JOIN posts ON o_orderkey = l_orderkey),
+e AS (SELECT 2 * key AS id, block, title, place, remote, description FROM o UNION ALL SELECT 2 * key + 1, block, CASE kind WHEN '1' THEN title || ' m/w/d' WHEN '3' THEN '- ' || upper(title) ELSE title END, place, remote, CASE kind WHEN '3' THEN 'We look for: ' || description || '. Apply now!' ELSE description END FROM o WHERE kind IN ('1', '2', '3')),
+j AS (SELECT id, block, {NORM.format('title')} AS title, place AS lang, remote, {NORM.format('description')} AS description FROM e)"""
+
+
+def candidates(jobs: str) -> str:
+    """R01 without runs of words, over the jobs `j`."""
+    return f"""WITH {jobs},
+c AS (SELECT *, min(id) OVER (PARTITION BY block, title, lang, remote, description) AS head FROM j WHERE block <> ''),
 g AS (SELECT *, {TRI.format('title')} AS tg FROM c WHERE id = head),
-p AS (SELECT x.id AS a, y.id AS b, {SIM('x.tg', 'y.tg')} AS t, CASE WHEN x.lang = '' OR y.lang = '' THEN 0.5 WHEN x.lang = y.lang THEN 1.0 ELSE {SIM(TRI.format('x.lang'), TRI.format('y.lang'))} END AS l FROM g x JOIN g y ON x.block = y.block AND x.id < y.id
-UNION ALL SELECT head, id, CASE WHEN title = '' THEN 0.0 ELSE 1.0 END, CASE WHEN lang = '' THEN 0.5 ELSE 1.0 END FROM c WHERE id <> head),
-k AS (SELECT * FROM p WHERE t >= 0.45 AND l >= 0.20),
+p AS (SELECT x.id AS a, y.id AS b, x.remote OR y.remote AS remote, {SIM('x.tg', 'y.tg')} AS t, CASE WHEN x.lang = '' OR y.lang = '' THEN 0.5 WHEN x.lang = y.lang THEN 1.0 WHEN contains(x.lang, y.lang) OR contains(y.lang, x.lang) THEN 0.95 ELSE {SIM(TRI.format('x.lang'), TRI.format('y.lang'))} END AS l FROM g x JOIN g y ON x.block = y.block AND x.id < y.id
+UNION ALL SELECT head, id, remote, CASE WHEN title = '' THEN 0.0 ELSE 1.0 END, CASE WHEN lang = '' THEN 0.5 ELSE 1.0 END FROM c WHERE id <> head),
+k AS (SELECT * FROM p WHERE t >= 0.45 AND (l >= 0.20 OR remote)),
 m AS (SELECT id, description, {TRI.format('description')} AS dg FROM j WHERE id IN (SELECT a FROM k UNION SELECT b FROM k)),
 s AS (SELECT k.*, x.description AS da, y.description AS db, CASE WHEN x.description = '' OR y.description = '' THEN 0.0 WHEN x.description = y.description THEN 1.0 ELSE {SIM('x.dg', 'y.dg')} END AS s FROM k JOIN m x ON a = x.id JOIN m y ON b = y.id)
 SELECT a, b, t AS title_similarity, l AS location_similarity, s AS description_similarity, t * 0.62 + l * 0.18 + s * 0.20 AS confidence, (length(da) >= 120 AND contains(db, da)) OR (length(db) >= 120 AND contains(da, db)) AS contained FROM s WHERE t * 0.62 + l * 0.18 + s * 0.20 >= 0.50"""
+
+
 SCORES = ("title_similarity", "location_similarity", "description_similarity", "confidence")
+SCORED = f"SELECT a, b, {', '.join(f'round({x}, 9) AS {x}' for x in SCORES)}, contained FROM ({{}})"
 
 
-@query("r01_duplicate_candidates", f"SELECT a, b, {', '.join(f'round({x}, 6) AS {x}' for x in SCORES)}, contained FROM ({CANDIDATES})")
+@query("r01_duplicate_candidates", SCORED.format(candidates(ORDER_JOBS)))
 def r01(spark, d):
     """With the description score that SQL can state; r01_with_word_similarity has the whole one."""
-    c = L.duplicate_candidates(candidate_jobs(spark, d), words=False)
-    return c.select("a", "b", *[F.round(x, 6).alias(x) for x in SCORES], "contained")
+    c = L.duplicate_candidates(order_jobs(spark, d), words=False)
+    return c.select("a", "b", *[F.round(x, 9).alias(x) for x in SCORES], "contained")
+
+
+@query("r01_page_candidates", SCORED.format(candidates(PAGE_JOBS)))
+def r01_pages(spark, d):
+    """The same over pages, whose texts are long."""
+    c = L.duplicate_candidates(page_jobs(spark, d), words=False)
+    return c.select("a", "b", *[F.round(x, 9).alias(x) for x in SCORES], "contained")
 
 
 @query("r01_with_word_similarity", None)
 def r01_words(spark, d):
     """The whole of R01: supported sources only, runs of words in the description score, pending rows made anew beside reviewed ones."""
-    jobs = candidate_jobs(spark, d)
+    jobs = page_jobs(spark, d)
     sources = jobs.select(F.col("id").alias("job_id"), F.when(F.col("location") == "fr", "jooble_direct").otherwise("lever_direct").alias("source_name"))
-    pair = F.struct((F.col("id")).alias("a"), (F.col("id") + 1).alias("b"), F.lit("rejected").alias("status"))
-    reviewed = jobs.select(pair.alias("p")).select("p.*")
+    reviewed = jobs.select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"), F.lit("rejected").alias("status"))
     found = L.duplicate_candidates(jobs, reviewed, sources, ["lever_direct"])
-    return L.rebuilt_candidates(reviewed, found.select("a", "b", "contained", *SCORES)).where("status = 'pending'").select("a", "b", *[F.round(x, 6).alias(x) for x in SCORES], "contained")
+    return L.rebuilt_candidates(reviewed, found.select("a", "b", "contained", *SCORES)).where("status = 'pending'").select("a", "b", *[F.round(x, 9).alias(x) for x in SCORES], "contained")
 
 
-@query("r02_safe_auto_merge", f"WITH s AS (SELECT a, b, confidence FROM ({CANDIDATES}) WHERE title_similarity >= 0.98 AND location_similarity >= 0.9 AND confidence >= 0.95 AND contained), e AS (SELECT id FROM (SELECT a AS id FROM s UNION ALL SELECT b FROM s) GROUP BY id HAVING count(*) = 1) SELECT a, b, round(confidence, 6) AS confidence FROM s WHERE a IN (SELECT id FROM e) AND b IN (SELECT id FROM e)")
+@query("r02_safe_auto_merge", f"WITH s AS (SELECT a, b, confidence FROM ({candidates(ORDER_JOBS)}) WHERE title_similarity >= 0.98 AND location_similarity >= 0.9 AND confidence >= 0.95 AND contained), e AS (SELECT id FROM (SELECT a AS id FROM s UNION ALL SELECT b FROM s) GROUP BY id HAVING count(*) = 1) SELECT a, b, round(confidence, 6) AS confidence FROM s WHERE a IN (SELECT id FROM e) AND b IN (SELECT id FROM e)")
 def r02(spark, d):
-    c = L.duplicate_candidates(candidate_jobs(spark, d), words=False).withColumn("status", F.lit("pending"))
+    c = L.duplicate_candidates(order_jobs(spark, d), words=False).withColumn("status", F.lit("pending"))
     return L.safe_auto_merge(c).select("a", "b", F.round("confidence", 6).alias("confidence"))

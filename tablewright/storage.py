@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the one that the session names for checkpoints, which driver and executors share. Only a session without executors
-    of its own may go without one."""
+    of its own may go without one; its folders go with the process."""
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="scratch-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """A step's result, written down and read back. What follows starts from a scan: the plan is as short as one step's, the file sizes tell the optimiser
+    which joins may broadcast, and a lost executor costs the tasks of one step. The folder stays for as long as the result may be read; whoever owns the
+    checkpoint folder clears it."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
