@@ -92,6 +92,23 @@ def attach_by_exact_title(batch: DataFrame, jobs: DataFrame, key: list[str], pro
     return batch.join(left.join(right, key).select(probe, target), probe, "left")
 
 
+def resolve_ranked(probes: DataFrame, held: DataFrame) -> DataFrame:
+    """J02 over ranked evidence: (probe, target, kind) of the probes (probe, rank, kind, key) that some rank leads to exactly one target, by the best such rank.
+
+    held: (kind, key, target, taken). The evidence of one rank is put together before the test for one target; a target that is `taken` is none. Targets of a key are
+    reduced to the smallest and largest first, so a key that very many share costs one row."""
+    keys = held.groupBy("kind", "key").agg(F.min("target").alias("low"), F.max("target").alias("high"), F.max("taken").alias("taken"))
+    met = probes.join(keys, ["kind", "key"]).groupBy("probe", "rank").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("taken").alias("taken"), F.min("kind").alias("kind"))
+    sure = (F.col("low") == F.col("high")) & ~F.col("taken")
+    best = met.groupBy("probe").agg(F.min(F.when(sure, F.struct("rank", F.col("low").alias("target"), "kind"))).alias("best")).where("best IS NOT NULL")
+    return best.select("probe", "best.target", "best.kind")
+
+
+def known_companies(batch: DataFrame, companies: DataFrame) -> DataFrame:
+    """J09 without new companies: the batch with company_id, a digest of the key where no company has it."""
+    return resolve_company(batch, "company", companies)[0]
+
+
 def resolve_company(batch: DataFrame, name: str, companies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(batch with company_id, new companies). Keys that repeat resolve to the oldest; a key without a company makes one; an
     empty key abstains. Ids of new companies are digests of the key, so a rerun gives the same ids."""

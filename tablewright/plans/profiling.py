@@ -393,8 +393,8 @@ def t04(spark, d):
 # --- feeds -------------------------------------------------------------------------------------------------------------------------
 
 
-def landed(spark, d, feed: str):
-    """Orders as payloads of a feed: each canonical field at the first path that the feed knows for it."""
+def landed(spark, d, feed: str, change: dict | None = None, more: dict | None = None):
+    """Orders as payloads of a feed: each canonical field at the first path that the feed knows for it; `change` gives fields other values, `more` paths further ones."""
     o = table(spark, d, "orders")
     values = {"id": F.col("o_orderkey").cast("string"), "title": F.when(F.col("o_orderkey") % 9 != 0, F.concat(F.lit("Job "), "o_orderkey")), "company": F.concat(F.lit("C"), "o_custkey"), "city": F.concat(F.lit("City "), F.col("o_custkey") % 7), "country": F.lit("CZ"), "mode": F.when(F.col("o_orderkey") % 2 == 0, "Remote").otherwise("On-site"), "published": F.date_format("o_orderdate", "yyyy-MM-dd")}
 
@@ -410,8 +410,9 @@ def landed(spark, d, feed: str):
         build_or = lambda v: build(v) if isinstance(v, dict) else v
         return build(tree)
 
-    paths: dict = {}
+    paths: dict = dict(more or {})
     values["url"] = F.concat(F.lit("https://jobs.example.com/"), "o_orderkey")
+    values |= change or {}
     for field, value in values.items():
         for p in S.FEEDS[feed][field][:1]:
             paths.setdefault(p, F.col("o_orderkey") % 2 == 0 if p == "$.location.remote" else value)
@@ -461,41 +462,6 @@ def p12(spark, d):
     return S.only_listed(table(spark, d, "documents").select("doc_id").join(lab, "doc_id", "left"), F.col("listed")).select("doc_id")
 
 
-@query("r04_feed_ingest", """WITH c AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'rejected: missing_title' WHEN o_orderstatus = 'F' THEN 'updated' WHEN o_orderstatus = 'P' THEN 'attached' ELSE 'created' END AS change FROM orders)
-SELECT 'change' AS what, change AS key, count(*) AS n FROM c GROUP BY 2
-UNION ALL SELECT 'jobs', CASE WHEN o_orderkey % 9 = 0 THEN CASE WHEN o_orderstatus = 'O' THEN 'none' ELSE 'old' END ELSE 'new' END, count(*) FROM orders WHERE NOT (o_orderkey % 9 = 0 AND o_orderstatus = 'O') GROUP BY 2
-UNION ALL SELECT 'sources', 'lever_direct', count(*) FROM orders WHERE o_orderstatus = 'F' OR o_orderkey % 9 <> 0 UNION ALL SELECT 'sources', 'jooble_direct', count(*) FROM orders WHERE o_orderstatus = 'P'
-UNION ALL SELECT 'companies', 'all', count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 9 <> 0 UNION ALL SELECT 'run', 'failed', count(*) FROM orders WHERE o_orderkey % 9 = 0""")
-def r04(spark, d):
-    """All orders come in as one feed. Finished ones are known by the feed already, pending ones by another feed at the same address."""
-    from tablewright.operators.ingest import FIELDS, State, ingest_feed
-
-    o = table(spark, d, "orders")
-    batch = landed(spark, d, "lever_direct")
-    old, none = o.where("o_orderstatus IN ('F', 'P')"), F.lit(None).cast("string")
-    before = F.lit("2024-01-01").cast("timestamp")
-    key = F.col("o_orderkey").cast("string")
-    jobs = old.select(F.concat(F.lit("j"), key).alias("id"), *[(F.lit("old") if f == "title" else none).alias(f) for f in FIELDS], F.lit("active").alias("status"), before.alias("last_seen_at"))
-    sources = old.select(
-        F.when(F.col("o_orderstatus") == "F", "lever_direct").otherwise("jooble_direct").alias("source_name"), F.concat(F.lit("scope:"), key).alias("source_job_id"), F.concat(F.lit("j"), key).alias("job_id"),
-        F.concat(F.lit("https://jobs.example.com/"), key, F.lit("?from=else")).alias("source_url"), none.alias("raw_payload"), F.lit(True).alias("is_active"), before.alias("last_seen_at"),
-    )
-    companies = spark.createDataFrame([], "id string, name string, created_at timestamp")
-    out = ingest_feed(batch, State(companies, jobs, sources), "lever_direct", F.lit("2024-01-31").cast("timestamp"), "digits", "run")
-    counted = lambda df, what, by: df.groupBy(by.alias("key")).agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "key", "n")
-    parts = [
-        counted(out.rows, "change", F.col("change")),
-        counted(out.state.jobs, "jobs", F.when(F.col("title") == "old", "old").otherwise("new")),
-        counted(out.state.sources, "sources", F.col("source_name")),
-        counted(out.state.companies, "companies", F.lit("all")),
-        out.run.select(F.lit("run").alias("what"), F.lit("failed").alias("key"), F.col("records_failed").alias("n")),
-    ]
-    all_parts = parts[0]
-    for part in parts[1:]:
-        all_parts = all_parts.unionByName(part)
-    return all_parts
-
-
 @query("m02_changed_jobs", "SELECT DISTINCT l_orderkey AS job_id FROM lineitem WHERE l_suppkey % 10 = 0")
 def m02(spark, d):
     from tablewright.streaming.jobs import changed_jobs
@@ -593,19 +559,3 @@ def m01(spark, d):
     for _ in range(2):
         start_ingest_stream(spark, landing, store, checkpoint).awaitTermination()
     return spark.read.parquet(store).agg(F.count("*").alias("n"), F.count_distinct("source_job_id").alias("ids"))
-
-
-@query("m02_invalidation_stream", "SELECT DISTINCT o_orderkey AS job_id FROM orders WHERE o_orderstatus = 'P'")
-def m02_stream(spark, d):
-    """Source rows arrive again; those of pending orders with another payload."""
-    from tablewright.storage import scratch
-    from tablewright.streaming.jobs import start_invalidation_stream
-
-    key = F.col("o_orderkey")
-    rows = table(spark, d, "orders").select(F.lit("s").alias("source_name"), key.cast("string").alias("source_job_id"), key.alias("job_id"), F.lit("u").alias("source_url"), F.lit(True).alias("is_active"), F.lit("h").alias("payload_hash"), "o_orderstatus")
-    snapshot, changes, out, checkpoint = (scratch(spark, n) for n in ("snapshot", "changes", "stale", "progress"))
-    rows.drop("o_orderstatus").write.parquet(snapshot)
-    later = rows.withColumn("payload_hash", F.when(F.col("o_orderstatus") == "P", "other").otherwise(F.col("payload_hash"))).drop("o_orderstatus")
-    later.write.parquet(changes)
-    start_invalidation_stream(spark, changes, later.schema, snapshot, out, checkpoint).awaitTermination()
-    return spark.read.parquet(out).select("job_id").distinct()

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 FLAGSHIP = "r01_duplicate_candidates"
-MODULES = ("scalars", "linkage", "consolidation", "profiling")
+MODULES = ("scalars", "linkage", "consolidation", "profiling", "streams")
 
 
 def _all() -> dict:

@@ -8,7 +8,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -30,3 +31,57 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+class Buckets:
+    """Rows by key, in `count` buckets by a hash of the key; a batch reads and writes only the buckets that its keys fall into.
+
+    A version writes the touched buckets anew, whole, below `data/version=v`, and then a manifest that names the newest version of every bucket. A version that
+    runs again reads what stood before it and overwrites its own folder, so a restart at any point neither loses nor doubles rows. Older versions are never
+    changed. One writer at a time; versions rise. Choose `count` so that a bucket is a few hundred MB; it can't be changed later."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], count: int = 64) -> None:
+        self.spark, self.path, self.schema, self.keys, self.count = spark, path, schema, keys, count
+        spark.createDataFrame([], "bucket int, at long").coalesce(1).write.mode("ignore").parquet(f"{path}/manifest/version=-1")
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.count)).cast("int")
+
+    def newest(self, before: int | None = None) -> dict[int, int]:
+        """The newest version of each bucket, as it was before a version. `count` entries at most."""
+        names = self.spark.read.schema("bucket int, at long").parquet(f"{self.path}/manifest").inputFiles()
+        found = {int(v) for v in re.findall(r"/version=(-?\d+)/", "\n".join(names))}
+        held = [v for v in found if before is None or v < before]
+        if not held or max(held) < 0:
+            return {}
+        rows = self.spark.read.schema("bucket int, at long").parquet(f"{self.path}/manifest/version={max(held)}").collect()
+        return {r["bucket"]: r["at"] for r in rows}
+
+    def rows(self, versions: dict[int, int]) -> DataFrame:
+        paths = [f"{self.path}/data/version={v}/bucket={b}" for b, v in sorted(versions.items())]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def current(self) -> DataFrame:
+        return self.rows(self.newest())
+
+    def asked(self, keys: DataFrame) -> set[int]:
+        """The buckets that some keys fall into: `count` numbers at most."""
+        return {r[0] for r in keys.select(self.bucket()).distinct().collect()}
+
+    def lookup(self, keys: DataFrame, before: int) -> DataFrame:
+        """The rows of some keys, as they were before a version."""
+        held, asked = self.newest(before), self.asked(keys)
+        return self.rows({b: v for b, v in held.items() if b in asked}).join(keys.select(*self.keys).distinct(), self.keys, "left_semi")
+
+    def replace(self, new: DataFrame, version: int, also: DataFrame | None = None) -> None:
+        """Puts rows in place of those of the same keys, and of the keys in `also`, whose rows go."""
+        keys = new.select(*self.keys) if also is None else new.select(*self.keys).unionByName(also.select(*self.keys))
+        held, asked = self.newest(version), self.asked(keys)
+        kept = self.rows({b: v for b, v in held.items() if b in asked}).join(keys.distinct(), self.keys, "left_anti")
+        whole = kept.unionByName(new.select(*kept.columns)).withColumn("bucket", self.bucket())
+        folder = f"{self.path}/data/version={version}"
+        whole.repartition(self.count, "bucket").sortWithinPartitions("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        written = self.spark.read.schema(f"{self.schema}, bucket int").parquet(folder).inputFiles()
+        # A touched bucket without a file has lost its last row.
+        held = {b: v for b, v in held.items() if b not in asked} | {int(b): version for b in re.findall(r"/bucket=(\d+)/", "\n".join(written))}
+        self.spark.createDataFrame(sorted(held.items()), "bucket int, at long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
