@@ -150,6 +150,56 @@ def x12(spark, d):
     return table(spark, d, "supplier").withColumn("p", PL.parse_place_label(place_labels(), COUNTRY_ALIASES, CITY_ALIASES, REGION_ALIASES)).select("s_suppkey", "p.city", "p.region", "p.country", "p.reason")
 
 
+#: Labels in the layouts that feeds use, with what they mean: city, region, country, reason.
+LAYOUTS = (
+    ("Office (Brno)", None, None, None, "unknown_label"), ("Germany Prague", None, None, "DE", None), ("Zlínský kraj", None, "Zlínský kraj", "CZ", None), ("Remote (Brno)", "Brno", None, "CZ", None),
+    ("Prague (Germany)", None, None, "DE", None), ("Plzeň (centrum)", "Plzeň", None, "CZ", None), ("Brno, Zlin Region", "Brno", "Zlínský kraj", "CZ", None), ("Czech Republic  Ústí nad Labem", "Ústí nad Labem", None, "CZ", None),
+    ("Brandýs nad Labem-Stará Boleslav", None, None, None, "unknown_label"), ("hybrid-brno-cz", "Brno", None, "CZ", None), ("Praha 4 > Remote", "Prague", None, "CZ", None), ("Liberec; Olomouc", None, None, None, "unknown_label"),
+)
+
+
+def listed(*columns: list) -> str:
+    """The columns of a small list as DuckDB values, by position from 0."""
+    text = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+    return ", ".join(f"({n}, {', '.join(map(text, row))})" for n, row in enumerate(zip(*columns, strict=True)))
+
+
+@query("x12_place_layouts", f"SELECT c_custkey, city, region, country, reason FROM customer JOIN (VALUES {listed(*[[r[i] for r in LAYOUTS] for i in range(1, 5)])}) v(n, city, region, country, reason) ON c_custkey % {len(LAYOUTS)} = n")
+def x12_layouts(spark, d):
+    label = F.element_at(F.array(*[F.lit(r[0]) for r in LAYOUTS]), (F.col("c_custkey") % len(LAYOUTS) + 1).cast("int"))
+    return table(spark, d, "customer").withColumn("p", PL.parse_place_label(label, COUNTRY_ALIASES, CITY_ALIASES, REGION_ALIASES)).select("c_custkey", "p.city", "p.region", "p.country", "p.reason")
+
+
+#: City fields, the row's country, and the city that they name.
+CITY_FIELDS = (
+    ("Brno, Czechia", "CZ", "Brno"), ("Lhota (office)", "CZ", "Lhota"), ("Lhota (office)", None, None), ("Lhota, Lhota, Czech Republic", "CZ", "Lhota"), ("Lhota, Brno, Czechia", "CZ", None), ("Berlin, Deutschland", "DE", "Berlin"),
+    ("Lhota 3, Czechia", "CZ", "Lhota"), ("Lhota 3", "DE", None), ("Prague", "DE", None), ("Zlínský kraj", "CZ", None), ("Slovakia", "SK", None), ("Nové Město na Moravě", "CZ", "Nové Město na Moravě"), ("Brno (Office/Factory), Czechia", "CZ", "Brno"),
+)
+
+
+@query("x13_city_fields", f"SELECT c_custkey, city FROM customer JOIN (VALUES {listed([r[2] for r in CITY_FIELDS])}) v(n, city) ON c_custkey % {len(CITY_FIELDS)} = n")
+def x13_fields(spark, d):
+    at = (F.col("c_custkey") % len(CITY_FIELDS) + 1).cast("int")
+    value, country = (F.element_at(F.array(*[F.lit(r[i]) for r in CITY_FIELDS]), at) for i in (0, 1))
+    return table(spark, d, "customer").select("c_custkey", PL.typed_city(value, CITY_ALIASES, COUNTRY_ALIASES, REGION_ALIASES, country).alias("city"))
+
+
+@query("x13_subdivisions", "SELECT c_custkey, CASE c_custkey % 4 WHEN 3 THEN NULL ELSE n_name END AS region FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def x13_subdivisions(spark, d):
+    """Nations as subdivisions of their regions, in a file like the public list; customers name theirs by code, by name, by the code's end, or with the code of another region's."""
+    from tablewright.sources.dimensions import load_dimension
+    from tablewright.storage import scratch
+
+    n = table(spark, d, "nation").withColumns({"country": F.concat(F.lit("R"), "n_regionkey"), "other": F.concat(F.lit("R"), F.col("n_regionkey") + 7)})
+    code = F.concat_ws("-", "country", F.concat(F.lit("N"), "n_nationkey"))
+    path = scratch(spark, "subdivisions")
+    n.agg(F.collect_list(F.struct(code.alias("code"), F.col("n_name").alias("name"), F.lit("Nation").alias("type"))).alias("3166-2")).write.json(path)
+    k = F.col("c_custkey") % 4
+    value = F.when(k == 0, F.lower(code)).when(k == 1, F.concat(F.lit(" "), F.upper("n_name"))).when(k == 2, F.concat(F.lit("n"), "n_nationkey")).otherwise(F.concat_ws("-", "other", F.lit("N1")))
+    rows = table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "country", value.alias("value"))
+    return PL.typed_subdivisions(rows, "value", "country", load_dimension(spark, "subdivisions", path)).select("c_custkey", "region")
+
+
 @query("x13_typed_places", "SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'Brno' WHEN 1 THEN 'Customer Town' WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 4 THEN 'Ostrava' ELSE NULL END AS city, CASE WHEN c_custkey % 2 = 0 THEN 'Jihomoravský kraj' END AS region FROM customer")
 def x13(spark, d):
     k = F.col("c_custkey")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +23,36 @@ CITY_ALIASES = {
     "prague": ("Prague", "CZ"), "praha": ("Prague", "CZ"), "brno": ("Brno", "CZ"), "ostrava": ("Ostrava", "CZ"), "pardubice": ("Pardubice", "CZ"),
     "kutna hora": ("Kutná Hora", "CZ"), "plzen": ("Plzeň", "CZ"), "pilsen": ("Plzeň", "CZ"), "liberec": ("Liberec", "CZ"), "olomouc": ("Olomouc", "CZ"),
     "hradec kralove": ("Hradec Králové", "CZ"), "ceske budejovice": ("České Budějovice", "CZ"), "zlin": ("Zlín", "CZ"),
+    "roznov pod radhostem": ("Rožnov pod Radhoštěm", "CZ"), "usti nad labem": ("Ústí nad Labem", "CZ"),
 }
 
 
-#: Region spellings of the country whose cities are known.
-REGION_ALIASES = {
-    "jihomoravsky kraj": "Jihomoravský kraj", "south moravian region": "Jihomoravský kraj", "stredocesky kraj": "Středočeský kraj", "central bohemian region": "Středočeský kraj",
-    "jihocesky kraj": "Jihočeský kraj", "south bohemian region": "Jihočeský kraj", "moravskoslezsky kraj": "Moravskoslezský kraj", "moravian-silesian region": "Moravskoslezský kraj",
-    "plzensky kraj": "Plzeňský kraj", "pilsen region": "Plzeňský kraj", "olomoucky kraj": "Olomoucký kraj", "olomouc region": "Olomoucký kraj",
-    "liberecky kraj": "Liberecký kraj", "liberec region": "Liberecký kraj", "pardubicky kraj": "Pardubický kraj", "pardubice region": "Pardubický kraj",
+#: The 14 regions of the country whose cities are known, as ISO 3166-2 names them, and their further spellings.
+REGIONS = (
+    "Praha, Hlavní město", "Středočeský kraj", "Jihočeský kraj", "Plzeňský kraj", "Karlovarský kraj", "Ústecký kraj", "Liberecký kraj",
+    "Královéhradecký kraj", "Pardubický kraj", "Kraj Vysočina", "Jihomoravský kraj", "Olomoucký kraj", "Zlínský kraj", "Moravskoslezský kraj",
+)
+REGION_SPELLINGS = {
+    "prague": "Praha, Hlavní město", "praha": "Praha, Hlavní město", "hlavni mesto praha": "Praha, Hlavní město",
+    "central bohemian region": "Středočeský kraj", "south bohemian region": "Jihočeský kraj",
+    "south moravian region": "Jihomoravský kraj", "moravian-silesian region": "Moravskoslezský kraj",
+    "pilsen region": "Plzeňský kraj", "plzen region": "Plzeňský kraj",
+    "karlovy vary region": "Karlovarský kraj", "usti nad labem region": "Ústecký kraj",
+    "liberec region": "Liberecký kraj", "hradec kralove region": "Královéhradecký kraj",
+    "pardubice region": "Pardubický kraj", "olomouc region": "Olomoucký kraj",
+    "zlin region": "Zlínský kraj", "vysocina region": "Kraj Vysočina",
 }
 
 
+def folded(name: str) -> str:
+    """What fold_spaces gives for a name."""
+    plain = unicodedata.normalize("NFD", name.lower())
+    return " ".join("".join(c for c in plain if not unicodedata.combining(c)).split())
+
+
+REGION_ALIASES = {folded(name): name for name in REGIONS} | REGION_SPELLINGS
+
+
 def iso_countries(spark: SparkSession) -> DataFrame:
     """(alias, country): codes of two and three letters and English names of all ISO 3166 countries, as the session's Java knows them."""
     locale = spark.sparkContext._jvm.java.util.Locale
@@ -45,17 +65,46 @@ def iso_countries(spark: SparkSession) -> DataFrame:
     return own.unionByName(known.join(own.select("alias"), "alias", "left_anti"))
 
 
-def load_dimension(spark: SparkSession, name: str) -> DataFrame:
-    """A built-in dimension by name: countries, regions, cities or legal_suffixes."""
-    if name == "countries":
-        return iso_countries(spark)
-    if name == "regions":
-        return spark.createDataFrame(list(REGION_ALIASES.items()), "alias string, region string")
-    if name == "cities":
-        return spark.createDataFrame([(k, *v) for k, v in CITY_ALIASES.items()], "alias string, city string, country string")
-    if name == "legal_suffixes":
-        return spark.createDataFrame([(s,) for s in LEGAL_SUFFIXES], "suffix string")
-    raise KeyError(name)
+def subdivisions(spark: SparkSession, path: str) -> DataFrame:
+    """(country, alias, name) of a file of the public ISO 3166-2 list, in the layout of Debian's iso-codes package (iso_3166-2.json: an object whose `3166-2` lists
+    code, name and type). An alias that one country has twice means its code first, then its name, then its code without the country; of equals the smaller code."""
+    rows = spark.read.option("multiLine", True).schema("`3166-2` array<struct<code: string, name: string, type: string>>").json(path).select(F.explode("3166-2").alias("r")).select("r.*")
+    own = F.substring_index("code", "-", 1)
+    ways = F.array(*[F.struct(F.lit(rank).alias("rank"), fold_spaces(alias).alias("alias")) for rank, alias in enumerate((F.col("code"), F.col("name"), F.regexp_replace("code", "^[^-]*-", "")))])
+    each = rows.select(own.alias("country"), "code", "name", F.explode(ways).alias("way")).select("country", "way.*", "code", "name").where("alias <> ''")
+    return each.groupBy("country", "alias").agg(F.min_by("name", F.struct("rank", "code")).alias("name"))
+
+
+#: The key of each dimension.
+KEYS = {"countries": ("alias",), "regions": ("alias",), "cities": ("alias",), "subdivisions": ("country", "alias"), "legal_suffixes": ("suffix",)}
+
+
+def check_dimension(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """(key, problem): keys that are blank or stand more than once."""
+    text = F.concat_ws(":", *key)
+    blank = F.lit(False)
+    for k in key:
+        blank = blank | F.col(k).isNull() | (F.trim(k) == "")
+    each = rows.groupBy(*key).agg(F.count("*").alias("n"))
+    return each.select(text.alias("key"), F.when(blank, "blank_key").when(F.col("n") > 1, "duplicate_key").alias("problem")).where("problem IS NOT NULL")
+
+
+def load_dimension(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
+    """A dimension by name: countries, regions, cities, legal_suffixes, or subdivisions from the file at `path`. Blank or repeated keys are refused."""
+    made = {
+        "countries": lambda: iso_countries(spark),
+        "regions": lambda: spark.createDataFrame(list(REGION_ALIASES.items()), "alias string, region string"),
+        "cities": lambda: spark.createDataFrame([(k, *v) for k, v in CITY_ALIASES.items()], "alias string, city string, country string"),
+        "legal_suffixes": lambda: spark.createDataFrame([(s,) for s in LEGAL_SUFFIXES], "suffix string"),
+        "subdivisions": lambda: subdivisions(spark, path),
+    }
+    if name not in made:
+        raise KeyError(name)
+    rows = made[name]()
+    bad = check_dimension(rows, KEYS[name]).limit(5).collect()
+    if bad:
+        raise ValueError(f"{name}: {[(r['key'], r['problem']) for r in bad]}")
+    return rows
 
 
 def check_policies(policies: DataFrame, states: tuple[str, ...], key: list[str], most_days: int = 31) -> DataFrame:

@@ -18,7 +18,7 @@ from tablewright.operators import merging as M
 from tablewright.operators import places as PL
 from tablewright.operators import profiles as P
 from tablewright.sources import landing as S
-from tablewright.sources.dimensions import CITY_ALIASES, COUNTRY_ALIASES, check_policies, load_dimension
+from tablewright.sources.dimensions import CITY_ALIASES, COUNTRY_ALIASES, REGION_ALIASES, check_dimension, check_policies, load_dimension
 from tablewright.streaming import jobs as streams
 
 
@@ -200,6 +200,24 @@ def test_places(spark):
     assert [(g.city, g.country, g.reason) for g in got] == [("Prague", "CZ", None), (None, "DE", None), (None, None, "workplace_or_broad_scope"), (None, None, "empty"), (None, None, "unknown_label"), ("Brno", "CZ", None), (None, None, "navigation_or_marketplace"), (None, None, "unknown_label")]
 
 
+def test_place_layouts(spark):
+    labels = ("Office (Brno)", "Germany Prague", "Zlínský kraj", "Remote (Brno)", "Prague (Germany)", "Brno (Czechia)", "Remote in Praha, CZ", "Olomouc (hybrid)", None, "-", "Praha, hlavní město")
+    got = one(spark, lambda c: PL.parse_place_label(c, COUNTRY_ALIASES, CITY_ALIASES, REGION_ALIASES), *labels)
+    assert [(g.city, g.region, g.country) for g in got] == [(None, None, None), (None, None, "DE"), (None, "Zlínský kraj", "CZ"), ("Brno", None, "CZ"), (None, None, "DE"), ("Brno", None, "CZ"), ("Prague", None, "CZ"), ("Olomouc", None, "CZ"), (None, None, None), (None, None, None), ("Prague", None, "CZ")]
+    city = lambda v, c: PL.typed_city(v, CITY_ALIASES, COUNTRY_ALIASES, REGION_ALIASES, c)
+    rows = [("Brno, Czechia", "CZ"), ("Lhota (office)", "CZ"), ("Lhota (office)", None), ("Brno, Czechia", None), ("Lhota, Praha, Czechia", "CZ"), ("Praha 4", None), ("Lhota 4", "CZ"), ("Lhota 4", None), (None, "CZ"), ("", None)]
+    assert one(spark, city, *rows, schema="a string, b string") == ["Brno", "Lhota", None, None, None, "Prague", "Lhota", None, None, None]
+
+
+def test_dimensions_are_checked(spark, tmp_path):
+    path = tmp_path / "iso.json"
+    path.write_text(json.dumps({"3166-2": [{"code": "AA-01", "name": "North", "type": "State"}, {"code": "AA-NORTH", "name": "Nowhere", "type": "State"}, {"code": "BB-01", "name": "Sever", "type": "Region"}]}))
+    rows = {(r.country, r.alias): r.name for r in load_dimension(spark, "subdivisions", str(path)).collect()}
+    assert rows[("AA", "north")] == "North" and rows[("AA", "01")] == "North" and rows[("BB", "01")] == "Sever" and rows[("BB", "bb-01")] == "Sever"
+    bad = spark.createDataFrame([("a", "x"), ("a", "y"), (" ", "z"), (None, "z")], "alias string, name string")
+    assert sorted((r.key or "", r.problem) for r in check_dimension(bad, ("alias",)).collect()) == [("", "blank_key"), (" ", "blank_key"), ("a", "duplicate_key")]
+
+
 def test_countries_of_the_iso_list(spark):
     rows = {r.alias: r.country for r in load_dimension(spark, "countries").collect()}
     assert rows["nzl"] == rows["new zealand"] == "NZ" and rows["cesko"] == "CZ" and len(set(rows.values())) > 240
