@@ -301,8 +301,56 @@ def group_status(outcomes: DataFrame, group: str) -> DataFrame:
     return outcomes.groupBy(group).agg(status.alias("group_status"))
 
 
-def freshness_report(classified: DataFrame, ages: DataFrame, families: DataFrame) -> DataFrame:
-    """The report's frames as one long table (section, key, measure, value)."""
+def direct_verification(runs: DataFrame, scopes: DataFrame, names: list[str], heavy: list[str]) -> DataFrame:
+    """For each direct source its latest complete unbounded run, and the latest run in which some scopes were verified completely, with how many. Runs (id, source_name, status,
+    bounded, requested, started_at, finished_at); scopes (run_id, scope, complete, successful). A heavy source's bounded run verifies nothing. Sources without runs are listed too."""
+    checked = scopes.where("complete AND successful").groupBy(F.col("run_id").alias("id")).agg(F.count("*").alias("verified_scopes"))
+    whole = complete_runs(runs, scopes).select("id", "full_complete")
+    judged = runs.where(F.col("source_name").isin(*names)).join(whole, "id").join(checked, "id", "left")
+    sure = (F.col("status") == "success") & (F.col("verified_scopes") > 0) & ~(F.col("source_name").isin(*heavy) & F.col("bounded"))
+    row, order = F.struct(F.col("id").alias("run"), "finished_at", "verified_scopes"), F.struct("started_at", "id")
+    latest = judged.groupBy("source_name").agg(F.max_by(row, F.when(F.col("full_complete"), order)).alias("c"), F.max_by(row, F.when(sure, order)).alias("v"))
+    every = runs.sparkSession.createDataFrame([(n, "heavy" if n in heavy else "light") for n in names], "source_name string, class string")
+    return every.join(latest, "source_name", "left").select(
+        "source_name", "class", F.col("c.run").alias("complete_run"), F.col("c.finished_at").alias("complete_finished_at"),
+        F.col("v.run").alias("verified_run"), F.col("v.finished_at").alias("verified_finished_at"), F.coalesce("v.verified_scopes", F.lit(0)).alias("verified_scopes"),
+    )
+
+
+def recent_lifecycle(runs: DataFrame, scopes: DataFrame, now: Column, days: int = 7) -> DataFrame:
+    """The runs of the last days that report a lifecycle (deactivated, reactivated, canonical_closed; a run without one has null `deactivated`), with their completely verified scopes."""
+    checked = scopes.where("complete AND successful").groupBy(F.col("run_id").alias("id")).agg(F.count("*").alias("complete_scopes"))
+    recent = runs.where((F.col("started_at") >= now - hours(24 * days)) & F.col("deactivated").isNotNull()).join(checked, "id", "left")
+    return recent.select("source_name", "id", "started_at", F.coalesce("complete_scopes", F.lit(0)).alias("complete_scopes"), "deactivated", F.coalesce("reactivated", F.lit(0)).alias("reactivated"), "canonical_closed")
+
+
+def lifecycle_totals(recent: DataFrame) -> DataFrame:
+    """One row: what the recent runs deactivated, reactivated and closed; closures are unknown (null) unless every run counts them."""
+    closed = F.when(F.count("*") == F.count("canonical_closed"), F.sum("canonical_closed"))
+    return recent.agg(F.count("*").alias("runs"), F.coalesce(F.sum("deactivated"), F.lit(0)).alias("deactivated"), F.coalesce(F.sum("reactivated"), F.lit(0)).alias("reactivated"), closed.alias("canonical_closed"))
+
+
+def active_by_day(history: DataFrame, identity: list[str], now: Column, days: int = 7) -> DataFrame:
+    """How many source rows were active as of the end of each of the last days (days_ago 0 is `now`). history: identity, source_name, is_active, at; a state stands until
+    the identity's next one. Every state is held against the few days only, so no row of it is copied more than `days` times, and counts are summed before they are dealt out."""
+    w = Window.partitionBy(*identity).orderBy("at", "is_active")
+    spans = history.withColumn("until", F.lead("at").over(w)).where("is_active")
+    at = lambda k: now - F.make_interval(days=k)
+    stands = lambda k: (F.col("at") <= at(k)) & (F.col("until").isNull() | (at(k) < F.col("until")))
+    each = spans.select("source_name", F.explode(F.filter(F.sequence(F.lit(0), F.lit(days - 1)), stands)).alias("days_ago"))
+    return each.groupBy("source_name", "days_ago").agg(F.count("*").alias("active"))
+
+
+def lifecycle_by_day(recent: DataFrame, active: DataFrame, now: Column) -> DataFrame:
+    """For each source and day what its runs changed, beside what was active at the day's end."""
+    ago = F.floor((F.unix_micros(now) - F.unix_micros("started_at")) / 86400e6).cast("int")
+    changes = recent.groupBy("source_name", ago.alias("days_ago")).agg(F.count("*").alias("runs"), F.sum("deactivated").alias("deactivated"), F.sum("reactivated").alias("reactivated"))
+    both = active.join(changes, ["source_name", "days_ago"], "full")
+    return both.select("source_name", "days_ago", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("active", "runs", "deactivated", "reactivated")])
+
+
+def freshness_report(classified: DataFrame, ages: DataFrame, families: DataFrame, verification: DataFrame | None = None, lifecycle: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
+    """The report's frames as one long table (section, key, measure, value); times are unix seconds."""
     long = lambda df, section, key, cols: df.select(F.lit(section).alias("section"), F.coalesce(F.col(key), F.lit("total")).alias("key"), F.explode(F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c).cast("double"))])).alias("measure", "value"))
     parts = [
         long(status_counts(classified, "freshness"), "class", "freshness", ["n"]),
@@ -310,6 +358,14 @@ def freshness_report(classified: DataFrame, ages: DataFrame, families: DataFrame
         long(ages, "age", "composition", [c for c in ages.columns if c != "composition"]),
         long(families, "family", "source_name", ["total", "active", "inactive", "jobs"]),
     ]
+    if verification is not None:
+        seconds = verification.withColumns({c: F.unix_seconds(c) for c in ("complete_finished_at", "verified_finished_at")})
+        parts.append(long(seconds, "direct", "source_name", ["complete_finished_at", "verified_finished_at", "verified_scopes"]))
+    if lifecycle is not None:
+        parts.append(long(lifecycle.withColumn("key", F.lit("last_days")), "lifecycle", "key", ["runs", "deactivated", "reactivated", "canonical_closed"]))
+    if days is not None:
+        keyed = days.withColumn("key", F.concat_ws(":", "source_name", "days_ago"))
+        parts.append(long(keyed, "day", "key", ["active", "runs", "deactivated", "reactivated"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

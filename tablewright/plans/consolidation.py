@@ -419,6 +419,69 @@ def h03(spark, d):
     return H.freshness_report(classified(spark, d), H.age_matrix(jobs, job_sources(spark, d), "job_id", now()), H.family_stats(job_sources(spark, d), "job_id", now()))
 
 
+def run_history(spark, d):
+    """Events as runs: each names one to three scopes, errors failed, some are bounded or report no lifecycle or no closures."""
+    e, k = events(spark, d), F.col("event_id")
+    runs = e.select(
+        k.alias("id"), F.col("event_type").alias("source_name"), F.when(F.col("value") < 5, "failed").otherwise("success").alias("status"), (k % 5 == 0).alias("bounded"), F.lit(2).alias("requested"), F.col("ts").alias("started_at"),
+        (F.col("ts") + F.make_interval(mins=(k % 50).cast("int"))).alias("finished_at"), F.when(k % 4 != 0, k % 9).alias("deactivated"), F.when(k % 3 != 0, k % 7).alias("reactivated"), F.when(F.col("event_type") != "view", k % 3).alias("canonical_closed"),
+    )
+    scopes = e.select(k.alias("run_id"), F.explode(F.sequence(F.lit(0), (k % 3).cast("int"))).alias("scope"), (F.col("user_id") % 4).alias("u")).select("run_id", "scope", (F.col("scope") != F.col("u")).alias("complete"), F.lit(True).alias("successful"))
+    return runs, scopes
+
+
+RUNS = f"""r AS (SELECT event_id AS id, event_type AS source_name, CASE WHEN value < 5 THEN 'failed' ELSE 'success' END AS status, event_id % 5 = 0 AS bounded, ts AS started_at, ts + to_minutes(CAST(event_id % 50 AS INT)) AS finished_at, CASE WHEN event_id % 4 <> 0 THEN event_id % 9 END AS deactivated, CASE WHEN event_id % 3 <> 0 THEN event_id % 7 ELSE 0 END AS reactivated, CASE WHEN event_type <> 'view' THEN event_id % 3 END AS canonical_closed, event_id % 3 + 1 - CASE WHEN user_id % 4 <= event_id % 3 THEN 1 ELSE 0 END AS checked FROM events),
+rl AS (SELECT * FROM r WHERE started_at >= {T_NOW} - INTERVAL 7 DAY AND deactivated IS NOT NULL),
+dv AS (SELECT source_name, CASE WHEN source_name IN ('click', 'error') THEN 'heavy' ELSE 'light' END AS class, arg_max(id, (started_at, id)) FILTER (full_complete) AS complete_run, arg_max(finished_at, (started_at, id)) FILTER (full_complete) AS complete_finished_at, arg_max(id, (started_at, id)) FILTER (sure) AS verified_run, arg_max(finished_at, (started_at, id)) FILTER (sure) AS verified_finished_at, coalesce(arg_max(checked, (started_at, id)) FILTER (sure), 0) AS verified_scopes
+FROM (SELECT *, status = 'success' AND NOT bounded AND id % 3 = 1 AND checked = 2 AS full_complete, status = 'success' AND checked > 0 AND NOT (bounded AND source_name IN ('click', 'error')) AS sure FROM r WHERE source_name IN ('signup', 'click', 'error')) GROUP BY 1, 2),
+hi AS (SELECT event_type AS source_name, value > 8 AS on_, ts, lead(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, value > 8) AS until FROM events),
+ad AS (SELECT source_name, k AS days_ago, count(*) AS active FROM hi, range(7) t(k) WHERE on_ AND ts <= {T_NOW} - to_days(CAST(k AS INT)) AND (until IS NULL OR {T_NOW} - to_days(CAST(k AS INT)) < until) GROUP BY 1, 2),
+ch AS (SELECT source_name, CAST(floor((epoch_us({T_NOW}) - epoch_us(started_at)) / 86400e6) AS BIGINT) AS days_ago, count(*) AS runs, sum(deactivated) AS deactivated, sum(reactivated) AS reactivated FROM rl GROUP BY 1, 2),
+bd AS (SELECT source_name, days_ago, coalesce(active, 0) AS active, coalesce(runs, 0) AS runs, CAST(coalesce(deactivated, 0) AS BIGINT) AS deactivated, CAST(coalesce(reactivated, 0) AS BIGINT) AS reactivated FROM ad FULL JOIN ch USING (source_name, days_ago))"""
+
+
+def report_parts(spark, d):
+    runs, scopes = run_history(spark, d)
+    states = events(spark, d).select("user_id", F.col("event_type").alias("source_name"), (F.col("value") > 8).alias("is_active"), F.col("ts").alias("at"))
+    recent = H.recent_lifecycle(runs, scopes, now())
+    days = H.lifecycle_by_day(recent, H.active_by_day(states, ["user_id", "source_name"], now()), now())
+    return H.direct_verification(runs, scopes, ["signup", "click", "error"], ["click", "error"]), recent, days
+
+
+@query("h03_direct_verification", f"WITH {RUNS} SELECT source_name, class, complete_run, epoch_us(complete_finished_at) AS complete_finished, verified_run, epoch_us(verified_finished_at) AS verified_finished, verified_scopes FROM dv")
+def h03_direct(spark, d):
+    v, _, _ = report_parts(spark, d)
+    return v.select("source_name", "class", "complete_run", F.unix_micros("complete_finished_at").alias("complete_finished"), "verified_run", F.unix_micros("verified_finished_at").alias("verified_finished"), "verified_scopes")
+
+
+@query("h03_recent_lifecycle", f"WITH {RUNS} SELECT source_name, id, checked AS complete_scopes, deactivated, reactivated, canonical_closed FROM rl")
+def h03_recent(spark, d):
+    return report_parts(spark, d)[1].select("source_name", "id", "complete_scopes", "deactivated", "reactivated", "canonical_closed")
+
+
+@query("h03_lifecycle_by_day", f"WITH {RUNS} SELECT * FROM bd")
+def h03_days(spark, d):
+    return report_parts(spark, d)[2]
+
+
+@query(
+    "h03_whole_report",
+    f"""WITH {CLASS}, {COMP}, {RUNS}, t AS (SELECT count(*) AS runs, coalesce(sum(deactivated), 0) AS deactivated, coalesce(sum(reactivated), 0) AS reactivated, CASE WHEN count(*) = count(canonical_closed) THEN sum(canonical_closed) END AS canonical_closed FROM rl)
+SELECT 'class' AS section, freshness AS key, 'n' AS measure, CAST(count(*) AS DOUBLE) AS value FROM h GROUP BY 2 UNION ALL SELECT 'reason', r, 'n', count(*) FROM (SELECT unnest(reasons) AS r FROM h) GROUP BY 2
+UNION ALL SELECT 'age', coalesce(composition, 'total'), 'active_jobs', count(*) FROM c GROUP BY ROLLUP (composition)
+UNION ALL SELECT 'family', source_name, 'total', count(*) FROM js GROUP BY 2
+UNION ALL SELECT 'direct', source_name, m, v FROM (SELECT source_name, unnest(['complete_finished_at', 'verified_finished_at', 'verified_scopes']) AS m, unnest([floor(epoch(complete_finished_at)), floor(epoch(verified_finished_at)), verified_scopes]) AS v FROM dv)
+UNION ALL SELECT 'lifecycle', 'last_days', unnest(['runs', 'deactivated', 'reactivated', 'canonical_closed']), unnest([runs, deactivated, reactivated, canonical_closed]) FROM t
+UNION ALL SELECT 'day', source_name || ':' || days_ago, unnest(['active', 'runs', 'deactivated', 'reactivated']), unnest([active, runs, deactivated, reactivated]) FROM bd""",
+)
+def h03_whole(spark, d):
+    """The report with verification and lifecycle; of ages and families one measure each."""
+    v, recent, days = report_parts(spark, d)
+    jobs = composed(spark, d).withColumn("status", F.lit("active"))
+    out = H.freshness_report(classified(spark, d), H.age_matrix(jobs, job_sources(spark, d), "job_id", now()), H.family_stats(job_sources(spark, d), "job_id", now()), v, H.lifecycle_totals(recent), days)
+    return out.where("section NOT IN ('age', 'family') OR measure IN ('active_jobs', 'total')")
+
+
 def scope_rows(spark, d):
     e = events(spark, d)
     k, few = F.col("scope"), lambda cond: F.count_if(F.expr(cond))
