@@ -217,7 +217,8 @@ def contained_in(small: DataFrame, small_id: str, big: DataFrame, big_id: str, t
     The words inside the small text (all but its first and last) are whole words of the big one too, so `words` of them from its middle
     must be a window of the big text's words. A small text of fewer than `words` + 2 words has a run, of letters or of white space, of
     `min_len` / (2 * words + 3) characters or more; that many from the run's start must be a window within a run of the big text. Windows are joined by
-    hash, then the whole text is looked for: no pair is made without a shared window."""
+    hash, then the whole text is looked for: no pair is made without a shared window. Runs are cut into letters once and their windows are slices of these,
+    so a run costs its length, however long it is."""
     s = small.select(F.col(small_id), F.col(text).alias("_s")).where((F.length("_s") >= min_len) & (F.length("_s") > 0)).withColumn("_parts", F.split("_s", r"\s+"))
     held = big.select(F.col(big_id), F.col(text).alias("_t")).where((F.length("_t") >= min_len) & (F.length("_t") > 0))
     middle = F.slice("_parts", (F.size("_parts") / 2).cast("int") - words // 2 + 1, words)
@@ -228,8 +229,9 @@ def contained_in(small: DataFrame, small_id: str, big: DataFrame, big_id: str, t
     size = max(1, min_len // (2 * words + 3))
     runs = lambda c: F.regexp_extract_all(c, F.lit(rf"\S{{{size},}}|\s{{{size},}}"), F.lit(0))
     longest = F.array_max(F.transform(runs("_s"), lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))))["r"]
-    by_run = s.where(F.size("_parts") < words + 2).select(small_id, "_s", F.xxhash64(F.left(longest, F.lit(size))).alias("_w"))
-    inside = F.flatten(F.transform(runs("_t"), lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - size + 1), lambda i: F.xxhash64(F.substring(r, i, F.lit(size))))))
+    by_run = s.where(F.size("_parts") < words + 2).select(small_id, "_s", F.xxhash64(F.slice(F.split(longest, ""), 1, size)).alias("_w"))
+    slices = lambda r: F.transform(F.sequence(F.lit(1), F.size(r) - size + 1), lambda i: F.xxhash64(F.slice(r, i, F.lit(size))))
+    inside = F.flatten(F.transform(F.transform(runs("_t"), lambda r: F.split(r, "")), slices))
     run_windows = held.select(big_id, F.explode(F.array_distinct(inside)).alias("_w"))
     near = [spread.join(keyed.select("_w").distinct(), "_w", "left_semi").join(keyed, "_w").select(small_id, "_s", big_id) for keyed, spread in ((by_words, word_windows), (by_run, run_windows))]
     return near[0].unionByName(near[1]).join(held, big_id).where(F.contains("_t", "_s")).select(small_id, big_id).distinct()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablewright.operators import maintenance as M
 from tablewright.operators.ingest import FIELDS, State, ingest_feed
 from tablewright.plans import table
 from tablewright.plans.profiling import landed, landing_files
@@ -195,3 +196,52 @@ def m02_history(spark, d):
         events.where(part).write.mode("append").parquet(changes)
         J.start_invalidation_stream(spark, changes, events.schema, held, out, checkpoint).awaitTermination()
     return spark.read.parquet(out).groupBy("job_id").agg(F.sum("changes").alias("changes"))
+
+
+# --- profiles kept up to date ---------------------------------------------------------------------------------------------------------
+
+
+def upkeep():
+    fact = lambda rows, field, value, score: rows.select("doc_id", F.lit(field).alias("field"), value.alias("value"), F.lit(score).alias("score"), F.lit(True).alias("active"), F.concat_ws(":", F.lit(field), "doc_id").alias("evidence_id"))
+    native = lambda rows: fact(rows, "lang", F.col("lang"), 50).unionByName(fact(rows, "source", F.col("source"), 50))
+    text = lambda rows: fact(rows, "size", F.when(F.length("text") > 1500, "long").when(F.length("text") > 300, "short"), 30).unionByName(fact(rows, "source", F.when(F.contains("text", F.lit("!!")), "loud"), 50))
+    return M.Upkeep("doc_id", ["lang", "source"], "text", "quality", ["lang", "source", "size"], native, text, {"rules": "1"})
+
+
+def two_states(spark, d):
+    """Documents, and the same after a change: some have another language, some a longer text, some are gone, some are named as changed though nothing did."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "text", F.lit("complete").alias("quality"))
+    k = F.col("doc_id") % 10
+    later = docs.where(k != 2).withColumns({"lang": F.when(k == 0, "xx").otherwise(F.col("lang")), "text": F.when(k == 1, F.concat("text", F.lit(" more!!"), F.repeat(F.lit(" and more"), 200))).otherwise(F.col("text"))})
+    return docs, later, docs.where(k <= 3).select("doc_id")
+
+
+def maintained(spark, d):
+    docs, later, stale = two_states(spark, d)
+    how = upkeep()
+    first, _ = M.maintain(M.empty_state(docs, how), docs, docs, how, at("2024-01-01"))
+    return M.maintain(first, later, stale, how, at("2024-01-02"))
+
+
+LATER = "l AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'xx' ELSE lang END AS lang, source, CASE WHEN doc_id % 10 = 1 THEN text || ' more!!' || repeat(' and more', 200) ELSE text END AS text FROM documents WHERE doc_id % 10 <> 2)"
+
+
+@query(
+    "r09_r10_maintained_profiles",
+    f"WITH {LATER}, v AS (SELECT doc_id, CASE WHEN doc_id % 10 IN (0, 1) THEN 2 ELSE 1 END AS versions FROM l) SELECT doc_id, CASE WHEN lang IS NULL THEN 'not_mentioned' ELSE 'known' END AS lang_state, lang AS lang_value, CASE WHEN contains(text, '!!') THEN 'conflict' ELSE 'known' END AS source_state, CASE WHEN NOT contains(text, '!!') THEN source END AS source_value, CASE WHEN length(text) > 1500 THEN 'long' WHEN length(text) > 300 THEN 'short' END AS size_value, versions FROM l JOIN v USING (doc_id)",
+)
+def r09_r10(spark, d):
+    """Profiles after a change that was followed, with the number of versions that each job has."""
+    state, _ = maintained(spark, d)
+    n = state.versions.groupBy("doc_id").agg(F.count("*").alias("versions"))
+    out = M.current_profiles(state, "doc_id").join(n, "doc_id")
+    return out.select("doc_id", F.col("profile.lang.state").alias("lang_state"), F.col("profile.lang.value").alias("lang_value"), F.col("profile.source.state").alias("source_state"), F.col("profile.source.value").alias("source_value"), F.col("profile.size.value").alias("size_value"), "versions")
+
+
+@query(
+    "r09_r10_work",
+    "WITH n AS (SELECT count(*) FILTER (doc_id % 10 = 0) AS a, count(*) FILTER (doc_id % 10 = 1) AS b, count(*) FILTER (doc_id % 10 = 2) AS c, count(*) FILTER (doc_id % 10 <= 3) AS every FROM documents) SELECT unnest(['native', 'text', 'selection', 'profile', 'gone', 'asked']) AS layer, unnest([a, b, a + b, a + b, c, every]) AS n FROM n",
+)
+def r09_r10_work(spark, d):
+    """The rows that each layer ran on for it."""
+    return maintained(spark, d)[1]

@@ -138,3 +138,43 @@ def test_endpoints_are_counted_without_a_join(spark):
     out = L.unique_endpoints(pairs)
     assert {(r.a, r.b, r.s) for r in out.collect()} == {(1, 2, 0.5), (8, 9, None)}
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_maintained_profiles_equal_a_rebuild(spark):
+    """Random changes followed one after another against building all anew; what is not stale is not worked on."""
+    from tablewright.operators import maintenance as M
+    from tablewright.plans.streams import upkeep
+
+    how, draw = upkeep(), random.Random(8)
+    docs = {k: ["en", f"src{k % 3}", "word " * draw.randrange(20, 500)] for k in range(30)}
+    frame = lambda d: spark.createDataFrame([(k, *v, "complete") for k, v in d.items()], "doc_id long, lang string, source string, text string, quality string")
+    now = lambda n: F.lit(DAY(n)).cast("timestamp")
+    state, _ = M.maintain(M.empty_state(frame(docs), how), frame(docs), frame(docs), how, now(1))
+    for n in range(2, 5):
+        old = {k: list(v) for k, v in docs.items()}
+        for k in draw.sample(sorted(docs), 6):
+            docs[k][draw.randrange(3)] = draw.choice(["fr", "de", None, "!! " * 200, "word " * 50])
+        gone, back = draw.choice(sorted(docs)), 100 + n
+        docs.pop(gone)
+        docs[back] = ["en", "src9", "new " * 99]
+        stale = {k for k in docs if docs[k] != old.get(k)} | {gone, min(docs)}
+        state, work = M.maintain(state, frame(docs), spark.createDataFrame([(k,) for k in stale], "doc_id long"), how, now(n))
+        whole, _ = M.maintain(M.empty_state(frame(docs), how), frame(docs), frame(docs), how, now(n))
+        rows = lambda s: {r.doc_id: (r.input_hash, r.profile) for r in M.current_profiles(s, "doc_id").collect()}
+        assert rows(state) == rows(whole)
+        ran = {r.layer: r.n for r in work.collect()}
+        changed = {k for k in docs if docs[k] != old.get(k)}
+        assert ran["profile"] == len(changed) and ran["gone"] == 1 and ran["text"] == sum(docs[k][2] != old.get(k, [0, 0, 0])[2] for k in changed)
+    assert state.versions.count() > 30 and state.versions.where(F.col("doc_id") == gone).count() >= 1
+
+
+def test_contained_in_one_long_run(spark):
+    """A text of a million letters without a space, and a part from its middle."""
+    import time
+
+    draw = random.Random(4)
+    long = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    small = spark.createDataFrame([(1, long[700_000:700_200]), (2, long[:150] + "!"), (3, long[-120:])], "item_id int, text string")
+    start = time.time()
+    got = L.contained_in(small, "item_id", spark.createDataFrame([(7, long), (8, "short one " * 20)], "doc_id int, text string"), "doc_id").collect()
+    assert {tuple(r) for r in got} == {(1, 7), (3, 7)} and time.time() - start < 60
