@@ -73,6 +73,17 @@ def join_hot(left: DataFrame, right: DataFrame, on: list[str], rows: str) -> Dat
     return joined.withColumn("_found", found).select(*left.columns, *[F.col(f"_found.{c}").alias(c) for c in values])
 
 
+def join_salted(left: DataFrame, right: DataFrame, on: str, counts: DataFrame) -> DataFrame:
+    """Inner join with a table that has each key once, and whose values may be long. `counts` (on, rows): how many rows of `left` have a key; a table or a checkpoint, as it is read
+    twice. A key with more than a HOT_KEYS-th of the rows is cut into as many parts as it exceeds that share: its left rows are dealt to them, its right row goes to each. That
+    makes less than twice HOT_KEYS copies in all, and only (key, parts) of the hot keys, fewer than HOT_KEYS, are broadcast."""
+    share = max(1, (counts.agg(F.sum("rows")).first()[0] or 0) // HOT_KEYS)
+    hot = F.broadcast(counts.where(F.col("rows") > share).select(on, F.ceil(F.col("rows") / share).cast("int").alias("_parts")))
+    dealt = left.join(hot, on, "left").withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*left.columns), F.col("_parts")).cast("int"))).drop("_parts")
+    copied = right.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return dealt.join(copied, [on, "_part"]).drop("_part")
+
+
 def fold_of(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; null ids give null."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5))

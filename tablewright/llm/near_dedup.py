@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import checkpointed, join_hot, map_batches, table
+from tablewright.llm.common import checkpointed, join_hot, join_salted, map_batches, table
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS, BITS = 32, 4, 4
@@ -134,7 +134,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity. `texts`: doc_id, raw."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("raw").alias("raw_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("raw").alias("raw_b"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    # Many pairs may name one hub, so its text is dealt out with them.
+    both = join_salted(pairs.select("a", "b").join(left, "a"), right, "b", checkpointed(pairs.groupBy("b").agg(F.count("*").alias("rows"))))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[bytes | None, np.ndarray] = (None, np.zeros(0, np.uint64))
@@ -211,7 +212,10 @@ def near_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
     company = members.select(F.col("node").alias("doc_id")).distinct()
     cards = checkpointed(cards.join(company.withColumnRenamed("doc_id", "node"), "node"))
     pairs = members.select("node", F.explode("hubs").alias("hub")).where("node <> hub").distinct()
-    full = pairs.join(cards.select("node", F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "node").join(cards.select(F.col("node").alias("hub"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "hub")
+    # The hub of a bucket that a third of all documents share meets as many rows: such hubs are cut into parts.
+    asked = checkpointed(pairs.groupBy("hub").agg(F.count("*").alias("rows")))
+    held = cards.select(F.col("node").alias("hub"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
+    full = join_salted(pairs.join(cards.select("node", F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "node"), held, "hub", asked)
     full = full.withColumn("estimate", similarity_estimate(lanes_apart("sig_a", "sig_b"))).where(likely(F.col("estimate"), "n_a", "n_b")).select("node", "hub", "estimate")
     # A node has no more hubs than four for each band, so its window is short.
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("estimate"), "hub"))

@@ -285,3 +285,17 @@ def test_pipeline_against_plain_steps(spark, sf_dir, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{empty}/documents.parquet")
     bench.write.parquet(f"{empty}/benchmark.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_join_salted_is_a_join(spark):
+    from tablewright.llm.common import join_salted
+
+    rng = random.Random(6)
+    left = [(k, rng.choice([1, 1, 1, 1, rng.randrange(2, 40)])) for k in range(5000)]
+    right = [(k, "text %d" % k) for k in range(30)]
+    frame = spark.createDataFrame(left, "a long, b long")
+    counts = frame.groupBy("b").agg(F.count("*").alias("rows"))
+    got = join_salted(frame, spark.createDataFrame(right, "b long, raw string"), "b", counts).select("a", "b", "raw").collect()
+    names = dict(right)
+    assert sorted(map(tuple, got)) == sorted((a, b, names[b]) for a, b in left if b in names)
+    assert join_salted(frame.limit(0), spark.createDataFrame(right, "b long, raw string"), "b", counts.limit(0)).count() == 0
