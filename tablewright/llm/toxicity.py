@@ -9,7 +9,8 @@ Landmarks are words of the labelled sample. The kernel against them, multiplied
 kernel matrix, is the Nyström map, in which a linear machine with squared hinge loss is trained. Its rows are labelled
 sentences: each sentence inherits its document's label and stands for the word in it that tells most. Not every sentence of a
 toxic document is toxic, so in each round its witnesses are the sentence that tells most and those whose word has clear odds; all
-sentences of clean documents count as clean. What tells most is read from the odds of words in the first round and
+sentences of clean documents count as clean, the hardest before all, also where their word is one that toxic documents hold. Sentences that stand for the same word are one row,
+which weighs as their number among toxic ones and as the root of it among clean ones. What tells most is read from the odds of words in the first round and
 from the machine of the round before in the others. Landmarks, map and machine multiply to one weight for each hashed
 subsequence, so a word's score is a sum of weights, and a sentence's score that of its best word. Letters
 written apart (`i d i o t`) are read as a word.
@@ -196,11 +197,10 @@ def train(texts: list[str], toxic: list[int], shares: tuple[float, float] = (1.0
         # A clean sentence stands for its best word, and for one more so that all its words are covered by and by.
         more = np.array([sentences[i][i % len(sentences[i])] for i in calm], int)
         positive, often = np.unique(best[witness], return_counts=True)
-        negative = np.unique(np.r_[best[hard], best[calm], more])
-        negative = negative[odds[negative] < 0.5]
+        negative, seen = np.unique(np.r_[best[hard], best[calm], more], return_counts=True)
         rows = np.concatenate([against([names[i] for i in part], columns) for part in (positive, negative)])
         label = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-        w = support_vectors(rows, label, np.r_[often / often.sum(), np.full(len(negative), 2 / max(1, len(negative)))])
+        w = support_vectors(rows, label, np.r_[often / often.sum(), 2 * np.sqrt(seen) / np.sqrt(seen).sum()])
         weights, bias = columns @ w[:-1], float(w[-1])
         telling = against(names, weights[:, None])[:, 0] + bias
     scores = against(names, weights[:, None])[:, 0] + bias
