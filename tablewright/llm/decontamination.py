@@ -5,7 +5,8 @@ spaces: numbers, names (a capitalised word inside a sentence) and units (behind
 other words into their lower-case letters and digits. A capitalised word that starts a sentence can be a name or not, so a
 window that holds one is hashed in both readings. Windows of WINDOW template tokens are hashed on both sides and joined; those
 with few words of their own are hashed with their slot values as well, those without any only with these. Items shorter
-than a window are one window of their own size; items shorter than SHORTEST tokens match by their values only.
+than a window are one window of their own size; items shorter than SHORTEST tokens match by their values only. Items of fewer than LEAST_DROPPED tokens (`yes`, a name) stand in clean text
+by chance: they are listed, and no document is dropped for them.
 
 A joined window gives an alignment of item and document, along which every window of the item is compared, token by
 token, and binds each slot of the item to a value of the document. The binding must be a one-to-one mapping: the same value always
@@ -32,12 +33,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import Numbering, kept_by_worker, map_batches, table
 
 WINDOW, LITERALS, SHORTEST, COVERAGE = 8, 5, 5, 0.5
+#: Tokens of the shortest item that a document is dropped for.
+LEAST_DROPPED = 3
 #: Characters of benchmark text in one block.
 BLOCK_CHARS = 20_000_000
 REMEMBERED = 600_000
@@ -167,6 +170,9 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         self.items = [(i, *t) for (i, _), t in zip(items, Templates()([t for _, t in items]), strict=True)]
+        self.tokens: dict[int, int] = {}  # of an id, the most that a text of it has
+        for i, kind, *_ in self.items:
+            self.tokens[i] = max(self.tokens.get(i, 0), len(kind))
         self.sizes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         rows = defaultdict(list)
         self.n_windows = []
@@ -254,10 +260,10 @@ def blocks_of(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[int
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, items: an array of (item_id, n_windows, of_windows, n_slots, exact), for every row of `docs`; other columns stay."""
+    """doc_id, items: an array of (item_id, n_windows, of_windows, n_slots, exact, n_tokens), for every row of `docs`; other columns stay."""
     spark = docs.sparkSession
     docs = docs.drop(*[c for c in docs.columns if c.lower() == "items"])
-    kind = "array<struct<item_id:bigint,n_windows:int,of_windows:int,n_slots:int,exact:boolean>>"
+    kind = "array<struct<item_id:bigint,n_windows:int,of_windows:int,n_slots:int,exact:boolean,n_tokens:int>>"
     out = docs.withColumn("items", F.array().cast(kind))
     at = [c.lower() for c in docs.columns].index("text")
     for block in blocks_of(benchmark, block_chars):
@@ -266,10 +272,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHAR
         def probe(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = shared.value
             index, templates = kept_by_worker(("benchmark", zlib.crc32(repr(block).encode("utf-8", "surrogatepass"))), lambda: (Index(block), Templates()))
-            struct = pa.struct([("item_id", pa.int64()), ("n_windows", pa.int32()), ("of_windows", pa.int32()), ("n_slots", pa.int32()), ("exact", pa.bool_())])
+            struct = pa.struct([("item_id", pa.int64()), ("n_windows", pa.int32()), ("of_windows", pa.int32()), ("n_slots", pa.int32()), ("exact", pa.bool_()), ("n_tokens", pa.int32())])
             names = [f.name for f in struct]
             for batch in batches:
-                found = [[dict(zip(names, x, strict=True)) for x in index.found(*t)] for t in templates(batch.column(at).to_pylist())]
+                found = [[dict(zip(names, (*x, index.tokens[x[0]]), strict=True)) for x in index.found(*t)] for t in templates(batch.column(at).to_pylist())]
                 old = batch.column(len(batch.schema) - 1).to_pylist()
                 items = pa.array([(a or []) + b for a, b in zip(old, found, strict=True)], pa.list_(struct))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], items], batch.schema.names)
@@ -278,13 +284,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHAR
     return out
 
 
+def clean(items: Column, least_tokens: int = LEAST_DROPPED) -> Column:
+    """No item of so many tokens is contained."""
+    return ~F.exists(items, lambda i: i["n_tokens"] >= least_tokens)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each document: the items that it contains, and kept = none."""
+    """One row for each document: the items that it contains, and kept = none that a document is dropped for."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = matches(docs, table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", F.size("items").alias("n_items"), (F.size("items") == 0).alias("kept"), F.transform("items", lambda x: x["item_id"]).alias("item_ids"), F.to_json("items").alias("evidence"))
+    return found.select("doc_id", F.size("items").alias("n_items"), clean(F.col("items")).alias("kept"), F.transform("items", lambda x: x["item_id"]).alias("item_ids"), F.to_json("items").alias("evidence"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that contain no item."""
-    return matches(docs, table(spark, sf_dir, "benchmark")).where(F.size("items") == 0).select(*docs.columns)
+    """Keeps the documents that contain no item of LEAST_DROPPED tokens or more."""
+    return matches(docs, table(spark, sf_dir, "benchmark")).where(clean(F.col("items"))).select(*docs.columns)

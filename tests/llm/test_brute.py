@@ -299,3 +299,62 @@ def test_join_salted_is_a_join(spark):
     names = dict(right)
     assert sorted(map(tuple, got)) == sorted((a, b, names[b]) for a, b in left if b in names)
     assert join_salted(frame.limit(0), spark.createDataFrame(right, "b long, raw string"), "b", counts.limit(0)).count() == 0
+
+
+def reparameterised(text, rng):
+    """The text with other numbers, names and units, each value always by the same other one."""
+    other = {}
+    units = ("km", "kg", "minutes", "dollars", "days")
+
+    def change(m):
+        word = m.group()
+        if word not in other:
+            if word[0].isdigit():
+                new = str(rng.randrange(10, 9999))
+            elif word in units:
+                new = rng.choice([u for u in units if u != word and u not in other.values()] or [word])
+            else:
+                new = "".join(rng.choices("abcdefghijklmnop", k=6)).capitalize()
+            while new in other.values():
+                new += "7" if new[0].isdigit() else "q"
+            other[word] = new
+        return other[word]
+
+    return re.sub(r"\d+|(?<=[a-z,] )[A-Z][a-z]+\b|(?<=\d )(?:km|kg|minutes|dollars|days)\b", change, text)
+
+
+def test_recall_of_reparameterised_questions(spark):
+    """Questions of many kinds of sentence with their numbers, names and units changed consistently, inside other text, are found; with slots that contradict one another, and in clean text, nothing is."""
+    rng = random.Random(13)
+    words = "the old river road leads past our quiet garden where people trade bread for letters every morning before school".split()
+    templates = (
+        "When {A} walks {n} km in {m} minutes and {B} walks {k} km in {m} minutes, by how many km is {A} ahead of {B} after {p} minutes?",
+        "A shop run by {A} sells {n} kg of flour for {m} dollars; how much do {k} kg cost if {B} gets {p} dollars off the price?",
+        "If {n} workers under {A} need {m} days for a wall, how many days do {k} workers under {B} need for {p} such walls?",
+        "Yesterday {A} read {n} pages in {m} minutes while {B} read {k} pages, so who of them reads faster and by how many pages in {p} minutes?",
+    )
+    items = []
+    for k in range(200):
+        names = rng.sample(["Anna", "Boris", "Clara", "David", "Emil", "Fiona", "Greta", "Hugo"], 2)
+        tail = " ".join(rng.choices(words, k=6))
+        items.append((k, templates[k % 4].format(A=names[0], B=names[1], **dict(zip("nmkp", rng.sample(range(2, 900), 4), strict=True))) + " Think of how " + tail + "."))
+    around = lambda: " ".join(rng.choices(words, k=30))
+    copies = [(k, f"{around()}. {reparameterised(t, rng)} {around()}") for k, t in items]
+    broken = [(1000 + k, around() + ". " + re.sub(r"\d+", lambda m: str(rng.randrange(1000, 9999)), re.sub(r"\b(Anna|Boris|Clara|David|Emil|Fiona|Greta|Hugo)\b", lambda m: "".join(rng.choices("abcdefgh", k=7)).capitalize(), t.split(" Think of")[0]))) for k, t in items]
+    clean = [(2000 + k, " ".join(rng.choices(words, k=90))) for k in range(100)]
+    assert all(c[1] != t and t not in c[1] for (_, t), c in zip(items, copies, strict=True))
+    docs = spark.createDataFrame(copies + broken + clean, "doc_id long, text string")
+    found = {r[0]: r[1] for r in decontamination.matches(docs, spark.createDataFrame(items, "item_id long, text string")).collect() for r in [(r.doc_id, {i.item_id: i.exact for i in r["items"]})]}
+    hit = [found[k].get(k) for k, _ in items]
+    assert sum(h is not None for h in hit) / len(hit) >= 0.95 and not any(hit)  # found, and never as an exact copy
+    assert sum(bool(found[k]) for k, _ in clean) == 0
+    # One name and number after another in place of the one that stood twice.
+    assert sum(1000 + k in found and k in found[1000 + k] for k, t in items if k % 4 == 0) <= 5
+
+
+def test_one_word_items_drop_nothing(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "and she said yes to the river"), (2, "nothing here"), (3, "he asked what is 12 + 30 once")], SCHEMA.split(", lang")[0]).selectExpr("*", "'en' AS lang", "'s' AS source", "1L AS n_chars")
+    spark.createDataFrame([(1, "yes"), (2, "What is 12 + 30?")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r.doc_id for r in decontamination.stage(spark, docs, str(tmp_path)).collect()} == {1, 2}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: (r.n_items, r.kept) for r in decontamination.query(spark, str(tmp_path)).collect()} == {1: (1, True), 2: (0, True), 3: (1, False)}
