@@ -499,6 +499,41 @@ def s08_listing(spark, d):
     return HT.parse_listing(table(spark, d, "pages"), "page_id", "html").groupBy("page_id").agg(F.count("*").alias("n"))
 
 
+def career_pages(spark, d):
+    """Pages with a posting of two places in nested scopes, a page label and fields of a career site around what they hold."""
+    p = table(spark, d, "pages")
+    title, host = F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.regexp_extract("url", "^https?://([^/?#]+)", 1)
+    k = F.col("page_id")
+    parts = [
+        '<main><div itemscope itemtype="http://schema.org/JobPosting"><h1 itemprop="title"> ', title, ' <b>', F.lit(""), "</b></h1><script>itemprop</script>",
+        '<div itemprop="jobLocation" itemscope itemtype="http://schema.org/Place"><p itemprop="address" itemscope><span itemprop="addressLocality">City ', (k % 7).cast("string"), '</span></p></div>',
+        '<div itemprop="jobLocation" itemscope itemtype="http://schema.org/Place"><span itemprop="addressLocality">Town ', (k % 3).cast("string"), "</span></div>",
+        '<meta itemprop="datePosted" content="2024-01-', F.lpad((k % 28 + 1).cast("string"), 2, "0"), '"><div itemprop="hiringOrganization" itemscope><i itemprop="name">', host, "</i></div></div></main>",
+        '<span class="paginationLabel">Results <b>', (k * 25 + 1).cast("string"), " - ", (k * 25 + 25).cast("string"), "</b> of <b>", (k * 25 + 90).cast("string"), "</b></span>",
+        '<p data-careersite-propertyid="city">Town <i>', (k % 3).cast("string"), '</i></p><p data-careersite-propertyid="empty"> </p>',
+    ]
+    extra = F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    return p.select("page_id", F.concat(extra, F.col("html")).alias("html"))
+
+
+@query("s08_page_items", r"""SELECT page_id, nullif(trim(regexp_replace(regexp_replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&'), '\s+', ' ', 'g'), '^ | $', '', 'g')), '') AS title, '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS posted, regexp_extract(url, '^https?://([^/?#]+)', 1) AS company, 'City ' || (page_id % 7) || '|Town ' || (page_id % 3) AS places FROM pages""")
+def s08_items(spark, d):
+    """Each page's posting out of its nested scopes: the place's names are not the posting's."""
+    items = HT.item_records(career_pages(spark, d), "page_id", "html")
+    return HT.postings(items, "page_id").select("page_id", "title", "posted", "company", F.array_join("places", "|").alias("places"))
+
+
+@query("s08_page_range", "SELECT page_id, page_id * 25 + 1 AS first, page_id * 25 + 25 AS last, page_id * 25 + 90 AS total FROM pages")
+def s08_range(spark, d):
+    out = HT.page_range(career_pages(spark, d), "page_id", "html")
+    return out.select("page_id", *[F.col(c).cast("long").alias(c) for c in ("first", "last", "total")])
+
+
+@query("s08_page_properties", "SELECT page_id, 'city' AS property, 'Town ' || (page_id % 3) AS value FROM pages")
+def s08_properties(spark, d):
+    return HT.page_properties(career_pages(spark, d), "page_id", "html").select("page_id", "property", "value")
+
+
 @query("p11_route_invalid", "SELECT CASE WHEN doc_id % 10 = 0 THEN 'missing_identity' WHEN length(text) < 20 THEN 'missing_title' ELSE 'good' END AS route, count(*) AS n FROM documents GROUP BY 1")
 def p11(spark, d):
     docs = table(spark, d, "documents").withColumn("native_id", F.when(F.col("doc_id") % 10 != 0, F.col("doc_id")))

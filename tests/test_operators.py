@@ -209,6 +209,19 @@ def test_place_layouts(spark):
     assert one(spark, city, *rows, schema="a string, b string") == ["Brno", "Lhota", None, None, None, "Prague", "Lhota", None, None, None]
 
 
+def test_item_scopes(spark):
+    from tablewright.operators.html_text import item_records, read_items
+
+    html = """<div itemscope itemtype="http://schema.org/JobPosting"><h1 itemprop="title name">Head <b>cook</b> &amp; baker<script>no</script></h1>
+      <div itemprop="jobLocation" itemscope><span itemprop="name">Brno</span><br><meta itemprop="postalCode" content="60200"></div><a itemprop="url" href="https://x.example/1">more</a>
+      <p itemprop="description">One <i itemprop="skills">two</i> three</div><span itemprop="title">outside</span></b>"""
+    items, values = read_items(html)
+    assert items == [(0, None, "http://schema.org/JobPosting", None), (1, 0, None, "jobLocation")]
+    assert sorted(values) == sorted([(0, "title", "Head cook & baker"), (0, "name", "Head cook & baker"), (1, "name", "Brno"), (1, "postalCode", "60200"), (0, "url", "https://x.example/1"), (0, "skills", "two"), (0, "description", "One two three")])
+    rows = item_records(spark.createDataFrame([(1, html), (2, None), (3, "<p itemscope>"), (4, "<p>")], "id int, h string"), "id", "h").collect()
+    assert sorted((r.id, r.item) for r in rows) == [(1, 0)] * 5 + [(1, 1)] * 2 + [(3, 0)]
+
+
 def test_dimensions_are_checked(spark, tmp_path):
     path = tmp_path / "iso.json"
     path.write_text(json.dumps({"3166-2": [{"code": "AA-01", "name": "North", "type": "State"}, {"code": "AA-NORTH", "name": "Nowhere", "type": "State"}, {"code": "BB-01", "name": "Sever", "type": "Region"}]}))
