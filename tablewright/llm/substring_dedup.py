@@ -91,7 +91,7 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
     return map_batches(rows, cut, "doc_id long, row_key long, start int, size int, hi long, lo long")
 
 
-ENDS = "doc_id long, row_key long, start int, stop int, l_owner long, l_key long, l_at int, r_owner long, r_key long, r_at int"
+ENDS = "doc_id long, row_key long, start int, stop int, l_owner long, l_key long, l_at long, r_owner long, r_key long, r_at long"
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
@@ -137,11 +137,11 @@ def beside(docs: DataFrame, runs: DataFrame) -> DataFrame:
                 row += [k] * len(asked)
                 out += [(a["at"], a["left"], a["n"], raw[max(0, a["at"] - REACH) : a["at"]] if a["left"] else raw[a["at"] : a["at"] + REACH]) for a in asked]
             take = pa.array(row, pa.int32())
-            columns = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.bool_(), pa.int64(), pa.binary()))]
+            columns = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.bool_(), pa.int64(), pa.binary()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("row_key").take(take), *columns], ["owner", "key", "at", "left", "n", "near"])
 
     # Rows that are the same in all columns ask and answer alike.
-    return map_batches(texts, answer, "owner long, key long, at int, left boolean, n long, near binary").groupBy("owner", "key", "at", "left").agg(F.max("n").alias("n"), F.max("near").alias("near"))
+    return map_batches(texts, answer, "owner long, key long, at long, left boolean, n long, near binary").groupBy("owner", "key", "at", "left").agg(F.max("n").alias("n"), F.max("near").alias("near"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:

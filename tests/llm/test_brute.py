@@ -107,6 +107,16 @@ def test_substring_dedup_rows(table, few):
     assert collections.Counter(tuple(r) for r in got) == want and any(r.n_removed for r in got)
 
 
+def test_substring_hot_passage(spark):
+    """One passage in most documents: its owner is asked by all of them, and all lose the whole of it."""
+    rng = random.Random(12)
+    some = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n))
+    passage = some(60)
+    rows = [(k, f"{some(12)} {passage} {some(12)}") for k in range(1500)] + [(5000 + k, some(40)) for k in range(300)]
+    got = {r.doc_id: r.n_removed for r in substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == 0 and all(len(passage) <= got[k] <= len(passage) + 8 for k in range(1, 1500)) and not any(got[5000 + k] for k in range(300))
+
+
 def test_substring_recall(spark):
     """Passages of 51 random words in fresh surroundings: nine bytes of ten go, and next to nothing else."""
     rng = random.Random(11)
