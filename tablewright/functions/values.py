@@ -19,7 +19,7 @@ def mapped(c: Column, values: dict[str, str], otherwise: str | None = None) -> C
 PAY_PERIODS = {"hour": "hour", "hourly": "hour", "1 hour": "hour", "per hour": "hour", "day": "day", "daily": "day", "month": "month", "monthly": "month", "1 month": "month", "year": "year", "yearly": "year", "annual": "year", "annually": "year", "1 year": "year", "one-time": "one_time", "one time": "one_time", "task": "task"}
 LEVELS = {"junior": "junior", "entry level": "entry", "entry-level": "entry", "senior": "senior", "mid": "mid", "intermediate": "mid", "staff": "staff", "principal": "principal"}
 MODES = {"remote": "remote", "fully remote": "remote", "work from home": "remote", "on remote": "remote", "hybrid": "hybrid", "hybrid remote": "hybrid", "hybrid working": "hybrid", "on site": "onsite", "on-site": "onsite", "onsite": "onsite", "on-site only": "onsite", "office": "onsite"}
-MINOR_UNITS = ("USD", "EUR", "GBP", "CZK", "PLN")
+MINOR_UNITS = ("CZK", "EUR", "USD", "GBP", "SEK", "PLN", "CHF")
 
 
 def pay_period(c: Column) -> Column:

@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.text import fold
+from tablewright.functions.text import fold, fold_spaces
+from tablewright.functions.values import MINOR_UNITS, mapped
 
 
 SPANS = "array<struct<start:int,end:int,text:string>>"
@@ -295,3 +296,23 @@ def native_offers(low: Column, high: Column, currency: Column, period: Column, m
     a, b = (minor_units(low, currency), minor_units(high, currency)) if minor else (low.cast("decimal(18,4)"), high.cast("decimal(18,4)"))
     good = currency.isNotNull() & (a > 0) & (b.isNull() | (b >= a))
     return F.when(good, F.struct(a.alias("low"), b.alias("high"), currency.alias("currency"), pay_period(period).alias("period")))
+
+
+def scoped_offers(rows: DataFrame, id_col: str, ranges: str, countries: dict[str, str], cities: dict[str, tuple[str, str]], minor: bool = False) -> DataFrame:
+    """(id, position, low, high, currency, period, component, place, label): an offer for each of a row's native pay ranges (min, max, currency, period, title as text).
+
+    One end may be missing; ranges without any, upside down, or in minor units of a currency that is not known to have hundredths are refused. A currency that is no three letters
+    is unknown. A title that is exactly a country or a known city scopes the offer (`place`, `label`); one that speaks of a base salary makes it that component; pay once or by the
+    task, of no stated component, is a task reward."""
+    from tablewright.functions.values import amount, pay_period
+
+    each = rows.select(F.col(id_col), F.posexplode(ranges).alias("position", "r"))
+    currency = F.upper(F.trim("r.currency"))
+    each = each.select(id_col, "position", amount(F.col("r.min")).alias("low"), amount(F.col("r.max")).alias("high"), F.when(currency.rlike("^[A-Z]{3}$"), currency).alias("currency"), pay_period(F.col("r.period")).alias("period"), F.col("r.title").alias("title"))
+    if minor:
+        each = each.where(F.col("currency").isin(*MINOR_UNITS)).withColumns({c: (F.col(c) / 100).cast("decimal(18,4)") for c in ("low", "high")})
+    each = each.where(F.coalesce("low", "high").isNotNull() & ~F.coalesce(F.col("low") > F.col("high"), F.lit(False)))
+    name = fold_spaces(F.col("title"))
+    place = F.coalesce(mapped(name, countries), mapped(name, {k: c for k, (c, _) in cities.items()}))
+    component = F.when(F.col("title").rlike("(?i)base salary"), "base").when(F.col("period").isin("one_time", "task"), "task_reward").otherwise("unknown")
+    return each.select(id_col, "position", "low", "high", "currency", "period", component.alias("component"), place.alias("place"), F.when(place.isNotNull(), F.col("title")).alias("label"))

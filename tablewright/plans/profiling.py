@@ -225,6 +225,23 @@ def x16(spark, d):
     return table(spark, d, "orders").withColumn("f", offer).where("f IS NOT NULL").select("o_orderkey", F.col("f.low").cast("long").alias("low"), F.col("f.high").cast("long").alias("high"), "f.period")
 
 
+@query(
+    "x16_scoped_offers",
+    """WITH r AS (SELECT o_orderkey AS k, o_custkey AS c, unnest([0, 1, 2, 3]) AS position FROM orders), v AS (SELECT *, CASE WHEN c > 0 THEN c END AS lo, CASE position WHEN 1 THEN NULL ELSE CASE WHEN k > 0 THEN k END END AS hi, CASE k % 4 WHEN 0 THEN 'EUR' WHEN 1 THEN 'CHF' WHEN 2 THEN 'JPY' END AS cur FROM r)
+SELECT k AS o_orderkey, position, CAST(lo AS BIGINT) AS low, CAST(hi AS BIGINT) AS high, cur AS currency, CASE position WHEN 0 THEN 'month' WHEN 1 THEN 'one_time' WHEN 2 THEN 'task' ELSE 'unknown' END AS period, CASE position WHEN 0 THEN 'base' WHEN 1 THEN 'task_reward' WHEN 2 THEN 'task_reward' ELSE 'unknown' END AS component, CASE position WHEN 1 THEN 'Brno' WHEN 2 THEN 'DE' END AS place FROM v WHERE cur IN ('EUR', 'CHF') AND (lo IS NOT NULL OR hi IS NOT NULL) AND NOT coalesce(lo > hi, FALSE)""",
+)
+def x16_scoped(spark, d):
+    """Four ranges for each order: a base salary, pay once in a city, pay by the task in a country, and one whose title names no place exactly."""
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    cents = lambda c: (F.col(c) * 100).cast("string")
+    currency = F.when(k % 4 == 0, " eur").when(k % 4 == 1, "CHF").when(k % 4 == 2, "JPY").otherwise("euros")
+    one = lambda period, title, high: F.struct(cents("o_custkey").alias("min"), high.alias("max"), currency.alias("currency"), F.lit(period).alias("period"), F.lit(title).alias("title"))
+    ranges = F.array(one("Monthly", "Base salary, Brno", cents("o_orderkey")), one("one-time", "BRNO", F.lit(None).cast("string")), one("task", "Deutschland", cents("o_orderkey")), one(None, "Brno and around", cents("o_orderkey")))
+    out = X.scoped_offers(o.withColumn("ranges", ranges), "o_orderkey", "ranges", COUNTRY_ALIASES, CITY_ALIASES, minor=True)
+    return out.select("o_orderkey", "position", F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high"), "currency", "period", "component", "place")
+
+
 # --- selection and profiles --------------------------------------------------------------------------------------------------------
 
 
