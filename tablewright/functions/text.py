@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,11 +76,21 @@ def has_phrase(text: Column, phrase: Column) -> Column:
     return F.contains(F.concat(F.lit(" "), text, F.lit(" ")), F.concat(F.lit(" "), phrase, F.lit(" ")))
 
 
-def trigrams(c: Column) -> Column:
-    """Distinct trigrams of each word, with two spaces before and one behind it. Words stand on lines of their own; a pattern that looks
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """`then` of a value that is worked out once, as the variable of a transform, however often `then` names it."""
+    return F.transform(F.array(value), then)[0]
+
+
+def ordered_trigrams(c: Column) -> Column:
+    """The trigrams of each word in order, with two spaces before and one behind it. Words stand on lines of their own; a pattern that looks
     ahead finds the overlapping trigrams of all lines in one pass."""
     padded = F.regexp_replace(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "\n"), "([a-z0-9]+)", "  $1 ")
-    return F.array_distinct(F.regexp_extract_all(padded, F.lit(r"(?=([^\n]{3}))"), F.lit(1)))
+    return F.regexp_extract_all(padded, F.lit(r"(?=([^\n]{3}))"), F.lit(1))
+
+
+def trigrams(c: Column) -> Column:
+    """The distinct ones of `ordered_trigrams`."""
+    return F.array_distinct(ordered_trigrams(c))
 
 
 def similarity_of(a: Column, b: Column) -> Column:

@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.text import normalize_company, normalize_url, similarity_of, trigrams
+from tablewright.functions.text import normalize_company, normalize_url, ordered_trigrams, similarity_of, trigrams
 from tablewright.functions.values import location_similarity
-from tablewright.functions.word_similarity import word_similarity
+from tablewright.functions.word_similarity import word_similarity_of
 from tablewright.storage import staged
 
 
@@ -200,10 +200,8 @@ def text_scores(named: DataFrame, texts: DataFrame, words: bool = False, within:
     score = similarity_of(F.col("ga"), F.col("gb"))
     if words:
         first = F.length("ta") <= F.length("tb")
-        asked = ~plain[0] & ~plain[1]
-        short = F.when(asked, F.when(first, F.col("ta")).otherwise(F.col("tb")))
-        scored = scored.withColumn("run", word_similarity(short, F.when(asked, F.when(first, F.col("tb")).otherwise(F.col("ta")))))
-        score = F.greatest(score, F.col("run"))
+        runs = word_similarity_of(F.when(first, F.col("ga")).otherwise(F.col("gb")), ordered_trigrams(F.when(first, F.col("tb")).otherwise(F.col("ta"))), score)
+        score = runs  # not below the texts' own similarity, and no more than that where no run can be
     score = F.when(plain[0], F.lit(0.0)).when(plain[1], F.lit(1.0)).otherwise(score).alias("text_similarity")
     if within is None:
         return scored.select("ha", "hb", score)

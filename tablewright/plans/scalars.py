@@ -74,7 +74,22 @@ def n08(spark, d):
     return table(spark, d, "part").select("p_partkey", F.round(T.similarity(F.col("p_name"), F.concat_ws(" ", "p_brand", "p_name")), 9).alias("similarity"))
 
 
-@query("n09_word_similarity", None)
+#: DuckDB: the trigrams of a text's words in order, and N09 over all extents one by one.
+ROW = TRI.removeprefix("list_distinct(").removesuffix(")")
+
+
+def WORDS(short: str, long: str) -> str:
+    """N09 of two trigram lists, the second in order."""
+    part = f"list_distinct(list_slice({long}, i, j))"
+    hit = f"list_filter(range(1, len({long}) + 1), lambda k: list_contains({short}, {long}[k]))"
+    share = f"len(list_intersect({short}, {part})) / len(list_distinct(list_concat({short}, {part})))"
+    return f"coalesce(list_max(flatten(list_transform({hit}, lambda i: list_transform(list_filter({hit}, lambda j: j >= i), lambda j: {share})))), 0.0)"
+
+
+@query(
+    "n09_word_similarity",
+    f"WITH p AS (SELECT DISTINCT p_brand AS short, p_name || ' ' || p_brand || ' ' || p_type AS long FROM part), t AS (SELECT *, {TRI.format('short')} AS s, {ROW.format('long')} AS l FROM p) SELECT short, long, round({WORDS('s', 'l')}, 9) AS word_similarity FROM t",
+)
 def n09(spark, d):
     from tablewright.functions.word_similarity import word_similarity
 

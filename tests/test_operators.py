@@ -2,13 +2,14 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions import text as T
 from tablewright.functions import values as V
-from tablewright.functions.word_similarity import best_extent
+from tablewright.functions.word_similarity import word_similarity
 from tablewright.operators import extraction as X
 from tablewright.operators import freshness as H
 from tablewright.operators import html_text as HT
@@ -45,9 +46,24 @@ def test_similarity(spark):
     assert got[0] == pytest.approx(4 / 11) and got[1] == 0.0 and got[2] == 1.0
 
 
-def test_word_similarity_has_a_direction():
-    assert best_extent("word", "two words") == pytest.approx(0.8)
-    assert best_extent("", "x") == 0.0 and best_extent("same", "same") == 1.0
+def ordered_trigrams(text):
+    out = []
+    for word in "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split():
+        padded = f"  {word} "
+        out += [padded[i : i + 3] for i in range(len(padded) - 2)]
+    return out
+
+
+def best_extent(short, long):
+    """Of all extents of the long text's trigrams that start and end at a shared one, the largest share, one by one."""
+    want, row = set(ordered_trigrams(short)), ordered_trigrams(long)
+    at = [i for i, t in enumerate(row) if t in want]
+    return max((len(want & set(row[i : j + 1])) / len(want | set(row[i : j + 1])) for i in at for j in at if i <= j), default=0.0)
+
+
+def test_word_similarity_has_a_direction(spark):
+    pairs = [("word", "two words"), ("", "x"), ("same", "same"), (None, "a"), ("two words", "word")]
+    assert one(spark, word_similarity, *pairs, schema="a string, b string") == pytest.approx([0.8, 0.0, 1.0, 0.0, best_extent("two words", "word")])
 
 
 def test_location_ladder(spark):
@@ -275,19 +291,10 @@ def test_duplicates_with_word_similarity(spark):
     assert {(r.a, r.b): r.status for r in again.collect()} == {(1, 2): "rejected", (1, 3): "pending", (1, 4): "pending"}
 
 
-def test_word_similarity_equals_all_extents():
-    import random
-
-    def plain(short, long):
-        from tablewright.functions.word_similarity import ordered_trigrams
-
-        want, row = set(ordered_trigrams(short)), ordered_trigrams(long)
-        return max((len(want & set(row[i:j])) / len(want | set(row[i:j])) for i in range(len(row)) for j in range(i + 1, len(row) + 1)), default=0.0) if want else 0.0
-
+def test_word_similarity_equals_all_extents(spark):
     rng = random.Random(3)
-    for _ in range(60):
-        a, b = (" ".join(rng.choices(["data", "analyst", "date", "ana", "baker", "x"], k=rng.randrange(0, n))) for n in (4, 7))
-        assert best_extent(a, b) == pytest.approx(plain(a, b))
+    pairs = [tuple(" ".join(rng.choices(["data", "analyst", "date", "ana", "baker", "x", "Ünï"], k=rng.randrange(0, n))) for n in (4, 9)) for _ in range(200)]
+    assert one(spark, word_similarity, *pairs, schema="a string, b string") == pytest.approx([best_extent(a, b) for a, b in pairs])
 
 
 def test_neighbour_context(spark):
