@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import sys
 import tempfile
 import uuid
@@ -22,9 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with short batches."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(fn, schema)
+    """mapInArrow with short batches: `fn` gets slices of the session's batches, which share their memory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fn(batch.slice(at, BATCH_ROWS) for batch in batches for at in range(0, batch.num_rows, BATCH_ROWS))
+
+    return df.mapInArrow(run, schema)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -47,7 +52,10 @@ def shared_folder(spark: SparkSession) -> str:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+        if not named:
+            named = tempfile.mkdtemp(prefix="checkpoint-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)  # a local session's folder goes with its process
+        context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 
