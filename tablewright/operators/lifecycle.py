@@ -67,7 +67,7 @@ def resolve_ownership(sources: DataFrame, gate: DataFrame) -> DataFrame:
     EXACT: brand and host are one approved entry. LEGACY_DETERMINISTIC: no brand, and the tenant has one entry, whose host fits.
     AMBIGUOUS: several entries fit. REVIEW_REQUIRED: nothing fits. MALFORMED: no tenant or no host."""
     entries = gate.select("tenant", F.col("host").alias("g_host"), F.col("brand").alias("g_brand"))
-    joined = sources.join(F.broadcast(entries), "tenant", "left")  # the gate is a reviewed file of at most thousands of rows
+    joined = sources.join(entries, "tenant", "left")
     fits = F.coalesce(F.array_contains("hosts", F.col("g_host")), F.lit(False))
     counted = joined.groupBy("id").agg(
         F.first("hosts").alias("hosts"),
