@@ -6,7 +6,8 @@ transitions between kinds of characters, how evenly characters are spread, how m
 an address, and at the words next to it, which count by how often they stand before secrets among the findings.
 
 It is trained in numpy on labelled findings (text before, candidate, text after, is_secret): those of findings.tsv, which states the source of each,
-or any others that are given. Fold 0 (crc32 of the candidate, modulo 5) is kept from training, and `held_out_quality` gives precision and recall on it.
+or any others that are given. Fold 0 (crc32 of the document that a finding stands in, or of the candidate where none is known, modulo 5) is kept from training, so no document stands on both
+sides, and `held_out_quality` gives precision and recall on it.
 The dictionary is counted over all documents; at most DICTIONARY words, those that most documents hold, are kept.
 
 `scan` finds the spans, `redact` replaces them. Spans are in characters, from 0, end excluded.
@@ -45,7 +46,8 @@ DICTIONARY, LEAST_DOCUMENTS = 20_000, 2
 TREES, DEPTH, LEAF = 40, 9, 3
 MARK = "<SECRET>"
 FINDINGS = Path(__file__).with_name("findings.tsv")
-Finding = tuple[str, str, str, bool]
+#: Text before, candidate, text after, whether it is a secret and, where known, the document.
+Finding = tuple[str, str, str, bool] | tuple[str, str, str, bool, str]
 
 
 def kinds(s: str) -> np.ndarray:
@@ -178,11 +180,11 @@ class Model:
 
 def read_findings(path: Path = FINDINGS) -> list[Finding]:
     rows = [line.rstrip("\n").split("\t") for line in path.open(encoding="utf-8") if not line.startswith("#")]
-    return [(left, s, right, label == "1") for _, left, s, right, label in rows]
+    return [(left, s, right, label == "1", source if source.startswith("documents:") else s) for source, left, s, right, label in rows]
 
 
 def learned_from(finding: Finding) -> bool:
-    return zlib.crc32(finding[1].encode("utf-8", "surrogatepass")) % 5 != 0
+    return zlib.crc32((finding[4] if len(finding) > 4 else finding[1]).encode("utf-8", "surrogatepass")) % 5 != 0
 
 
 def train(findings: list[Finding], words: frozenset[str], seed: int = 11) -> Model:
@@ -190,12 +192,12 @@ def train(findings: list[Finding], words: frozenset[str], seed: int = 11) -> Mod
     findings = [f for f in findings if learned_from(f)]
     if not findings:
         return Model([], words, {})
-    seen = [Counter(w for left, *_, y in findings if y == label for w in set(neighbours(left))) for label in (False, True)]
+    seen = [Counter(w for left, _, _, y, *_ in findings if y == label for w in set(neighbours(left))) for label in (False, True)]
     total = [sum(1 for f in findings if f[3] == label) for label in (False, True)]
     # Words that two findings or more have beside them.
     odds = {w: float(np.log((seen[1][w] + 0.5) / (total[1] + 1)) - np.log((seen[0][w] + 0.5) / (total[0] + 1))) for w in seen[0] | seen[1] if seen[0][w] + seen[1][w] > 1}
-    x = np.array([features(a, s, b, words, odds) for a, s, b, _ in findings])
-    y = np.array([float(k) for *_, k in findings])
+    x = np.array([features(a, s, b, words, odds) for a, s, b, *_ in findings])
+    y = np.array([float(f[3]) for f in findings])
     rng, trees = np.random.default_rng(seed), []
     for _ in range(TREES):
         rows = rng.integers(0, len(y), len(y))
@@ -207,7 +209,7 @@ def train(findings: list[Finding], words: frozenset[str], seed: int = 11) -> Mod
 
 def held_out_quality(model: Model, findings: list[Finding], threshold: float = 0.5) -> tuple[float, float]:
     """Precision and recall on the findings that training does not see."""
-    rows = [(model.probability(a, s, b) >= threshold, y) for a, s, b, y in findings if not learned_from((a, s, b, y))]
+    rows = [(model.probability(*f[:3]) >= threshold, f[3]) for f in findings if not learned_from(f)]
     hits = sum(p and y for p, y in rows)
     return hits / max(1, sum(p for p, _ in rows)), hits / max(1, sum(y for _, y in rows))
 
