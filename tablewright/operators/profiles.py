@@ -14,7 +14,7 @@ def build_evidence(matches: DataFrame, key: list[str]) -> DataFrame:
 
 def select_fact(candidates: DataFrame, by: list[str]) -> DataFrame:
     """Candidates (by, value, score, active, evidence_id) to one fact. Disagreement among the best makes a conflict: value null,
-    evidence of all candidates kept in rank order. Only a source known to be inactive ranks lower; unknown activity counts as active."""
+    evidence of all candidates kept in rank order (a fact holds the ids of its own evidence, as many as its job states). Only a source known to be inactive ranks lower; unknown activity counts as active."""
     rank = F.struct("score", F.coalesce("active", F.lit(True)).cast("int").alias("active"))
     given = candidates.where("value IS NOT NULL").withColumn("rank", rank)
     best = given.groupBy(*by).agg(F.max("rank").alias("best"))

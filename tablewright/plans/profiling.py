@@ -272,6 +272,14 @@ def r06(spark, d):
     return e.agg(F.count_distinct("evidence_id").alias("n"))
 
 
+@query("r06_evidence_rows", """SELECT l_orderkey, l_returnflag, min(l_quantity) >= 0 AS positive, sha256('{"l_orderkey":"' || l_orderkey || '","l_returnflag":"' || l_returnflag || '"}') AS evidence_id FROM lineitem GROUP BY 1, 2""")
+def r06_rows(spark, d):
+    """The pieces of evidence themselves, each once, with the id that their content gives."""
+    li = table(spark, d, "lineitem")
+    e = P.build_evidence(li.select("l_orderkey", "l_returnflag", (F.col("l_quantity") >= 0).alias("positive")), ["l_orderkey", "l_returnflag"])
+    return e.select("l_orderkey", "l_returnflag", "positive", "evidence_id")
+
+
 def prints(docs, version="1"):
     return P.fingerprint(docs, "doc_id", ["lang", "source"], "text", {"rules": version})
 

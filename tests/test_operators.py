@@ -337,3 +337,65 @@ def test_times_alone_change_no_job(spark):
     old = spark.createDataFrame([("s", "1", 1, "u", True, "h"), ("s", "2", 2, "u", True, "h"), ("s", "3", 3, "u", None, "h")], cols)
     new = spark.createDataFrame([("s", "1", 1, "u", True, "h"), ("s", "2", 9, "u", True, "h"), ("s", "3", 3, "u", None, "h")], cols)
     assert {r.job_id for r in streams.changed_jobs(old, new).collect()} == {2, 9}
+
+
+def test_neighbour_context_on_the_table(spark, sf_dir):
+    """The query of W10 against plain string work on every document."""
+    import re
+
+    from tablewright.plans.profiling import w10
+
+    want = []
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        spans = [m.span() for m in re.finditer(r"(?i)(?<!\w)that(?!\w)", r.text or "")]
+        edges = [0, *[b for _, b in spans]], [*[a for a, _ in spans], len(r.text or "")]
+        want += [(r.doc_id, a, a - edges[0][k], edges[1][k + 1] - b) for k, (a, b) in enumerate(spans)]
+    assert sorted(tuple(r) for r in w10(spark, sf_dir).collect()) == sorted(want) and len(want) > 100
+
+
+def test_clean_html_on_the_table(spark, sf_dir):
+    """The query of X01 against a parser that walks the tree, on every page."""
+    import html
+    import re
+    from html.parser import HTMLParser
+
+    from tablewright.plans.profiling import x01
+
+    class Walk(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.waiting, self.depth = [], None, 0
+
+        def handle_starttag(self, tag, attrs):
+            alone = tag in HT.ENDLESS
+            if self.depth:
+                self.depth += tag == self.waiting and not alone
+                return
+            given = {k: v or "" for k, v in attrs}
+            hidden = tag in HT.UNSEEN or "hidden" in given or given.get("aria-hidden") == "true" or any(HT.CONTAINERS.search(given.get(k, "")) for k in ("class", "id", "role"))
+            if hidden and not alone:
+                self.waiting, self.depth = tag, 1
+            elif not hidden:
+                self.out.append(HT.STARTS.get(tag, ""))
+
+        def handle_endtag(self, tag):
+            if self.depth:
+                self.depth -= tag == self.waiting
+            elif tag in HT.ENDS:
+                self.out.append("\n")
+
+        def handle_data(self, data):
+            if not self.depth:
+                self.out.append(html.unescape(data))
+
+    def plain(raw):
+        for _ in range(3):
+            raw = html.unescape(raw)
+        walk = Walk()
+        walk.feed(raw)
+        walk.close()
+        return "\n".join(filter(None, (" ".join(x.split()) for x in re.split(r"\r\n?|\n", "".join(walk.out)))))
+
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    got = {r.page_id: r.text for r in x01(spark, sf_dir).collect()}
+    assert got == {k: plain(v) for k, v in pages.items()}
