@@ -94,9 +94,9 @@ def trigrams(c: Column) -> Column:
 
 
 def similarity_of(a: Column, b: Column) -> Column:
-    """Shared trigrams over all trigrams of two trigram arrays; 0 if both are empty."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
+    """Shared trigrams over all trigrams of two arrays of distinct trigrams; 0 if both are empty. What they share is worked out once: it stands outside any condition."""
+    shared = F.size(F.array_intersect(a, b))
+    return F.coalesce(shared / F.nullif(F.size(a) + F.size(b) - shared, F.lit(0)), F.lit(0.0))
 
 
 def similarity(a: Column, b: Column) -> Column:

@@ -208,11 +208,12 @@ def order_jobs(spark, d):
     orders = table(spark, d, "orders").join(posts, "o_orderkey")
     first = F.col("lines")[0]
     job = orders.select(F.col("o_orderkey").alias("key"), F.col("o_custkey").cast("string").alias("block"), first["words"].alias("title"), first["place"].alias("location"), (F.col("o_orderstatus") == "P").alias("remote"), F.array_join("lines.said", " ").alias("description"), F.substring("o_orderpriority", 1, 1).alias("kind"))
-    title = F.when(F.col("kind") == "1", F.concat("title", F.lit(" m/w/d"))).when(F.col("kind") == "3", F.concat(F.lit("- "), F.upper("title"))).otherwise(F.col("title"))
-    text = F.when(F.col("kind") == "3", F.concat(F.lit("We look for: "), "description", F.lit(". Apply now!"))).otherwise(F.col("description"))
-    copies = job.where("kind IN ('1', '2', '3')").select((2 * F.col("key") + 1).alias("id"), "block", title.alias("title"), "location", "remote", text.alias("description"))
-    every = job.select((2 * F.col("key")).alias("id"), "block", "title", "location", "remote", "description").unionByName(copies)
-    return every.withColumns({"title": T.normalize_text(F.col("title")), "description": T.normalize_text(F.col("description"))})
+    # The copy is a second element of each row, so lines are joined and gathered once.
+    job = job.withColumn("again", F.explode(F.when(F.col("kind").isin("1", "2", "3"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    of = lambda k: (F.col("again") == 1) & (F.col("kind") == k)
+    title = F.when(of("1"), F.concat("title", F.lit(" m/w/d"))).when(of("3"), F.concat(F.lit("- "), F.upper("title"))).otherwise(F.col("title"))
+    text = F.when(of("3"), F.concat(F.lit("We look for: "), "description", F.lit(". Apply now!"))).otherwise(F.col("description"))
+    return job.select((2 * F.col("key") + F.col("again")).alias("id"), "block", T.normalize_text(title).alias("title"), "location", "remote", T.normalize_text(text).alias("description"))
 
 
 ORDER_JOBS = f"""lines AS (SELECT *, lower(p_name || ' ' || p_type || ' ' || replace(p_brand, '#', ' ')) AS words, CASE WHEN n_regionkey > 0 THEN lower(n_name) ELSE '' END AS place, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS r FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
