@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,15 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(run, schema)
 
 
+def shared_value(spark: SparkSession, value: Any) -> Broadcast:
+    """A broadcast of a value of classes of this package. A plain broadcast would name the classes, and executors need not have the package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def value_of(shared: Broadcast) -> Any:
+    return cloudpickle.loads(shared.value)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder that the session names."""
     shared_folder(df.sparkSession)

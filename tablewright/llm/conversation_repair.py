@@ -29,7 +29,6 @@ from __future__ import annotations
 import hashlib
 import itertools
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import join_hot, map_batches, table, written
+from tablewright.llm.common import join_hot, kept_by_worker, map_batches, table, written
 
 BLOCK = 4
 SYMBOLS, MUST_GO = 9, 8
@@ -70,7 +69,6 @@ def before(symbol: int, left: tuple[float, ...]) -> tuple[float, ...]:
     return with_inserts(out)
 
 
-@cache
 def vectors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(vectors, next, paid): the vectors less their least entry that occur, and for [symbol, vector] the vector before that symbol and the amount taken off."""
     last = with_inserts([0 if q in ENDS else float("inf") for q in range(4)])
@@ -89,20 +87,30 @@ def vectors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(list(found), np.int64), pairs[:, :, 0], pairs[:, :, 1]
 
 
-@cache
-def blocks() -> tuple[np.ndarray, np.ndarray]:
-    """(next, paid) for [block, vector]: blocks number their symbols with the first one highest."""
-    _, one, paid = vectors()
-    to, cost = one, paid
-    for _ in range(BLOCK - 1):  # one more symbol in front
-        to, cost = one[:, to].reshape(-1, to.shape[1]), (cost[None] + paid[:, to]).reshape(-1, to.shape[1])
-    return to, cost
+class Tables:
+    """The vectors, the tables of all blocks, and the blocks that were opened, REMEMBERED of them at most. Each worker makes its own once."""
 
+    REMEMBERED = 100_000
 
-@cache
-def opened(symbols: bytes, after: int, state: int) -> tuple[str, int]:
-    """The edits of some symbols, entered in a state, with the vector after them; and the state then."""
-    vector, one, paid = vectors()
+    def __init__(self) -> None:
+        self.vector, self.one, self.paid = vectors()
+        # For [block, vector]; blocks number their symbols with the first one highest.
+        self.to, self.cost = self.one, self.paid
+        for _ in range(BLOCK - 1):  # one more symbol in front
+            self.to, self.cost = self.one[:, self.to].reshape(-1, self.to.shape[1]), (self.cost[None] + self.paid[:, self.to]).reshape(-1, self.to.shape[1])
+        self.edits: dict[tuple[bytes, int, int], tuple[str, int]] = {}
+
+    def opened(self, symbols: bytes, after: int, state: int) -> tuple[str, int]:
+        """The edits of some symbols, entered in a state, with the vector after them; and the state then."""
+        key = (symbols, after, state)
+        if key not in self.edits:
+            if len(self.edits) >= self.REMEMBERED:
+                self.edits.clear()
+            self.edits[key] = walked(symbols, after, state, self.vector, self.one, self.paid)
+        return self.edits[key]
+
+
+def walked(symbols: bytes, after: int, state: int, vector: np.ndarray, one: np.ndarray, paid: np.ndarray) -> tuple[str, int]:
     held = [after]
     for s in reversed(symbols):
         held.append(int(one[s, held[-1]]))
@@ -126,15 +134,15 @@ def opened(symbols: bytes, after: int, state: int) -> tuple[str, int]:
 
 def audit_of(symbols: bytes) -> tuple[int, str]:
     """Cost and edits of a conversation."""
-    vector, _, paid = vectors()
-    to, cost = blocks()
+    t = kept_by_worker(("conversation repair",), Tables)
+    vector, paid, to, cost, opened = t.vector, t.paid, t.to, t.cost, t.opened
     n = len(symbols) // BLOCK
     tail = symbols[n * BLOCK :]
     numbers = np.frombuffer(symbols[: n * BLOCK], np.uint8).reshape(n, BLOCK) @ (SYMBOLS ** np.arange(BLOCK)[::-1])
     v, total = 0, 0
     for s in reversed(tail):
         total += int(paid[s, v])
-        v = int(vectors()[1][s, v])
+        v = int(t.one[s, v])
     after = np.zeros(n, np.int16)  # the vector behind each block
     for k in range(n - 1, -1, -1):
         after[k] = v
@@ -340,3 +348,32 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports, edits = repair(damage(table(spark, sf_dir, "conversations")))
     out = reports.join(digests(edits), "conv", "left")
     return out.select(conversation_id(), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.coalesce("repaired_sha256", F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256"))
+
+
+def oracle_sql() -> str:
+    """What `query` gives, as DuckDB states it: costs, edits and lines of the four states carried forward row by row, the least (cost, edits) kept. Without ties of turns."""
+    crc = "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT)), lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda a, z: xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"
+    spaces = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    move = lambda state, cost, letter, line=None: f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {f'list_append({state}.t, {line})' if line else f'{state}.t'}}} END"
+    only = lambda cond, value: f"CASE WHEN {cond} THEN {value} END"
+    best = lambda *ways: f"list_min(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL))"
+    more, own = f"{UNFINISHED} * cut", "role || ':' || text"
+    keep = lambda q, letter: only(f"NOT gone AND left(role, 1) = '{letter}'", move(q, more, "K", own))
+    rerole = lambda q, to: only("NOT gone", move(q, f"({REROLE} + {more})", "R", f"'{ROLES[to]}:' || text"))
+    delete = lambda q: move(q, DELETE, "D")
+    steps = [best(delete("s0")), best(delete("s1"), keep("s0", "s")), best(delete("s2"), *[keep(q, "u") for q in ("s0", "s1", "s3")], *[rerole(q, 2) for q in ("s0", "s1", "s3")]), best(delete("s3"), keep("s2", "a"), rerole("s2", 3))]
+    user = best("n2", *[move(q, INSERT, "I", "'user:'") for q in ("n0", "n1", "n3")])
+    answer = best("n3", move("m2", INSERT, "I", "'assistant:'"))
+    kind = "STRUCT(c BIGINT, a VARCHAR, t VARCHAR[])"
+    return f"""WITH RECURSIVE b AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (SELECT *, {crc} % 20 AS h FROM b), d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM h, range(CASE WHEN h = 0 THEN 0 WHEN h = 3 THEN 2 ELSE 1 END) WHERE h <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, rtrim(text, {spaces}) AS bare FROM d),
+r AS (SELECT *, bare = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, right(bare, 1) NOT IN ('.', '!', '?') AS open_, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM o),
+f AS (SELECT *, blank OR again AS gone, CASE WHEN open_ THEN 1 ELSE 0 END AS cut FROM r),
+g AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (open_ AND NOT gone) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY 1),
+c0 AS (SELECT {{'c': 0, 'a': '', 't': []::VARCHAR[]}}::{kind} AS n0, NULL::{kind} AS n1, NULL::{kind} AS n2, NULL::{kind} AS n3),
+c1 AS (SELECT *, {user} AS m2 FROM c0), start AS (SELECT n0 AS s0, n1 AS s1, m2 AS s2, {answer} AS s3 FROM c1),
+w AS (SELECT conv_id, 0::BIGINT AS i, start.* FROM g, start UNION ALL
+SELECT conv_id, i, n0, n1, m2, {answer} FROM (SELECT *, {user} AS m2 FROM (SELECT w.conv_id, f.i, {', '.join(f'{x} AS n{q}' for q, x in enumerate(steps))} FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1))),
+z AS (SELECT w.conv_id, {best('s0', 's3')} AS e, gaps, blank, duplicate, truncated, illegal FROM w JOIN g ON g.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = g.n)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.c, 0) AS cost, coalesce(e.a, '') AS audit, sha256(coalesce(array_to_string(e.t, chr(10)), '')) AS repaired_sha256 FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN z ON a.conv_id IS NOT DISTINCT FROM z.conv_id"""

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import Numbering, fold_of, held_out, kept_by_worker, map_batches, table
+from tablewright.llm.common import Numbering, fold_of, held_out, kept_by_worker, map_batches, shared_value, table, value_of
 
 UNKNOWN = "und"
 BUCKETS, WIDTH = 1 << 16, 16
@@ -207,7 +207,7 @@ class Scorer:
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of `docs` plus lang_pred, score, rejected. The model has a fixed size and is broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shared_value(docs.sparkSession, model)
     names = docs.columns
     clash = {"lang_pred", "score", "rejected"} & {n.lower() for n in names}
     if clash:
@@ -216,7 +216,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     at = [n.lower() for n in docs.columns].index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = value_of(shared)
         scorer = kept_by_worker(("language", zlib.crc32(model.weights.tobytes())), lambda: Scorer(model))
         for batch in batches:
             lang, p = scorer(batch.column(at).to_pylist())

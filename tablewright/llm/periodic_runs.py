@@ -23,14 +23,13 @@ caller are not read. A text of very many words is done whole, its blocks in slic
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import Numbering, map_batches, table
+from tablewright.llm.common import Numbering, kept_by_worker, map_batches, table
 
 LEAST = 12
 SPACES = " \t\n\x0b\x0c\r"
@@ -45,9 +44,15 @@ def modulo(values: np.ndarray, prime: int) -> np.ndarray:
     return values - values // np.uint64(prime) * np.uint64(prime)
 
 
-@cache
 def roots(size: int, prime: int, generator: int, inverse: bool) -> np.ndarray:
-    """The first half of the powers of a root of unity of that size."""
+    """The first half of the powers of a root of unity of that size; each worker works them out once."""
+    held = kept_by_worker(("roots of unity",), dict)
+    if (size, prime, inverse) not in held:
+        held[size, prime, inverse] = powers_of_root(size, prime, generator, inverse)
+    return held[size, prime, inverse]
+
+
+def powers_of_root(size: int, prime: int, generator: int, inverse: bool) -> np.ndarray:
     root = pow(generator, (prime - 1) // size, prime)
     powers, step = np.ones(1, np.uint64), pow(root, -1, prime) if inverse else root
     while len(powers) < size // 2:

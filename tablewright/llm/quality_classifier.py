@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import map_batches, table
+from tablewright.llm.common import map_batches, shared_value, table, value_of
 from tablewright.llm.toxicity import logistic
 
 CHUNK, STEP = 256, 192
@@ -210,12 +210,13 @@ def fit(docs: DataFrame, labels: DataFrame, most_good: int = SAMPLE_GOOD, most_b
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shared_value(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = value_of(shared)
         for batch in batches:
             if batch.num_rows:
-                p = shared.value.scores([raw or b"" for raw in batch.column("raw").to_pylist()])
+                p = model.scores([raw or b"" for raw in batch.column("raw").to_pylist()])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("raw"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import checkpointed, map_batches, table
+from tablewright.llm.common import checkpointed, map_batches, shared_value, table, value_of
 
 SHORTEST = 16
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.\-])[A-Za-z0-9+/_.\-]{16,}={0,2}")
@@ -235,13 +235,13 @@ def fit(docs: DataFrame, findings: list[Finding] | None = None) -> Model:
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of `docs` plus n_candidates and secrets, an array of (start, end, probability)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shared_value(docs.sparkSession, model)
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_candidates", "secrets")])
     schema = docs.withColumns({"n_candidates": F.lit(0), "secrets": F.array().cast("array<struct<start:int,end:int,probability:double>>")}).schema
     at = [c.lower() for c in docs.columns].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = value_of(shared)
         struct = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())])
         for batch in batches:
             found = [model.spans(t) for t in batch.column(at).to_pylist()]

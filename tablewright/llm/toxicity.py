@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import Numbering, fold_of, held_out, kept_by_worker, map_batches, table
+from tablewright.llm.common import Numbering, fold_of, held_out, kept_by_worker, map_batches, shared_value, table, value_of
 
 FEATURES = 1 << 16
 LAMBDA, SPAN = 0.6, 5
@@ -247,10 +247,10 @@ class Scorer:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shared_value(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = value_of(shared)
         scorer = kept_by_worker(("toxicity", zlib.crc32(model.weights.tobytes())), lambda: Scorer(model))
         for batch in batches:
             p = scorer(batch.column("text").to_pylist())
