@@ -124,3 +124,12 @@ def test_empty_table_and_edits(spark):
     reports, edits = R.repair(rows.withColumn("conv", F.lit("mine")).withColumn("audit", F.lit(1)))
     assert [(r.cost, r.audit) for r in reports.collect()] == [(5, "KRDD")]
     assert [(r.place, r.edit, r.turn, r.role, r.text) for r in edits.orderBy("place").collect()][:2] == [(0, "K", 0, "user", "Hi."), (1, "R", 1, "assistant", "There.")]
+
+
+def test_query_against_its_sql(spark, sf_dir):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{sf_dir}/conversations.parquet'")
+    rel = con.sql(R.oracle_sql())
+    want = sorted(tuple(r[rel.columns.index(c)] for c in ("conv_id", *COLUMNS)) for r in rel.fetchall())
+    assert sorted(tuple(r[c] for c in ("conv_id", *COLUMNS)) for r in R.query(spark, sf_dir).collect()) == want
