@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.text import exact_title_key, normalize_url
 from tablewright.functions.values import native_id, region_evidence, url_identity
 from tablewright.operators.lifecycle import canonical_activity
-from tablewright.operators.linkage import UUID, agreed_identity, existing_source, known_companies, resolve_company, resolve_ranked
+from tablewright.operators.linkage import UUID, agreed_identity, existing_source, resolve_company, resolve_ranked
 from tablewright.operators.merging import FALLBACK_TITLE, SOURCE_PRIORITY, guarded_update, source_priority, upsert_snapshot
 from tablewright.sources.landing import MORE, first_of, only_listed, project_canonical, route_invalid
 from tablewright.storage import staged
@@ -66,9 +66,8 @@ def projected(batch: DataFrame, feed: str, rules: Rules | None = None) -> tuple[
     """(rows to take in, duplicates, left out with their `change`) of a batch (scope, body). Of the rows of one identity the first (by payload) counts."""
     rules = rules or RULES[feed]
     flag = MORE.get(feed, {}).get("listed")
-    shown = (first_of(F.col("body"), [flag]).try_cast("boolean") if flag else F.lit(None).cast("boolean")).alias("_listed")
-    rows = project_canonical(batch, feed).withColumn("source_job_id", native_id([F.col("scope")], F.col("native_id"), rules.shape))
-    rows = rows.withColumn("_listed", first_of(F.col("raw_payload"), [flag]).try_cast("boolean")) if flag else rows.withColumn("_listed", shown)
+    shown = first_of(F.col("raw_payload"), [flag]).try_cast("boolean") if flag else F.lit(None).cast("boolean")
+    rows = project_canonical(batch, feed).withColumns({"source_job_id": native_id([F.col("scope")], F.col("native_id"), rules.shape), "_listed": shown})
     good, bad = route_invalid(rows, [(F.col("source_job_id").isNull(), "missing_identity"), (F.col("title") == FALLBACK_TITLE, "missing_title")])
     listed = only_listed(good, F.col("_listed"))
     left = [bad.select("source_job_id", F.concat(F.lit("rejected: "), "reject_reason").alias("change")), good.where("NOT coalesce(_listed, true)").select("source_job_id", F.lit("skipped: unlisted").alias("change"))]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.functions.text import fold
 from tablewright.operators import evaluation as E
 from tablewright.operators import extraction as X
 from tablewright.operators import html_text as HT
