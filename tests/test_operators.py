@@ -3,13 +3,15 @@
 import datetime as dt
 import json
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions import text as T
 from tablewright.functions import values as V
-from tablewright.functions.word_similarity import word_similarity
+from tablewright.functions.word_similarity import best_run, word_similarity
 from tablewright.operators import extraction as X
 from tablewright.operators import freshness as H
 from tablewright.operators import html_text as HT
@@ -297,6 +299,43 @@ def test_word_similarity_equals_all_extents(spark):
     assert one(spark, word_similarity, *pairs, schema="a string, b string") == pytest.approx([best_extent(a, b) for a, b in pairs])
 
 
+def test_word_similarity_of_long_texts(spark):
+    """The runs of long texts are all looked at, but not one by one: 28 pairs of 7,000 trigrams in seconds."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randrange(2, 7))) for _ in range(400)]
+    short = [(f"s{i}", " ".join(rng.choices(words[: rng.randrange(5, 60)], k=rng.randrange(1, 40)))) for i in range(40)]
+    texts = dict([*short, *((f"l{i}", " ".join(rng.choices(words[i * 20 :], k=1500))) for i in range(8)), ("n", ""), ("m", "!!")])
+    pairs = [(a, b) for a in texts for b in texts if a < b and (a[0] == b[0] or "n" in (a, b) or "m" in (a, b))]
+    start = time.monotonic()
+    scores = L.text_scores(spark.createDataFrame(pairs, "ha string, hb string"), spark.createDataFrame(list(texts.items()), "h string, t string"), words=True, within=120)
+    got = {(r.ha, r.hb): r for r in scores.collect()}
+    assert time.monotonic() - start < 60 and len(got) == len(pairs)
+
+    def expected(a, b):
+        if not a or not b:
+            return 0.0
+        x, y = set(ordered_trigrams(a)), set(ordered_trigrams(b))
+        return max(best_extent(*sorted((a, b), key=len)), len(x & y) / max(1, len(x | y)))
+
+    for a, b in pairs:
+        if "l" not in (a[0], b[0]):
+            assert got[a, b].text_similarity == pytest.approx(expected(texts[a], texts[b])), (a, b)
+
+
+def test_best_run_is_that_of_all_runs():
+    rng = random.Random(7)
+    for n in (0, 1, 5, 40, 300):
+        for kinds in (3, 20, 200):
+            row, wanted = np.array([rng.randrange(kinds) for _ in range(n)], np.int32), np.unique([rng.randrange(kinds) for _ in range(kinds // 2)]).astype(np.int32)
+            want, best = set(wanted.tolist()), 0.1
+            for i in range(n):
+                seen = set()
+                for g in row[i:].tolist():
+                    seen.add(g)
+                    best = max(best, len(seen & want) / len(seen | want))
+            assert best_run(wanted, row, 0.1) == best
+
+
 def test_neighbour_context(spark):
     docs = texts(spark, "a one b one c", "one")
     got = X.neighbour_context(X.find_all(docs, "id", "t", "one"), ["id"], docs, "id", "t").collect()
