@@ -12,6 +12,7 @@ from tablewright.operators import profiles as P
 from tablewright.plans import table
 from tablewright.sources import landing as S
 from tablewright.sources.dimensions import CITY_ALIASES, COUNTRY_ALIASES, REGION_ALIASES
+from tablewright.storage import spread
 
 Q: dict = {}
 
@@ -113,13 +114,13 @@ def x08(spark, d):
     size, more = F.col("p_size").cast("string"), (F.col("p_size") + 5).cast("string")
     place = F.when(F.col("p_size") % 2 == 0, " in Brno").otherwise(" at home")
     line = F.concat(F.lit("Salary "), size, F.lit(" 000 - "), more, F.lit(",000 Kč / month gross"), place, F.lit("\nbonus   500 EUR per year   .\n€ "), size, F.lit("k annually\n"), more, F.lit("-"), F.lit("1 EUR per day"))
-    return X.pay_offers(table(spark, d, "part").select("p_partkey", line.alias("text")), "p_partkey", "text", CITY_ALIASES).select("p_partkey", "low", "high", "currency", "period", "basis", "component", "places", "start")
+    return X.pay_offers(spread(table(spark, d, "part")).select("p_partkey", line.alias("text")), "p_partkey", "text", CITY_ALIASES).select("p_partkey", "low", "high", "currency", "period", "basis", "component", "places", "start")
 
 
 @query("x09_monetary_benefits", """SELECT p_partkey, 'meal allowance ' || p_size || ' CZK per day' AS text, length(p_name) + 1 AS "start" FROM part""")
 def x09(spark, d):
     line = F.concat("p_name", F.lit("\nmeal allowance "), "p_size", F.lit(" CZK per day\nSalary 900 EUR per month\npension plan"))
-    return X.monetary_benefits(table(spark, d, "part").select("p_partkey", line.alias("text")), "p_partkey", "text").select("p_partkey", "text", "start")
+    return X.monetary_benefits(spread(table(spark, d, "part")).select("p_partkey", line.alias("text")), "p_partkey", "text").select("p_partkey", "text", "start")
 
 
 @query("x10_arrangement_clauses", "SELECT doc_id, value, count(*) AS n FROM (SELECT doc_id, CASE WHEN regexp_matches(line, '\\bthat\\b') THEN 'a' WHEN regexp_matches(line, '\\bwith\\b') THEN 'b' END AS value FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)) WHERE value IS NOT NULL GROUP BY 1, 2")
@@ -132,7 +133,7 @@ def x11(spark, d):
     k = F.col("doc_id") % 7
     title = F.when(k == 0, "Talent pool manager").when(k == 1, "Hackathon 2026").when(k == 2, "Career fair coordinator").when(k == 3, "Talent pool graduate programme").otherwise("Baker")
     extra = F.when(k == 4, "\nWe are hiring a baker for nights").when(k == 5, "\nWe are looking for a partner community").when(k == 6, "\nThere is no suitable vacancy today. Send us your CV anyway").otherwise("")
-    return table(spark, d, "documents").select("doc_id", X.opportunity_type(title, F.concat("text", extra)).alias("kind"))
+    return spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", X.opportunity_type(title, F.concat("text", extra)).alias("kind"))
 
 
 PLACES = """SELECT s_suppkey, CASE s_suppkey % 9 WHEN 0 THEN 'Plzeň' WHEN 1 THEN 'Prague' WHEN 5 THEN 'Brno' WHEN 6 THEN 'Brno' END AS city, CASE s_suppkey % 9 WHEN 8 THEN 'Jihomoravský kraj' END AS region,
@@ -469,7 +470,7 @@ def t04(spark, d):
 
 def landed(spark, d, feed: str, change: dict | None = None, more: dict | None = None):
     """Orders as payloads of a feed: each canonical field at the first path that the feed knows for it; `change` gives fields other values, `more` paths further ones."""
-    o = table(spark, d, "orders")
+    o = spread(table(spark, d, "orders"))
     values = {"id": F.col("o_orderkey").cast("string"), "title": F.when(F.col("o_orderkey") % 9 != 0, F.concat(F.lit("Job "), "o_orderkey")), "company": F.concat(F.lit("C"), "o_custkey"), "city": F.concat(F.lit("City "), F.col("o_custkey") % 7), "country": F.lit("CZ"), "mode": F.when(F.col("o_orderkey") % 2 == 0, "Remote").otherwise("On-site"), "published": F.date_format("o_orderdate", "yyyy-MM-dd")}
 
     def nested(paths: dict):
