@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.text import fold, fold_spaces
+from tablewright.functions.text import fold, fold_spaces, let
 from tablewright.functions.values import MINOR_UNITS, mapped
 
 
@@ -223,7 +223,8 @@ def pay_offers(docs: DataFrame, id_col: str, text: str, cities: dict[str, tuple[
     pattern = pay_pattern()
     m = money_on_lines(docs, id_col, text).where(~F.col("line").rlike(OTHER_MONEY))
     group = lambda k: F.nullif(F.regexp_extract("text", pattern, k), F.lit(""))
-    named = F.array_compact(F.array(*[F.when(fold(F.col("line")).rlike(whole_word(alias)), F.lit(city)) for alias, (city, _) in (cities or {}).items()])).cast("array<string>")
+    of = lambda line: F.array_compact(F.array(*[F.when(line.rlike(whole_word(alias)), F.lit(city)) for alias, (city, _) in (cities or {}).items()])).cast("array<string>")
+    named = let(fold(F.col("line")), of)
     out = m.select(
         id_col,
         amount(group(2)).alias("low"),
@@ -267,7 +268,8 @@ def arrangement_clauses(docs: DataFrame, id_col: str, text: str, rules: list[tup
 #: Titles that are no ordinary vacancy, and people who run such things.
 OPPORTUNITIES = [("talent_pool", r"\b(?:talent pool|talent community|open application|spontaneous application)\b"), ("hackathon", r"\bhackathon\b(?:\s+\d{4}\b)|^hackathon$"), ("event", r"\b(?:career fair|recruiting event|recruitment event|hiring event)\b"), ("internship_program", r"\b(?:internship|graduate|trainee) program(?:me)?\b")]
 ORGANIZER = r"(?i)\b(?:manager|organizer|coordinator|director|engineer|developer|head|lead|producer|specialist)\b"
-NO_VACANCY = r"(?iu)[^\n.!?]*(?:nemáme zrovna volnou pozici|no (?:current|suitable|matching) (?:vacanc(?:y|ies)|openings?))[^\n.!?]*[.!?]?\s*[^\n.!?]*(?:pošlete nám svůj životopis|send us your (?:cv|resume))"
+#: What stands between the two statements is on one line, or has one end of a sentence or line in it; taken in that order, nothing is tried twice.
+NO_VACANCY = r"(?iu)(?:nemáme zrovna volnou pozici|no (?:current|suitable|matching) (?:vacanc(?:y|ies)|openings?))(?:[^\n.!?]*?|[^\n.!?]*+[\n.!?]\s*+[^\n.!?]*?)(?:pošlete nám svůj životopis|send us your (?:cv|resume))"
 HIRING = r"(?iu)(?:^|\n)[^\n]*(?:we are (?:hiring|seeking|looking for) (?:a|an)\s+[^\n.]{3,100}|hledáme[^\n.]*na pozici[^\n.]+)"
 AUDIENCE = r"(?i)\b(?:team|community|partners?|customers?|volunteers?|participants?|sponsors?)\b"
 
@@ -278,9 +280,10 @@ def opportunity_type(title: Column, description: Column, rules: list[tuple[str,
     text = F.coalesce(description, F.lit(""))
     # The long patterns are tried only on texts that hold their key words.
     pool = F.when(text.rlike(r"(?iu)nemáme zrovna|no (?:current|suitable|matching) "), F.when(text.rlike(no_vacancy), F.lit("talent_pool")))
-    kinds = F.array_distinct(F.array_compact(F.array(*from_title, pool)))
+    found = F.array_distinct(F.array_compact(F.array(*from_title, pool)))
     clause = F.when(text.rlike(r"(?iu)we are (?:hiring|seeking|looking for)|hledáme"), F.regexp_extract(text, hiring, 0)).otherwise(F.lit(""))
-    return F.when(F.size(kinds) > 1, "conflict").when(F.size(kinds) == 1, kinds[0]).when((clause != "") & ~clause.rlike(AUDIENCE), "vacancy")
+    generic = let(clause, lambda c: F.when((c != "") & ~c.rlike(AUDIENCE), F.lit("vacancy")))
+    return let(found, lambda kinds: F.when(F.size(kinds) > 1, F.lit("conflict")).when(F.size(kinds) == 1, kinds[0]).otherwise(generic))
 
 
 def native_facts(df: DataFrame, id_col: str, payload: str, paths: dict[str, str], suggestions: tuple[str, ...] = ()) -> DataFrame:

@@ -336,6 +336,29 @@ def test_best_run_is_that_of_all_runs():
             assert best_run(wanted, row, 0.1) == best
 
 
+def test_vacancy_statements_in_long_sentences(spark):
+    long = "word " * 20_000
+    texts = {
+        long + "there is no suitable vacancy, " + long + "nothing more": None,
+        long + "there is no suitable vacancy today. \n Send us your CV": "talent_pool",
+        "no current openings but send us your resume": "talent_pool",
+        "no current openings \n\n please send us your cv": "talent_pool",
+        "no current openings. One. Send us your cv": None,
+        "no current openings \n please \n send us your cv": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    start = time.monotonic()
+    assert [r.k for r in df.select(X.opportunity_type(F.lit("Baker"), F.col("t")).alias("k")).collect()] == list(texts.values())
+    assert time.monotonic() - start < 30
+
+
+@pytest.mark.parametrize("name", ["x08_pay_offers", "x11_opportunity_type", "s06_p01_lever_direct"])
+def test_rows_of_one_file_are_many_tasks(spark, sf_dir, name):
+    from tablewright import registry
+
+    assert registry.queries()[name](spark, sf_dir).rdd.getNumPartitions() >= 4
+
+
 def test_neighbour_context(spark):
     docs = texts(spark, "a one b one c", "one")
     got = X.neighbour_context(X.find_all(docs, "id", "t", "one"), ["id"], docs, "id", "t").collect()
