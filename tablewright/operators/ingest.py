@@ -67,7 +67,8 @@ def projected(batch: DataFrame, feed: str, rules: Rules | None = None) -> tuple[
     rules = rules or RULES[feed]
     flag = MORE.get(feed, {}).get("listed")
     shown = first_of(F.col("raw_payload"), [flag]).try_cast("boolean") if flag else F.lit(None).cast("boolean")
-    rows = project_canonical(batch, feed).withColumns({"source_job_id": native_id([F.col("scope")], F.col("native_id"), rules.shape), "_listed": shown})
+    # Each way that a row can go reads them, so payloads are parsed once and written down.
+    rows = staged(project_canonical(batch, feed).withColumns({"source_job_id": native_id([F.col("scope")], F.col("native_id"), rules.shape), "_listed": shown}), "projected")
     good, bad = route_invalid(rows, [(F.col("source_job_id").isNull(), "missing_identity"), (F.col("title") == FALLBACK_TITLE, "missing_title")])
     listed = only_listed(good, F.col("_listed"))
     left = [bad.select("source_job_id", F.concat(F.lit("rejected: "), "reject_reason").alias("change")), good.where("NOT coalesce(_listed, true)").select("source_job_id", F.lit("skipped: unlisted").alias("change"))]
@@ -136,12 +137,12 @@ def evidence_of_state(state: State, feed: str, rules: Rules | None = None) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
-def ingest_feed(batch: DataFrame, state: State, feed: str, now: Column, run_id: str, rules: Rules | None = None) -> Ingested:
+def ingest_feed(batch: DataFrame, state: State, feed: str, now: Column, run_id: str, rules: Rules | None = None, parts: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> Ingested:
     """Projects the batch (scope, body), rejects rows without identity or title, leaves out unlisted and foreign ones, resolves companies, finds each row's job by its own source,
     then by the best evidence that names exactly one job, else makes one, updates jobs under the priority guard, and writes sources, activity and the run's
-    counters. New ids are digests of natural keys, so a rerun gives the same state."""
+    counters. New ids are digests of natural keys, so a rerun gives the same state. `parts`: the batch as `projected`, if that is done already."""
     rules = rules or RULES[feed]
-    first, again, left = projected(batch, feed, rules)
+    first, again, left = parts or projected(batch, feed, rules)
     named, new_companies = resolve_company(first, "company", state.companies)
     named = staged(named, "named")
     found = existing_source(named, state.sources.select("source_name", "source_job_id", F.col("job_id").alias("own")), ["source_name", "source_job_id"], "own")

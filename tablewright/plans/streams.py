@@ -9,7 +9,7 @@ from tablewright.operators.ingest import FIELDS, State, ingest_feed
 from tablewright.plans import table
 from tablewright.plans.profiling import landed, landing_files
 from tablewright.sources import landing as S
-from tablewright.storage import scratch
+from tablewright.storage import scratch, spread
 from tablewright.streaming import jobs as J
 
 Q: dict = {}
@@ -42,7 +42,7 @@ def lever_batch(spark, d):
 def lever_state(spark, d):
     """Finished orders are known by the feed already, pending ones by another feed at the same address. Of the open ones, urgent ones are known by another feed at the
     board's own address, high ones as a job of their company with the same title, and those of no stated priority as two jobs at one address. Companies with even keys are known."""
-    o = table(spark, d, "orders").withColumns({"k": F.col("o_orderkey").cast("string"), "p": kind()})
+    o = spread(table(spark, d, "orders")).withColumns({"k": F.col("o_orderkey").cast("string"), "p": kind()})
     none, before = F.lit(None).cast("string"), at("2024-01-01")
     status = F.col("o_orderstatus")
     letters = F.when(status.isin("F", "P"), F.array(F.lit("j"))).when(F.col("p") == "1", F.array(F.lit("i"))).when(F.col("p") == "2", F.array(F.lit("t"))).when(F.col("p") == "4", F.array(F.lit("a"), F.lit("b")))

@@ -95,8 +95,10 @@ def start_feed_stream(spark: SparkSession, landing: str, store: str, out: str, c
         for k, feed in enumerate(f for f in ORDER if f in present):
             version = epoch * STEPS + ORDER.index(feed)
             own = landed.where(F.col("source_name") == feed).select("scope", "body")
-            part = stores.state_for(staged(projected(own, feed)[0], "rows"), feed, version)
-            done: Ingested = ingest_feed(own, part, feed, now, f"run-{epoch}")
+            first, again, left = projected(own, feed)
+            first = staged(first, "rows")
+            part = stores.state_for(first, feed, version)
+            done: Ingested = ingest_feed(own, part, feed, now, f"run-{epoch}", parts=(first, again, left))
             # Written in one go, so that what is kept and what is reported come from one evaluation.
             state = State(*(staged(df, f"new-{name}") for name, df in zip(State._fields, done.state, strict=True)))
             stores.keep(state, feed, version)
