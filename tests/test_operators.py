@@ -359,6 +359,21 @@ def test_rows_of_one_file_are_many_tasks(spark, sf_dir, name):
     assert registry.queries()[name](spark, sf_dir).rdd.getNumPartitions() >= 4
 
 
+def test_page_items_sql_resolves_what_the_parser_does(spark, tmp_path):
+    import duckdb
+
+    from tablewright import registry
+
+    titles = ["a &amp;&amp b&amp", "t = &quot;x&quot", "&lt;b&gt &#39;c&#x27;", "&amp;quot; &amp;amp;", "cut &am", "it &amp; is"]
+    rows = [(i, "https://a.example/x", f"<html><title>{t}</title></html>") for i, t in enumerate(titles)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    stated = con.sql(f"SELECT page_id, title FROM ({registry.oracle_sql()['s08_page_items']}) ORDER BY 1").fetchall()
+    got = registry.queries()["s08_page_items"](spark, str(tmp_path)).select("page_id", "title").orderBy("page_id").collect()
+    assert stated == [tuple(r) for r in got] and stated[0][1] == "a && b&"
+
+
 def test_neighbour_context(spark):
     docs = texts(spark, "a one b one c", "one")
     got = X.neighbour_context(X.find_all(docs, "id", "t", "one"), ["id"], docs, "id", "t").collect()
