@@ -24,13 +24,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_short_batches(df: DataFrame) -> DataFrame:
+    """The same rows in a session of its own, with the caller's settings, whose Arrow batches have BATCH_ROWS rows. The caller's session is not changed. A temporary view hands the
+    plan over; it is dropped at once, as the plan is resolved by then."""
+    spark, name = df.sparkSession, f"batches_{uuid.uuid4().hex}"
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    df.createGlobalTempView(name)
+    try:
+        return own.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{name}")
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with short batches: `fn` gets slices of the session's batches, which share their memory."""
+    """mapInArrow with short batches: a session's usual ones are 10,000 rows, which executors hold several times over for long texts. Where the result is joined into a plan of another
+    session, that session's batches come, so `fn` gets slices of them, which share their memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return fn(batch.slice(at, BATCH_ROWS) for batch in batches for at in range(0, batch.num_rows, BATCH_ROWS))
 
-    return df.mapInArrow(run, schema)
+    return in_short_batches(df).mapInArrow(run, schema)
 
 
 def shared_value(spark: SparkSession, value: Any) -> Broadcast:

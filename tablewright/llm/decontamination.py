@@ -73,7 +73,7 @@ class Templates:
         self.clear()
 
     def clear(self) -> None:
-        self.numbers, self.facts = Numbering(), np.zeros((0, 5), np.uint64)
+        self.numbers, self.values, self.facts = Numbering(), np.zeros(0, np.uint64), np.zeros((0, 4), np.uint8)
 
     @staticmethod
     def fact(word: str) -> tuple[int, int, int, int, int]:
@@ -101,9 +101,11 @@ class Templates:
         indices = [np.array(self.numbers.of(self.words_of(t or "")), np.int64) for t in texts]
         if self.numbers.new:
             new = np.array([self.fact(w) for w in self.numbers.new], np.uint64)
-            self.facts, self.numbers.new = np.concatenate([self.facts, new]), []
+            self.values, self.facts = np.concatenate([self.values, new[:, 1]]), np.concatenate([self.facts, new[:, [0, 2, 3, 4]].astype(np.uint8)])
+            self.numbers.new = []
         for index in indices:
-            kind, value, name, unit, ends = self.facts[index].T
+            value = self.values[index]
+            kind, name, unit, ends = self.facts[index].T
             start = np.r_[True, ends[:-1] > 0][: len(kind)]
             # A token without letters passes a sentence's end on.
             keep = kind != BREAK
