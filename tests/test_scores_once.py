@@ -27,3 +27,13 @@ def test_location_similarity_by_columns(spark):
     found = with_location_similarity(pairs(spark), "a", "b", "ga", "gb", "s").select("a", "b", "s").collect()
     plain = pairs(spark).select("a", "b", location_similarity(F.col("a"), F.col("b")).alias("s")).collect()
     assert sorted(found) == sorted(plain)
+
+
+def test_safe_merges_need_no_other_pairs(spark, sf_dir):
+    """R01 with R02's thresholds gives R02 the same pairs as R01 with its own."""
+    from tablewright.operators import linkage as L
+    from tablewright.plans.linkage import order_jobs
+
+    jobs = order_jobs(spark, sf_dir)
+    merged = [L.safe_auto_merge(L.duplicate_candidates(jobs, words=False, **limits).withColumn("status", F.lit("pending"))).select("a", "b", "confidence").collect() for limits in ({}, L.SAFE)]
+    assert merged[0] == merged[1] and merged[0]
