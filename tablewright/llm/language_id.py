@@ -99,7 +99,7 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     for word, n in Counter(words).items():
         for b in subwords(word):
             counts[b] += n
-    at, n = np.array(list(counts), np.int64), np.array(list(counts.values()), np.float32)
+    at, n = np.array(list(counts), np.int32), np.array(list(counts.values()), np.float32)
     return at, n / n.sum()
 
 
@@ -111,23 +111,23 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
         words, y = words_of(text), languages.index(label)
         if not words:
             continue
+        # Words take many times the room of their features, so no more than one text's are held.
         into = check if i % 5 == 0 else learn
-        into.append((words, y))
+        into.append((*features(words), y))
         for _ in range(2):  # short stretches, from one word to 30
             size = int(rng.integers(1, 31))
             at = int(rng.integers(0, max(1, len(words) - size + 1)))
-            into.append((words[at : at + size], y))
+            into.append((*features(words[at : at + size]), y))
     n = len(languages)
     if not learn or n == 0:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
     table_, layer, bias = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32), np.zeros((WIDTH, n), np.float32), np.zeros(n, np.float32)
-    share = np.bincount([y for _, y in learn], minlength=n) / len(learn)
+    share = np.bincount([y for *_, y in learn], minlength=n) / len(learn)
     care = 1 / np.maximum(share * n, 0.05)  # rare languages count as much as common ones
-    rows = [(*features(w), y) for w, y in learn]
-    total, step = EPOCHS * len(rows), 0
+    total, step = EPOCHS * len(learn), 0
     for _ in range(EPOCHS):
-        for k in rng.permutation(len(rows)):
-            at, weight, y = rows[k]
+        for k in rng.permutation(len(learn)):
+            at, weight, y = learn[k]
             rate = RATE * (1 - step / total)
             step += 1
             mean = weight @ table_[at]
@@ -145,9 +145,9 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
     return model
 
 
-def calibrate(model: Model, rows: list[tuple[list[str], int]]) -> None:
-    sums = np.stack([np.append(w @ model.weights[at], 1) for at, w in (features(words) for words, _ in rows)])
-    y = np.array([y for _, y in rows])
+def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> None:
+    sums = np.stack([np.append(w @ model.weights[at], 1) for at, w, _ in rows])
+    y = np.array([y for *_, y in rows])
     loss = {}
     for t in np.geomspace(0.2, 5, 25):
         model.temperature = float(t)
@@ -170,8 +170,10 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     shares = spark.createDataFrame([(r["lang"], min(1.0, each / r["count"])) for r in counts], "lang string, share double")
     wide = 1 << 30
     by = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(wide))
-    sample = rows.join(F.broadcast(shares), "lang").where(by < F.col("share") * wide).withColumn("by", by).orderBy("by", "doc_id").limit(2 * round(each * len(counts))).collect()
-    return train([r["text"] for r in sample], [r["lang"] for r in sample])
+    sample = rows.join(F.broadcast(shares), "lang").where(by < F.col("share") * wide).withColumn("by", by).orderBy("by", "doc_id").limit(2 * round(each * len(counts)))
+    # As Arrow, so that the texts are not rows in the driver's JVM first.
+    sample = sample.select("text", "lang").toArrow()
+    return train(sample.column("text").to_pylist(), sample.column("lang").to_pylist())
 
 
 class Scorer:

@@ -181,6 +181,8 @@ def components(links: DataFrame) -> DataFrame:
     # Few links need few tasks; a task keeps the ends of its own links in memory.
     parts = links.count() // LINKS_IN_PART + 1
     edges = checkpointed(contracted(links.coalesce(parts)))
+    if parts == 1:  # all links met in one task, so every node already has the smallest one that it can reach
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     before = state(edges)
     while True:
