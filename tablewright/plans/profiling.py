@@ -593,7 +593,7 @@ def landing_files(spark, d, feed="lever_direct"):
     o = landed(spark, d, feed)
     line = F.to_json(F.struct(F.lit(feed).alias("source_name"), "scope", F.lit("run").alias("run_id"), F.lit(1).alias("page_no"), F.lit("2024-01-01T00:00:00").alias("fetched_at"), "body"))
     key = F.get_json_object("body", "$.id").cast("long")
-    o.select(F.when(key % 100 == 0, F.concat(F.lit("{broken "), key)).otherwise(line).alias("value")).write.text(path)
+    o.select(F.when(key % 100 == 0, F.concat(F.lit("{broken "), key)).otherwise(line).alias("value")).write.option("compression", "gzip").text(path)
     return path
 
 

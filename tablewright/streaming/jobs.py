@@ -10,7 +10,7 @@ from tablewright.functions.text import normalize_company
 from tablewright.operators.ingest import FIELDS, RULES, Ingested, Rules, State, evidence_of_batch, evidence_of_state, ingest_feed, projected
 from tablewright.operators.linkage import known_companies
 from tablewright.sources.landing import ENVELOPE, FEEDS
-from tablewright.storage import Buckets, staged
+from tablewright.storage import Buckets, passing, staged
 
 #: Feeds are ingested in this order within a batch; each batch has so many versions of every store.
 ORDER = tuple(FEEDS)
@@ -60,15 +60,17 @@ class Stores:
     def state_for(self, batch: DataFrame, feed: str, before: int) -> State:
         """The part of the state that a batch can touch: its own sources, every job that some of its evidence may stand for with all of its sources, its companies."""
         keys = batch.select(normalize_company(F.col("company")).alias("company_key")).where("company_key <> ''")
-        companies = staged(self.companies.lookup(keys, before), "companies")
-        known = known_companies(batch, companies)
-        own = self.sources.lookup(batch.select("source_name", "source_job_id"), before).select("job_id")
-        near = self.evidence.lookup(evidence_of_batch(known, feed).select("kind", "key"), before).select("job_id")
-        jobs = staged(own.unionByName(near).distinct(), "touched-jobs")
-        return State(companies.select("id", "name", "created_at"), staged(self.jobs.lookup(jobs.withColumnRenamed("job_id", "id"), before), "jobs"), staged(self.of_job.lookup(jobs, before), "sources"))
-
-    def keep(self, state: State, feed: str, version: int) -> None:
-        """Writes a touched part back. Evidence is only ever added: a key that no longer holds costs a look at its job, and R04 judges by the rows themselves."""
+        with passing(batch.sparkSession):
+            companies = staged(self.companies.lookup(keys, before), "companies", lasting=True)
+            known = known_companies(batch, companies)
+            own = self.sources.lookup(batch.select("source_name", "source_job_id"), before).select("job_id")
+            near = self.evidence.lookup(evidence_of_batch(known, feed).select("kind", "key"), before).select("job_id")
+            jobs = staged(own.unionByName(near).distinct(), "touched-jobs")
+            held = staged(self.jobs.lookup(jobs.withColumnRenamed("job_id", "id"), before), "jobs", lasting=True)
+            return State(companies.select("id", "name", "created_at"), held, staged(self.of_job.lookup(jobs, before), "sources", lasting=True))
+
+    def keep(self, state: State, version: int) -> DataFrame:
+        """Writes a touched part back and gives its evidence, which `add` takes when the part itself may have gone."""
         companies = state.companies.withColumn("company_key", normalize_company(F.col("name"))).where("company_key <> ''")
         self.companies.replace(companies, version)
         self.jobs.replace(state.jobs, version)
@@ -79,9 +81,14 @@ class Stores:
         for f in ORDER:
             if RULES[f].board:
                 found = found.unionByName(evidence_of_state(state, f, RULES[f]._replace(evidence=(("native", "identity", "hosts"),))))
-        found = staged(found.select("kind", "key", F.col("target").alias("job_id")).distinct(), "evidence")
-        held = self.evidence.lookup(found, version)
-        self.evidence.replace(held.unionByName(found.select(*held.columns)).distinct(), version)
+        return staged(found.select("kind", "key", F.col("target").alias("job_id")).distinct(), "evidence", lasting=True)
+
+    def add(self, found: DataFrame, version: int) -> None:
+        """Evidence is only ever added: a key that no longer holds costs a look at its job, and R04 judges by the rows themselves."""
+        if self.evidence.newest(version):
+            held = self.evidence.lookup(found, version)
+            found = staged(held.unionByName(found.select(*held.columns)).distinct(), "all-evidence")
+        self.evidence.replace(found, version)
 
 
 def start_feed_stream(spark: SparkSession, landing: str, store: str, out: str, checkpoint: str, now: Column, count: int = 64) -> StreamingQuery:
@@ -90,19 +97,32 @@ def start_feed_stream(spark: SparkSession, landing: str, store: str, out: str, c
 
     def write(batch: DataFrame, epoch: int) -> None:
         stores = Stores(spark, store, count)
-        landed = staged(batch.where("body IS NOT NULL").select("source_name", "scope", "body"), "landed")
-        present = {r[0] for r in landed.select("source_name").distinct().where(F.col("source_name").isin(*ORDER)).collect()}  # as many as there are feeds at most
-        for k, feed in enumerate(f for f in ORDER if f in present):
-            version = epoch * STEPS + ORDER.index(feed)
-            own = landed.where(F.col("source_name") == feed).select("scope", "body")
+        with passing(batch.sparkSession):
+            landed = staged(batch.where("body IS NOT NULL").select("source_name", "scope", "body"), "landed")
+            present = {r[0] for r in landed.select("source_name").distinct().where(F.col("source_name").isin(*ORDER)).collect()}  # as many as there are feeds at most
+            for k, feed in enumerate(f for f in ORDER if f in present):
+                ingest(stores, landed, feed, epoch, k)
+
+    def ingest(stores: Stores, landed: DataFrame, feed: str, epoch: int, k: int) -> None:
+        version = epoch * STEPS + ORDER.index(feed)
+        own = landed.where(F.col("source_name") == feed).select("scope", "body")
+        with passing(landed.sparkSession):
+            with passing(landed.sparkSession):
+                state = taken_in(stores, own, feed, version, epoch, f"{out}/epoch={epoch}/step={k}")
+                found = stores.keep(state, version)
+            stores.add(found, version)
+
+    def taken_in(stores: Stores, own: DataFrame, feed: str, version: int, epoch: int, log: str) -> State:
+        """The new state of what the batch touches: of all that is written down here, only this is left on disk while it goes into the stores."""
+        with passing(own.sparkSession):
             first, again, left = projected(own, feed)
             first = staged(first, "rows")
             part = stores.state_for(first, feed, version)
             done: Ingested = ingest_feed(own, part, feed, now, f"run-{epoch}", parts=(first, again, left))
             # Written in one go, so that what is kept and what is reported come from one evaluation.
-            state = State(*(staged(df, f"new-{name}") for name, df in zip(State._fields, done.state, strict=True)))
-            stores.keep(state, feed, version)
-            done.rows.withColumn("source_name", F.lit(feed)).write.mode("overwrite").parquet(f"{out}/epoch={epoch}/step={k}")
+            state = State(*(staged(df, f"new-{name}", lasting=True) for name, df in zip(State._fields, done.state, strict=True)))
+            done.rows.withColumn("source_name", F.lit(feed)).write.mode("overwrite").option("compression", "zstd").parquet(log)
+            return state
 
     rows = spark.readStream.schema(ENVELOPE).json(landing)
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -3,10 +3,12 @@
 import datetime as dt
 import json
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from tablewright import storage
 from tablewright.operators import ingest as I
 from tablewright.operators import linkage as L
 from tablewright.plans import linkage as PL
@@ -110,6 +112,35 @@ def test_feed_stream_gives_what_whole_batches_give(spark, tmp_path):
     assert {("acme:3", "skipped: foreign", None), ("all:11", "attached", "url"), ("acme:4", "attached", "identity"), ("acme:2", "updated", None)} <= log
 
 
+def test_stream_leaves_nothing_but_its_stores(spark, tmp_path, monkeypatch):
+    """What a batch writes down between its steps goes with the batch, and the log is whole by then."""
+    monkeypatch.setattr(storage, "scratch", lambda spark, name: str(tmp_path / "steps" / f"{name}-{uuid.uuid4().hex}"))
+    body = lambda i: {"id": str(i), "text": f"Job {i}", "company": "Acme", "country": "CZ", "hostedUrl": f"https://jobs.example.com/acme/{i}"}
+    (tmp_path / "land").mkdir()
+    for n in range(2):
+        (tmp_path / "land" / f"{n}.json").write_text("\n".join(record("lever_direct", "acme", body(i)) for i in range(3 * n, 3 * n + 4)))
+        J.start_feed_stream(spark, *(str(tmp_path / x) for x in ("land", "store", "out", "cp")), F.lit("2026-01-31").cast("timestamp"), 4).awaitTermination()
+    assert J.Stores(spark, str(tmp_path / "store"), 4).sources.current().count() == 7
+    assert spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "out")).count() == 8
+    assert list((tmp_path / "steps").iterdir()) == []
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").count("shuffle_")
+    before = files()
+    rows = storage.staged(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert files() <= before and rows.count() == 7
+
+
+def test_large_buckets_are_dealt_to_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Buckets, "PART", 10)
+    store = Buckets(spark, str(tmp_path / "b"), "k long, v long", ["k"], 2)
+    for version in range(2):
+        store.replace(spark.range(100).select(F.col("id").alias("k"), (F.col("id") + version).alias("v")), version)
+    assert {(r.k, r.v) for r in store.current().collect()} == {(k, k + 1) for k in range(100)} and store.current().count() == 100
+    assert len(store.current().inputFiles()) > 2
+
+
 def test_ranked_evidence(spark):
     probes = spark.createDataFrame([(p, r, k, key) for p, r, k, key in [
         ("one", 0, "url", "u1"), ("two", 0, "url", "u2"), ("two", 1, "title", "t2"), ("both", 0, "native", "n"), ("both", 0, "url", "u3"), ("taken", 0, "title", "t4"), ("taken", 1, "url", "u4"), ("none", 0, "url", "zzz")]], "probe string, rank int, kind string, key string")
