@@ -4,11 +4,13 @@ import datetime as dt
 import json
 import random
 import time
+import uuid
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tablewright import storage
 from tablewright.functions import text as T
 from tablewright.functions import values as V
 from tablewright.functions.word_similarity import best_run, word_similarity
@@ -322,6 +324,72 @@ def test_word_similarity_of_long_texts(spark):
             assert got[a, b].text_similarity == pytest.approx(expected(texts[a], texts[b])), (a, b)
 
 
+def test_similar_pairs_of_large_blocks_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(L, "SMALL_BLOCK", 3)
+    rng = random.Random(11)
+    words = ["data", "date", "analyst", "analysis", "baker", "bakery", "senior", "ii", "x"]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(1, 5))) for _ in range(120)]
+    df = spark.createDataFrame([(i, f"b{i % 2}", t) for i, t in enumerate(texts)], "id int, block string, t string")
+    for least in (0.45, 0.98):
+        got = L.similar_pairs(df, "block", "id", "t", least).collect()
+        sets = [set(ordered_trigrams(t)) for t in texts]
+        every = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in range(120) for b in range(a + 1, 120) if a % 2 == b % 2}
+        assert {(r.a, r.b): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in every.items() if v >= least} and len({(r.a, r.b) for r in got}) == len(got)
+
+
+def long_texts(rng, n, words):
+    known = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=rng.randrange(2, 9))) for _ in range(2000)]
+    return [" ".join(rng.choices(known, k=words)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("words", [False, True])
+def test_texts_go_to_tiles_not_to_pairs(spark, monkeypatch, words):
+    """All pairs of 50 long texts: the texts are shuffled a few times each, not once for each pair."""
+    rows = [(f"h{i:02d}", t) for i, t in enumerate(long_texts(random.Random(2), 50, 700))]
+    texts = spark.createDataFrame(rows, "h string, t string")
+    pairs = spark.createDataFrame([(a, b) for a, _ in rows for b, _ in rows if a < b], "ha string, hb string")
+    monkeypatch.setattr(storage, "_FREED", "spark.sql.adaptive.enabled", raising=False)  # shuffle files stay, to be counted
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def files() -> int:
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(f.length() for f in (found.apply(i) for i in range(found.size())) if "shuffle_" in f.getName())
+
+    try:
+        before = files()
+        assert L.text_scores(pairs, texts, words, 120).count() == 1225
+        assert files() - before < 4e6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scores_are_the_same_in_any_tiles_and_rounds(spark, monkeypatch):
+    rng = random.Random(4)
+    some = ["", "!!", "a", "Ünï código, 12", "two  words", " lead", "trail "]
+    long = long_texts(rng, 6, 60)
+    texts = [*some, *long, *(t[5:-7] for t in long), *(f"Kopf: {t}\nEnde" for t in long[:3])]
+    pairs = [(f"h{i}", f"h{j}") for i in range(len(texts)) for j in range(i, len(texts))]
+    given = (spark.createDataFrame(pairs * 2, "ha string, hb string"), spark.createDataFrame([(f"h{i}", t) for i, t in enumerate(texts)] * 2, "h string, t string"))
+    plain = lambda: sorted(tuple(r) for r in L.text_scores(*given, words=False, within=20).collect())
+    usual = plain()
+    want = {}
+    for a, b in pairs:
+        x, y = texts[int(a[1:])], texts[int(b[1:])]
+        g, k = set(ordered_trigrams(x)), set(ordered_trigrams(y))
+        want[a, b] = (0.0 if not x or not y else 1.0 if x == y else len(g & k) / max(1, len(g | k)), (len(x) >= 20 and x in y) or (len(y) >= 20 and y in x))
+    assert {(a, b): (s, c) for a, b, s, c in usual} == want and len(usual) == len(pairs) and sum(c for *_, c in usual) > 20
+    monkeypatch.setattr(L, "TILE_TEXTS", 2)
+    monkeypatch.setattr(L, "ROUND_CHARS", 20_000)
+    assert plain() == usual
+
+
+def test_candidates_leave_nothing_else_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "scratch", lambda spark, name: str(tmp_path / f"{name}-{uuid.uuid4().hex}"))
+    jobs = spark.createDataFrame([(i, "acme", "data analyst" + " ii" * (i % 2), "brno", False, "text " * i) for i in range(6)], "id int, block string, title string, location string, remote boolean, description string")
+    assert L.duplicate_candidates(jobs).count() == 15
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["candidates"]
+
+
 def test_best_run_is_that_of_all_runs():
     rng = random.Random(7)
     for n in (0, 1, 5, 40, 300):
