@@ -71,17 +71,19 @@ class Stores:
 
     def keep(self, state: State, version: int) -> DataFrame:
         """Writes a touched part back and gives its evidence, which `add` takes when the part itself may have gone."""
-        companies = state.companies.withColumn("company_key", normalize_company(F.col("name"))).where("company_key <> ''")
-        self.companies.replace(companies, version)
-        self.jobs.replace(state.jobs, version)
-        self.sources.replace(state.sources, version)
-        self.of_job.replace(state.sources, version)
         # Any feed may ask for a job later, so it is found by the evidence of all of them: some kinds are the same for every feed, others read the addresses of a feed's board.
         found = evidence_of_state(state, "", Rules("", (("url", "uuid", "title"),)))
         for f in ORDER:
             if RULES[f].board:
                 found = found.unionByName(evidence_of_state(state, f, RULES[f]._replace(evidence=(("native", "identity", "hosts"),))))
-        return staged(found.select("kind", "key", F.col("target").alias("job_id")).distinct(), "evidence", lasting=True)
+        # Looked for first: its shuffle is the largest, and the stores are not on disk yet.
+        found = staged(found.select("kind", "key", F.col("target").alias("job_id")).distinct(), "evidence", lasting=True)
+        companies = state.companies.withColumn("company_key", normalize_company(F.col("name"))).where("company_key <> ''")
+        self.companies.replace(companies, version)
+        self.jobs.replace(state.jobs, version)
+        self.sources.replace(state.sources, version)
+        self.of_job.replace(state.sources, version)
+        return found
 
     def add(self, found: DataFrame, version: int) -> None:
         """Evidence is only ever added: a key that no longer holds costs a look at its job, and R04 judges by the rows themselves."""
