@@ -365,7 +365,7 @@ def test_texts_go_to_tiles_not_to_pairs(spark, monkeypatch, words):
 
 def test_scores_are_the_same_in_any_tiles_and_rounds(spark, monkeypatch):
     rng = random.Random(4)
-    some = ["", "!!", "a", "Ünï código, 12", "two  words", " lead", "trail "]
+    some = ["", "!!", "a", "Ünï código, 12", "two  words", " lead", "trail ", " ", "   "]
     long = long_texts(rng, 6, 60)
     texts = [*some, *long, *(t[5:-7] for t in long), *(f"Kopf: {t}\nEnde" for t in long[:3])]
     pairs = [(f"h{i}", f"h{j}") for i in range(len(texts)) for j in range(i, len(texts))]
